@@ -4,18 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationflow.llm.common import table
+from stationflow.llm.packing import harmonic_pack
+from stationflow.llm.secret_scan import BASE, scan_secrets, span_text
 from stationflow.llm.simhash_dedup import simhash_components
 
+#: The vocabulary that packing counts in.
+PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 4096 ids; the pieces' ids as their checksum."""
+    pieces = harmonic_pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base counts and digest, and all spans."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(span_text(of(*BASE)), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_packing": op6_packing,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
