@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import table
+from stationflow.llm.common import held_out, table
+from stationflow.llm.decontaminate import find_leaks
+from stationflow.llm.language_id import fit_language_model, identify_language
 from stationflow.llm.packing import harmonic_pack
 from stationflow.llm.secret_scan import BASE, scan_secrets, span_text
 from stationflow.llm.simhash_dedup import simhash_components
@@ -17,12 +19,24 @@ from stationflow.llm.simhash_dedup import simhash_components
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a network that learned from documents not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs, fit_language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 ids; the pieces' ids as their checksum."""
     pieces = harmonic_pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, each at its best window."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_components(table(spark, sf_dir, "documents"))
@@ -40,7 +54,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
+    "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
