@@ -12,6 +12,7 @@ from stationflow.llm.common import held_out, table
 from stationflow.llm.decontaminate import find_leaks
 from stationflow.llm.language_id import fit_language_model, identify_language
 from stationflow.llm.packing import harmonic_pack
+from stationflow.llm.quality import fit_quality, score_quality
 from stationflow.llm.secret_scan import BASE, scan_secrets, span_text
 from stationflow.llm.simhash_dedup import simhash_components
 
@@ -19,6 +20,13 @@ from stationflow.llm.simhash_dedup import simhash_components
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by the votes of labelled documents not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a network that learned from documents not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -54,6 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
     "op8_decontaminate": op8_decontaminate,
