@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.llm.chat_format import conversation_digests, format_chat
 from stationflow.llm.common import held_out, table
 from stationflow.llm.decontaminate import find_leaks
 from stationflow.llm.language_id import fit_language_model, identify_language
@@ -18,6 +19,15 @@ from stationflow.llm.simhash_dedup import simhash_components
 
 #: The vocabulary that packing counts in.
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The vocabulary that chat windows are budgeted in, and how it splits texts.
+CHAT_RANKS, CHAT_PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one that is made of control strings, read back from the windows."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.sql("select -1L as conv_id, turn, role, '</s>[INST] ok [/INST]' as text from values (0L, 'user'), (1L, 'assistant') as t(turn, role)")
+    return conversation_digests(format_chat(rows.unionByName(odd), CHAT_RANKS, CHAT_PATTERN))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
     "op6_packing": op6_packing,
