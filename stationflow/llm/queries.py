@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.llm.ann import nearest
 from stationflow.llm.chat_format import conversation_digests, format_chat
 from stationflow.llm.common import held_out, table
 from stationflow.llm.decontaminate import find_leaks
@@ -44,6 +45,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for each vector whose id is divisible by 50."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 ids; the pieces' ids as their checksum."""
     pieces = harmonic_pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
+    "op4_ann": op4_ann,
     "op6_packing": op6_packing,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
