@@ -13,6 +13,7 @@ from stationflow.llm.chat_format import conversation_digests, format_chat
 from stationflow.llm.common import held_out, table
 from stationflow.llm.decontaminate import find_leaks
 from stationflow.llm.language_id import fit_language_model, identify_language
+from stationflow.llm.license_scan import scan_licenses
 from stationflow.llm.packing import harmonic_pack
 from stationflow.llm.quality import fit_quality, score_quality
 from stationflow.llm.secret_scan import BASE, scan_secrets, span_text
@@ -50,6 +51,11 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 ids; the pieces' ids as their checksum."""
     pieces = harmonic_pack(table(spark, sf_dir, "documents"), PACKING_TOKENIZER)
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
     "op4_ann": op4_ann,
+    "op5_license_scan": op5_license_scan,
     "op6_packing": op6_packing,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
