@@ -18,6 +18,7 @@ from stationflow.llm.packing import harmonic_pack
 from stationflow.llm.quality import fit_quality, score_quality
 from stationflow.llm.secret_scan import BASE, scan_secrets, span_text
 from stationflow.llm.simhash_dedup import simhash_components
+from stationflow.llm.suffix_dedup import remove_repeats
 
 #: The vocabulary that packing counts in.
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +63,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings of earlier documents."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, each at its best window."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ann": op4_ann,
     "op5_license_scan": op5_license_scan,
     "op6_packing": op6_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_secret_scan": op10_secret_scan,
