@@ -141,9 +141,11 @@ class ItemIndex:
         key = (words[spots] * base + words[spots + 1]) * base + words[spots + 2]
         lo, hi = np.searchsorted(self.seed_key, key), np.searchsorted(self.seed_key, key, "right")
         spots, lo, count = spots[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        if not len(count):
+            return
         best: dict[tuple[int, int], tuple[int, int]] = {}
         at_once = 1 << 18
-        cuts = np.flatnonzero(np.diff(np.cumsum(count) // at_once, prepend=-1)) if len(count) else []
+        cuts = np.flatnonzero(np.diff(np.cumsum(count) // at_once, prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(count)], strict=True):
             seed = np.repeat(lo[a:b], count[a:b]) + np.arange(count[a:b].sum()) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b])
             spot = np.repeat(spots[a:b], count[a:b])
