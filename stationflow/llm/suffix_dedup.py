@@ -14,7 +14,7 @@ LENGTH = 50
 #: Bytes that are hashed together; the least hash of a string's grams is the string's route.
 GRAM = 16
 #: Text bytes of a tile of documents, and text bytes for each bucket of routes and each shard.
-TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 16 << 20, 32 << 20, 12 << 20
+TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 4 << 20
 CHUNK = 1 << 20
 NEVER = np.iinfo(np.int64).max
 
@@ -115,38 +115,49 @@ def _shared_runs(texts: list[bytes], shared: np.ndarray, length: int) -> tuple[n
     return doc[keep], first[keep], last[keep], route[keep]
 
 
+class TileBlocks:
+    """A tile's shared runs, its distinct blocks (the bytes of a run's strings), and each block's place in its shard's list.
+
+    The same documents and shared routes give the same lists, so results come back by
+    place and no keys are sent.
+    """
+
+    def __init__(self, ids: np.ndarray, texts: list[bytes], shared: np.ndarray, shards: int, length: int) -> None:
+        self.doc, self.first, last, route = _shared_runs(texts, shared, length)
+        seen: dict[bytes, int] = {}
+        self.text: list[bytes] = []
+        of, where, low, high = [], [], [], []
+        own, digest = ids[self.doc].tolist(), xxhash.xxh3_128_digest
+        for d, i, a, b, r in zip(self.doc.tolist(), own, self.first.tolist(), last.tolist(), _mixed(route, shards).tolist(), strict=True):
+            block = texts[d][a : b + length]
+            k = seen.setdefault(digest(block), len(self.text))
+            of.append(k)
+            if k == len(self.text):
+                self.text.append(block)
+                where.append(r)
+                low.append(i)
+                high.append(i)
+            else:  # ids only grow
+                high[k] = i
+        self.of, self.shard = np.array(of, np.int64), np.array(where, np.int64)
+        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
+        self.order = np.argsort(self.shard, kind="stable")  # in a shard's list, ids only grow too
+        self.used, self.cuts = np.unique(self.shard[self.order], return_index=True)
+        self.cuts = np.append(self.cuts, len(self.order))
+
+
 def _blocks(tile: int, ids: np.ndarray, texts: list[bytes], shared: np.ndarray, shards: int, length: int) -> pd.DataFrame:
-    """A tile's distinct blocks (the bytes of a run's strings) by shard, with their smallest and largest id."""
-    doc, first, last, route = _shared_runs(texts, shared, length)
-    seen: dict[bytes, int] = {}
-    blocks: list[bytes] = []
-    where: list[int] = []
-    low: list[int] = []
-    high: list[int] = []
-    own, digest = ids[doc].tolist(), xxhash.xxh3_128_digest
-    for d, i, a, b, r in zip(doc.tolist(), own, first.tolist(), last.tolist(), _mixed(route, shards).tolist(), strict=True):
-        block = texts[d][a : b + length]
-        k = seen.setdefault(digest(block), len(blocks))
-        if k == len(blocks):
-            blocks.append(block)
-            where.append(r)
-            low.append(i)
-            high.append(i)
-        else:  # ids only grow
-            high[k] = i
-    keys = list(seen)
-    out: dict[str, list] = {"shard": [], "tile": [], "keys": [], "lens": [], "low": [], "high": [], "text": []}
-    order = np.argsort(np.array(where, np.int64), kind="stable")
-    cuts = np.searchsorted(np.array(where, np.int64)[order], np.arange(shards + 1))
-    for s in np.flatnonzero(np.diff(cuts)):
-        mine = order[cuts[s] : cuts[s + 1]]
-        out["shard"].append(int(s))
+    """A tile's blocks by shard: sizes, smallest ids as steps, whether more documents of the tile have them, and bytes."""
+    b = TileBlocks(ids, texts, shared, shards, length)
+    out: dict[str, list] = {"shard": [], "tile": [], "lens": [], "low": [], "more": [], "text": []}
+    for s, x, y in zip(b.used.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
+        mine = b.order[x:y]
+        out["shard"].append(s)
         out["tile"].append(tile)
-        out["keys"].append(b"".join(keys[k] for k in mine))
-        out["lens"].append(np.array([len(blocks[k]) for k in mine], "<i4").tobytes())
-        out["low"].append(np.array([low[k] for k in mine], "<i8").tobytes())
-        out["high"].append(np.array([high[k] for k in mine], "<i8").tobytes())
-        out["text"].append(b"".join(blocks[k] for k in mine))
+        out["lens"].append(np.array([len(b.text[k]) for k in mine], "<i4").tobytes())
+        out["low"].append(np.diff(b.low[mine], prepend=0).astype("<i8").tobytes())
+        out["more"].append(np.packbits(b.high[mine] > b.low[mine]).tobytes())
+        out["text"].append(b"".join(b.text[k] for k in mine))
     return pd.DataFrame(out).astype({"shard": "int32", "tile": "int32"})
 
 
@@ -174,71 +185,74 @@ def earliest(blocks: list[bytes], low: np.ndarray, length: int) -> np.ndarray:
 def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """For each tile, its blocks' runs of strings by the smallest id that has them, where a larger id has them too."""
     lens = [np.frombuffer(bytes(x), "<i4").astype(np.int64) for x in rows["lens"]]
-    low = np.concatenate([np.frombuffer(bytes(x), "<i8") for x in rows["low"]])
-    high = np.concatenate([np.frombuffer(bytes(x), "<i8") for x in rows["high"]])
-    keys = np.concatenate([np.frombuffer(bytes(x), "V16") for x in rows["keys"]])
-    blocks: list[bytes] = []
+    low = np.concatenate([np.frombuffer(bytes(x), "<i8").cumsum() for x in rows["low"]])
+    more = np.concatenate([np.unpackbits(np.frombuffer(bytes(x), np.uint8), count=len(n)).astype(bool) for x, n in zip(rows["more"], lens, strict=True)])
+    at: dict[bytes, int] = {}
+    numbers: list[int] = []
     for text, ns in zip(rows["text"], lens, strict=True):
         text, ends = bytes(text), np.cumsum(ns).tolist()
-        blocks += [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-    at: dict[bytes, int] = {}
-    of = np.array([at.setdefault(k, len(at)) for k in keys.tolist()], np.int64)  # tiles share blocks
+        numbers += [at.setdefault(text[a:b], len(at)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]  # tiles share blocks
+    of = np.array(numbers, np.int64)
     own = np.full(len(at), NEVER, np.int64)
     np.minimum.at(own, of, low)
-    first = np.full(len(at), len(of), np.int64)
-    np.minimum.at(first, of, np.arange(len(of)))
-    found = earliest([blocks[k] for k in first], own, length)
-    count = np.array([len(blocks[k]) - length + 1 for k in first], np.int64)
+    blocks = list(at)
+    found = earliest(blocks, own, length)
+    count = np.array([len(b) - length + 1 for b in blocks], np.int64)
     ends = np.cumsum(count)
-    turn = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]) | np.isin(np.arange(len(found)), ends - count))
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    new[ends - count] = True
+    turn = np.flatnonzero(new)
     run_of = np.searchsorted(ends, turn, "right")
     runs = np.searchsorted(run_of, np.arange(len(at) + 1))
     stop = np.append(turn[1:], len(found)) - (ends - count)[run_of]  # where each run ends in its block
     least = found[turn]
-    lowest = np.minimum.reduceat(least, runs[:-1])
-    need = lowest[of] < high
-    out: dict[str, list] = {"tile": [], "keys": [], "n_runs": [], "stops": [], "least": []}
-    tile_of = np.repeat(np.arange(len(lens)), [len(x) for x in lens])
-    for k, tile in enumerate(rows["tile"]):
-        mine = np.flatnonzero(need & (tile_of == k))
-        if len(mine):
-            n = (runs[1:] - runs[:-1])[of[mine]]
-            pick = np.repeat(runs[of[mine]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    need = more | (np.minimum.reduceat(least, runs[:-1])[of] < low)
+    out: dict[str, list] = {"tile": [], "shard": [], "n_runs": [], "stops": [], "least": []}
+    place = 0
+    for tile, ns in zip(rows["tile"], lens, strict=True):
+        mine = of[place : place + len(ns)]
+        n = np.where(need[place : place + len(ns)], (runs[1:] - runs[:-1])[mine], 0)
+        place += len(ns)
+        pick = np.repeat(runs[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if len(pick):
             out["tile"].append(tile)
-            out["keys"].append(keys[mine].tobytes())
+            out["shard"].append(int(rows["shard"].iloc[0]))
             out["n_runs"].append(n.astype("<i4").tobytes())
             out["stops"].append(stop[pick].astype("<i4").tobytes())
             out["least"].append(least[pick].astype("<i8").tobytes())
-    return pd.DataFrame(out).astype({"tile": "int32"})
+    return pd.DataFrame(out).astype({"tile": "int32", "shard": "int32"})
 
 
-def _removed(ids: np.ndarray, texts: list[bytes], shared: np.ndarray, found: pd.DataFrame, length: int) -> list[list[tuple[int, int]]]:
+def _removed(ids: np.ndarray, texts: list[bytes], shared: np.ndarray, found: pd.DataFrame, shards: int, length: int) -> list[list[tuple[int, int]]]:
     """The maximal removed runs of bytes of each text of a tile."""
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    runs: dict[bytes, tuple[list[int], list[int]]] = {}
-    for keys, counts, stops, least in zip(found["keys"], found["n_runs"], found["stops"], found["least"], strict=True):
-        stops, least = np.frombuffer(bytes(stops), "<i4").tolist(), np.frombuffer(bytes(least), "<i8").tolist()
-        at = 0
-        for key, n in zip(np.frombuffer(bytes(keys), "V16").tolist(), np.frombuffer(bytes(counts), "<i4").tolist(), strict=True):
-            runs[key] = (stops[at : at + n], least[at : at + n])
-            at += n
-    if not runs:
+    if not len(found):
         return spans
-    doc, first, last, _ = _shared_runs(texts, shared, length)
-    own, digest = ids[doc].tolist(), xxhash.xxh3_128_digest
-    for d, i, a, b in zip(doc.tolist(), own, first.tolist(), last.tolist(), strict=True):
-        got = runs.get(digest(texts[d][a : b + length]))
-        if got is None:
-            continue
-        from_, mine = 0, spans[d]
-        for stop, least in zip(*got, strict=True):
-            if least < i:
-                lo, hi = a + from_, a + stop - 1 + length
-                if mine and lo <= mine[-1][1]:
-                    mine[-1] = (mine[-1][0], max(hi, mine[-1][1]))
-                else:
-                    mine.append((lo, hi))
-            from_ = stop
+    b = TileBlocks(ids, texts, shared, shards, length)
+    n_runs = np.zeros(len(b.text), np.int64)
+    start = np.zeros(len(b.text), np.int64)
+    stops, least, total = [], [], 0
+    for shard, ns, ss, ls in zip(found["shard"], found["n_runs"], found["stops"], found["least"], strict=True):
+        k = int(np.searchsorted(b.used, int(shard)))
+        mine, n = b.order[b.cuts[k] : b.cuts[k + 1]], np.frombuffer(bytes(ns), "<i4").astype(np.int64)
+        n_runs[mine], start[mine] = n, total + np.cumsum(n) - n
+        stops.append(np.frombuffer(bytes(ss), "<i4"))
+        least.append(np.frombuffer(bytes(ls), "<i8"))
+        total += int(n.sum())
+    stop, low = np.concatenate(stops).astype(np.int64), np.concatenate(least)
+    n = n_runs[b.of]
+    run = np.repeat(np.arange(len(n)), n)
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    pick = start[b.of][run] + nth
+    from_ = np.where(nth > 0, stop[pick - 1], 0)
+    ok = low[pick] < ids[b.doc[run]]
+    at = b.first[run]
+    for d, lo, hi in zip(b.doc[run][ok].tolist(), (at + from_)[ok].tolist(), (at + stop[pick] - 1 + length)[ok].tolist(), strict=True):
+        mine = spans[d]
+        if mine and lo <= mine[-1][1]:
+            mine[-1] = (mine[-1][0], max(hi, mine[-1][1]))
+        else:
+            mine.append((lo, hi))
     return spans
 
 
@@ -276,8 +290,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def finish(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         ids, texts = _tile(part)
-        here = found[found["keys"].notna()]
-        spans = _removed(ids, texts, _joined(found[found["shared"].notna()]), here, length)
+        spans = _removed(ids, texts, _joined(found[found["shared"].notna()]), found[found["n_runs"].notna()], shards, length)
         kept = []
         for text, cut in zip(texts, spans, strict=True):
             ends = [0, *(x for s in cut for x in s), len(text)]
@@ -286,8 +299,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     all_routes = by_tile.applyInPandas(routes, "bucket int, tile int, routes binary, twice binary")
     shared = all_routes.groupBy("bucket").applyInPandas(_shared_routes, "tile int, shared binary")
-    sent = by_tile.cogroup(shared.groupBy("tile")).applyInPandas(blocks, "shard int, tile int, keys binary, lens binary, low binary, high binary, text binary")
-    found = sent.groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, keys binary, n_runs binary, stops binary, least binary")
+    sent = by_tile.cogroup(shared.groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, more binary, text binary")
+    found = sent.groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary")
     back = found.unionByName(shared, allowMissingColumns=True)
     return by_tile.cogroup(back.groupBy("tile")).applyInPandas(finish, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 
