@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from stationflow.plans import station_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(station_queries.QUERIES)
+ORACLE_SQL: dict[str, str] = dict(station_queries.ORACLE_SQL)
