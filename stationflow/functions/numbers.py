@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Means of few values often end in an exact half of the last digit kept; the threshold lies beside it.
+LIFT = 3e-5
+
 
 def rounded(x: Column, digits: int = 4, lift: float = 0.0) -> Column:
     """Half-up rounding by floor, which any engine does alike; ``lift`` moves the threshold off exact halves."""

@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stationflow.functions.health import with_health
-from stationflow.functions.numbers import json_flag, json_number, ratio
+from stationflow.functions.numbers import LIFT, json_flag, json_number, ratio, rounded
 from stationflow.functions.times import at, day_number, hour_start, minutes_between
 from stationflow.operators import joins
 from stationflow.operators.rollup import top_value
 
 STATION_ATTRS = ("station_code", "operator_code", "province", "region", "density_class", "technology")
-ZERO = F.lit(0)
 
 
 @dataclass(frozen=True)
@@ -72,7 +71,7 @@ def health_hourly(t: Tables) -> DataFrame:
     on = ["station_id", "hour_start"]
     joined = traffic.join(metrics_hourly(t.metrics), on, "left").join(events_hourly(t.events), on, "left")
     counts = ("alarm_count", "warning_count", "critical_count", "handover_count", "incident_active", "maintenance_active")
-    joined = joined.withColumns({c: F.coalesce(c, ZERO) for c in counts})
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
     return with_health(joins.lookup(joined, t.stations, {a: a for a in STATION_ATTRS}))
 
 
@@ -125,7 +124,7 @@ def sla_compliance(t: Tables, health: DataFrame) -> DataFrame:
     status = F.when(met, "compliant").when(F.col("uptime_pct") <= 95, "critical_breach").otherwise("minor_breach")
     days = days.withColumns({"sla_met": met.cast("int"), "sla_breach_hours": F.greatest(F.lit(0.0), breach), "compliance_status": status})
     pairs = joins.pair_by_rank(t.events, "incident_start", "incident_end")
-    return days.join(incident_days(pairs), ["station_id", "report_date"], "left").withColumn("incident_count", F.coalesce("incident_count", ZERO))
+    return days.join(incident_days(pairs), ["station_id", "report_date"], "left").withColumn("incident_count", F.coalesce("incident_count", F.lit(0)))
 
 
 ANOMALY_MEASURES = {"latency": ("avg_latency_ms", "current_latency_ms"), "cpu": ("avg_cpu_pct", "current_cpu_pct"), "throughput": ("avg_downlink_throughput_mbps", "current_throughput"), "subscribers": ("unique_subscribers", "current_subscribers")}
@@ -138,18 +137,22 @@ def rolling_baseline(hourly: DataFrame, measures: dict[str, str], days: int = 7)
 
 
 def anomaly_features(health: DataFrame) -> DataFrame:
-    """How far each station-hour lies from its baseline, in deviations."""
+    """How far each station-hour lies from its baseline, in deviations.
+
+    Measures and baselines are taken to six decimals, as a flat baseline would else magnify
+    what summing left behind.
+    """
     based = rolling_baseline(health, {n: c for n, (c, _) in ANOMALY_MEASURES.items()})
     cols: dict[str, Column] = {}
     for name, (measure, shown) in ANOMALY_MEASURES.items():
-        now = F.col(measure).cast("double")
-        mean, std = F.coalesce(F.col(f"{name}_mean"), now), F.coalesce(F.col(f"{name}_std"), F.lit(0.0))
+        now, mean, std = (rounded(F.col(c).cast("double"), 6, LIFT) for c in (measure, f"{name}_mean", f"{name}_std"))
+        mean, std = F.coalesce(mean, now), F.coalesce(std, F.lit(0.0))
         cols |= {shown: now, f"baseline_{name}_mean": mean, f"baseline_{name}_std": std, f"z_{name}": (now - mean) / F.greatest(std, F.lit(1e-6))}
     z = {n: F.col(f"z_{n}") for n in ANOMALY_MEASURES}
     odd = {n: (c < -3 if n == "throughput" else F.abs(c) > 3) for n, c in z.items()}
     kinds = F.concat_ws(",", *(F.when(o, n) for n, o in odd.items()))
     out = based.withColumns(cols).withColumn("current_packet_loss", F.col("avg_packet_loss_pct")).withColumn("anomaly_type", F.when(kinds != "", kinds))
-    out = out.withColumns({"is_anomalous": F.col("anomaly_type").isNotNull().cast("int"), "neighbor_anomaly_count": ZERO})
+    out = out.withColumns({"is_anomalous": F.col("anomaly_type").isNotNull().cast("int"), "neighbor_anomaly_count": F.lit(0)})
     return out.select("station_id", "station_code", "hour_start", *cols, "current_packet_loss", "is_anomalous", "anomaly_type", "neighbor_anomaly_count")
 
 
@@ -172,7 +175,7 @@ def outage_report(t: Tables, health: DataFrame, as_of: str, pair: Callable = joi
     base = hour_of_day_volume(t.traffic, pairs)
     out = pairs.withColumn("hour_of_day", F.hour("started")).join(hit, "start_id", "left").join(during, "start_id", "left").join(base, ["station_id", "report_date", "hour_of_day"], "left")
     minutes = incident_minutes(pairs)
-    lost = F.greatest(F.lit(0.0), F.coalesce("avg_hourly_bytes", F.lit(0.0)) * (F.coalesce(minutes, F.lit(0.0)) / 60) - F.coalesce("incident_bytes", ZERO))
+    lost = F.greatest(F.lit(0.0), F.coalesce("avg_hourly_bytes", F.lit(0.0)) * (F.coalesce(minutes, F.lit(0.0)) / 60) - F.coalesce("incident_bytes", F.lit(0)))
     out = out.select(
         "station_id",
         "report_date",
@@ -183,7 +186,7 @@ def outage_report(t: Tables, health: DataFrame, as_of: str, pair: Callable = joi
         F.col("ended").alias("incident_end"),
         minutes.alias("duration_min"),
         json_number(F.col("start_meta"), "estimated_duration_min").alias("estimated_duration_min"),
-        F.coalesce("affected_subscribers", ZERO).alias("affected_subscribers"),
+        F.coalesce("affected_subscribers", F.lit(0)).alias("affected_subscribers"),
         lost.alias("traffic_loss_bytes"),
         json_number(F.col("start_meta"), "hardware_quality").alias("hardware_quality"),
         "health_score_during",
@@ -211,7 +214,7 @@ def region_daily(health: DataFrame, sla: DataFrame) -> DataFrame:
         F.count_if(F.col("incident_active") == 1).alias("incident_count"),
     )
     kept = sla.groupBy(*keys).agg(F.count("*").alias("__stations"), F.count_if(F.col("sla_met") == 0).alias("sla_breach_count"))
-    breaches = F.coalesce("sla_breach_count", ZERO)
+    breaches = F.coalesce("sla_breach_count", F.lit(0))
     pct = ratio((F.col("__stations") - breaches) * 100.0, F.col("__stations"), F.lit(100.0))
     return areas.join(kept, keys, "left").withColumns({"sla_compliance_pct": pct, "sla_breach_count": breaches}).drop("__stations")
 
@@ -243,7 +246,7 @@ def maintenance_report(t: Tables, health: DataFrame, as_of: str) -> DataFrame:
 def handover_daily(t: Tables) -> DataFrame:
     """Handovers between stations by day, with the mean latency at both; the latency is taken once and joined twice."""
     latency = t.traffic.groupBy("station_id", F.to_date("event_time").alias("report_date")).agg(F.avg("latency_ms").alias("latency"))
-    moves = t.events.where((F.col("event_type") == "handover") & (F.coalesce("target_station_id", ZERO) != 0))
+    moves = t.events.where((F.col("event_type") == "handover") & (F.coalesce("target_station_id", F.lit(0)) != 0))
     moves = moves.groupBy(F.to_date("event_time").alias("report_date"), F.col("station_id").alias("source_station_id"), "target_station_id").agg(F.count("*").alias("handover_count"), F.count_distinct(F.get_json_object("metadata", "$.imsi_hash")).alias("unique_subscribers"))
     for side, when in (("source", "before"), ("target", "after")):
         role = latency.select("report_date", F.col("station_id").alias(f"{side}_station_id"), F.col("latency").alias(f"avg_latency_{when}_ms"))
@@ -259,5 +262,5 @@ def alarm_daily(t: Tables, health: DataFrame) -> DataFrame:
     counts = alarms.groupBy(*keys).agg(*(F.count_if(F.col("severity") == s).alias(f"{s}_count") for s in ("warning", "error", "critical")), F.count("*").alias("total_alarm_count"))
     hours = health.groupBy(F.to_date("hour_start").alias("report_date"), "station_id").agg(F.count_if(F.col("health_category") != "maintenance").alias("active_hours"), F.avg("health_score").alias("health_score_avg"))
     out = counts.join(top_value(alarms, keys, "description", "top_alarm_description"), keys, "left").join(hours, keys, "left")
-    out = out.withColumn("alarm_rate_per_hour", ratio(F.col("total_alarm_count").cast("double"), F.coalesce("active_hours", ZERO), F.col("total_alarm_count").cast("double"))).drop("active_hours")
+    out = out.withColumn("alarm_rate_per_hour", ratio(F.col("total_alarm_count").cast("double"), F.coalesce("active_hours", F.lit(0)), F.col("total_alarm_count").cast("double"))).drop("active_hours")
     return joins.lookup(out, t.stations, {a: a for a in ("station_code", "operator_code", "region", "technology")})

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions.numbers import rounded
+from stationflow.functions.numbers import LIFT, rounded
 from stationflow.operators import quality, versions
 from stationflow.operators.reports import Tables
 from stationflow.sources.fixtures import AS_OF, load
 
-#: Means of few values often end in an exact half of the last digit kept; the threshold lies beside it.
-LIFT = 3e-5
-
 
 class Feeds:
     """Fixture feeds over ``sf_dir``; frames are lazy and built once."""

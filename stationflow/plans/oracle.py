@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 
+from stationflow.functions.numbers import LIFT
 from stationflow.operators import quality as q
-from stationflow.plans.feeds import LIFT
 from stationflow.sources.fixtures import AS_OF, DUCKDB, VIEWS, view_sql
 
 
@@ -149,7 +149,8 @@ LEFT JOIN metrics_hour m ON t.station_id = m.station_id AND t.hour_start = m.hou
 FROM sla_up s LEFT JOIN (SELECT station_id, report_date, count(*) AS incident_count, sum({DURATION}) AS total_incident_min, max({DURATION}) AS longest_incident_min, avg({DURATION}) AS mttr_min FROM incident_pairs GROUP BY 1, 2) i
  ON s.station_id = i.station_id AND s.report_date = i.report_date""",
     "based": "SELECT h.*, " + ", ".join(f"{fn}({c}) OVER past AS {n}_{stat}" for n, (c, _) in Z.items() for stat, fn in (("mean", "avg"), ("std", "stddev_pop"))) + " FROM (SELECT *, hour(hour_start) AS hod, date_diff('day', DATE '1970-01-01', CAST(hour_start AS DATE)) AS dayno FROM health) h WINDOW past AS (PARTITION BY station_id, hod ORDER BY dayno RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING)",
-    "scored": "SELECT *, " + ", ".join(f"{c}::DOUBLE AS {shown}, coalesce({n}_mean, {c}::DOUBLE) AS baseline_{n}_mean, coalesce({n}_std, 0.0::DOUBLE) AS baseline_{n}_std, ({c}::DOUBLE - coalesce({n}_mean, {c}::DOUBLE)) / greatest(coalesce({n}_std, 0.0), 1e-6) AS z_{n}" for n, (c, shown) in Z.items()) + " FROM based",
+    "measured": "SELECT * REPLACE (" + ", ".join(f"{r(x + '::DOUBLE', 6)} AS {x}" for n, (c, _) in Z.items() for x in (c, f"{n}_mean", f"{n}_std")) + ") FROM based",
+    "scored": "SELECT *, " + ", ".join(f"{c}::DOUBLE AS {shown}, coalesce({n}_mean, {c}::DOUBLE) AS baseline_{n}_mean, coalesce({n}_std, 0.0::DOUBLE) AS baseline_{n}_std, ({c}::DOUBLE - coalesce({n}_mean, {c}::DOUBLE)) / greatest(coalesce({n}_std, 0.0), 1e-6) AS z_{n}" for n, (c, shown) in Z.items()) + " FROM measured",
     "anomalies": "SELECT station_id, station_code, hour_start, " + ", ".join(f"{shown}, baseline_{n}_mean, baseline_{n}_std, z_{n}" for n, (_, shown) in Z.items()) + ", avg_packet_loss_pct AS current_packet_loss, (kinds <> '')::INT AS is_anomalous, nullif(kinds, '') AS anomaly_type, 0 AS neighbor_anomaly_count FROM (SELECT *, concat_ws(',', " + ", ".join(f"CASE WHEN {'z_throughput < -3' if n == 'throughput' else f'abs(z_{n}) > 3'} THEN '{n}' END" for n in Z) + ") AS kinds FROM scored)",
     "manifest_parts": "SELECT CAST(floor(epoch(updated_at) / 3600) AS BIGINT) AS batch_id, strftime(event_time, 'year=%Y/month=%m/day=%d/hour=%H') AS key, count(*) AS n, min(updated_at) AS low, max(updated_at) AS high FROM all_traffic GROUP BY 1, 2",
     "manifest": "SELECT batch_id, sum(n)::BIGINT AS record_count, list_sort(list(key)) AS data_keys, min(low) AS from_time, max(high) AS to_time, batch_id % 3 <> 0 AS is_loaded FROM manifest_parts GROUP BY 1",

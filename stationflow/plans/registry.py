@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.plans import station_queries
+from stationflow.plans import station_queries, written_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(station_queries.QUERIES)
-ORACLE_SQL: dict[str, str] = dict(station_queries.ORACLE_SQL)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = station_queries.QUERIES | written_queries.QUERIES
+ORACLE_SQL: dict[str, str] = station_queries.ORACLE_SQL | written_queries.ORACLE_SQL

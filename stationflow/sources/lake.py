@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from stationflow.functions.times import at
 
@@ -45,14 +45,14 @@ def write_cutoff(df: DataFrame, path: str, cutoff: str) -> None:
 
 def read_partitions(spark: SparkSession, path: str, hours: list[str]) -> DataFrame:
     """Rows of the listed hours (``yyyy-MM-dd HH``); the condition prunes the other partitions."""
-    df = spark.read.schema(_schema(spark, path)).parquet(path)
+    df = spark.read.schema(hour_schema(spark, path)).parquet(path)
     wanted = F.lit(False)
     for h in hours:
         wanted = wanted | ((F.col("year") == h[:4]) & (F.col("month") == h[5:7]) & (F.col("day") == h[8:10]) & (F.col("hour") == h[11:13]))
     return df.where(wanted)
 
 
-def _schema(spark: SparkSession, path: str):  # noqa: ANN202
+def hour_schema(spark: SparkSession, path: str) -> StructType:
     """The lake's schema with its partition columns as text, so that ``00`` stays ``00``."""
     found = spark.read.parquet(path).schema
     for name in HOUR:
@@ -61,11 +61,13 @@ def _schema(spark: SparkSession, path: str):  # noqa: ANN202
 
 
 def read_with_failures(spark: SparkSession, paths: list[str], stage: str, as_of: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the readable files, and a failure row for each listed file that gave none."""
+    """Rows of the readable files, and a failure row for each listed file or folder that gave none."""
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*paths)
-    seen = rows.select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("name")).distinct()
-    listed = spark.createDataFrame([(p,) for p in paths], "key string").withColumn("name", F.regexp_extract("key", r"([^/]+)$", 1))
-    failed = listed.join(seen, "name", "left_anti").select(F.lit(stage).alias("stage"), "key", F.lit("unreadable or empty").alias("error"), at(as_of).alias("failed_at"))
+    plain = lambda c: F.regexp_replace(c, r"^[a-z0-9]+:/+", "/")
+    seen = rows.select(plain(F.col("_metadata.file_path")).alias("file")).distinct()
+    listed = F.broadcast(spark.createDataFrame([(p,) for p in paths], "key string"))  # the caller's list
+    good = seen.join(listed, F.col("file").startswith(plain(F.col("key")))).select("key").distinct()
+    failed = listed.join(good, "key", "left_anti").select(F.lit(stage).alias("stage"), "key", F.lit("unreadable or empty").alias("error"), at(as_of).alias("failed_at"))
     return rows, failed
 
 
