@@ -2,45 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.sources.scratch import fresh_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named input table, read by Spark so that any Hadoop path works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read, from ``spark.checkpoint.dir``.
-
-    A temporary folder is made only if the setting is absent, as in local tests.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-staged-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     This cuts lineage: a lost executor costs a reread, not a recomputation. The
     files go when the application ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

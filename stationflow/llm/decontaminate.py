@@ -60,7 +60,7 @@ class ItemIndex:
         self.seed_key = np.array([s[0] for s in seeds], np.int64)
         self.seed_item, self.seed_at = (np.array([s[c] for s in seeds], np.int64) for c in (1, 2))
         rng = np.random.default_rng(seed)
-        self.mix = rng.integers(1 << 62, size=(2 * self.width, REPEATS), dtype=np.int64).view(np.uint64) | np.uint64(1)
+        self.mix = rng.integers(1 << 64, size=(2 * self.width, REPEATS), dtype=np.uint64)
         self.at = rng.random((REPEATS, SAMPLED))
         parts = [self.sampled(self.items[c : c + WINDOWS_AT_ONCE], self.size[c : c + WINDOWS_AT_ONCE]) for c in range(0, len(texts), WINDOWS_AT_ONCE)]
         self.signs = np.concatenate(parts) if parts else np.zeros((0, REPEATS, SAMPLED), np.int64)
@@ -74,11 +74,11 @@ class ItemIndex:
         steps = int(2 * size.max(initial=1))
         padded = np.full((len(rows), self.width + 1), -1, np.int64)
         padded[:, : self.width] = np.where(np.arange(self.width) < size[:, None], rows, -1)
+        coded = (padded + 2).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         place, line, out = np.zeros((len(rows), REPEATS), np.int64), np.arange(len(rows))[:, None], np.empty((steps, len(rows), REPEATS), np.int32)
         for t in range(steps):
-            word = padded[line, place]
-            out[t] = word
-            bit = ((word.view(np.uint64) + np.uint64(2)) * self.mix[t]) >> np.uint64(63)
+            out[t] = padded[line, place]
+            bit = ((coded[line, place] ^ self.mix[t]) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(63)
             place = np.minimum(place + bit.view(np.int64), self.width)
         when = (self.at * 2 * size[:, None, None]).astype(np.int64)
         return out[when, np.arange(len(rows))[:, None, None], np.arange(REPEATS)[:, None]]

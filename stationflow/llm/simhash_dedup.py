@@ -21,6 +21,8 @@ SEED = 42
 BLOCK_ENDS = (13, 26, 39, 52, 64)
 #: A trie node with more fingerprints than this is dealt out as pairs of its 8 grandchildren.
 HOT_NODE = 100_000
+#: Copies of one fingerprint that are more than one in so many rows are joined by broadcast.
+HOT_SHARE = 2000
 LEAF = 24
 PAIRS_AT_ONCE = 1 << 20
 
@@ -185,12 +187,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     left out; an empty table gives an empty result.
     """
     marks = staged(fingerprints(docs, id_col, text_col, shingle))
-    fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     roots = staged(connected_components(near_links(fps, max_bits)))
     least = fps.join(roots, fps["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id", "n")
-    classes = fps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce(F.col("n") - 1, F.lit(0)).alias("n_links"))
-    return marks.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
+    classes = staged(fps.join(linked, "fp", "left").select("fp", "copies", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce(F.col("n") - 1, F.lit(0)).alias("n_links")))
+    # fewer than HOT_SHARE fingerprints can have so many copies; those are broadcast, so no task gets a third of all rows
+    many = F.col("copies") > marks.count() / HOT_SHARE
+    hot = F.broadcast(classes.where(many))
+    rest = marks.join(hot.select("fp"), "fp", "left_anti").join(classes.where(~many), "fp")
+    return marks.join(hot, "fp").unionByName(rest).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:

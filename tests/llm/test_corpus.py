@@ -1,0 +1,409 @@
+"""Corpus operators on hand-made rows and against brute force."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from stationflow.llm import ann, chat_format, decontaminate, language_id, license_scan, packing, quality, queries, secret_scan, simhash_dedup, suffix_arrays, suffix_dedup
+
+WORDS = "the of and to in that is was for on with as it by from at this are be have or an they which one you were all her she there would their we him been has when who will no more if out so what up said about than into them can only other time new some could these two may first then do".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choices(WORDS, k=n))
+
+
+def rows_of(spark, texts, extra=False):
+    df = spark.createDataFrame(list(texts), "doc_id long, text string")
+    if extra:  # names that the operators use themselves
+        for name in ("tile", "fp", "spans", "score", "component_id", "tokens", "data", "key", "lang_pred"):
+            df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rng = random.Random(5)
+    long = prose(rng, 30_000)
+    return rows_of(spark, [(1, None), (2, ""), (3, "a"), (4, long), (5, long), (5, long), (None, "some words here to read now"), (7, " \n\t"), (8, "ünï " * 50)], True)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return rows_of(spark, [])
+
+
+# 9
+
+
+def naive_fingerprint(text):
+    words = [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
+    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def test_fingerprint():
+    rng = random.Random(1)
+    for text in (None, "", "  ", "One", "a b c d", "É É É", prose(rng, 700), "A b\x0bC\x0cd e f"):
+        assert simhash_dedup.fingerprint(text) == naive_fingerprint(text)
+
+
+def brute_labels(v, most):
+    label = list(range(len(v)))
+    for _ in v:
+        for i in range(len(v)):
+            for j in range(len(v)):
+                if (v[i] ^ v[j]).bit_count() <= most:
+                    label[i] = label[j] = min(label[i], label[j])
+    return label
+
+
+@pytest.mark.parametrize("hot", [3, 1000])
+def test_trie_links(spark, hot):
+    rng = random.Random(2)
+    seeds = [rng.getrandbits(64) for _ in range(6)]
+    v = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for s in seeds for _ in range(12)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in v]
+    links = simhash_dedup.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), hot_node=hot).collect()
+    at = {x: i for i, x in enumerate(signed)}
+    label = np.arange(len(v))
+    simhash_dedup._settle(label, np.array([at[r.src] for r in links]), np.array([at[r.dst] for r in links]))
+    assert label.tolist() == brute_labels(v, 4)
+
+
+def test_simhash_odd(spark, odd, none):
+    got = simhash_dedup.simhash_components(odd).collect()
+    assert len(got) == 9
+    by = {r.doc_id: r for r in got}
+    assert by[1].component_id == by[2].component_id == by[7].component_id == 1 and by[1].fingerprint == "0" * 16
+    assert by[5].component_id == 4
+    assert by[None].component_id is None
+    kept = simhash_dedup.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect())[:4] == [(False, 1), (False, 3), (False, 4), (False, 8)]
+    assert simhash_dedup.simhash_components(none).count() == 0
+
+
+# 10
+
+def der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else bytes([0x82]) + n.to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+RSA = der(0x30, der(0x02, b"\0") + der(0x02, b"\x5a" * 120) + der(0x02, b"\x01\0\x01"))
+SSH = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"k" * 32))
+
+
+def test_secrets_confirmed():
+    pem = "-----BEGIN RSA PRIVATE KEY-----\n" + base64.encodebytes(RSA).decode() + "-----END RSA PRIVATE KEY-----"
+    head = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
+    body = base64.urlsafe_b64encode(json.dumps({"sub": 1}).encode()).decode().rstrip("=")
+    token, blob, ssh = f"{head}.{body}.c2ln", base64.b64encode(RSA).decode(), base64.b64encode(SSH).decode()
+    for text, kind in ((pem, "pem"), (token, "jwt"), (blob, "der"), (ssh, "ssh"), (RSA.hex(), "der")):
+        found = secret_scan.find_secrets(f"é x {text} y")
+        assert (kind, 4, 4 + len(text)) in found, kind
+    broken = base64.b64encode(RSA[:-1]).decode()
+    assert not [k for k, *_ in secret_scan.find_secrets(f"x {broken} {head}.AAAA.c2ln") if k in secret_scan.CONFIRMED]
+
+
+def test_secret_base():
+    text = 'é PassWord = "abcdefghijkl" token:short AKIAABCDEFGHIJKLMN0 0123456789abcdef api-key:nothinghere1 api_key=0123456789abcdef'
+    got = [(k, text[s:e]) for k, s, e in secret_scan.find_secrets(text)]
+    assert got == [("assign", 'PassWord = "abcdefghijkl'), ("access", "AKIAABCDEFGHIJKLMN0"), ("hex", "0123456789abcdef"), ("assign", "api_key=0123456789abcdef"), ("hex", "0123456789abcdef")]
+    assert secret_scan.blank_out(text, "#").count("#") == 4
+
+
+def test_secret_tables(spark, odd, none):
+    assert secret_scan.scan_secrets(odd).count() == 9 and secret_scan.scan_secrets(none).count() == 0
+    out = secret_scan.redact_secrets(odd)
+    assert out.columns == odd.columns and out.where("text is null").count() == 1
+
+
+# 6
+
+
+def test_words_match_tokenizer():
+    words = packing.WordIds.of(queries.PACKING_TOKENIZER)
+    rng = random.Random(3)
+    signs = "abcdefghij'stremldvABC0123½²ªéÉßñÑİ.,!<|>-_\"$#ǅσΣ\x85\x1c  \ń中"
+    for _ in range(400):
+        text = "".join(rng.choices(signs, k=rng.randint(0, 60)))
+        assert words.encode(text) == words.whole(text)
+    assert words.encode("<|endoftext|> it's<|endoftext|>x") == words.whole("<|endoftext|> it's<|endoftext|>x")
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 1365, 1366, 2048, 3000, 4095, 4096, 4097, 20_000])
+def test_cut(n):
+    pieces = packing.cut(n)
+    assert sum(length for length, _ in pieces) == n
+    assert all(length * j <= 4096 for length, j in pieces) and len(pieces) <= n // 4096 + 5
+
+
+def test_packing(spark, odd, none):
+    pieces = packing.harmonic_pack(odd, queries.PACKING_TOKENIZER).collect()
+    words = packing.WordIds.of(queries.PACKING_TOKENIZER)
+    sequences, docs = {}, {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+        docs.setdefault((p.doc_id, p.doc_tokens), []).append(p)
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    whole = sorted((r.doc_id is None, r.doc_id or 0, words.encode(r.text) + b"\2\0\0\0") for r in odd.collect() if r.doc_id != 5)
+    got = sorted((d is None, d or 0, b"".join(bytes(p.ids) for p in sorted(ps, key=lambda p: p.start))) for (d, _), ps in docs.items() if d != 5)
+    assert got == whole
+    assert packing.harmonic_pack(none, queries.PACKING_TOKENIZER).count() == 0
+
+
+def test_padding_is_small(spark, sf_dir):
+    r = queries.op6_packing(spark, sf_dir).agg(F.sum("length").alias("n"), F.count_distinct("sequence_id").alias("s")).first()
+    assert r.n / (r.s * 4096) > 0.97
+
+
+# 7
+
+
+@pytest.mark.parametrize("signs", [1, 2, 3, 26])
+def test_suffix_array(signs):
+    rng = random.Random(signs)
+    for _ in range(60):
+        s = np.array([rng.randint(1, signs) for _ in range(rng.randint(1, 90))] * rng.choice([1, 4]) + [0], np.uint8)
+        b = s.tobytes()
+        assert suffix_arrays.suffix_array(s, signs + 1, len(s) + 5).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+
+
+def test_permuted_prefixes():
+    rng = np.random.default_rng(4)
+    s = np.append(rng.integers(1, 3, 500), 0).astype(np.uint8)
+    sa = suffix_arrays.suffix_array(s, 4, 600)
+    shared = suffix_arrays.permuted_prefixes(np.concatenate([s, np.zeros(40, np.uint8)]), sa, 20)
+    b = s.tobytes()
+    for before, i in zip(sa[:-1], sa[1:], strict=True):
+        n = 0
+        while n < 20 and i + n < len(b) and before + n < len(b) and b[i + n] == b[before + n]:
+            n += 1
+        assert shared[i] == n
+
+
+def naive_removed(texts, length=50):
+    """By id (null last): the bytes that stay."""
+    first = {}
+    for i, b in texts:
+        for p in range(len(b) - length + 1):
+            first[b[p : p + length]] = min(first.get(b[p : p + length], i), i)
+    out = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first[b[p : p + length]] < i:
+                gone[p : p + length] = b"\1" * length
+        out.append((i, bytes(c for c, g in zip(b, gone, strict=True) if not g)))
+    return out
+
+
+def test_repeats(spark, none, monkeypatch):
+    for name, size in (("TILE_BYTES", 4000), ("BUCKET_BYTES", 6000), ("SHARD_BYTES", 3000)):
+        monkeypatch.setattr(suffix_dedup, name, size)
+    rng = random.Random(6)
+    base = [prose(rng, 60) + " é" for _ in range(6)]
+    texts = [(1, None), (2, ""), (3, base[0]), (4, base[0]), (5, base[0][:120] + base[1]), (6, base[2][:49]), (7, base[2]), (8, "x" * 400), (9, "y" + "x" * 300), (10, base[1][40:95] + base[0][10:80]), (10, base[1]), (None, base[2] + base[0]), (None, base[2])]
+    texts += [(100 + k, base[3][: rng.randint(60, 200)] + prose(rng, 5)) for k in range(20)]
+    got = suffix_dedup.remove_repeats(rows_of(spark, texts, True)).collect()
+    want = naive_removed([(10**9 if i is None else i, (t or "").encode()) for i, t in texts])
+    assert sorted((10**9 if r.doc_id is None else r.doc_id, bytes(r.kept)) for r in got) == sorted(want)
+    assert all(r.n_bytes - sum(s.end - s.start for s in r.spans) == len(r.kept) for r in got)
+    assert suffix_dedup.remove_repeats(none).count() == 0
+
+
+# 8
+
+
+def test_leaks(spark, odd, none):
+    rng = random.Random(7)
+    vocab = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(vocab, k=n))) for k, n in enumerate((40, 25, 12, 4, 2))] + [(9, None), (10, "")]
+    lines = dict(items)
+    words = lines[0].split()
+    close, far = list(words), list(words)
+    for p in (3, 9, 17, 30, 36):
+        close[p] = "zz"
+    for p in range(0, 40, 3):
+        far[p] = "zz"
+    del close[20]
+    docs = [(1, "x " + lines[0].upper() + " y"), (2, " ".join(["q"] * 50 + close + ["q"] * 50)), (3, " ".join(far)), (4, lines[2]), (5, lines[3]), (6, lines[4]), (7, None), (8, ""), (9, " ".join(rng.choices(vocab, k=3000)))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.find_leaks(rows_of(spark, docs, True), table).collect()}
+    assert got == {(1, 0): 0, (2, 0): 6, (4, 2): 0, (5, 3): 0}
+    left = decontaminate.drop_leaks(rows_of(spark, docs, True), table)
+    assert sorted(r.doc_id for r in left.collect()) == [3, 6, 7, 8, 9] and "fp" in left.columns
+    assert decontaminate.find_leaks(none, table).count() == 0 and decontaminate.find_leaks(odd, table.limit(0)).count() == 0
+
+
+def test_item_blocks_give_the_same(spark, sf_dir):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    assert len(decontaminate.item_indexes(items, item_chars=2000)) > 1
+    one = decontaminate.find_leaks(docs, items).select("doc_id", "item_id", "edits")
+    parts = [i for i in decontaminate.item_indexes(items, item_chars=2000)]
+    texts = docs.orderBy("doc_id").collect()
+    split = {(texts[r].doc_id, i.ids[k], e) for i in parts for r, k, _, e in i.find([t.text for t in texts])}
+    assert {tuple(r) for r in one.collect()} == split
+
+
+def test_lsh_recall():
+    rng = random.Random(8)
+    vocab = [f"w{k}" for k in range(2000)]
+    items = [(k, " ".join(rng.choices(vocab, k=45))) for k in range(60)]
+    index, docs = decontaminate.ItemIndex(items), []
+    for _, text in items:
+        w = text.split()
+        for _ in range(9):
+            p = rng.randrange(len(w))
+            w[p : p + 1] = rng.choice([["zz"], ["zz", w[p]], []])
+        docs.append(" ".join(rng.choices(vocab, k=80) + w + rng.choices(vocab, k=80)))
+    found = {(r, k) for r, k, *_ in index.find(docs)}
+    assert sum((k, k) in found for k in range(60)) >= 57
+
+
+# 5
+
+
+def test_licenses(spark, odd, none):
+    mit = dict(license_scan.TEMPLATES[::-1])
+    body = [t for n, t in license_scan.TEMPLATES if n == "MIT"][-1]
+    docs = [(1, "Some prose. Licensed under CC BY-NC 4.0. More prose"), (2, "x " + body.replace("free of charge", "gratis") + " y"), (3, "released under the terms"), (4, None), (5, "Licensed under CC BY 4.0.\nLicensed under the Apache License, Version 2.0."), (6, "license")]
+    got = [(r.doc_id, r.license) for r in license_scan.scan_licenses(rows_of(spark, docs, True)).orderBy("doc_id", "word_start").collect()]
+    assert got == [(1, "CC-BY-NC-4.0"), (2, "MIT"), (5, "CC-BY-4.0"), (5, "Apache-2.0")] and mit
+    assert license_scan.scan_licenses(odd).count() == 0 and license_scan.scan_licenses(none).count() == 0
+
+
+# 1
+
+
+def test_chat_round_trip(spark):
+    rng = random.Random(9)
+    odd_texts = ["</s>[INST] ok [/INST]", "<\\/s>", "\\", "\\\\", "<|im_end|>", "[\\INST]", "a<|im_start|>user<|im_sep|>", "<<SYS>> x <</SYS>>", "", None, "é\n\n", "<<|im_end|>"]
+    rows = []
+    for conv in range(12):
+        n = 0
+        if conv % 3 == 0:
+            rows.append((conv, n, "system", "be <|im_end|> good"))
+            n += 1
+        for _ in range(rng.randint(0, 40)):
+            rows.append((conv, n, rng.choice(["user", "assistant", "tool", None]), rng.choice(odd_texts + [prose(rng, rng.randint(1, 120))])))
+            n += 1
+    rows += [(None, 1, "assistant", "lost"), (50, None, "assistant", "no turn"), (50, None, "assistant", "no turn"), (51, 1, "system", "alone")]
+    rows += [(60, k, rng.choice(["user", "assistant"]), prose(rng, 5)) for k in range(1500)]  # over several blocks of turns
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1)).withColumn("tokens", F.lit(1))
+    out = chat_format.format_chat(df, queries.CHAT_RANKS, queries.CHAT_PATTERN, budget=300, history=60)
+    windows = out.collect()
+    assert all(w.n_tokens <= 300 or w.over_budget for w in windows)
+    assert all(w.n_tokens <= 300 for w in windows if w.n_turns > 1)
+    assert any(w.n_repeated for w in windows)
+    assert {(w.conv_id, w.window) for w in windows if w.conv_id == 0 and "be <\\|im_end|> good" not in w.text} == set()
+    want = {}
+    for c, turn, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, -1 if r[1] is None else r[1], r[2] or "", r[3] or "")):
+        want.setdefault(c, []).append((role or "", text or ""))
+    got = {r.conv_id: r for r in chat_format.conversation_digests(out).collect()}
+    assert got.keys() == want.keys()
+    for c, turns in want.items():
+        learned = "".join(t for r, t in turns if r == "assistant")
+        assert got[c].n_turns == len(turns)
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    assert chat_format.format_chat(df.limit(0), queries.CHAT_RANKS, queries.CHAT_PATTERN).count() == 0
+
+
+# 2 and 3
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 3 == 1
+
+
+@pytest.fixture(scope="module")
+def small_dir():
+    return "/root/testdata/sf0.01"
+
+
+def test_language(spark, small_dir, odd, none):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    net = language_id.fit_language_model(docs)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    rows = queries.op3_language_id(spark, small_dir).collect()
+    test = [r for r in rows if r.held_out]
+    assert all(r.held_out == held(r.doc_id) for r in rows)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in test) / len(test) > 0.95
+    got = {r.doc_id: r for r in language_id.identify_language(odd, net).collect()}
+    assert got[1].lang_pred == got[2].lang_pred == got[7].lang_pred == "und" and 0 < got[4].score <= 1
+    assert language_id.identify_language(none, net).count() == 0
+    assert language_id.fit_language_model(none.withColumn("lang", F.lit("en"))) is None
+    assert language_id.identify_language(odd, None).where("lang_pred <> 'und'").count() == 0
+    assert language_id.keep_identified(odd, net).columns == odd.columns
+
+
+def test_quality(spark, small_dir, odd, none):
+    docs, labels = (spark.read.parquet(f"{small_dir}/{n}.parquet") for n in ("documents", "labels"))
+    rows = {r.doc_id: r for r in queries.op2_quality(spark, small_dir).collect()}
+    test = [(rows[r.doc_id].predicted, r.quality) for r in labels.collect() if held(r.doc_id)]
+    assert sum(a == b for a, b in test) / len(test) > 0.9
+    votes = quality.fit_quality(docs, labels)
+    got = {r.doc_id: r.score for r in quality.score_quality(odd, votes).collect()}
+    assert got[1] == got[2] == votes.prior and all(0 <= s <= 1 for s in got.values())
+    assert quality.score_quality(none, votes).count() == 0
+    assert quality.fit_quality(docs, labels.limit(0)) is None
+    assert quality.score_quality(odd, None).first().score == 0.5
+
+
+# 4
+
+
+def test_nearest(spark, sf_dir):
+    base = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    copies = base.where("vec_id = 100").select(F.explode(F.sequence(F.lit(10_000).cast("long"), F.lit(10_060).cast("long"))).alias("vec_id"), "embedding")
+    bad = spark.sql("select 9000000L vec_id, array(float('nan'), 1f) embedding union all select 9000050L, null union all select 9000100L, array(0f, 0f) union all select 9000150L, array(1f, 2f) union all select 9000151L, array(2f, 4f) union all select null, array(1f, 2f) union all select 9000200L, array(1f, null)")
+    df = base.unionByName(copies).unionByName(bad).unionByName(base.where("vec_id = 7")).withColumn("label", F.lit(1)).withColumn("rep", F.lit(2))
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert got[9000150] == [(1, 9000151, pytest.approx(1.0))]
+    assert [v for _, v, _ in got[10_050]] == [100, 10_000, 10_001, 10_002, 10_003] and not {9000000, 9000050, 9000100, 9000200} & got.keys()
+    rows = base.union(copies).collect()
+    ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    u, hits, total = ann.unit(v), 0, 0
+    for q, found in got.items():
+        if q < 9_000_000:
+            s = u @ u[np.flatnonzero(ids == q)[0]]
+            best = [ids[k] for k in np.lexsort((ids, -np.round(s, 12))) if ids[k] != q][:5]
+            hits, total = hits + len({x for _, x, _ in found} & set(best)), total + 5
+    assert hits / total >= 0.9
+    assert ann.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_pipeline(spark, small_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").where("doc_id < 300")
+    columns, left = docs.columns, {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.staged(stage(spark, docs, small_dir))
+        now = {r.doc_id for r in docs.collect()}
+        assert docs.columns == columns and now <= left, name
+        left = now
+    assert len(left) > 200
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, small_dir)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
