@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,7 +149,7 @@ class TileBlocks:
 
 def _blocks(tile: int, ids: np.ndarray, texts: list[bytes], shared: np.ndarray, shards: int, length: int) -> pd.DataFrame:
     """A tile's blocks by shard: sizes, smallest ids as steps, whether more documents of the tile have them, and bytes."""
-    b = TileBlocks(ids, texts, shared, shards, length)
+    b, press = TileBlocks(ids, texts, shared, shards, length), zstandard.ZstdCompressor(level=3)
     out: dict[str, list] = {"shard": [], "tile": [], "lens": [], "low": [], "more": [], "text": []}
     for s, x, y in zip(b.used.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
         mine = b.order[x:y]
@@ -157,7 +158,7 @@ def _blocks(tile: int, ids: np.ndarray, texts: list[bytes], shared: np.ndarray,
         out["lens"].append(np.array([len(b.text[k]) for k in mine], "<i4").tobytes())
         out["low"].append(np.diff(b.low[mine], prepend=0).astype("<i8").tobytes())
         out["more"].append(np.packbits(b.high[mine] > b.low[mine]).tobytes())
-        out["text"].append(b"".join(b.text[k] for k in mine))
+        out["text"].append(press.compress(b"".join(b.text[k] for k in mine)))
     return pd.DataFrame(out).astype({"shard": "int32", "tile": "int32"})
 
 
@@ -189,8 +190,9 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     more = np.concatenate([np.unpackbits(np.frombuffer(bytes(x), np.uint8), count=len(n)).astype(bool) for x, n in zip(rows["more"], lens, strict=True)])
     at: dict[bytes, int] = {}
     numbers: list[int] = []
+    unpress = zstandard.ZstdDecompressor()
     for text, ns in zip(rows["text"], lens, strict=True):
-        text, ends = bytes(text), np.cumsum(ns).tolist()
+        text, ends = unpress.decompress(bytes(text)), np.cumsum(ns).tolist()
         numbers += [at.setdefault(text[a:b], len(at)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]  # tiles share blocks
     of = np.array(numbers, np.int64)
     own = np.full(len(at), NEVER, np.int64)
