@@ -195,7 +195,8 @@ def search_index(index: DataFrame, queries: DataFrame, keep: int, beam: int = SE
             members, reps = rows["members"].tolist(), queries["rep"].tolist()
             for at in range(0, len(q), AT_ONCE):
                 part = q[at : at + AT_ONCE]
-                near, _ = graph.search(unit(part).astype(np.float32), beam)
+                # a shard no larger than the beam is its own beam
+                near = graph.search(unit(part).astype(np.float32), beam)[0] if len(v) > beam else np.tile(np.arange(len(v)), (len(part), 1))
                 for k, ids in enumerate(near):
                     ids = ids[ids >= 0]
                     scores = cosine(part[k][None], v[ids])
