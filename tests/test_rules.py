@@ -132,3 +132,24 @@ def test_dimension_off_the_map(spark):
 def test_unparsable_times_are_null(spark):
     df = quality.normalize_time(spark.createDataFrame([("2024-01-01 07:00:00",), ("soon",), (None,)], "e string"), "e", "Asia/Ho_Chi_Minh")
     assert [r[0] for r in df.collect()] == [t("2024-01-01T00:00:00"), None, None]
+
+
+def test_json_text_purge_and_decimals(spark):
+    from stationflow.sources import lake
+
+    df = spark.sql("select 1 as k, named_struct('a', 1) as s, cast(1.5 as decimal(6,2)) as d union all select 2, null, null")
+    got = {r.k: r.s for r in lake.serialize_json(df, ["s"]).collect()}
+    assert got == {1: '{"a":1}', 2: None}
+    assert dict(contract.widen_decimals(df).dtypes)["d"] == "decimal(38,2)"
+    assert [r.k for r in versions.purge(df, df.where("k = 1"), "k").collect()] == [2]
+
+
+def test_late_time_goes_to_the_fallback_hour(spark):
+    from stationflow.sources import lake
+    from stationflow.sources.scratch import fresh_path
+
+    path = fresh_path(spark, "late")
+    rows = spark.createDataFrame([(1, "2024-01-01 05:30:00"), (2, None), (3, "soon")], "k int, e string")
+    lake.write_hourly(rows, path, "e", AS_OF)
+    assert sorted(r.k for r in lake.read_partitions(spark, path, ["2024-02-01 00"]).collect()) == [2, 3]
+    assert [r.k for r in lake.read_partitions(spark, path, ["2024-01-01 05"]).collect()] == [1]
