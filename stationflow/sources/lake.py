@@ -28,11 +28,11 @@ def hour_columns(time: Column) -> dict[str, Column]:
 def write_hourly(df: DataFrame, path: str, time: str, fallback: str, sort: tuple[str, ...] = ()) -> None:
     """Write rows under their event hour; rows whose time is null or can't be read go under ``fallback``.
 
-    Rows are dealt by partition and a salt of their hash, so that each hour has few files and a hot hour
-    several tasks; only touched hours are replaced.
+    Rows are rebalanced by partition: each hour has few files, and Spark splits a hot hour over several
+    tasks; only touched hours are replaced.
     """
     when = F.coalesce(F.try_to_timestamp(F.col(time).cast("string")).cast("timestamp_ntz"), at(fallback))
-    out = df.withColumns(hour_columns(when)).repartition(*HOUR, F.pmod(F.xxhash64(*df.columns), F.lit(4)))
+    out = df.withColumns(hour_columns(when)).hint("rebalance", *HOUR)
     if sort:
         out = out.sortWithinPartitions(*HOUR, *sort)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR).parquet(path)
