@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from stationflow.llm.common import staged, table
 from stationflow.llm.decontaminate import drop_leaks
 from stationflow.llm.language_id import fit_language_model, keep_identified
+from stationflow.llm.near_copies import keep_one_copy
 from stationflow.llm.packing import harmonic_pack
 from stationflow.llm.queries import PACKING_TOKENIZER
 from stationflow.llm.secret_scan import redact_secrets
-from stationflow.llm.simhash_dedup import keep_one
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
-    return keep_one(docs)
+    """One document of each group linked by a five-word Jaccard of 0.8 or more stays: the one with the smallest id."""
+    return keep_one_copy(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

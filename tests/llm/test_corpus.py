@@ -407,3 +407,21 @@ def test_pipeline(spark, small_dir):
     assert len(left) > 200
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, small_dir)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
+
+
+def test_stage_drops_edited_copies(spark, small_dir):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    copies = [list(words) for _ in range(12)]
+    for copy in copies[1:]:
+        for at in rng.sample(range(400), 3):
+            copy[at] = "edited"
+    half = words[:200] + [f"w{rng.randrange(5000)}" for _ in range(200)]  # shares half the text, and stays
+    texts = [(k + 10, " ".join(c)) for k, c in enumerate(copies)] + [(50, " ".join(half)), (51, None), (52, ""), (53, "a b"), (54, "A  b"), (None, "a b")]
+    docs = rows_of(spark, texts)
+    marks = [simhash_dedup.fingerprint(t) for _, t in texts[:12]]
+    assert max((marks[0] ^ m).bit_count() for m in marks) > simhash_dedup.MAX_BITS
+    kept = dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, docs, small_dir)
+    assert sorted(((r.doc_id is None, r.doc_id) for r in kept.collect()), key=str) == [(False, 10), (False, 50), (False, 51), (False, 53), (True, None)]
