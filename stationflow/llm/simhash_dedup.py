@@ -139,7 +139,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
     rows = fps.select(F.explode(F.array(*turned)).alias("t")).select("t.*").withColumn("block", F.expr("shiftrightunsigned(key, 51)"))
     rows = rows.withColumn("block", F.when(width == 12, F.col("block").bitwiseAND(F.lit(~1))).otherwise(F.col("block")))
     sizes = rows.groupBy("trie", "block").agg(F.count("*").alias("n"))  # 5 * 8192 rows at most
-    child = F.shiftrightunsigned("key", 48).bitwiseAND(F.lit(7))
+    below = F.when(width == 12, F.shiftrightunsigned("key", 49)).otherwise(F.shiftrightunsigned("key", 48))  # right under the block
+    child = below.bitwiseAND(F.lit(7))
     low, high = F.least(F.col("o"), F.col("child")), F.greatest(F.col("o"), F.col("child"))
     rows = (
         rows.join(F.broadcast(sizes.where(F.col("n") > hot_node)), ["trie", "block"], "left")
@@ -165,7 +166,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
                 if q < 0 or q // 8 == q % 8:
                     roots = list(zip(lo, hi, lo, hi, strict=True))
                 else:  # two subtrees of a hot node, against each other
-                    second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(48)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
+                    second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(61 - deep)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
                     roots = [(l, m, m, h) for l, m, h in zip(lo, second, hi, strict=True) if l < m < h]
                 label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits)
                 own = np.flatnonzero(label != np.arange(len(v)))

@@ -81,6 +81,21 @@ def test_trie_links(spark, hot):
     assert label.tolist() == brute_labels(v, 4)
 
 
+def test_links_of_a_hot_last_block(spark):
+    rng = random.Random(12)
+    v = set()
+    for _ in range(60):  # pairs that agree in the last block only; the first block's bit is one of 1-3 from the top
+        x = rng.getrandbits(52) << 12 | 0xABC
+        v |= {x, x ^ (1 << 63 - rng.randint(1, 3)) ^ (1 << 63 - rng.randint(13, 25)) ^ (1 << 63 - rng.randint(26, 38)) ^ (1 << 63 - rng.randint(39, 51))}
+    v = sorted(v)
+    signed = [x - (1 << 64) if x >> 63 else x for x in v]
+    links = simhash_dedup.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), hot_node=10).collect()
+    at = {x: i for i, x in enumerate(signed)}
+    label = np.arange(len(v))
+    simhash_dedup._settle(label, np.array([at[r.src] for r in links], int), np.array([at[r.dst] for r in links], int))
+    assert label.tolist() == brute_labels(v, 4)
+
+
 def test_simhash_odd(spark, odd, none):
     got = simhash_dedup.simhash_components(odd).collect()
     assert len(got) == 9
