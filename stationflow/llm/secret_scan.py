@@ -23,10 +23,18 @@ BASE = {
 #: Kinds that only a decoded structure confirms.
 CONFIRMED = ("pem", "jwt", "ssh", "der")
 KINDS = (*BASE, *CONFIRMED)
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----([A-Za-z0-9+/=\s]{16,}?)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/]){16,}?)-----END \1-----")
+#: What a PEM body has between base64 signs: breaks, real or escaped, and escapes of slashes.
+PEM_GAP = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
 BLOB = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-HEX = re.compile(r"[0-9a-f]{48,}|[0-9A-F]{48,}")
+#: Where a key may begin: DER with long lengths, the same with a short one after a separator or an escape, an SSH field, the SSH container.
+START = re.compile(r"MI[GHI](?=[A-Za-z0-9+/_-])|(?:(?<![A-Za-z0-9])|(?<=\\[nrt]))M[A-H](?=[A-Za-z0-9+/_-])|AAAA(?=[B-P][A-Za-z0-9+/_-])|b3BlbnNzaC1rZXktdjEA")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+BREAK = re.compile(r"[ \t]*\\?(?:\r\n?|\n)[ \t]*|(?:\\+[nr])+|\\+(?=/)")
+HEX = re.compile(r"[0-9a-fA-F]{48,}")
+#: Fields of SSH public keys by type.
+SSH_FIELDS = ((b"ssh-rsa", 3), (b"ssh-dss", 5), (b"ssh-ed25519", 2), (b"ecdsa-", 3), (b"sk-ssh-", 3), (b"sk-ecdsa-", 4))
 SSH_NAME = re.compile(rb"(?:ssh-[a-z0-9]+|ecdsa-sha2-[a-z0-9]+|sk-[a-z0-9-]+)(?:@[a-z.]+)?")
 SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -94,6 +102,72 @@ def is_ssh_key(data: bytes) -> bool:
     return at == len(data) and len(fields) >= 2 and bool(SSH_NAME.fullmatch(fields[0]))
 
 
+class Joined:
+    """The base64 from a place of a text on, decoded as far as asked, across line breaks, real or escaped."""
+
+    def __init__(self, text: str, at: int) -> None:
+        self.text, self.at = text, at
+
+    def signs(self, most: int) -> tuple[str, int]:
+        """``most`` signs, or all if there are fewer, and where they end."""
+        parts, have, at, end = [], 0, self.at, self.at
+        while have < most and (m := LINE.match(self.text, at, at + most - have)):
+            parts.append(m[0])
+            have, end = have + len(m[0]), m.end()
+            if have < most and (gap := BREAK.match(self.text, end)):
+                at = gap.end()
+            else:
+                break
+        return "".join(parts), end
+
+    def bytes(self, n: int) -> tuple[bytes, int]:
+        """The first ``n`` bytes and where their signs end; no bytes if there are fewer."""
+        need = -(-n * 4 // 3)
+        if need > len(self.text) - self.at:
+            return b"", self.at
+        signs, end = self.signs(need)
+        while end < len(self.text) and self.text[end] == "=" and (need + 1) % 4 != 1 and need % 4:
+            need, end = need + 1, end + 1
+        return (b64(signs)[:n], end) if len(signs) >= -(-n * 4 // 3) else (b"", end)
+
+    def field(self, at: int) -> int:
+        """Where the length-prefixed field at byte ``at`` ends; 0 if it isn't there."""
+        data, _ = self.bytes(at + 4)
+        return at + 4 + int.from_bytes(data[at:], "big") if data else 0
+
+
+def key_at(text: str, at: int) -> tuple[str, int] | None:
+    """Kind and end of the key whose base64 begins at ``at``: its own lengths say how long it is."""
+    here = Joined(text, at)
+    if text[at] == "M":
+        first = b64(here.signs(8)[0])
+        head = tlv(first, 0, 1 << 40) if len(first) == 6 else None
+        if head is None or head[2] < 30:
+            return None
+        data, end = here.bytes(head[2])
+        return ("der", end) if data and is_der_key(data) else None
+    n = 0
+    if text[at] == "A":
+        name, _ = here.bytes(here.field(0))
+        fields = next((k for start, k in SSH_FIELDS if name[4:].startswith(start)), 0)
+    else:
+        n, fields = 15, 3
+    for _ in range(fields):
+        n = here.field(n)
+        if not n:
+            break
+    if text[at] == "b":
+        count, _ = here.bytes(n + 4) if n else (b"", 0)
+        keys = int.from_bytes(count[n:], "big") if count else 0
+        n = n + 4 if 0 < keys < 64 else 0
+        for _ in range(keys + 1 if n else 0):
+            n = n and here.field(n)
+        data, end = here.bytes(n) if n else (b"", 0)
+        return ("ssh", end if data else here.signs(len(text))[1])  # a container that is cut off goes as far as it is there
+    data, end = here.bytes(n) if n else (b"", 0)
+    return ("ssh", end) if data and is_ssh_key(data) else None
+
+
 def is_signed_token(head: str, body: str) -> bool:
     """The header is a JSON object that names its algorithm, and the body is a JSON object."""
     try:
@@ -108,14 +182,20 @@ def confirmed(text: str) -> list[tuple[str, int, int]]:
     found = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            data = b64("".join(m[2].split()))
+            data = b64(PEM_GAP.sub("", m[2]))
             if is_der_key(data) or is_ssh_key(data):
                 found.append(("pem", m.start(), m.end()))
     if "eyJ" in text:
         found += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     pems = [(s, e) for k, s, e in found if k == "pem"]
+    keys, over = [], 0
+    for m in START.finditer(text):
+        if m.start() >= over and not any(s <= m.start() < e for s, e in pems) and (key := key_at(text, m.start())):
+            kind, over = key
+            keys.append((kind, m.start(), over))
+    found += keys
     for m in BLOB.finditer(text):
-        if any(s <= m.start() < e for s, e in pems):
+        if any(s <= m.start() < e for s, e in pems) or any(s < m.end() and m.start() < e for _, s, e in keys):
             continue
         if m[0][0] in "AM" or m[0].startswith("b3BlbnNzaC1rZXktdjEA"):  # of a zero byte, of 0x30, of the container
             data = b64(m[0])

@@ -133,6 +133,31 @@ def test_secrets_confirmed():
     assert not [k for k, *_ in secret_scan.find_secrets(f"x {broken} {head}.AAAA.c2ln") if k in secret_scan.CONFIRMED]
 
 
+def test_secret_layouts():
+    key = der(0x30, der(0x02, b"\0") + b"".join(der(0x02, bytes([77, k]) * 64) for k in range(8)))
+    ed = der(0x30, der(0x02, b"\0") + der(0x30, der(0x06, b"\x2b\x65\x70")) + der(0x04, der(0x04, bytes(range(32)))))
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = field(b"ssh-rsa") + field(b"\1\0\1") + field(bytes(range(1, 250)))
+    box = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(ssh) + field(bytes(range(200)))
+    text = base64.b64encode(key).decode()
+    lines = lambda x, n, by: by.join(x[i : i + n] for i in range(0, len(x), n))
+    mark = "-----{} PRIVATE KEY-----"
+    escaped = mark.format("BEGIN") + "\\n" + lines(text, 64, "\\n") + "\\n" + mark.format("END")
+    assert secret_scan.find_secrets(f'{{"k": "{escaped}\\n"}}') == [("pem", 7, 7 + len(escaped))]
+    for kind, data in (("der", key), ("der", ed), ("ssh", ssh), ("ssh", box)):
+        flat = base64.b64encode(data).decode()
+        for by in ("\n", "\r\n", "\n    ", "\\n", "\\\\n", "\\r\\n"):
+            wrapped = lines(flat, 64, by)
+            for before, after in (("see ", by + "regards"), ("", ""), ("x\\n", "\\n"), ("path/", " end"), ("key-", ""), ("a_", ""), ("b+", "\n\nbye")):
+                assert secret_scan.find_secrets(before + wrapped + after) == [(kind, len(before), len(before + wrapped))], (kind, by, before)
+    for before in ("key", "n", "path/"):
+        assert secret_scan.find_secrets(before + text) == [("der", len(before), len(before + text))]
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(key.hex()))
+    assert ("der", 1, 1 + len(mixed)) in secret_scan.find_secrets(f" {mixed} ")
+    assert secret_scan.find_secrets("path/" + text[:300] + "\nno key") == []
+    assert secret_scan.blank_out(f"a {lines(text, 64, chr(10))} b", "#") == "a # b"
+
+
 def test_secret_base():
     text = 'é PassWord = "abcdefghijkl" token:short AKIAABCDEFGHIJKLMN0 0123456789abcdef api-key:nothinghere1 api_key=0123456789abcdef'
     got = [(k, text[s:e]) for k, s, e in secret_scan.find_secrets(text)]
