@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stationflow.functions.numbers import rounded
+from stationflow.functions.numbers import LIFT, rounded
 
 # Expected downlink throughput by technology in Gbit/s, and the part weights.
 EXPECTED_GBPS = {"2G": 0.01, "3G": 0.1, "4G": 1.0, "5G": 5.0}
@@ -43,4 +43,4 @@ def with_health(df):  # noqa: ANN001, ANN201
     resting = F.coalesce(F.col("maintenance_active"), F.lit(0)) == 1
     df = df.withColumn("__raw", raw_score())
     category = F.when(resting, "maintenance").when(F.col("__raw") < 30, "critical").when(F.col("__raw") < 60, "degraded").when(F.col("__raw") < 80, "warning").otherwise("healthy")
-    return df.withColumns({"health_score": F.when(~resting, rounded(F.col("__raw"), 2)), "health_category": category}).drop("__raw")
+    return df.withColumns({"health_score": F.when(~resting, rounded(F.col("__raw"), 2, LIFT)), "health_category": category}).drop("__raw")

@@ -1,4 +1,8 @@
-"""Joins of facts with dimensions, intervals and each other."""
+"""Joins of facts with dimensions, intervals and each other.
+
+No dimension is marked for broadcast: Spark broadcasts it while its size, estimated or
+measured at run time, is below its threshold, and shuffles it beyond.
+"""
 
 from __future__ import annotations
 
@@ -8,30 +12,22 @@ from pyspark.sql.window import Window
 
 from stationflow.functions.times import at, hour_start, shifted
 
-#: A dimension with more rows than this is left to a shuffle join.
-BROADCAST_ROWS = 200_000
-
-
-def small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The dimension marked for broadcast if it is counted small; else Spark chooses."""
-    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
-
 
 def dim_station(stations: DataFrame, operators: DataFrame, locations: DataFrame) -> DataFrame:
     """Stations with the attributes of their operator and location, where known."""
-    return stations.join(small(operators), "operator_id", "left").join(small(locations), "location_id", "left")
+    return stations.join(operators, "operator_id", "left").join(locations, "location_id", "left")
 
 
 def enrich(df: DataFrame, dim: DataFrame, key: str = "station_id") -> DataFrame:
     """``df`` with the dimension's attributes and whether its key was found."""
-    found = small(dim.withColumn("__found", F.lit(True)))
+    found = dim.withColumn("__found", F.lit(True))
     status = F.when(F.col("__found"), "matched").otherwise("station_missing")
     return df.join(found, key, "left").withColumn("dim_match_status", status).drop("__found")
 
 
 def lookup(df: DataFrame, dim: DataFrame, attrs: dict[str, str], key: str = "station_id", dim_key: str = "station_id") -> DataFrame:
     """``df`` with attributes ``{new name: dimension column}``; ``''`` where the key is unknown."""
-    names = small(dim.select(F.col(dim_key).alias("__key"), *(F.col(c).alias(f"__{n}") for n, c in attrs.items())))
+    names = dim.select(F.col(dim_key).alias("__key"), *(F.col(c).alias(f"__{n}") for n, c in attrs.items()))
     return df.join(names, F.col(key) == F.col("__key"), "left").withColumns({n: F.coalesce(f"__{n}", F.lit("")) for n in attrs}).drop("__key", *(f"__{n}" for n in attrs))
 
 

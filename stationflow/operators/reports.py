@@ -86,6 +86,33 @@ def health_daily(health: DataFrame) -> DataFrame:
     )
 
 
+HEALTH_KEYS = ("report_date", "station_id", "operator_code", "region", "density_class")
+
+
+def health_state(health: DataFrame) -> DataFrame:
+    """Hourly health as mergeable daily states of each station."""
+    score = F.col("health_score")
+    return health.withColumn("report_date", F.to_date("hour_start")).groupBy(*HEALTH_KEYS).agg(
+        F.sum(score).alias("score_sum"),
+        F.count(score).alias("score_n"),
+        F.min(score).alias("score_min"),
+        F.max(score).alias("score_max"),
+        F.count_if(score < 30).alias("critical"),
+        F.count_if(score < 60).alias("degraded"),
+    )
+
+
+def merge_health(states: DataFrame) -> DataFrame:
+    """States of any batches as ``health_daily`` gives them."""
+    return states.groupBy(*HEALTH_KEYS).agg(
+        ratio(F.sum("score_sum"), F.sum("score_n")).alias("avg_health_score"),
+        F.min("score_min").alias("min_health_score"),
+        F.max("score_max").alias("max_health_score"),
+        F.sum("critical").alias("hours_critical"),
+        F.sum("degraded").alias("hours_degraded"),
+    )
+
+
 def incident_minutes(pairs: DataFrame) -> Column:
     """The end's recorded duration, else the minutes between start and end; null while open."""
     return F.coalesce(json_number(F.col("end_meta"), "duration_min"), minutes_between(F.col("started"), F.col("ended")).cast("double"))

@@ -8,22 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
 
-#: Source types and the Spark types they become; decimals keep their scale.
+# Source types and the Spark types they become.
 CANONICAL = {
     "smallint": "smallint", "int2": "smallint", "int4": "int", "serial": "int", "integer": "bigint", "int": "bigint",
     "bigint": "bigint", "bigserial": "bigint", "int8": "bigint", "real": "float", "float4": "float",
-    "double precision": "double", "float8": "double", "boolean": "boolean", "text": "string", "varchar": "string", "char": "string",
+    "double precision": "double", "float8": "double", "boolean": "boolean", "bool": "boolean", "text": "string", "varchar": "string", "char": "string",
     "json": "string", "jsonb": "string", "timestamptz": "timestamp_ntz", "date": "date",
 }
 
 
-def canonical(source: str) -> str:
-    """The Spark type of a source type such as ``numeric(10,2)`` or ``varchar(64)``."""
+#: What a column of a type without a canonical form is, where it must be made up.
+DEFAULTS = {"timestamp": "timestamp_ntz", "numeric": "decimal(38,18)", "decimal": "decimal(38,18)"}
+
+
+def canonical(source: str) -> str | None:
+    """The Spark type of a source type such as ``numeric(10,2)`` or ``varchar(64)``.
+
+    None for types that stay as they come: ``timestamp``, a bare ``numeric`` (which keeps its
+    fraction), and names that are not known, such as ``uuid``.
+    """
     name, _, rest = source.lower().partition("(")
-    if name.strip() == "numeric":
-        scale = rest.rstrip(")").split(",")[1].strip() if "," in rest else "0"
+    if name.strip() in ("numeric", "decimal"):
+        if not rest:
+            return None
+        scale = rest.rstrip(") ").split(",")[1].strip() if "," in rest else "0"
         return f"decimal(38,{scale})"
-    return CANONICAL[name.strip()]
+    return CANONICAL.get(name.strip())
 
 
 @dataclass(frozen=True)
@@ -50,7 +60,12 @@ class Contract:
         return [f.name for f in self.fields if not categories or f.category in categories]
 
     def types(self) -> dict[str, str]:
-        return {f.name: canonical(f.source) for f in self.fields}
+        """The columns that are cast, and to what."""
+        return {f.name: kind for f in self.fields if (kind := canonical(f.source))}
+
+    def default_types(self) -> dict[str, str]:
+        """A type for every column."""
+        return {f.name: DEFAULTS.get(f.source.lower().strip(), "string") for f in self.fields} | self.types()
 
     def soft_labels(self) -> list[str]:
         return [f.label for f in self.fields if f.soft and f.label]
@@ -59,7 +74,7 @@ class Contract:
         return {f.name: f.label for f in self.fields if f.label}
 
     def schema(self) -> StructType:
-        return StructType([StructField(n, StructType.fromDDL(f"c {t}")[0].dataType) for n, t in self.types().items()])
+        return StructType([StructField(n, StructType.fromDDL(f"c {t}")[0].dataType) for n, t in self.default_types().items()])
 
 
 def _fields(category: str, **columns: str) -> tuple[Field, ...]:
@@ -70,6 +85,7 @@ def _soft(label: str, name: str, source: str) -> Field:
     return Field(name, source, "expected", label, True)
 
 
+# The feeds' columns, their source types and their labels.
 TRAFFIC = Contract("subscriber_traffic", "traffic_id", "event_time", (
     *_fields("required", traffic_id="bigint", station_id="integer", event_time="timestamptz", updated_at="timestamptz"),
     *_fields("expected", created_at="timestamptz", imsi_hash="varchar(64)", protocol="varchar(10)", bytes_up="bigint", bytes_down="bigint"),
@@ -119,9 +135,28 @@ def detect_drift(df: DataFrame, contract: Contract) -> Drift:
     return Drift([c for c in df.columns if c not in contract.names()], lacks("required"), lacks("expected"), lacks("passthrough"))
 
 
+def drift_rows(df: DataFrame, contract: Contract) -> DataFrame:
+    """The drift as rows ``kind, column_name, is_breaking``; as many as columns differ."""
+    found = detect_drift(df, contract)
+    kinds = {"new": found.new, "missing_required": found.missing_required, "missing_expected": found.missing_expected, "missing_passthrough": found.missing_passthrough}
+    rows = [(kind, c, kind == "missing_required") for kind, cols in kinds.items() for c in cols]
+    return df.sparkSession.createDataFrame(rows, "kind string, column_name string, is_breaking boolean")
+
+
+def profile_columns(df: DataFrame, contract: Contract) -> DataFrame:
+    """For each contract column of ``df``: its category, Spark type, whether its rule is soft, and how many values it has.
+
+    One pass over the table; counts come back as rows.
+    """
+    named = [f for f in contract.fields if f.name in df.columns]
+    counts = df.agg(*(F.count(F.col(f.name)).alias(f.name) for f in named))
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.category).alias("category"), F.lit(canonical(f.source)).alias("type"), F.lit(f.soft).alias("is_soft"), F.col(f.name).alias("n_values")) for f in named]
+    return counts.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+
+
 def normalize_types(df: DataFrame, contract: Contract) -> DataFrame:
-    """Contract columns cast to their canonical types; others as they are."""
-    types = contract.types()
+    """Contract columns cast to their canonical types; decimals without one are widened; others as they are."""
+    df, types = widen_decimals(df), contract.types()
     return df.select(*(F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns))
 
 
@@ -135,6 +170,6 @@ def reconcile(df: DataFrame, contract: Contract) -> DataFrame:
     drift = detect_drift(df, contract)
     if drift.breaking:
         raise ValueError(f"{contract.table}: {drift.report()}")
-    types = contract.types()
+    types = contract.default_types()
     missing = {n: F.lit(None).cast(types[n]) for n in (*drift.missing_expected, *drift.missing_passthrough)}
     return normalize_types(df.withColumns(missing) if missing else df, contract).select(*contract.names(), *drift.new)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.numbers import LIFT, rounded
 from stationflow.operators import quality, versions
-from stationflow.operators.reports import Tables
+from stationflow.operators.reports import Tables, health_hourly
 from stationflow.sources.fixtures import AS_OF, load
+from stationflow.sources.scratch import staged
 
 
 class Feeds:
@@ -41,8 +42,15 @@ class Feeds:
         return versions.live_rows(versions.latest_version(quality.split_valid(self.judged_events())[0], ["station_id", "event_time", "event_id"]))
 
     def tables(self) -> Tables:
+        """The live feeds as plans, for a report that reads each once."""
         return Tables(self.live_traffic(), self.live_metrics(), self.live_events(), self.stations)
 
+    def report_tables(self) -> tuple[Tables, DataFrame]:
+        """Live traffic and events and hourly health as written tables, for reports that read them more than once."""
+        lazy = self.tables()
+        tables = Tables(staged(lazy.traffic), lazy.metrics, staged(lazy.events), self.stations)
+        return tables, staged(health_hourly(tables))
+
 
 def tidy(df: DataFrame, digits: int = 4, exact: tuple[str, ...] = ()) -> DataFrame:
     """Doubles rounded off exact halves, so that sums taken in another order give the same row."""

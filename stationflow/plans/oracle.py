@@ -135,7 +135,7 @@ LEFT JOIN metrics_hour m ON t.station_id = m.station_id AND t.hour_start = m.hou
     "health_raw": f"""SELECT *, least(0.25 * greatest(0.0, 100 - (coalesce(avg_latency_ms, 0) - 30) * 100 / 470) + 0.20 * greatest(0.0, 100 - coalesce(avg_packet_loss_pct, 0) * 10) + 0.15 * greatest(0.0, 100 - greatest(0.0, coalesce(avg_cpu_pct, 0) - 50) * 2)
  + 0.10 * greatest(0.0, 100 - greatest(0.0, coalesce(avg_temperature_celsius, 0) - 45) * 100 / 35) + 0.15 * greatest(0.0, 100 - (10.0 * warning_count + 30.0 * critical_count)) + 0.15 * least(1.0, coalesce(avg_downlink_throughput_mbps, 0) / greatest(0.001, ({EXPECTED})::DOUBLE * 1000 * 0.3)) * 100,
  CASE WHEN incident_active = 1 THEN CASE incident_type WHEN 'failure' THEN 15.0 WHEN 'degradation' THEN 50.0 END END) AS raw FROM health_base""",
-    "health": f"SELECT * EXCLUDE (raw), CASE WHEN maintenance_active = 0 THEN {r('raw::DOUBLE', 2, 0.0)} END AS health_score, CASE WHEN maintenance_active = 1 THEN 'maintenance' WHEN raw < 30 THEN 'critical' WHEN raw < 60 THEN 'degraded' WHEN raw < 80 THEN 'warning' ELSE 'healthy' END AS health_category FROM health_raw",
+    "health": f"SELECT * EXCLUDE (raw), CASE WHEN maintenance_active = 0 THEN {r('raw::DOUBLE', 2)} END AS health_score, CASE WHEN maintenance_active = 1 THEN 'maintenance' WHEN raw < 30 THEN 'critical' WHEN raw < 60 THEN 'degraded' WHEN raw < 80 THEN 'warning' ELSE 'healthy' END AS health_category FROM health_raw",
     "incident_pairs": _pairs("incident_start", "incident_end"),
     "incident_next": _next_end("incident_start", "incident_end"),
     "maintenance_pairs": _pairs("maintenance_start", "maintenance_end"),
@@ -170,6 +170,11 @@ def oracle(body: str) -> str:
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body
 
 
+def rounded_sql(sql: str, doubles: str = "") -> str:
+    """``sql`` with the named double columns rounded as the queries round theirs."""
+    return f"SELECT * REPLACE ({', '.join(f'{r(c)} AS {c}' for c in doubles.split())}) FROM ({sql})" if doubles else sql
+
+
 def outage(pairs: str) -> str:
     return _outage(pairs)
 

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions.times import at
-from stationflow.operators import manifest, quality, rollup
+from stationflow.functions.times import at, hour_start
+from stationflow.operators import manifest, quality, rollup, versions
 from stationflow.operators import reports as rep
 from stationflow.plans.feeds import Feeds, tidy
-from stationflow.plans.oracle import AS_OF, oracle
+from stationflow.plans.oracle import AS_OF, oracle, rounded_sql
 from stationflow.plans.station_queries import located
 from stationflow.sources import lake
 from stationflow.sources.scratch import fresh_path
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable:
+def query(sql: str, doubles: str = "") -> Callable:
+    """Register a function of the feeds under its name, with SQL for the same rows; ``doubles`` are rounded in both."""
+
     def add(fn: Callable[[Feeds], DataFrame]) -> Callable:
         QUERIES[fn.__name__] = lambda spark, sf_dir: tidy(fn(Feeds(spark, sf_dir)))
-        ORACLE_SQL[fn.__name__] = oracle(sql)
+        ORACLE_SQL[fn.__name__] = oracle(rounded_sql(sql, doubles))
         return fn
 
     return add
@@ -42,40 +44,51 @@ def all_hours(f: Feeds, path: str) -> DataFrame:
     return f.spark.read.schema(lake.hour_schema(f.spark, path)).parquet(path)
 
 
+def in_batches(df: DataFrame, write: Callable[[DataFrame, str], None]) -> None:
+    """Two batches that share their hours are written, the second one twice."""
+    for name, part in (("1", "traffic_id % 3 <> 0"), ("2", "traffic_id % 3 = 0"), ("2", "traffic_id % 3 = 0")):
+        write(df.where(part), name)
+
+
 @query(BY_HOUR)
 def write_hourly(f: Feeds) -> DataFrame:
     path = fresh_path(f.spark, "hourly")
-    lake.write_hourly(f.traffic, path, "event_time", AS_OF)
+    in_batches(f.traffic, lambda part, name: lake.write_hourly(part, path, "event_time", AS_OF, name))
     return by_part(all_hours(f, path))
 
 
 @query("SELECT '2024-02-01 00' AS part, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM fx_traffic")
 def write_cutoff(f: Feeds) -> DataFrame:
     path = fresh_path(f.spark, "cutoff")
-    lake.write_cutoff(f.traffic, path, AS_OF)
+    in_batches(f.traffic, lambda part, name: lake.write_cutoff(part, path, AS_OF, name))
     return by_part(all_hours(f, path))
 
 
 @query(BY_HOUR.replace("GROUP BY", "WHERE strftime(event_time, '%Y-%m-%d %H') IN ('2024-01-05 10', '2024-01-05 11', '2024-01-20 23') GROUP BY"))
 def read_partitions(f: Feeds) -> DataFrame:
     path = fresh_path(f.spark, "hourly")
-    lake.write_hourly(f.traffic, path, "event_time", AS_OF)
+    lake.write_hourly(f.traffic, path, "event_time", AS_OF, "1")
     return by_part(lake.read_partitions(f.spark, path, ["2024-01-05 10", "2024-01-05 11", "2024-01-20 23"]))
 
 
-@query("SELECT is_valid, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM judged_traffic GROUP BY 1")
-def write_silver(f: Feeds) -> DataFrame:
+def silver(f: Feeds) -> list[DataFrame]:
+    """Valid and quarantined rows of two batches as they were written."""
     path = fresh_path(f.spark, "silver")
-    lake.write_silver(*quality.split_valid(f.judged_traffic()), path, "event_time", AS_OF)
-    parts = [f.spark.read.parquet(f"{path}/{name}").select("is_valid", "bytes_down") for name in ("valid", "quarantine")]
-    return parts[0].unionByName(parts[1]).groupBy("is_valid").agg(F.count("*").alias("n"), F.sum("bytes_down").alias("bytes"))
+    in_batches(f.judged_traffic(), lambda part, name: lake.write_silver(*quality.split_valid(part), path, "event_time", AS_OF, name))
+    return [all_hours(f, f"{path}/{name}") for name in ("valid", "quarantine")]
+
+
+@query("SELECT is_valid, strftime(event_time, '%Y-%m-%d %H') AS part, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM judged_traffic GROUP BY 1, 2")
+def write_silver(f: Feeds) -> DataFrame:
+    valid, bad = silver(f)
+    return by_part(valid).withColumn("is_valid", F.lit(True)).unionByName(by_part(bad).withColumn("is_valid", F.lit(False)))
 
 
 @query("SELECT data_quality, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM staged_traffic GROUP BY 1")
 def load_staging(f: Feeds) -> DataFrame:
     path = fresh_path(f.spark, "silver")
-    lake.write_silver(*quality.split_valid(f.judged_traffic()), path, "event_time", AS_OF)
-    rows = quality.staged_rows(*(f.spark.read.parquet(f"{path}/{name}") for name in ("valid", "quarantine")))
+    lake.write_silver(*quality.split_valid(f.judged_traffic()), path, "event_time", AS_OF, "1")
+    rows = quality.staged_rows(*(all_hours(f, f"{path}/{name}") for name in ("valid", "quarantine")))
     return rows.groupBy("data_quality").agg(F.count("*").alias("n"), F.sum("bytes_down").alias("bytes"))
 
 
@@ -97,16 +110,31 @@ def month_partition(f: Feeds) -> DataFrame:
     return f.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("n"), F.min("traffic_id").alias("low"))
 
 
-@query("SELECT 'bronze' AS stage, true AS is_bad, (SELECT count(*) FROM fx_traffic) AS n")
+@query("SELECT 'bronze' AS stage, name, (SELECT count(*) FROM fx_traffic) AS n FROM (VALUES ('bad-1.parquet'), ('bad-2.parquet'), ('ab')) AS v(name)")
 def read_with_failures(f: Feeds) -> DataFrame:
-    """Good files and text under a parquet name."""
-    good, bad = fresh_path(f.spark, "good"), fresh_path(f.spark, "bad")
-    f.traffic.write.parquet(good)
-    f.events.select("metadata").write.text(bad)
-    rows, failed = lake.read_with_failures(f.spark, [good, bad], "bronze", AS_OF, ", ".join(f"{c} {kind}" for c, kind in f.traffic.dtypes))
+    """Good, empty and corrupt files in one folder, a good folder beside a missing one whose name it continues."""
+    path = fresh_path(f.spark, "landing")
+    here, good = f"{path}/mixed", f"{path}/abc"
+    f.traffic.where("traffic_id % 2 = 0").write.parquet(here)
+    f.traffic.where("false").write.mode("append").parquet(here)
+    f.traffic.where("traffic_id % 2 = 1").write.parquet(good)
+    texts = fresh_path(f.spark, "texts")
+    f.events.select("metadata").coalesce(1).write.text(texts)
+    put_files(f, texts, [f"{here}/bad-1.parquet", f"{good}/bad-2.parquet"])
+    rows, failed = lake.read_with_failures(f.spark, [here, good, f"{path}/ab"], "bronze", AS_OF, ", ".join(f"{c} {kind}" for c, kind in f.traffic.dtypes))
     failed = manifest.list_failures(failed.withColumn("table", F.lit("traffic")), "bronze", "traffic")
     count = rows.groupBy(F.lit("bronze").alias("stage")).agg(F.count("*").alias("n"))
-    return failed.select("stage", F.col("key").contains("/bad-").alias("is_bad")).join(count, "stage")
+    return failed.select("stage", F.element_at(F.split("key", "/"), -1).alias("name")).join(count, "stage")
+
+
+def put_files(f: Feeds, folder: str, names: list[str]) -> None:
+    """Copies of the one text file of ``folder`` under other names."""
+    jvm, conf = f.spark.sparkContext._jvm, f.spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = source.getFileSystem(conf)
+    (text,) = (s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+    for name in names:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, text, fs, jvm.org.apache.hadoop.fs.Path(name), False, conf)
 
 
 @query("SELECT CAST(hour_start AS DATE) AS day, count(*) AS n FROM health WHERE CAST(hour_start AS DATE) > (SELECT CAST(max(event_time) AS DATE) FROM fx_traffic) - 3 AND hour_start < (SELECT date_trunc('hour', max(event_time)) FROM fx_traffic) AND hour(hour_start) % 2 = 1 AND hour_start >= (SELECT date_trunc('hour', max(event_time)) - INTERVAL 48 HOUR FROM fx_traffic) GROUP BY 1")
@@ -120,85 +148,86 @@ def recompute(f: Feeds) -> DataFrame:
     return found.groupBy(F.to_date("hour_start").alias("day")).agg(F.count("*").alias("n"))
 
 
-# Streams over the feed, which arrives in three parts
+# Streams over the feed, which arrives in three parts; a job runs after each
 
 
-def landed(df: DataFrame, time: str, name: str) -> str:
-    """``df`` written in three parts, in the order of ``time``."""
-    path, cuts = fresh_path(df.sparkSession, name), ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
-    t = F.col(time)
-    for part in (t < at(cuts[0]), (t >= at(cuts[0])) & (t < at(cuts[1])), t >= at(cuts[1])):
-        df.where(F.coalesce(part, F.lit(False))).coalesce(2).write.mode("append").parquet(path)
-    return path
-
-
-def streamed(df: DataFrame, time: str, name: str) -> tuple[DataFrame, str, str]:
-    """A stream of the landed parts, and folders for its result and its checkpoint."""
+def arrive(df: DataFrame, time: str, name: str, job: Callable[[DataFrame, str, str], None]) -> str:
+    """Land ``df`` in three parts in the order of ``time`` (null: last), run ``job`` after each, and give its folder."""
     spark = df.sparkSession
-    return jobs.source(spark, landed(df, time, name), df.schema, 2), fresh_path(spark, f"{name}-out"), fresh_path(spark, f"{name}-mark")
+    path, out, mark = (fresh_path(spark, f"{name}{end}") for end in ("", "-out", "-mark"))
+    t = F.col(time)
+    first, second = F.coalesce(t < at("2024-01-10 00:00:00"), F.lit(False)), F.coalesce(t < at("2024-01-20 00:00:00"), F.lit(False))
+    for part in (first, ~first & second, ~second):
+        df.where(part).write.mode("append").parquet(path)
+        job(jobs.source(spark, path, df.schema), out, mark)
+    return out
 
 
 @query(BY_HOUR)
 def stream_bronze(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.traffic, "updated_at", "bronze")
-    jobs.stream_bronze(stream, out, mark, "event_time", AS_OF)
-    return by_part(all_hours(f, out))
+    return by_part(all_hours(f, arrive(f.traffic, "updated_at", "bronze", lambda stream, out, mark: jobs.stream_bronze(stream, out, mark, "event_time", AS_OF))))
 
 
 @query("SELECT is_valid, CASE WHEN s.station_id IS NOT NULL THEN 'matched' ELSE 'station_missing' END AS dim_match_status, count(*) AS n FROM judged_traffic t LEFT JOIN fx_station s ON t.station_id = s.station_id GROUP BY 1, 2")
 def stream_silver(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.all_traffic, "updated_at", "silver")
-    jobs.stream_silver(stream, f.stations, out, mark, AS_OF)
+    out = arrive(f.all_traffic, "updated_at", "silver", lambda stream, out, mark: jobs.stream_silver(stream, f.stations, out, mark, AS_OF))
     parts = [f.spark.read.parquet(f"{out}/{name}").select("is_valid", "dim_match_status") for name in ("valid", "quarantine")]
     return parts[0].unionByName(parts[1]).groupBy("is_valid", "dim_match_status").agg(F.count("*").alias("n"))
 
 
 @query("SELECT date_trunc('hour', event_time) AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM fx_traffic GROUP BY 1, 2")
 def stream_hourly_rollup(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.traffic, "updated_at", "rollup")
-    jobs.stream_rollup(stream, out, mark)
-    return jobs.rollup_result(f.spark, out)
+    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", jobs.stream_rollup))
 
 
 @query("SELECT date_trunc('day', event_time)::TIMESTAMP AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM fx_traffic GROUP BY 1, 2")
 def stream_daily_rollup(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.traffic, "updated_at", "rollup")
-    jobs.stream_rollup(stream, out, mark, "1 day")
-    return jobs.rollup_result(f.spark, out)
+    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", lambda stream, out, mark: jobs.stream_rollup(stream, out, mark, "1 day")))
 
 
-@query("SELECT count(*) AS n, count(DISTINCT (traffic_id, updated_at)) AS versions FROM all_traffic")
+@query("SELECT DISTINCT traffic_id, updated_at, bytes_up FROM all_traffic")
 def stream_dedup(f: Feeds) -> DataFrame:
     twice = f.all_traffic.unionByName(f.all_traffic.where("traffic_id % 3 = 0"))
-    stream, out, mark = streamed(twice, "updated_at", "dedup")
-    jobs.stream_dedup(stream, out, mark)
-    return f.spark.read.parquet(out).agg(F.count("*").alias("n"), F.count_distinct("traffic_id", "updated_at").alias("versions"))
+    return f.spark.read.parquet(arrive(twice, "updated_at", "dedup", jobs.stream_dedup)).select("traffic_id", "updated_at", "bytes_up")
+
 
+SECONDS = "(epoch_us({1}) - epoch_us({0})) / 1e6"
 
-@query("SELECT count(*) FILTER ((epoch_us(created_at) - epoch_us(event_time)) / 1e6 > 240) AS late_rows, count(*) FILTER ((epoch_us(updated_at) - epoch_us(created_at)) / 1e6 > 1) AS updated_rows, max(updated_at) AS max_updated_at FROM all_traffic")
+
+@query(f"""SELECT part, max({SECONDS.format('created_at', 'updated_at')}) AS max_propagation_s, quantile_cont({SECONDS.format('created_at', 'updated_at')}, 0.99) AS p99_propagation_s,
+ max({SECONDS.format('event_time', 'created_at')}) AS max_offset_s, quantile_cont({SECONDS.format('event_time', 'created_at')}, 0.99) AS p99_offset_s,
+ count(*) FILTER ({SECONDS.format('event_time', 'created_at')} > 240) AS late_rows, count(*) FILTER ({SECONDS.format('created_at', 'updated_at')} > 1) AS updated_rows, max(updated_at) AS max_updated_at
+FROM (SELECT *, CASE WHEN updated_at < TIMESTAMP '2024-01-10' THEN 0 WHEN updated_at < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS part FROM all_traffic) GROUP BY 1""", "max_propagation_s p99_propagation_s max_offset_s p99_offset_s")
 def late_data_metrics(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.all_traffic, "updated_at", "late")
-    jobs.late_data_metrics(stream, out, mark)
-    return f.spark.read.parquet(out).agg(F.sum("late_rows").alias("late_rows"), F.sum("updated_rows").alias("updated_rows"), F.max("max_updated_at").alias("max_updated_at"))
+    return f.spark.read.parquet(arrive(f.all_traffic, "updated_at", "late", jobs.late_data_metrics)).withColumnRenamed("batch", "part")
 
 
-@query("SELECT DISTINCT year(event_time) AS year, month(event_time) AS month, day(event_time) AS day, hour(event_time) AS hour FROM all_traffic")
+@query("SELECT date_trunc('hour', event_time) AS hour_start, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM (SELECT *, row_number() OVER (PARTITION BY traffic_id ORDER BY updated_at DESC) AS nth FROM all_traffic) WHERE nth = 1 GROUP BY 1")
 def late_reopen(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.all_traffic, "updated_at", "reopen")
-    jobs.late_reopen(stream, out, mark)
-    return f.spark.read.parquet(out).select(*(F.col(c).cast("bigint") for c in ("year", "month", "day", "hour"))).distinct()
+    """Hourly figures of the newest versions; changes come later than the rows they change."""
+
+    def build(rows: DataFrame) -> DataFrame:
+        newest = versions.latest_version(rows, ["traffic_id"])
+        return newest.groupBy(hour_start("event_time").alias("hour_start")).agg(F.count("*").alias("session_count"), F.sum(F.col("bytes_up") + F.col("bytes_down")).alias("total_bytes"))
 
+    out = arrive(f.all_traffic, "updated_at", "reopen", lambda stream, out, mark: jobs.late_reopen(stream, out, mark, build, AS_OF))
+    return f.spark.read.parquet(f"{out}/report").select("hour_start", "session_count", "total_bytes")
 
-@query("SELECT station_id, start_id, started, ended FROM incident_next WHERE ended IS NOT NULL")
+
+@query("SELECT station_id::BIGINT AS station_id, start_id, started, ended FROM incident_next")
 def stream_pair(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(f.live_events().select("station_id", "event_id", "event_type", "event_time"), "event_time", "pair")
-    jobs.stream_pair(stream, out, mark)
-    return f.spark.read.parquet(out).select("station_id", "start_id", "started", "ended")
+    """Events come by their change time, so not in order; open incidents come too."""
+    events = f.live_events().select("station_id", "event_id", "event_type", "event_time", "updated_at")
+    return jobs.pair_result(f.spark, arrive(events, "updated_at", "pair", jobs.stream_pair))
 
 
-@query("SELECT CAST(event_time AS DATE) AS report_date, technology, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM traffic_dim GROUP BY 1, 2")
+@query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_score < 30) AS hours_critical, count(*) FILTER (health_score < 60) AS hours_degraded FROM health GROUP BY ALL", "avg_health_score min_health_score max_health_score")
 def stream_health_daily(f: Feeds) -> DataFrame:
-    stream, out, mark = streamed(located(f), "updated_at", "states")
-    jobs.stream_states(stream, out, mark)
-    merged = rollup.merge_states(f.spark.read.parquet(out), "report_date", "technology")
+    """Hourly health arrives in three parts and cascades into days."""
+    return rep.merge_health(f.spark.read.parquet(arrive(rep.health_hourly(f.tables()), "hour_start", "health", jobs.stream_health_daily)))
+
+
+@query("SELECT CAST(event_time AS DATE) AS report_date, technology, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM traffic_dim GROUP BY 1, 2")
+def stream_states(f: Feeds) -> DataFrame:
+    merged = rollup.merge_states(f.spark.read.parquet(arrive(located(f), "updated_at", "states", jobs.stream_states)), "report_date", "technology")
     return rollup.finish_states(merged, "report_date", "technology").select("report_date", "technology", "session_count", "total_bytes")

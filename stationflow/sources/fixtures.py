@@ -1,4 +1,7 @@
-"""Station data derived from the driver's tables, with one SQL text for Spark and for DuckDB."""
+"""Station data derived from the driver's tables, with one SQL text for Spark and for DuckDB.
+
+A station for each user, but a third of the rows belong to ten hot stations.
+"""
 
 from __future__ import annotations
 
@@ -26,9 +29,9 @@ SELECT c_custkey AS station_id, c_name AS station_code, c_mktsegment AS operator
  CASE c_custkey % 3 WHEN 0 THEN 'urban' WHEN 1 THEN 'suburban' ELSE 'rural' END AS density_class,
  CASE c_custkey % 4 WHEN 0 THEN '2G' WHEN 1 THEN '3G' WHEN 2 THEN '4G' ELSE '5G' END AS technology
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_custkey < 9""",
+WHERE c_custkey % 11 <> 0""",
     "fx_traffic": """
-SELECT event_id AS traffic_id, CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id % 10 END AS station_id,
+SELECT event_id AS traffic_id, CASE WHEN event_id % 97 = 0 THEN NULL WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END AS station_id,
  ts AS event_time, CASE WHEN event_id % 89 = 0 THEN '' ELSE concat('sub_', <K>) END AS imsi_hash,
  CASE event_id % 20 WHEN 0 THEN 'SCTP' WHEN 1 THEN NULL WHEN 2 THEN 'UDP' WHEN 3 THEN 'ICMP' ELSE 'TCP' END AS protocol,
  CASE WHEN event_id % 101 = 0 THEN -1 ELSE (event_id * 7919) % 100003 END AS bytes_up,
@@ -42,15 +45,15 @@ SELECT traffic_id, station_id, event_time, imsi_hash, protocol, bytes_up * 2 AS
  connection_duration_ms, created_at, <UPDATED2> AS updated_at, traffic_id % 50 = 0 AS is_deleted
 FROM fx_traffic WHERE traffic_id % 25 = 0""",
     "fx_metrics": """
-SELECT event_id AS metric_id, user_id % 10 AS station_id, ts AS metric_time,
+SELECT event_id AS metric_id, CASE WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END AS station_id, ts AS metric_time,
  CAST((event_id * 37) % 103 AS DOUBLE) AS cpu_usage_pct, CAST((event_id * 53) % 101 AS DOUBLE) AS memory_usage_pct,
  CAST(20 + (event_id * 29) % 80 AS DOUBLE) AS temperature_celsius,
  CAST((event_id * 17) % 700 AS DOUBLE) AS uplink_throughput_mbps, CAST((event_id * 41) % 2500 AS DOUBLE) AS downlink_throughput_mbps,
  CASE event_id % 6 WHEN 0 THEN 'n78' WHEN 1 THEN 'Band-3' WHEN 2 THEN 'GSM-900' WHEN 3 THEN 'unknown' WHEN 4 THEN 'Band-99' ELSE NULL END AS frequency_band,
  <CREATED> AS created_at, <CREATED> AS updated_at, event_id % 43 = 0 AS is_deleted
-FROM events WHERE event_id % 2 = 0""",
+FROM events""",
     "fx_events": """
-SELECT event_id, user_id % 10 AS station_id, ts AS event_time,
+SELECT event_id, CASE WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END AS station_id, ts AS event_time,
  CASE event_type WHEN 'error' THEN 'incident_start' WHEN 'signup' THEN 'incident_end' WHEN 'click' THEN 'handover' WHEN 'view' THEN 'alarm'
   ELSE CASE WHEN event_id % 2 = 0 THEN 'maintenance_start' ELSE 'maintenance_end' END END AS event_type,
  CASE event_id % 5 WHEN 0 THEN 'info' WHEN 1 THEN 'warning' WHEN 2 THEN 'error' WHEN 3 THEN 'critical' ELSE 'bogus' END AS severity,

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from stationflow.functions.times import at
+from stationflow.sources.scratch import fresh_path
 
 HOUR = ("year", "month", "day", "hour")
+#: Files without rows that are opened in one job.
+FILES_AT_ONCE = 1000
 
 
 def cdc_extract(df: DataFrame, lo: str, hi: str, pk: str) -> DataFrame:
@@ -25,22 +34,25 @@ def hour_columns(time: Column) -> dict[str, Column]:
     return {"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM"), "day": F.date_format(time, "dd"), "hour": F.date_format(time, "HH")}
 
 
-def write_hourly(df: DataFrame, path: str, time: str, fallback: str, sort: tuple[str, ...] = ()) -> None:
-    """Write rows under their event hour; rows whose time is null or can't be read go under ``fallback``.
+def _write_batch(df: DataFrame, path: str, batch: str) -> None:
+    df.write.mode("overwrite").partitionBy(*HOUR).parquet(f"{path}/batch={batch}")
+
+
+def write_hourly(df: DataFrame, path: str, time: str, fallback: str, batch: str, sort: tuple[str, ...] = ()) -> None:
+    """Write one batch under its event hours; rows whose time is null or can't be read go under ``fallback``.
 
-    Rows are rebalanced by partition: each hour has few files, and Spark splits a hot hour over several
-    tasks; only touched hours are replaced.
+    An hour keeps the files of every batch that touched it; writing a batch again replaces that
+    batch alone, also where its rows moved to other hours. Rows are rebalanced by partition: each
+    hour has few files, and Spark splits a hot hour over several tasks.
     """
     when = F.coalesce(F.try_to_timestamp(F.col(time).cast("string")).cast("timestamp_ntz"), at(fallback))
     out = df.withColumns(hour_columns(when)).hint("rebalance", *HOUR)
-    if sort:
-        out = out.sortWithinPartitions(*HOUR, *sort)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR).parquet(path)
+    _write_batch(out.sortWithinPartitions(*HOUR, *sort) if sort else out, path, batch)
 
 
-def write_cutoff(df: DataFrame, path: str, cutoff: str) -> None:
-    """Write a whole batch under the hour of ``cutoff``."""
-    df.withColumns(hour_columns(at(cutoff))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR).parquet(path)
+def write_cutoff(df: DataFrame, path: str, cutoff: str, batch: str) -> None:
+    """Write a whole batch under the hour of ``cutoff``, beside that hour's other batches."""
+    _write_batch(df.withColumns(hour_columns(at(cutoff))), path, batch)
 
 
 def read_partitions(spark: SparkSession, path: str, hours: list[str]) -> DataFrame:
@@ -55,20 +67,61 @@ def read_partitions(spark: SparkSession, path: str, hours: list[str]) -> DataFra
 def hour_schema(spark: SparkSession, path: str) -> StructType:
     """The lake's schema with its partition columns as text, so that ``00`` stays ``00``."""
     found = spark.read.parquet(path).schema
-    for name in HOUR:
+    for name in (*HOUR, *({"batch"} & {*found.names})):
         found[name].dataType = StringType()
     return found
 
 
+def _footer_state(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each file's bytes are a readable parquet file without rows."""
+    for part in parts:
+        empty = []
+        for content in part["content"]:
+            try:
+                empty.append(pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0)
+            except (pa.ArrowException, OSError, ValueError):
+                empty.append(False)
+        yield pd.DataFrame({"file": part["path"], "is_empty": empty})
+
+
 def read_with_failures(spark: SparkSession, paths: list[str], stage: str, as_of: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the readable files, and a failure row for each listed file or folder that gave none."""
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*paths)
+    """Rows of the readable files of the listed files and folders, and a failure row (``stage, key, error, failed_at``) for each other file.
+
+    Files are told apart by their full paths. A file that gave no row is opened once more: one that is
+    sound but empty is no failure. A listed path that isn't there is one. Only names of files
+    without rows pass through the driver, FILES_AT_ONCE of them at a time.
+    """
+    hadoop, there = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for p in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        if place.getFileSystem(hadoop).exists(place):
+            there.append(p)
+    failure = "stage string, key string, error string, failed_at timestamp_ntz"
+    gone = spark.createDataFrame([(p,) for p in paths if p not in there], "key string").select(F.lit(stage).alias("stage"), "key", F.lit("missing").alias("error"), at(as_of).alias("failed_at"))
+    if not there:
+        return spark.createDataFrame([], schema), gone
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*there)
     plain = lambda c: F.regexp_replace(c, r"^[a-z0-9]+:/+", "/")
-    seen = rows.select(plain(F.col("_metadata.file_path")).alias("file")).distinct()
-    listed = F.broadcast(spark.createDataFrame([(p,) for p in paths], "key string"))  # the caller's list
-    good = seen.join(listed, F.col("file").startswith(plain(F.col("key")))).select("key").distinct()
-    failed = listed.join(good, "key", "left_anti").select(F.lit(stage).alias("stage"), "key", F.lit("unreadable or empty").alias("error"), at(as_of).alias("failed_at"))
-    return rows, failed
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(there).select(F.col("path").alias("file"), plain(F.col("path")).alias("key"))
+    seen = rows.select(plain(F.url_decode("_metadata.file_path")).alias("key")).distinct()
+    silent = files.withColumn("key", F.url_decode("key")).join(seen, "key", "left_anti")
+    states, names = fresh_path(spark, "footers"), []
+    spark.createDataFrame([], "file string, is_empty boolean").write.parquet(states)
+
+    def look() -> None:
+        contents = spark.read.format("binaryFile").load(names).select("path", "content")
+        contents.mapInPandas(_footer_state, "file string, is_empty boolean").write.mode("append").parquet(states)
+        names.clear()
+
+    for row in silent.select("file").toLocalIterator():
+        names.append(row["file"])
+        if len(names) == FILES_AT_ONCE:
+            look()
+    if names:
+        look()
+    bad = spark.read.schema("file string, is_empty boolean").parquet(states).where(~F.col("is_empty"))
+    failed = bad.select(F.lit(stage).alias("stage"), F.url_decode(plain(F.col("file"))).alias("key"), F.lit("unreadable").alias("error"), at(as_of).alias("failed_at"))
+    return rows, failed.unionByName(gone).to(StructType.fromDDL(failure))
 
 
 def serialize_json(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -76,14 +129,18 @@ def serialize_json(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in cols})
 
 
-def write_silver(valid: DataFrame, quarantine: DataFrame, path: str, time: str, fallback: str) -> None:
-    write_hourly(valid, f"{path}/valid", time, fallback)
-    write_hourly(quarantine, f"{path}/quarantine", time, fallback)
+def write_silver(valid: DataFrame, quarantine: DataFrame, path: str, time: str, fallback: str, batch: str) -> None:
+    """One batch's valid and quarantined rows, each under their event hours."""
+    write_hourly(valid, f"{path}/valid", time, fallback, batch)
+    write_hourly(quarantine, f"{path}/quarantine", time, fallback, batch)
 
 
 def overwrite_slice(df: DataFrame, path: str, by: str) -> None:
-    """Replace exactly the hours or days of ``df`` (column ``by``) in a report; running twice changes nothing."""
-    df.withColumn("slice", F.date_format(by, "yyyy-MM-dd-HH")).repartition("slice").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice").parquet(path)
+    """Replace exactly the hours or days of ``df`` (column ``by``) in a report; running twice changes nothing.
+
+    Rows are rebalanced by slice, so a large slice is split over several tasks.
+    """
+    df.withColumn("slice", F.date_format(by, "yyyy-MM-dd-HH")).hint("rebalance", "slice").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice").parquet(path)
 
 
 def retention(df: DataFrame, col: str, days: int, as_of: str) -> DataFrame:

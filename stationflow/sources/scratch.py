@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only if that is unset, as in local tests."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only if that is unset in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-staged-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -23,3 +25,14 @@ def fresh_path(spark: SparkSession, name: str = "staged") -> str:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the written table.
+
+    This cuts lineage: a lost executor costs a reread, not a recomputation. The
+    files go when the application ends.
+    """
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,25 +9,30 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from stationflow.operators import joins, manifest, quality, rollup, versions
+from stationflow.operators import joins, quality, reports, rollup, versions
 from stationflow.sources import lake
 
 BUFFER = "240 seconds"
 
 
-def source(spark: SparkSession, path: str, schema: StructType, files: int = 1) -> DataFrame:
-    """New parquet files of ``path`` as a stream, ``files`` for each batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def source(spark: SparkSession, path: str, schema: StructType, files: int | None = None) -> DataFrame:
+    """New parquet files of ``path`` as a stream, at most ``files`` for each batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
 
 
-def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> int:
+    """Run what is there; how many rows came behind the watermark and were left out (of the batches whose progress Spark keeps)."""
+    running = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    running.awaitTermination()
+    return sum(state["numRowsDroppedByWatermark"] for p in running.recentProgress for state in p["stateOperators"])
 
 
 def to_batch_folder(path: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -57,12 +62,15 @@ def stream_silver(stream: DataFrame, stations: DataFrame, path: str, checkpoint:
     run_batches(stream, checkpoint, step)
 
 
-def stream_rollup(stream: DataFrame, path: str, checkpoint: str, width: str = "1 hour") -> None:
-    """Tumbling windows by station; each batch writes the windows it changed, and the last one counts."""
-    zoned = stream.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", "30 days")
+def stream_rollup(stream: DataFrame, path: str, checkpoint: str, width: str = "1 hour", delay: str = "30 days") -> int:
+    """Tumbling windows by station; each batch writes the windows it changed, and the last one counts.
+
+    Returns how many rows came more than ``delay`` late and are in no window.
+    """
+    zoned = stream.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
     windows = zoned.groupBy(F.window("event_time", width).alias("w"), "station_id").agg(F.count("*").alias("session_count"), F.sum(F.col("bytes_up") + F.col("bytes_down")).alias("total_bytes"))
     flat = windows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "station_id", "session_count", "total_bytes")
-    run_batches(flat, checkpoint, to_batch_folder(path, lambda rows: rows), "update")
+    return run_batches(flat, checkpoint, to_batch_folder(path, lambda rows: rows), "update")
 
 
 def rollup_result(spark: SparkSession, path: str) -> DataFrame:
@@ -70,10 +78,14 @@ def rollup_result(spark: SparkSession, path: str) -> DataFrame:
     return versions.latest_version(spark.read.parquet(path), ["window_start", "station_id"], "batch").drop("batch")
 
 
-def stream_dedup(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("traffic_id", "updated_at"), time: str = "updated_at", delay: str = "30 days") -> None:
-    """Each (row, version) once, although overlapping windows read some twice."""
+def stream_dedup(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("traffic_id", "updated_at"), time: str = "updated_at", delay: str = "10 minutes") -> int:
+    """Each (row, version) once, although overlapping windows read some twice.
+
+    Windows overlap by seconds, so keys are held for minutes. Returns how many rows came
+    more than ``delay`` late and were left out.
+    """
     zoned = stream.withColumn("__mark", F.col(time).cast("timestamp")).withWatermark("__mark", delay)
-    run_batches(zoned.dropDuplicatesWithinWatermark([*keys]), checkpoint, to_batch_folder(path, lambda rows: rows.drop("__mark")))
+    return run_batches(zoned.dropDuplicatesWithinWatermark([*keys]), checkpoint, to_batch_folder(path, lambda rows: rows.drop("__mark")))
 
 
 def late_data_metrics(stream: DataFrame, path: str, checkpoint: str, buffer_seconds: int = 240) -> None:
@@ -81,9 +93,28 @@ def late_data_metrics(stream: DataFrame, path: str, checkpoint: str, buffer_seco
     run_batches(stream, checkpoint, to_batch_folder(path, lambda rows: rollup.delay_metrics(rows, "event_time", buffer_seconds)))
 
 
-def late_reopen(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """The hours that each batch touches: the slices to compute anew."""
-    run_batches(stream, checkpoint, to_batch_folder(path, lambda rows: manifest.hour_signal(rows, "event_time")))
+def late_reopen(stream: DataFrame, path: str, checkpoint: str, build: Callable[[DataFrame], DataFrame], fallback: str) -> None:
+    """Rows are kept by hour, and the report's slices of all hours that a batch touches are computed anew.
+
+    ``build`` makes the report from rows, with the hour as ``hour_start``. Late rows so reopen
+    their hour, and no other slice is written. Rows lie in ``path``/rows, the report in ``path``/report.
+    """
+
+    def step(rows: DataFrame, number: int) -> None:
+        if rows.isEmpty():
+            return
+        lake.write_hourly(rows, f"{path}/rows", "event_time", fallback, str(number))
+        kept = rows.sparkSession.read.schema(lake.hour_schema(rows.sparkSession, f"{path}/rows")).parquet(f"{path}/rows")
+        touched = rows.select(*(c.alias(n) for n, c in lake.hour_columns(F.coalesce("event_time", F.lit(fallback).cast("timestamp_ntz"))).items())).distinct()
+        again = kept.join(touched, [*lake.HOUR], "left_semi").select(*rows.columns)
+        lake.overwrite_slice(build(again), f"{path}/report", "hour_start")
+
+    run_batches(stream, checkpoint, step)
+
+
+def stream_health_daily(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Each batch of hourly health as daily states; ``reports.merge_health`` of all batches gives the days."""
+    run_batches(stream, checkpoint, to_batch_folder(path, reports.health_state))
 
 
 def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("technology",)) -> None:
@@ -92,25 +123,67 @@ def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str
 
 
 PAIRS = "station_id long, start_id long, started timestamp_ntz, ended timestamp_ntz"
+OPEN = "start_ids array<long>, start_at array<long>, end_ids array<long>, end_at array<long>"
+
+
+def next_ends(start_ids: np.ndarray, start_at: np.ndarray, end_ids: np.ndarray, end_at: np.ndarray) -> np.ndarray:
+    """The time of the first end after each start, by time and id; -1 if there is none."""
+    ids, times = np.concatenate([start_ids, end_ids]), np.concatenate([start_at, end_at])
+    order = np.lexsort((ids, times))
+    none = np.iinfo(np.int64).max
+    ends = np.where(order >= len(start_ids), times[order], none)
+    ahead = np.minimum.accumulate(ends[::-1])[::-1]
+    found = np.empty(len(ids), np.int64)
+    found[order] = ahead
+    return np.where(found[: len(start_ids)] == none, -1, found[: len(start_ids)])
+
+
+def pair_step(delay: int, expire: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """Pairs of one station after each batch; times are microseconds.
+
+    The state holds starts that are open or closed within ``delay`` of the watermark, and
+    the ends within it, so that events in any order within the delay pair as if sorted.
+    Starts open for longer than ``expire`` leave the state and stay open.
+    """
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = [np.array(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64)] * 4
+        for part in parts:
+            at, ids = part["event_time"].to_numpy("datetime64[us]").astype(np.int64), part["event_id"].to_numpy(np.int64)
+            is_end = (part["event_type"] == "incident_end").to_numpy()
+            new = (ids[~is_end], at[~is_end], ids[is_end], at[is_end])
+            held = [np.concatenate([h, n]) for h, n in zip(held, new, strict=True)]
+        start_ids, start_at, end_ids, end_at = held
+        ended = next_ends(*held)
+        if len(start_ids):
+            yield pd.DataFrame({"station_id": np.full(len(start_ids), key[0]), "start_id": start_ids, "started": start_at.astype("datetime64[us]"), "ended": np.where(ended < 0, np.iinfo(np.int64).min, ended).astype("datetime64[us]")})
+        now = state.getCurrentWatermarkMs() * 1000
+        wait = np.where(ended < 0, start_at >= now - expire, ended >= now - delay)
+        late = end_at >= now - delay
+        if wait.any() or late.any():
+            state.update(tuple(x.tolist() for x in (start_ids[wait], start_at[wait], end_ids[late], end_at[late])))
+            oldest = min([*(start_at[wait & (ended < 0)] + expire), *(ended[wait & (ended >= 0)] + delay), *(end_at[late] + delay)])
+            state.setTimeoutTimestamp(max(int(oldest) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+
+    return step
+
+
+def stream_pair(stream: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", expire_days: int = 60) -> int:
+    """Incidents with their end, or null while they are open, from events in any order within ``delay``.
+
+    Every batch writes the incidents it opened, closed or changed; ``pair_result`` takes the last of
+    each. Returns how many events came too late and were left out.
+    """
+    events = stream.where(F.col("event_type").isin("incident_start", "incident_end") & F.col("station_id").isNotNull())
+    events = events.select(F.col("station_id").cast("long").alias("station_id"), F.col("event_id").cast("long").alias("event_id"), "event_type", F.col("event_time").cast("timestamp").alias("event_time")).withWatermark("event_time", delay)
+    micros = int(pd.Timedelta(delay).total_seconds() * 1e6)
+    step = pair_step(micros, expire_days * 86_400_000_000)
+    pairs = events.groupBy("station_id").applyInPandasWithState(step, PAIRS, OPEN, "update", GroupStateTimeout.EventTimeTimeout)
+    return run_batches(pairs, checkpoint, to_batch_folder(path, lambda rows: rows), "update")
 
 
-def close_pairs(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Starts stay open in the state until the station's next end."""
-    (starts,) = state.get if state.exists else ([],)
-    open_starts = [tuple(s) for s in starts]
-    done = []
-    for row in pd.concat(parts).sort_values(["event_time", "event_id"]).itertuples():
-        if row.event_type == "incident_end":
-            done += [(key[0], int(i), pd.Timestamp(t), row.event_time) for i, t in open_starts]
-            open_starts = []
-        else:
-            open_starts.append((row.event_id, row.event_time.isoformat()))
-    state.update(([(str(i), str(t)) for i, t in open_starts],))
-    yield pd.DataFrame(done, columns=["station_id", "start_id", "started", "ended"])
-
-
-def stream_pair(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Incidents as they end, from events that arrive in the order of their times."""
-    events = stream.where(F.col("event_type").isin("incident_start", "incident_end")).select("station_id", "event_id", "event_type", "event_time")
-    pairs = events.groupBy("station_id").applyInPandasWithState(close_pairs, PAIRS, "open array<struct<id:string,at:string>>", "append", GroupStateTimeout.NoTimeout)
-    run_batches(pairs, checkpoint, to_batch_folder(path, lambda rows: rows))
+def pair_result(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state of every incident."""
+    return versions.latest_version(spark.read.parquet(path), ["station_id", "start_id"], "batch").drop("batch")

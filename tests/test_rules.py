@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from stationflow.functions.times import minutes_between
 from stationflow.operators import joins, manifest, quality, versions
 from stationflow.plans import contract
 from stationflow.plans.feeds import Feeds
+from stationflow.sources import lake
+from stationflow.streaming import jobs
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -150,6 +153,67 @@ def test_late_time_goes_to_the_fallback_hour(spark):
 
     path = fresh_path(spark, "late")
     rows = spark.createDataFrame([(1, "2024-01-01 05:30:00"), (2, None), (3, "soon")], "k int, e string")
-    lake.write_hourly(rows, path, "e", AS_OF)
+    lake.write_hourly(rows, path, "e", AS_OF, "1")
     assert sorted(r.k for r in lake.read_partitions(spark, path, ["2024-02-01 00"]).collect()) == [2, 3]
     assert [r.k for r in lake.read_partitions(spark, path, ["2024-01-01 05"]).collect()] == [1]
+
+
+@pytest.mark.parametrize(("source", "kind"), [("bool", "boolean"), ("numeric(10,2)", "decimal(38,2)"), ("numeric(10)", "decimal(38,0)"), ("numeric", None), ("timestamp", None), ("uuid", None), ("varchar(9)", "string")])
+def test_canonical_types(source, kind):
+    assert contract.canonical(source) == kind
+
+
+def test_bare_numerics_keep_their_fraction(spark):
+    fields = (contract.Field("a", "numeric", "required"), contract.Field("b", "bool", "required"), contract.Field("c", "uuid", "passthrough"))
+    odd = contract.Contract("odd", "a", "a", fields)
+    row = contract.reconcile(spark.sql("select 1.25 as a, 'true' as b"), odd).first()
+    assert (str(row.a), row.b, row.c) == ("1.25", True, None)
+    assert odd.schema().simpleString() == "struct<a:decimal(38,18),b:boolean,c:string>"
+
+
+def test_batches_of_one_hour_stay(spark, tmp_path):
+    path = f"file://{tmp_path}/lake"
+    rows = spark.sql("select id, timestamp_ntz '2024-01-01 05:10:00' as event_time from range(4)")
+    lake.write_hourly(rows.where("id < 2"), path, "event_time", AS_OF, "1")
+    lake.write_hourly(rows.where("id >= 2"), path, "event_time", AS_OF, "2")
+    moved = rows.where("id >= 2").withColumn("event_time", F.expr("timestamp_ntz '2024-01-02 00:00:00'"))
+    lake.write_hourly(moved, path, "event_time", AS_OF, "2")  # a retry whose rows moved
+    got = {(r.id, r.day, r.batch) for r in spark.read.schema(lake.hour_schema(spark, path)).parquet(path).collect()}
+    assert got == {(0, "01", "1"), (1, "01", "1"), (2, "02", "2"), (3, "02", "2")}
+
+
+def test_pairs_in_any_order_and_open_ones(spark, tmp_path):
+    schema = "station_id long, event_id long, event_type string, event_time timestamp_ntz"
+    batches = [
+        [(1, 1, "incident_start", t("2024-01-01T10:00:00")), (1, 9, "incident_end", t("2024-01-01T10:50:00")), (2, 2, "incident_start", t("2024-01-01T10:00:00"))],
+        [(1, 4, "incident_end", t("2024-01-01T10:20:00")), (1, 3, "incident_start", t("2024-01-01T10:30:00"))],  # before what came first
+        [(3, 5, "incident_start", t("2024-01-03T10:00:00"))],
+        [(1, 6, "incident_start", t("2024-01-01T10:40:00"))],  # too late
+    ]
+    late = 0
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        late += jobs.stream_pair(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
+    got = {(r.start_id, r.ended) for r in jobs.pair_result(spark, f"{tmp_path}/out").collect()}
+    assert got == {(1, t("2024-01-01T10:20:00")), (3, t("2024-01-01T10:50:00")), (2, None), (5, None)}
+    assert late == 1
+
+
+def test_next_ends_against_loops():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        n, m = rng.integers(0, 8, 2)
+        start_at, end_at = rng.integers(0, 9, n), rng.integers(0, 9, m)
+        ids = rng.permutation(n + m)
+        want = [min((e for i, e in zip(ids[n:], end_at, strict=True) if (e, i) > (s, k)), default=-1) for k, s in zip(ids[:n], start_at, strict=True)]
+        assert jobs.next_ends(ids[:n], start_at, ids[n:], end_at).tolist() == want
+
+
+def test_too_late_rows_are_counted(spark, tmp_path):
+    schema = "traffic_id long, updated_at timestamp_ntz"
+    late = 0
+    for k, when in enumerate(("2024-01-02T00:00:00", "2024-01-03T00:00:00", "2024-01-01T00:00:00")):
+        spark.createDataFrame([(k, t(when))], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        late += jobs.stream_dedup(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
+    assert late == 1
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
