@@ -1,15 +1,23 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, over numpy arrays.
 
-The texts are the blocks of one shard, so arrays are small; all suffixes of a bucket are
-induced in one step, as they depend only on earlier buckets and on runs of one sign.
+Both inducing passes take one of two forms. Over bytes, buckets are large and few: they are
+stepped through in order, each dealing what precedes it in one go. Over names, most buckets
+hold a suffix or two: there all suffixes of a type are induced together. A larger suffix is a
+run of falling signs down to the next leftmost-smaller one, a smaller suffix a run of rising
+signs up to the next larger one, so ranks within buckets are refined by the rank one place on,
+then two, four and so on, until the runs are through.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are stepped through bucket by bucket, larger ones by rank doubling.
-BUCKETS = 2048
+#: Buckets are stepped through if they hold so many suffixes on average.
+BUCKET_MEAN = 256
+#: Leftmost-smaller substrings are compared sign by sign up to here, and whole beyond.
+SIGN_BY_SIGN = 64
+#: Runs of one sign are followed place by place up to here, and whole beyond.
+WAVES = 16
 
 
 def suffix_types(t: np.ndarray) -> np.ndarray:
@@ -21,6 +29,52 @@ def suffix_types(t: np.ndarray) -> np.ndarray:
     return small
 
 
+def _next_at(marked: np.ndarray) -> np.ndarray:
+    """For each place, the first marked place at or after it; the end if there is none."""
+    n = len(marked)
+    return np.minimum.accumulate(np.where(marked, np.arange(n, dtype=np.int32), np.int32(n - 1))[::-1])[::-1]
+
+
+def _induce(rank: np.ndarray, of: np.ndarray, stop: np.ndarray) -> None:
+    """Refine the ranks of the suffixes ``of`` by the ranks along their runs, which end at ``stop``.
+
+    A rank is the first place of its class in the suffix array; classes that the ranks at
+    their runs' ends don't part stay classes.
+    """
+    h = 1
+    while len(of := of[stop[of] - of >= h]):
+        key = (rank[of].astype(np.uint64) << np.uint64(32)) | rank[np.minimum(of + h, stop[of])].astype(np.uint64)
+        order = np.argsort(key)
+        of, key = of[order], key[order]
+        base = key >> np.uint64(32)
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        head = np.concatenate([[True], base[1:] != base[:-1]])
+        at = np.arange(len(of))
+        rank[of] += (np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))).astype(rank.dtype)
+        first = np.flatnonzero(new)
+        size = np.diff(first, append=len(of))
+        of, h = of[np.repeat(size > 1, size)], 2 * h
+
+
+def _ranks(t: np.ndarray, small: np.ndarray, left: np.ndarray, starts: np.ndarray, larger: np.ndarray, order: np.ndarray | None) -> np.ndarray:
+    """Ranks of all suffixes, induced from the leftmost-smaller ones: by their ``order``, or by their signs alone.
+
+    In a bucket the larger suffixes come first. Larger suffixes are induced first, then smaller ones from them.
+    """
+    rank = (starts[t] + np.where(small, larger[t], 0)).astype(np.int32)
+    ends = _next_at(left)
+    if order is not None:  # places among the bucket's smaller suffixes, in order; only their order counts
+        signs = t[order]
+        by = np.argsort(signs, kind="stable")
+        ranked, signs = order[by], signs[by]
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], signs[1:] != signs[:-1]]), np.arange(len(by)), 0))
+        rank[ranked] += (np.arange(len(by)) - head).astype(np.int32)
+    _induce(rank, np.flatnonzero(~small), ends)
+    rank[small] = (starts[t[small]] + larger[t[small]]).astype(np.int32)
+    _induce(rank, np.flatnonzero(small)[:-1], _next_at(~small))
+    return rank
+
+
 def _deal(sa: np.ndarray, at: np.ndarray, p: np.ndarray, signs: np.ndarray, step: int) -> None:
     """Put the suffixes ``p`` into the buckets of their signs, in order, from ``at`` on in direction ``step``."""
     order = np.argsort(signs, kind="stable")
@@ -32,128 +86,110 @@ def _deal(sa: np.ndarray, at: np.ndarray, p: np.ndarray, signs: np.ndarray, step
     at[signs[first]] += step * count
 
 
-def induce(t: np.ndarray, small: np.ndarray, leftmost: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The suffix array, induced from the leftmost-smaller suffixes in their order.
-
-    Larger suffixes are placed left to right from what precedes them in order, then
-    smaller suffixes right to left.
-    """
-    n, starts = len(t), np.concatenate([[0], ends[:-1]])
+def _runs_back(ends: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The suffixes of the runs of one sign that end at ``ends``: all the ends, then all those one place before, and so on."""
+    parts, k = [ends], 1
+    rest = ends[run[ends] > 1]
+    while len(rest) and k < WAVES:
+        parts.append(rest - k)
+        k += 1
+        rest = rest[run[rest] > k]
+    if len(rest):  # long runs
+        count = run[rest].astype(np.int64) - k
+        back = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        parts.append((np.repeat(rest - k, count) - back)[np.argsort(back, kind="stable")])
+    return np.concatenate(parts) if len(parts) > 1 else ends
+
+
+def _step_through(t: np.ndarray, leftmost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The suffix array, induced bucket by bucket from the leftmost-smaller suffixes in their order."""
+    n, starts = len(t), np.concatenate([[0], bounds[:-1]])
+    place = np.arange(n, dtype=np.int32)
+    run = place - np.maximum.accumulate(np.where(np.concatenate([[True], t[1:] != t[:-1]]), place, 0)) + 1
     sa = np.full(n, -1, np.int32)
     signs = t[leftmost]
-    held = np.bincount(signs, minlength=len(ends))
-    _deal(sa, ends - held, leftmost.astype(np.int32), signs, 1)
+    held = np.bincount(signs, minlength=len(bounds))
+    _deal(sa, bounds - held, leftmost.astype(np.int32), signs, 1)
     head = starts.copy()
-    for c in range(len(ends)):
-        if starts[c] == ends[c]:
-            continue
-        done, rest = starts[c], ends[c] - held[c]
-        while True:
-            if done < head[c]:
-                e, done = sa[done : head[c]], head[c]
-            elif rest < ends[c]:
-                e, rest = sa[rest : ends[c]], ends[c]
-            else:
-                break
-            p = e[e > 0] - 1
-            p = p[~small[p]]
-            s = t[p]
-            same = s == c
-            if same.any():
-                k = int(same.sum())
-                sa[head[c] : head[c] + k] = p[same]
-                head[c] += k
-                p, s = p[~same], s[~same]
-            _deal(sa, head, p, s, 1)
-    tail = ends - 1
+    for c in np.flatnonzero(bounds > starts):
+        larger = _runs_back(sa[starts[c] : head[c]], run)  # the rest of their runs follow in this bucket
+        sa[starts[c] : starts[c] + len(larger)] = larger
+        head[c] = starts[c] + len(larger)
+        for e in (larger, sa[bounds[c] - held[c] : bounds[c]]):
+            p = e - 1  # of the first suffix: the end, whose sign is 0
+            signs = t[p]
+            ok = signs > c  # then it is larger than what it precedes
+            _deal(sa, head, p[ok], signs[ok], 1)
+    tail = bounds - 1
     sa[0] = n - 1
-    for c in range(len(ends) - 1, 0, -1):
-        if starts[c] == ends[c]:
-            continue
-        done, larger = ends[c] - 1, head[c]
-        while True:
-            if done > tail[c]:
-                e, done = sa[tail[c] + 1 : done + 1][::-1], tail[c]
-            elif larger > starts[c]:
-                e, larger = sa[starts[c] : larger][::-1], starts[c]
-            else:
-                break
-            p = e[e > 0] - 1
-            p = p[small[p]]
-            s = t[p]
-            same = s == c
-            if same.any():
-                k = int(same.sum())
-                sa[tail[c] - k + 1 : tail[c] + 1] = p[same][::-1]
-                tail[c] -= k
-                p, s = p[~same], s[~same]
-            _deal(sa, tail, p, s, -1)
+    for c in np.flatnonzero(bounds > starts)[:0:-1]:
+        smaller = _runs_back(sa[tail[c] + 1 : bounds[c]][::-1], run)
+        tail[c] = bounds[c] - 1 - len(smaller)
+        sa[tail[c] + 1 : bounds[c]] = smaller[::-1]
+        for e in (smaller, sa[starts[c] : head[c]][::-1]):
+            p = e - 1
+            signs = t[p]
+            ok = (signs < c) & (signs > 0)
+            _deal(sa, tail, p[ok], signs[ok], -1)
     return sa
 
 
-def _double(names: np.ndarray, symbols: int) -> np.ndarray:
-    """Suffixes of ``names`` in the order of their first ``symbols`` names, by rank doubling."""
-    n = len(names)
-    order = np.argsort(names, kind="stable")
-    ranked = names[order]
-    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    rank = np.zeros(n + 1, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1  # past the end: 0
-    size = np.diff(np.flatnonzero(first), append=n)
-    tied, h = order[np.repeat(size, size) > 1], 1
-    while len(tied) and h < symbols:
-        key = rank[tied] * (n + 2) + rank[np.minimum(tied + h, n)]
-        by = np.argsort(key, kind="stable")
-        tied, key = tied[by], key[by]
-        base = rank[tied]
-        head = np.concatenate([[True], base[1:] != base[:-1]])
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        at = np.arange(len(tied))
-        rank[tied] = base + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
-        size = np.diff(np.flatnonzero(new), append=len(tied))
-        tied, h = tied[np.repeat(size, size) > 1], 2 * h
-    return np.argsort(rank[:n], kind="stable")
+def _named(t: np.ndarray, ranked: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Names of leftmost-smaller substrings that stand in order: equal ones share a name."""
+    new = np.ones(len(ranked), bool)
+    a = np.flatnonzero(width[1:] == width[:-1]) + 1
+    new[a] = False
+    for k in range(SIGN_BY_SIGN):  # neighbours of one width, until they differ or end
+        differ = t[ranked[a] + k] != t[ranked[a - 1] + k]
+        new[a[differ]] = True
+        a = a[~differ]
+        a = a[width[a] > k]
+        if not len(a):
+            break
+    for i in a.tolist():
+        p, q, n = int(ranked[i]), int(ranked[i - 1]), int(width[i]) + 1
+        new[i] = not np.array_equal(t[p : p + n], t[q : q + n])
+    return np.cumsum(new) - 1
 
 
 def suffix_array(t: np.ndarray, signs: int, depth: int) -> np.ndarray:
     """Suffixes of ``t`` in order of their first ``depth`` signs at least; its last sign is the unique 0.
 
-    Leftmost-smaller substrings are sorted by inducing, named, and the string of their
-    names is sorted in turn; from that order the whole array is induced.
+    Leftmost-smaller substrings are sorted by inducing from their signs, and named; if names
+    repeat, the string of the names is sorted in turn by the same function, to half the depth, as
+    a name stands for two signs at least. From that order the whole array is induced.
     """
     if len(t) < 3:
         return np.arange(len(t), dtype=np.int32)[::-1].copy()
     small = suffix_types(t)
-    is_left = np.zeros(len(t), bool)
-    is_left[1:] = small[1:] & ~small[:-1]
-    left = np.flatnonzero(is_left)
-    ends = np.cumsum(np.bincount(t, minlength=signs))
-    sa = induce(t, small, left, ends)
-    ranked = sa[is_left[sa]].astype(np.int64)
-    after = np.full(len(t), len(t) - 1, np.int64)
-    after[left[:-1]] = left[1:]
-    width = after[ranked] - ranked
-    new = np.ones(len(ranked), bool)
-    a = np.flatnonzero(width[1:] == width[:-1]) + 1
-    new[a] = False
-    k = 0
-    while len(a):  # neighbours of one width, until they differ or end
-        differ = t[ranked[a] + k] != t[ranked[a - 1] + k]
-        new[a[differ]] = True
-        a = a[~differ]
-        a = a[width[a] > k]
-        k += 1
-    name = np.cumsum(new) - 1
-    if name[-1] + 1 < len(left):
+    left = np.zeros(len(t), bool)
+    left[1:] = small[1:] & ~small[:-1]
+    count, at = np.bincount(t, minlength=signs), np.flatnonzero(left)
+    stepped = len(t) >= signs * BUCKET_MEAN
+    if stepped:
+        bounds = np.cumsum(count)
+        sa = _step_through(t, at, bounds)
+        ranked = sa[left[sa]].astype(np.int64)
+        after = np.full(len(t), len(t) - 1, np.int64)
+        after[at[:-1]] = at[1:]
+        name = _named(t, ranked, after[ranked] - ranked)
         of = np.empty(len(t), np.int64)
         of[ranked] = name
-        names = of[left]
-        if name[-1] < BUCKETS:
-            order = suffix_array(names, int(name[-1]) + 1, depth // 2 + 1)
-        else:
-            order = _double(names, depth // 2 + 1)  # a name stands for two signs at least
-        ranked = left[order]
-    return induce(t, small, ranked, ends)
+        names, classes = of[at], int(name[-1]) + 1
+    else:
+        starts, larger = np.cumsum(count) - count, np.bincount(t[~small], minlength=signs)
+        found, names = np.unique(_ranks(t, small, left, starts, larger, None)[at], return_inverse=True)
+        classes = len(found)
+    if classes == len(at) or depth < 2:
+        order = at[np.argsort(names, kind="stable")]
+    else:
+        order = at[suffix_array(names, classes, depth // 2 + 1 if depth > 2 else 1)]
+    if stepped:
+        return _step_through(t, order, bounds)
+    rank = _ranks(t, small, left, starts, larger, order)
+    sa = np.empty(len(t), np.int32)
+    sa[rank] = np.arange(len(t), dtype=np.int32)
+    return sa
 
 
 def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:

@@ -16,7 +16,10 @@ LENGTH = 50
 GRAM = 16
 #: Text bytes of a tile of documents, and text bytes for each bucket of routes and each shard.
 TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 4 << 20
+#: A route whose distinct blocks have more bytes than this is dealt out string by string.
+HOT_BYTES = 1 << 20
 CHUNK = 1 << 20
+#: Stands for no document; whether one is there is told apart by a flag, so it may be an id too.
 NEVER = np.iinfo(np.int64).max
 
 
@@ -34,9 +37,12 @@ def strings_routes(data: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (want - width)], h[want - width :])
 
 
-def route_runs(texts: list[bytes], length: int):  # noqa: ANN201
-    """Runs of strings with one route: document number, first and last string start, and the route."""
-    docs, firsts, lasts, routes = [], [], [], []
+def route_runs(texts: list[bytes], length: int) -> list[np.ndarray]:
+    """Runs of strings with one route: document number, first and last string start, route, and a mark of the run's block.
+
+    The mark comes from the block's length, its first and its last bytes.
+    """
+    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2]
     at = 0
     while at < len(texts):
         size, end = 0, at
@@ -46,7 +52,8 @@ def route_runs(texts: list[bytes], length: int):  # noqa: ANN201
         lens = np.array([len(t) for t in texts[at:end]])
         if size >= length:
             starts = np.cumsum(lens) - lens
-            route = strings_routes(np.frombuffer(b"".join(texts[at:end]), np.uint8), length)
+            data = b"".join(texts[at:end])
+            route = strings_routes(np.frombuffer(data, np.uint8), length)
             doc = np.repeat(np.arange(len(lens)), lens)[: len(route)]
             place = np.arange(len(route)) - starts[doc]
             ok = np.flatnonzero(place <= lens[doc] - length)  # strings within one document
@@ -54,13 +61,11 @@ def route_runs(texts: list[bytes], length: int):  # noqa: ANN201
             new = np.concatenate([[True], (route[1:] != route[:-1]) | (doc[1:] != doc[:-1])]) if len(ok) else np.zeros(0, bool)
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(ok))[: len(first)] - 1
-            docs.append(doc[first] + at)
-            firsts.append(place[first])
-            lasts.append(place[last])
-            routes.append(route[first])
+            words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+            mark = words[ok[first]] * np.uint64(0x9E3779B97F4A7C15) + words[ok[last] + length - 8] * np.uint64(0xC2B2AE3D27D4EB4F) + (last - first).astype(np.uint64)
+            parts.append([doc[first] + at, place[first], place[last], route[first], mark])
         at = end
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return join(docs, np.int64), join(firsts, np.int64), join(lasts, np.int64), join(routes, np.uint64)
+    return [np.concatenate(column) for column in zip(*parts, strict=True)]
 
 
 def _mixed(routes: np.ndarray, parts: int) -> np.ndarray:
@@ -68,52 +73,75 @@ def _mixed(routes: np.ndarray, parts: int) -> np.ndarray:
     return ((routes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) % parts
 
 
-def _tile(rows: pd.DataFrame) -> tuple[np.ndarray, list[bytes]]:
-    """Ids (null: after all others) and texts of a tile, in order of id."""
-    ids = np.array([NEVER if i is None or i != i else int(i) for i in rows["doc_id"]], np.int64)
-    order = np.argsort(ids, kind="stable")
-    texts = rows["data"].tolist()
-    return ids[order], [bytes(texts[k]) for k in order]
-
-
-def _tile_routes(tile: int, ids: np.ndarray, texts: list[bytes], buckets: int, length: int) -> pd.DataFrame:
-    """A tile's distinct routes by bucket, each marked if two of the tile's documents have it."""
-    doc, _, _, route = route_runs(texts, length)
-    order = np.argsort(route, kind="stable")
-    route, own = route[order], ids[doc[order]]
-    first = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]])) if len(route) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(route))[: len(first)] - 1
-    route, twice = route[first], own[first] != own[last]
+class Tile:
+    """Texts of a tile in order of id, those without an id last; ``owner`` numbers the ids, none being one."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        ids, none = rows["doc_id"].to_numpy(np.int64), rows["none"].to_numpy(bool)
+        order = np.lexsort((ids, none))
+        texts = rows["data"].tolist()
+        self.ids, self.none, self.texts = ids[order], none[order], [bytes(texts[k]) for k in order]
+        self.owner = np.cumsum(np.concatenate([[False], (self.ids[1:] != self.ids[:-1]) | (self.none[1:] != self.none[:-1])]))
+
+
+def _tile_routes(number: int, tile: Tile, buckets: int, length: int) -> pd.DataFrame:
+    """A tile's distinct routes by bucket; each route's mark: the top bit if two of the tile's documents have it, below it the size of its distinct blocks in quarter bits."""
+    doc, first, last, route, mark = route_runs(tile.texts, length)
+    order = np.lexsort((mark, route))
+    route, mark, own, size = route[order], mark[order], tile.owner[doc[order]], (last - first + length)[order]
+    new = np.concatenate([[True], route[1:] != route[:-1]]) if len(route) else np.zeros(0, bool)
+    head = np.flatnonzero(new)
+    if len(head):
+        size[1:][~new[1:] & (mark[1:] == mark[:-1])] = 0  # a block counts once
+        weight = np.ceil(4 * np.log2(np.add.reduceat(size, head))).astype(np.uint8)
+        twice = np.minimum.reduceat(own, head) != np.maximum.reduceat(own, head)
+    else:
+        weight, twice = np.zeros(0, np.uint8), np.zeros(0, bool)
+    route, marks = route[head], weight | (twice.astype(np.uint8) << 7)
     bucket = _mixed(route, buckets)
     order = np.argsort(bucket, kind="stable")
-    bucket, route, twice = bucket[order], route[order], twice[order]
+    bucket, route, marks = bucket[order], route[order], marks[order]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
     used = np.flatnonzero(np.diff(cuts))
-    return pd.DataFrame({"bucket": used.astype("int32"), "tile": np.full(len(used), tile, "int32"), "routes": [route[cuts[k] : cuts[k + 1]].tobytes() for k in used], "twice": [np.packbits(twice[cuts[k] : cuts[k + 1]]).tobytes() for k in used]})
+    return pd.DataFrame({"bucket": used.astype("int32"), "tile": np.full(len(used), number, "int32"), "routes": [route[cuts[k] : cuts[k + 1]].tobytes() for k in used], "marks": [marks[cuts[k] : cuts[k + 1]].tobytes() for k in used]})
 
 
-def _shared_routes(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket's routes, those of two documents or more, for each tile that has them."""
+def _shared_routes(rows: pd.DataFrame, hot_bytes: int) -> pd.DataFrame:
+    """Of a bucket's routes, those of two documents or more, for each tile that has them, and which of them are hot."""
     parts = [np.frombuffer(bytes(r), np.uint64) for r in rows["routes"]]
     route = np.concatenate(parts)
-    twice = np.concatenate([np.unpackbits(np.frombuffer(bytes(b), np.uint8), count=len(p)).astype(bool) for b, p in zip(rows["twice"], parts, strict=True)])
+    marks = np.concatenate([np.frombuffer(bytes(b), np.uint8) for b in rows["marks"]])
     order = np.argsort(route, kind="stable")
     ranked = route[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    shared = (np.diff(first, append=len(ranked)) > 1) | np.logical_or.reduceat(twice[order], first)
-    keep = np.zeros(len(route), bool)
-    keep[order] = np.repeat(shared, np.diff(first, append=len(ranked)))
-    ends = np.cumsum([len(p) for p in parts])
-    out = [p[keep[e - len(p) : e]].tobytes() for p, e in zip(parts, ends, strict=True)]
-    return pd.DataFrame({"tile": rows["tile"].astype("int32"), "shared": out})
-
-
-def _shared_runs(texts: list[bytes], shared: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """The runs whose route is shared."""
-    doc, first, last, route = route_runs(texts, length)
-    shared = np.sort(shared)
-    keep = shared[np.minimum(np.searchsorted(shared, route), max(len(shared) - 1, 0))] == route if len(shared) else np.zeros(len(route), bool)
-    return doc[keep], first[keep], last[keep], route[keep]
+    count = np.diff(first, append=len(ranked))
+    shared = (count > 1) | np.logical_or.reduceat(marks[order] > 127, first)
+    heavy = np.add.reduceat(np.exp2((marks[order] & 127) / 4), first) > hot_bytes
+    keep, hot = np.zeros(len(route), bool), np.zeros(len(route), bool)
+    keep[order], hot[order] = np.repeat(shared, count), np.repeat(heavy, count)
+    cuts = np.cumsum([0, *(len(p) for p in parts)])
+    mine = [keep[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pd.DataFrame({"tile": rows["tile"].astype("int32"), "shared": [p[k].tobytes() for p, k in zip(parts, mine, strict=True)], "hot": [np.packbits(hot[a:b][k]).tobytes() for a, b, k in zip(cuts[:-1], cuts[1:], mine, strict=True)]})
+
+
+def _shared_runs(texts: list[bytes], shared: np.ndarray, hot: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The runs whose route is shared; where it is hot, each string is a run, routed by a hash of all its bytes."""
+    doc, first, last, route, _ = route_runs(texts, length)
+    if not len(shared):
+        return doc[:0], first[:0], last[:0], route[:0]
+    order = np.argsort(shared)
+    shared, hot = shared[order], hot[order]
+    at = np.minimum(np.searchsorted(shared, route), len(shared) - 1)
+    keep = shared[at] == route
+    doc, first, last, route, hot = doc[keep], first[keep], last[keep], route[keep], hot[at[keep]]
+    if not hot.any():
+        return doc, first, last, route
+    count = np.where(hot, last - first + 1, 1)
+    place = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    hot, doc, last, route = (np.repeat(x, count) for x in (hot, doc, last, route))
+    digest = xxhash.xxh3_64_intdigest
+    route[hot] = np.fromiter((digest(texts[d][a : a + length]) for d, a in zip(doc[hot].tolist(), place[hot].tolist(), strict=True)), np.uint64, int(hot.sum()))
+    return doc, place, np.where(hot, place, last), route
 
 
 class TileBlocks:
@@ -123,47 +151,54 @@ class TileBlocks:
     place and no keys are sent.
     """
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes], shared: np.ndarray, shards: int, length: int) -> None:
-        self.doc, self.first, last, route = _shared_runs(texts, shared, length)
+    def __init__(self, tile: Tile, shared: tuple[np.ndarray, np.ndarray], shards: int, length: int) -> None:
+        self.doc, self.first, last, route = _shared_runs(tile.texts, *shared, length)
         seen: dict[bytes, int] = {}
         self.text: list[bytes] = []
         of, where, low, high = [], [], [], []
-        own, digest = ids[self.doc].tolist(), xxhash.xxh3_128_digest
-        for d, i, a, b, r in zip(self.doc.tolist(), own, self.first.tolist(), last.tolist(), _mixed(route, shards).tolist(), strict=True):
-            block = texts[d][a : b + length]
+        digest = xxhash.xxh3_128_digest
+        for d, a, b, r in zip(self.doc.tolist(), self.first.tolist(), last.tolist(), _mixed(route, shards).tolist(), strict=True):
+            block = tile.texts[d][a : b + length]
             k = seen.setdefault(digest(block), len(self.text))
             of.append(k)
             if k == len(self.text):
                 self.text.append(block)
                 where.append(r)
-                low.append(i)
-                high.append(i)
-            else:  # ids only grow
-                high[k] = i
+                low.append(d)
+                high.append(d)
+            else:  # documents come in order of id
+                high[k] = d
         self.of, self.shard = np.array(of, np.int64), np.array(where, np.int64)
-        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
+        least, most = np.array(low, np.int64), np.array(high, np.int64)
+        self.real, self.more = ~tile.none[least], tile.owner[least] != tile.owner[most]
+        self.low = np.where(self.real, tile.ids[least], NEVER)
         self.order = np.argsort(self.shard, kind="stable")  # in a shard's list, ids only grow too
         self.used, self.cuts = np.unique(self.shard[self.order], return_index=True)
         self.cuts = np.append(self.cuts, len(self.order))
 
 
-def _blocks(tile: int, ids: np.ndarray, texts: list[bytes], shared: np.ndarray, shards: int, length: int) -> pd.DataFrame:
-    """A tile's blocks by shard: sizes, smallest ids as steps, whether more documents of the tile have them, and bytes."""
-    b, press = TileBlocks(ids, texts, shared, shards, length), zstandard.ZstdCompressor(level=3)
-    out: dict[str, list] = {"shard": [], "tile": [], "lens": [], "low": [], "more": [], "text": []}
+def _blocks(number: int, tile: Tile, shared: tuple[np.ndarray, np.ndarray], shards: int, length: int) -> pd.DataFrame:
+    """A tile's blocks by shard: sizes, smallest ids as steps and whether there is one, whether more documents of the tile have them, and bytes."""
+    b, press = TileBlocks(tile, shared, shards, length), zstandard.ZstdCompressor(level=3)
+    out: dict[str, list] = {"shard": [], "tile": [], "lens": [], "low": [], "real": [], "more": [], "text": []}
     for s, x, y in zip(b.used.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
         mine = b.order[x:y]
         out["shard"].append(s)
-        out["tile"].append(tile)
+        out["tile"].append(number)
         out["lens"].append(np.array([len(b.text[k]) for k in mine], "<i4").tobytes())
         out["low"].append(np.diff(b.low[mine], prepend=0).astype("<i8").tobytes())
-        out["more"].append(np.packbits(b.high[mine] > b.low[mine]).tobytes())
+        out["real"].append(np.packbits(b.real[mine]).tobytes())
+        out["more"].append(np.packbits(b.more[mine]).tobytes())
         out["text"].append(press.compress(b"".join(b.text[k] for k in mine)))
     return pd.DataFrame(out).astype({"shard": "int32", "tile": "int32"})
 
 
-def earliest(blocks: list[bytes], low: np.ndarray, length: int) -> np.ndarray:
-    """For every string of ``length`` bytes of the blocks, in their order: the smallest ``low`` of a block that has it.
+def _bits(packed: pd.Series, counts: list[int]) -> np.ndarray:
+    return np.concatenate([np.unpackbits(np.frombuffer(bytes(x), np.uint8), count=n).astype(bool) for x, n in zip(packed, counts, strict=True)])
+
+
+def earliest(blocks: list[bytes], low: np.ndarray, real: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every string of ``length`` bytes of the blocks, in their order: the smallest ``low`` of a block that has it, and whether such a block is ``real``.
 
     One suffix array holds all blocks; strings that are equal stand side by side there,
     as their common prefixes tell.
@@ -178,16 +213,19 @@ def earliest(blocks: list[bytes], low: np.ndarray, length: int) -> np.ndarray:
     sa = sa[full[sa]]
     shared = permuted_prefixes(np.concatenate([text, np.zeros(length + 8, np.uint8)]), sa, length)
     first = np.flatnonzero(np.concatenate([[True], shared[sa[1:]] < length]))
-    least = np.empty(len(text), np.int64)
-    least[sa] = np.repeat(np.minimum.reduceat(low[block[sa]], first), np.diff(first, append=len(sa)))
-    return least[: len(block)][full[: len(block)]]
+    count, own = np.diff(first, append=len(sa)), block[sa]
+    least, known = np.empty(len(text), np.int64), np.empty(len(text), bool)
+    least[sa] = np.repeat(np.minimum.reduceat(low[own], first), count)
+    known[sa] = np.repeat(np.logical_or.reduceat(real[own], first), count)
+    return least[: len(block)][full[: len(block)]], known[: len(block)][full[: len(block)]]
 
 
 def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """For each tile, its blocks' runs of strings by the smallest id that has them, where a larger id has them too."""
     lens = [np.frombuffer(bytes(x), "<i4").astype(np.int64) for x in rows["lens"]]
     low = np.concatenate([np.frombuffer(bytes(x), "<i8").cumsum() for x in rows["low"]])
-    more = np.concatenate([np.unpackbits(np.frombuffer(bytes(x), np.uint8), count=len(n)).astype(bool) for x, n in zip(rows["more"], lens, strict=True)])
+    counts = [len(n) for n in lens]
+    real, more = _bits(rows["real"], counts), _bits(rows["more"], counts)
     at: dict[bytes, int] = {}
     numbers: list[int] = []
     unpress = zstandard.ZstdDecompressor()
@@ -197,19 +235,21 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     of = np.array(numbers, np.int64)
     own = np.full(len(at), NEVER, np.int64)
     np.minimum.at(own, of, low)
+    owned = np.zeros(len(at), bool)
+    np.logical_or.at(owned, of, real)
     blocks = list(at)
-    found = earliest(blocks, own, length)
+    found, known = earliest(blocks, own, owned, length)
     count = np.array([len(b) - length + 1 for b in blocks], np.int64)
     ends = np.cumsum(count)
-    new = np.concatenate([[True], found[1:] != found[:-1]])
+    new = np.concatenate([[True], (found[1:] != found[:-1]) | (known[1:] != known[:-1])])
     new[ends - count] = True
     turn = np.flatnonzero(new)
     run_of = np.searchsorted(ends, turn, "right")
     runs = np.searchsorted(run_of, np.arange(len(at) + 1))
     stop = np.append(turn[1:], len(found)) - (ends - count)[run_of]  # where each run ends in its block
-    least = found[turn]
-    need = more | (np.minimum.reduceat(least, runs[:-1])[of] < low)
-    out: dict[str, list] = {"tile": [], "shard": [], "n_runs": [], "stops": [], "least": []}
+    least, known = found[turn], known[turn]
+    need = more | np.where(real, np.minimum.reduceat(least, runs[:-1])[of] < low, np.logical_or.reduceat(known, runs[:-1])[of])
+    out: dict[str, list] = {"tile": [], "shard": [], "n_runs": [], "stops": [], "least": [], "known": []}
     place = 0
     for tile, ns in zip(rows["tile"], lens, strict=True):
         mine = of[place : place + len(ns)]
@@ -222,32 +262,34 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
             out["n_runs"].append(n.astype("<i4").tobytes())
             out["stops"].append(stop[pick].astype("<i4").tobytes())
             out["least"].append(least[pick].astype("<i8").tobytes())
+            out["known"].append(np.packbits(known[pick]).tobytes())
     return pd.DataFrame(out).astype({"tile": "int32", "shard": "int32"})
 
 
-def _removed(ids: np.ndarray, texts: list[bytes], shared: np.ndarray, found: pd.DataFrame, shards: int, length: int) -> list[list[tuple[int, int]]]:
+def _removed(tile: Tile, shared: tuple[np.ndarray, np.ndarray], found: pd.DataFrame, shards: int, length: int) -> list[list[tuple[int, int]]]:
     """The maximal removed runs of bytes of each text of a tile."""
-    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    spans: list[list[tuple[int, int]]] = [[] for _ in tile.texts]
     if not len(found):
         return spans
-    b = TileBlocks(ids, texts, shared, shards, length)
+    b = TileBlocks(tile, shared, shards, length)
     n_runs = np.zeros(len(b.text), np.int64)
     start = np.zeros(len(b.text), np.int64)
-    stops, least, total = [], [], 0
-    for shard, ns, ss, ls in zip(found["shard"], found["n_runs"], found["stops"], found["least"], strict=True):
+    stops, least, known, total = [], [], [], 0
+    for shard, ns, ss, ls, ks in zip(found["shard"], found["n_runs"], found["stops"], found["least"], found["known"], strict=True):
         k = int(np.searchsorted(b.used, int(shard)))
         mine, n = b.order[b.cuts[k] : b.cuts[k + 1]], np.frombuffer(bytes(ns), "<i4").astype(np.int64)
         n_runs[mine], start[mine] = n, total + np.cumsum(n) - n
         stops.append(np.frombuffer(bytes(ss), "<i4"))
         least.append(np.frombuffer(bytes(ls), "<i8"))
+        known.append(np.unpackbits(np.frombuffer(bytes(ks), np.uint8), count=len(least[-1])).astype(bool))
         total += int(n.sum())
-    stop, low = np.concatenate(stops).astype(np.int64), np.concatenate(least)
+    stop, low, real = np.concatenate(stops).astype(np.int64), np.concatenate(least), np.concatenate(known)
     n = n_runs[b.of]
     run = np.repeat(np.arange(len(n)), n)
     nth = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
     pick = start[b.of][run] + nth
     from_ = np.where(nth > 0, stop[pick - 1], 0)
-    ok = low[pick] < ids[b.doc[run]]
+    ok = np.where(tile.none[b.doc[run]], real[pick], low[pick] < tile.ids[b.doc[run]])
     at = b.first[run]
     for d, lo, hi in zip(b.doc[run][ok].tolist(), (at + from_)[ok].tolist(), (at + stop[pick] - 1 + length)[ok].tolist(), strict=True):
         mine = spans[d]
@@ -258,7 +300,7 @@ def _removed(ids: np.ndarray, texts: list[bytes], shared: np.ndarray, found: pd.
     return spans
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the bytes of each text not covered by an earlier document's strings.
 
     A byte goes if a string of ``length`` bytes over it also starts in a document of a
@@ -268,45 +310,49 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     Each string is routed by the least hash of its grams, so equal strings meet.
     Documents stand in tiles. Routes of one document only go first; of the others, runs of
     strings with one route make blocks, and each shard of routes sorts its distinct
-    blocks in one suffix array, which gives every string's earliest document. Nothing
-    but packed arrays passes between tiles and shards, and a block of many documents
-    is sent once by each tile.
+    blocks in one suffix array, which gives every string's earliest document. A route
+    whose distinct blocks exceed ``hot_bytes`` would crowd one shard; its strings are dealt
+    one by one, by a hash of all their bytes. Nothing but packed arrays passes between
+    tiles and shards, and a block of many documents is sent once by each tile.
 
     Null texts are empty; rows with one id never remove from each other; rows without
-    an id count as later than all others; texts under ``length`` bytes stay whole; other
-    columns are left out; an empty table gives an empty result.
+    an id count as later than all others, and never remove from each other; texts under
+    ``length`` bytes stay whole, and texts of any length are taken whole; other columns are
+    left out; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
+    key = F.col(id_col).cast("long")
+    rows = docs.select(F.coalesce(key, F.lit(0).cast("long")).alias("doc_id"), key.isNull().alias("none"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
     size = rows.agg(F.sum(F.octet_length("data")).alias("n")).first()["n"] or 0
     tiles, buckets, shards = (int(-(-size // each)) or 1 for each in (TILE_BYTES, BUCKET_BYTES, SHARD_BYTES))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("doc_id", "data"), F.lit(tiles)).cast("int")).select("tile", "doc_id", "data")
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("doc_id", "data"), F.lit(tiles)).cast("int")).select("tile", "doc_id", "none", "data")
     by_tile = rows.groupBy("tile")
 
     def routes(part: pd.DataFrame) -> pd.DataFrame:
-        return _tile_routes(int(part["tile"].iloc[0]), *_tile(part), buckets, length)
+        return _tile_routes(int(part["tile"].iloc[0]), Tile(part), buckets, length)
 
     def blocks(part: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-        if not len(part):
-            part = part.head(0)
-        return _blocks(int(part["tile"].iloc[0]), *_tile(part), _joined(shared), shards, length)
+        return _blocks(int(part["tile"].iloc[0]), Tile(part), _joined(shared), shards, length)
 
     def finish(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        ids, texts = _tile(part)
-        spans = _removed(ids, texts, _joined(found[found["shared"].notna()]), found[found["n_runs"].notna()], shards, length)
+        tile = Tile(part)
+        spans = _removed(tile, _joined(found[found["shared"].notna()]), found[found["n_runs"].notna()], shards, length)
         kept = []
-        for text, cut in zip(texts, spans, strict=True):
+        for text, cut in zip(tile.texts, spans, strict=True):
             ends = [0, *(x for s in cut for x in s), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)))
-        return pd.DataFrame({"doc_id": [None if i == NEVER else int(i) for i in ids], "n_bytes": [len(t) for t in texts], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans], "kept": kept}).astype({"doc_id": "Int64"})
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(tile.ids, tile.none), "n_bytes": [len(t) for t in tile.texts], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans], "kept": kept})
 
-    all_routes = by_tile.applyInPandas(routes, "bucket int, tile int, routes binary, twice binary")
-    shared = all_routes.groupBy("bucket").applyInPandas(_shared_routes, "tile int, shared binary")
-    sent = by_tile.cogroup(shared.groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, more binary, text binary")
-    found = sent.groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary")
+    all_routes = by_tile.applyInPandas(routes, "bucket int, tile int, routes binary, marks binary")
+    shared = all_routes.groupBy("bucket").applyInPandas(lambda part: _shared_routes(part, hot_bytes), "tile int, shared binary, hot binary")
+    sent = by_tile.cogroup(shared.groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, real binary, more binary, text binary")
+    found = sent.groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary, known binary")
     back = found.unionByName(shared, allowMissingColumns=True)
     return by_tile.cogroup(back.groupBy("tile")).applyInPandas(finish, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 
 
-def _joined(shared: pd.DataFrame) -> np.ndarray:
+def _joined(shared: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A tile's shared routes and which of them are hot."""
+    if not len(shared):
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
     parts = [np.frombuffer(bytes(s), np.uint64) for s in shared["shared"]]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return np.concatenate(parts), _bits(shared["hot"], [len(p) for p in parts])
