@@ -21,6 +21,20 @@ def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Copies of one key that are more than one in so many rows are joined by broadcast.
+HOT_SHARE = 2000
+
+
+def join_copies(rows: DataFrame, classes: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``classes``, which has each ``key`` once with its number of ``copies`` among the ``total`` rows.
+
+    Fewer than HOT_SHARE keys can have so many copies that they crowd a task; those are broadcast.
+    """
+    many = F.col("copies") > total / HOT_SHARE
+    hot = F.broadcast(classes.where(many))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(classes.where(~many), key))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows that no model may learn from: crc32 of the id as text leaves 1 mod 3."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))

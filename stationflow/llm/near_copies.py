@@ -1,8 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: banded MinHash candidates, compared exactly."""
+"""Near-duplicates by the Jaccard similarity of word shingles: families from the SimHash tries, compared exactly."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -10,16 +11,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, per_row, staged
+from stationflow.llm.common import ids_and_text, join_copies, per_row, staged
 from stationflow.llm.graph import connected_components
+from stationflow.llm.simhash_dedup import _settle, near_links
 
 SHINGLE = 5
 JACCARD = 0.8
-#: Two texts at JACCARD agree in all minima of some band with probability 1 - (1 - 0.8 ** 5) ** 28 = 0.99998.
-BANDS, MINIMA = 28, 5
+#: Fingerprint words of 64 bits, and bits that may differ in one. At JACCARD a bit differs with probability 0.151, so
+#: a pair agrees in a whole block of a word and within the budget with 0.44, and in none of ten words with 0.003.
+WORDS, MAX_BITS = 10, 11
 SEED = 42
-_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
-_TURN = np.random.default_rng(SEED + 1).integers(0, 1 << 63, max(SHINGLE, MINIMA), np.uint64) * np.uint64(2) + np.uint64(1)
+#: Texts, and bytes of shingle hashes, of one part of a family; two parts meet in a task.
+PART_TEXTS, PART_BYTES = 512, 8 << 20
+COLUMNS = 4096
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
+_TURN = np.random.default_rng(SEED + 1).integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -51,32 +57,25 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def band_keys(sets: np.ndarray) -> np.ndarray:
-    """One key for each band; equal if all of the band's minima are."""
-    least = np.full(len(_ODD), np.iinfo(np.uint64).max)
-    for at in range(0, len(sets), 1024):
-        np.minimum(least, (sets[at : at + 1024, None] * _ODD).min(0), out=least)
-    h = np.arange(BANDS, dtype=np.uint64)
-    for k in range(MINIMA):
-        h = _mixed(h + least[k::MINIMA] * _TURN[k])
-    return h
+def long_fingerprint(found: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of hashes in WORDS words of 64 bits."""
+    votes = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(found), 512):
+        bits = np.unpackbits(_mixed(found[at : at + 512, None] * _ODD).astype(">u8").view(np.uint8), axis=1)
+        votes += bits.sum(0, dtype=np.uint16)
+    return np.packbits(2 * votes > len(found)).view(">u8").astype(np.uint64).view(np.int64)
 
 
 def _marks(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, n, keys`` of every row: its words' hash, how many shingles, and its bands."""
+    """``doc_id, mark, n, fps`` of every row: its words' hash, how many shingles, and its fingerprint."""
 
     def run(ids: list, texts: list) -> tuple[list, ...]:
-        marks, sizes, keys = [], [], []
-        for text in texts:
-            words = words_of(text)
-            found = shingles(words)
-            marks.append(mark_of(words))
-            sizes.append(len(found))
-            keys.append(band_keys(found).view(np.int64) if len(found) else [])
-        return ids, np.array(marks, np.uint64).view(np.int64), sizes, keys
+        words = [words_of(t) for t in texts]
+        sets = [shingles(w) for w in words]
+        return ids, np.array([mark_of(w) for w in words], np.uint64).view(np.int64), [len(s) for s in sets], [long_fingerprint(s) for s in sets]
 
-    kinds = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
-    return per_row(docs, run, "doc_id long, mark long, n int, keys array<long>", kinds)
+    kinds = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("fps", pa.list_(pa.int64()))])
+    return per_row(docs, run, "doc_id long, mark long, n int, fps array<long>", kinds)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -89,69 +88,96 @@ def _sets(docs: DataFrame) -> DataFrame:
     return per_row(docs, run, "mark long, shingles binary", pa.schema([("mark", pa.int64()), ("shingles", pa.binary())]))
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float = JACCARD) -> bool:
-    """Whether two sorted sets have a Jaccard similarity of ``least`` or more."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common >= least * (len(a) + len(b) - common) - 1e-9
-
+def similar_classes(sets: list[np.ndarray], least: float = JACCARD) -> np.ndarray:
+    """The class of each set under links of a Jaccard similarity of ``least`` or more, as its first place.
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``src, dst`` that are similar; sets meet by mark."""
-    both = pairs.join(sets.toDF("src", "a"), "src").join(sets.toDF("dst", "b"), "dst").select("src", "dst", "a", "b")
+    Common hashes are counted for all pairs at once, as the product of the incidence matrix with
+    itself, a slice of columns at a time.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    found, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    many = np.repeat(np.bincount(column) > 1, np.bincount(column))
+    column, owner = column[many], owner[many]
+    column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]])) if len(column) else column
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[a:b], column[a:b] - at] = 1
+        common += has @ has.T
+    near = np.triu(common >= least * (size[:, None] + size - common) - 1e-6, 1)
+    label = np.arange(len(sets))
+    _settle(label, *np.nonzero(near))
+    return label
+
+
+def _compared(families: DataFrame) -> DataFrame:
+    """Links ``src, dst`` that join what is similar within each ``root, a, b`` of the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(k) for k in (2, 3))
-            good = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(a, b, strict=True)]
-            kept = batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(kept.columns, ["src", "dst"])
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for _, group in groupby(rows, key=lambda r: r[:3]):
+            marks, sets = zip(*((r[3], np.frombuffer(r[4], np.uint64)) for r in group), strict=True)
+            if len(marks) > 1:
+                marks, label = np.array(marks, np.int64), similar_classes(list(sets))
+                moved = np.flatnonzero(label != np.arange(len(label)))
+                yield pa.RecordBatch.from_arrays([pa.array(marks[moved]), pa.array(marks[label[moved]])], ["src", "dst"])
 
-    return both.mapInArrow(run, "src long, dst long")
+    keys = ("root", "a", "b")
+    return families.select(*keys, "mark", "shingles").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
 
 
 def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, component_id`` for every row of ``docs``; the least id of those linked by similar texts.
 
-    Texts that share a band are compared exactly: first each with the band's least
-    one, then, where a band still has texts of several components, each with each
-    of the other components, if their sizes allow the similarity. No pair that
-    shares a band is left out unless it is in one component already.
+    Texts whose SimHash agrees in a whole block of some word, within MAX_BITS there, make up
+    families: each word's tries are joined with themselves under that budget, and only
+    forests leave their tasks. Within its family every text is then compared exactly with
+    every other. A family of many texts is dealt into parts, two of which meet in a task, so
+    no task holds more than two parts and no pairs are written.
     """
     texts = ids_and_text(docs, id_col, text_col)
     marks = staged(_marks(texts))
-    firsts = staged(marks.groupBy("mark").agg(F.min("doc_id").alias("first_id")))
-    rows = staged(marks.select("mark", "n", "keys").dropDuplicates(["mark"]).select("mark", "n", F.explode("keys").alias("key")))
-    # only what shares a band goes on
-    bands = rows.groupBy("key").agg(F.min(F.struct("mark", "n")).alias("least"), F.count("*").alias("many")).where("many > 1")
-    shared = staged(rows.join(bands, "key").select("key", "mark", "n", "least"))
-    small, large = F.least("n", "least.n"), F.greatest("n", "least.n")
-    stars = staged(shared.where((F.col("mark") != F.col("least.mark")) & (small >= JACCARD * large - 1e-6)).select(F.col("mark").alias("src"), F.col("least.mark").alias("dst")).distinct())
-    needed = shared.select("mark").distinct()
-    wanted = marks.join(needed, "mark", "left_semi").groupBy("mark").agg(F.min("doc_id").alias("doc_id"))
-    sets = staged(_sets(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")).join(needed, "mark", "left_semi").dropDuplicates(["mark"]))
-    links = staged(_confirmed(stars, sets))
-    # bands whose texts are not yet one component
+    firsts = staged(marks.groupBy("mark").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("fps").alias("fps")))
+    words = firsts.where("n > 0").select(F.col("mark").alias("node"), F.posexplode("fps").alias("word", "fp"))
+    family = staged(connected_components(near_links(words, MAX_BITS)).join(firsts, F.col("node") == F.col("mark")).select("mark", "root", "n", "first_id"))
+    parts = F.greatest(F.ceil(F.count("*") / PART_TEXTS), F.ceil(F.sum("n") * 8 / PART_BYTES)).cast("int")
+    sizes = family.groupBy("root").agg(parts.alias("parts"))
+    wanted = family.select(F.col("first_id").alias("doc_id")).distinct()
+    sets = _sets(texts.join(wanted, "doc_id", "left_semi")).dropDuplicates(["mark"])  # rows of one id may have several texts
+    dealt = family.join(sizes, "root").join(sets, "mark").withColumn("mine", F.pmod(F.xxhash64("mark"), "parts").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    links = _compared(dealt.select("root", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mark", "shingles"))
     roots = staged(connected_components(links))
-    classed = shared.join(roots.toDF("mark", "root"), "mark", "left").select("key", "mark", "n", F.coalesce("root", "mark").alias("class"))
-    mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
-    left = staged(classed.join(mixed, "key"))
-    a, b = left.toDF("key", "src", "n1", "class1"), left.toDF("key", "dst", "n2", "class2")
-    fits = F.least("n1", "n2") >= JACCARD * F.greatest("n1", "n2") - 1e-6
-    pairs = a.join(b, "key").where((F.col("src") > F.col("dst")) & (F.col("class1") != F.col("class2")) & fits).select("src", "dst").distinct()
-    pairs = pairs.join(stars, ["src", "dst"], "left_anti")  # these were compared
-    more = staged(_confirmed(staged(pairs), sets))
-    roots = staged(connected_components(links.unionByName(more)))
-    linked = roots.join(firsts, roots["node"] == firsts["mark"]).select("node", "root", "first_id")
+    linked = roots.join(firsts, F.col("node") == F.col("mark")).select("mark", "root", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = firsts.join(linked.join(least, "root").select(F.col("node").alias("mark"), "component_id"), "mark", "left")
-    return marks.select("doc_id", "mark").join(classes, "mark").select("doc_id", F.coalesce("component_id", "first_id").alias("component_id"))
+    classes = staged(firsts.join(linked.join(least, "root").select("mark", "component_id"), "mark", "left").select("mark", "copies", F.coalesce("component_id", "first_id").alias("component_id")))
+    return join_copies(marks.select("doc_id", "mark"), classes, "mark", marks.count()).select("doc_id", "mark", "component_id")
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its near copies, once each; all columns stay.
 
-    Rows without an id cannot be told apart and stay.
+    Of several rows with one id, those whose own text is not a copy of a smaller id's count, and of
+    these the first in order of text, then of the other columns, stays. Rows without an id
+    cannot be told apart and stay. Null and empty texts are copies of each other; an empty table
+    gives an empty result.
     """
-    first = near_copy_roots(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(first, docs[id_col] == first["__kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    known = docs.where(F.col(id_col).isNotNull())
+    roots = staged(near_copy_roots(known, id_col, text_col))
+    key = F.col(id_col).cast("long") == F.col("__id")
+    twice = roots.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id")
+    gone = roots.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"))
+    once = known.join(gone.unionByName(twice).distinct(), key, "left_anti")
+    # rows of one id are told apart by their texts
+    mark = F.pandas_udf(lambda texts: texts.map(lambda t: int(np.uint64(mark_of(words_of(t))).astype(np.int64))), "long")
+    firsts = roots.where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__m")).distinct()
+    rows = known.join(twice, key, "left_semi").withColumn("__mark", mark(F.col(text_col).cast("string")))
+    rows = rows.join(firsts, key & (F.col("__mark") == F.col("__m")), "left_semi")
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    whole = F.struct(*docs.columns)
+    picked = rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.struct(text_col, *plain)).alias("__row")).select("__row.*")
+    return once.unionByName(picked).unionByName(docs.where(F.col(id_col).isNull()))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, per_row, staged
+from stationflow.llm.common import ids_and_text, join_copies, per_row, staged
 from stationflow.llm.graph import connected_components
 
 SHINGLE = 4
@@ -21,8 +21,6 @@ SEED = 42
 BLOCK_ENDS = (13, 26, 39, 52, 64)
 #: A trie node with more fingerprints than this is dealt out as pairs of its 8 grandchildren.
 HOT_NODE = 100_000
-#: Copies of one fingerprint that are more than one in so many rows are joined by broadcast.
-HOT_SHARE = 2000
 LEAF = 24
 PAIRS_AT_ONCE = 1 << 20
 
@@ -124,21 +122,22 @@ def trie_links(v: np.ndarray, roots: list[tuple[int, int, int, int]], depth: int
 
 
 def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NODE) -> DataFrame:
-    """``src, dst``: links that join all distinct fingerprints ``fp`` within ``max_bits`` bits.
+    """``src, dst``: links between the nodes of ``fps`` (``node, fp``, and ``word`` if there are several) that join all whose fingerprints are near.
 
     A fingerprint enters one trie for each block, turned so that the block comes
-    first, and only pairs that agree in that block are followed there. What leaves a
-    task is a forest of its classes, never all pairs. A block value with more than
-    ``hot_node`` fingerprints is dealt out as pairs of subtrees three bits below.
+    first, and only pairs that agree in that block are followed there: within ``max_bits``
+    of 4 or fewer these are all near pairs, of a larger budget those that some whole block
+    leaves alone. What leaves a task is a forest of its classes, never all pairs. A block value
+    with more than ``hot_node`` fingerprints is dealt out as pairs of subtrees three bits below.
+    Fingerprints of different ``word`` never meet.
     """
-    if max_bits >= len(BLOCK_ENDS):
-        raise ValueError(f"at most {len(BLOCK_ENDS) - 1} differing bits")
     starts = (0, *BLOCK_ENDS[:-1])
-    turned = [F.struct(F.lit(k).alias("trie"), (F.shiftleft("fp", s).bitwiseOR(F.shiftrightunsigned("fp", 64 - s)) if s else F.col("fp")).alias("key")) for k, s in enumerate(starts)]
-    width = F.when(F.col("trie") == len(starts) - 1, BLOCK_ENDS[-1] - BLOCK_ENDS[-2]).otherwise(BLOCK_ENDS[0])
-    rows = fps.select(F.explode(F.array(*turned)).alias("t")).select("t.*").withColumn("block", F.expr("shiftrightunsigned(key, 51)"))
+    word = F.col("word") if "word" in fps.columns else F.lit(0)
+    turned = [F.struct((word * len(starts) + k).cast("int").alias("trie"), (F.shiftleft("fp", s).bitwiseOR(F.shiftrightunsigned("fp", 64 - s)) if s else F.col("fp")).alias("key")) for k, s in enumerate(starts)]
+    width = F.when(F.col("trie") % len(starts) == len(starts) - 1, BLOCK_ENDS[-1] - BLOCK_ENDS[-2]).otherwise(BLOCK_ENDS[0])
+    rows = fps.select("node", F.explode(F.array(*turned)).alias("t")).select("node", "t.*").withColumn("block", F.expr("shiftrightunsigned(key, 51)"))
     rows = rows.withColumn("block", F.when(width == 12, F.col("block").bitwiseAND(F.lit(~1))).otherwise(F.col("block")))
-    sizes = rows.groupBy("trie", "block").agg(F.count("*").alias("n"))  # 5 * 8192 rows at most
+    sizes = rows.groupBy("trie", "block").agg(F.count("*").alias("n"))  # 5 * 8192 rows for each word at most
     below = F.when(width == 12, F.shiftrightunsigned("key", 49)).otherwise(F.shiftrightunsigned("key", 48))  # right under the block
     child = below.bitwiseAND(F.lit(7))
     low, high = F.least(F.col("o"), F.col("child")), F.greatest(F.col("o"), F.col("child"))
@@ -146,7 +145,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
         rows.join(F.broadcast(sizes.where(F.col("n") > hot_node)), ["trie", "block"], "left")
         .withColumn("child", child)
         .withColumn("o", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long")))))
-        .select("trie", "block", F.when(F.col("o") < 0, F.lit(-1)).otherwise(low * 8 + high).cast("int").alias("part"), "key")
+        .select("trie", "block", F.when(F.col("o") < 0, F.lit(-1)).otherwise(low * 8 + high).cast("int").alias("part"), "key", "node")
         .repartition("trie", "block", "part")
     )
 
@@ -154,27 +153,36 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
         whole = pa.Table.from_batches(batches)
         if not whole.num_rows:
             return
-        trie, part, key = (whole.column(c).to_numpy() for c in ("trie", "part", "key"))
-        key = key.view(np.uint64)
-        for k in range(len(starts)):
-            deep = (BLOCK_ENDS[k] - starts[k],)[0]
-            for q in np.unique(part[trie == k]):
-                v = np.sort(key[(trie == k) & (part == q)])
-                top = v >> np.uint64(64 - deep)
-                lo = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
-                hi = np.append(lo[1:], len(v))
-                if q < 0 or q // 8 == q % 8:
-                    roots = list(zip(lo, hi, lo, hi, strict=True))
-                else:  # two subtrees of a hot node, against each other
-                    second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(61 - deep)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
-                    roots = [(l, m, m, h) for l, m, h in zip(lo, second, hi, strict=True) if l < m < h]
-                label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits)
-                own = np.flatnonzero(label != np.arange(len(v)))
-                s = starts[k]
-                back = (v << np.uint64(64 - s)) | (v >> np.uint64(s)) if s else v
-                yield pa.RecordBatch.from_arrays([pa.array(back[own].view(np.int64)), pa.array(back[label[own]].view(np.int64))], ["src", "dst"])
-
-    return rows.select("trie", "part", "key").mapInArrow(run, "src long, dst long")
+        trie, part, key, node = (whole.column(c).to_numpy() for c in ("trie", "part", "key", "node"))
+        order = np.lexsort((node, key.view(np.uint64), part, trie))
+        trie, part, key, node = trie[order], part[order], key[order].view(np.uint64), node[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (trie[1:] != trie[:-1]) | (part[1:] != part[:-1])]))
+        for x, y in zip(cuts, np.append(cuts[1:], len(trie)), strict=True):
+            k, q = int(trie[x]) % len(starts), int(part[x])
+            v, own = key[x:y], node[x:y]
+            new = np.concatenate([[True], v[1:] != v[:-1]])
+            head = np.flatnonzero(new)
+            first = own[head]
+            yield _links(own[~new], first[np.cumsum(new)[~new] - 1])  # equal fingerprints
+            v = v[head]
+            deep = BLOCK_ENDS[k] - starts[k]
+            top = v >> np.uint64(64 - deep)
+            lo = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
+            hi = np.append(lo[1:], len(v))
+            if q < 0 or q // 8 == q % 8:
+                roots = list(zip(lo, hi, lo, hi, strict=True))
+            else:  # two subtrees of a hot node, against each other
+                second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(61 - deep)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
+                roots = [(l, m, m, h) for l, m, h in zip(lo, second, hi, strict=True) if l < m < h]
+            label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits)
+            moved = np.flatnonzero(label != np.arange(len(v)))
+            yield _links(first[moved], first[label[moved]])
+
+    return rows.select("trie", "part", "key", "node").mapInArrow(run, "src long, dst long")
+
+
+def _links(src: np.ndarray, dst: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -187,24 +195,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     get their component's smallest id (null if it has none); other columns are
     left out; an empty table gives an empty result.
     """
+    if max_bits >= len(BLOCK_ENDS):
+        raise ValueError(f"at most {len(BLOCK_ENDS) - 1} differing bits can be found without loss")
     marks = staged(fingerprints(docs, id_col, text_col, shingle))
     fps = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    roots = staged(connected_components(near_links(fps, max_bits)))
+    roots = staged(connected_components(near_links(fps.select("fp", F.col("fp").alias("node")), max_bits)))
     least = fps.join(roots, fps["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id", "n")
     classes = staged(fps.join(linked, "fp", "left").select("fp", "copies", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce(F.col("n") - 1, F.lit(0)).alias("n_links")))
-    # fewer than HOT_SHARE fingerprints can have so many copies; those are broadcast, so no task gets a third of all rows
-    many = F.col("copies") > marks.count() / HOT_SHARE
-    hot = F.broadcast(classes.where(many))
-    rest = marks.join(hot.select("fp"), "fp", "left_anti").join(classes.where(~many), "fp")
-    return marks.join(hot, "fp").unionByName(rest).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, once each; all its columns stay.
-
-    Rows without an id cannot be told apart and stay.
-    """
-    first = simhash_components(docs, id_col, text_col, **how).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(first, docs[id_col] == first["__kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    found = join_copies(marks, classes, "fp", marks.count())
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")

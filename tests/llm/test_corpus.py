@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stationflow.llm import ann, chat_format, decontaminate, language_id, license_scan, packing, quality, queries, secret_scan, simhash_dedup, suffix_arrays, suffix_dedup
+from stationflow.llm import ann, chat_format, decontaminate, language_id, license_scan, near_copies, packing, quality, queries, secret_scan, simhash_dedup, suffix_arrays, suffix_dedup
 
 WORDS = "the of and to in that is was for on with as it by from at this are be have or an they which one you were all her she there would their we him been has when who will no more if out so what up said about than into them can only other time new some could these two may first then do".split()
 
@@ -74,7 +74,7 @@ def test_trie_links(spark, hot):
     seeds = [rng.getrandbits(64) for _ in range(6)]
     v = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for s in seeds for _ in range(12)})
     signed = [x - (1 << 64) if x >> 63 else x for x in v]
-    links = simhash_dedup.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), hot_node=hot).collect()
+    links = simhash_dedup.near_links(spark.createDataFrame([(x, x) for x in signed], "node long, fp long"), hot_node=hot).collect()
     at = {x: i for i, x in enumerate(signed)}
     label = np.arange(len(v))
     simhash_dedup._settle(label, np.array([at[r.src] for r in links]), np.array([at[r.dst] for r in links]))
@@ -89,13 +89,34 @@ def test_links_of_a_hot_last_block(spark):
         v |= {x, x ^ (1 << 63 - rng.randint(1, 3)) ^ (1 << 63 - rng.randint(13, 25)) ^ (1 << 63 - rng.randint(26, 38)) ^ (1 << 63 - rng.randint(39, 51))}
     v = sorted(v)
     signed = [x - (1 << 64) if x >> 63 else x for x in v]
-    links = simhash_dedup.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), hot_node=10).collect()
+    links = simhash_dedup.near_links(spark.createDataFrame([(x, x) for x in signed], "node long, fp long"), hot_node=10).collect()
     at = {x: i for i, x in enumerate(signed)}
     label = np.arange(len(v))
     simhash_dedup._settle(label, np.array([at[r.src] for r in links], int), np.array([at[r.dst] for r in links], int))
     assert label.tolist() == brute_labels(v, 4)
 
 
+def test_components_against_brute_force(spark, tmp_path):
+    """The registered query: fingerprints, and components over all pairs."""
+    rng = random.Random(21)
+    base = [prose(rng, 80).split() for _ in range(12)]
+    rows = []
+    for k in range(90):
+        words = list(rng.choice(base))
+        if rng.random() < 0.6:
+            words[rng.randrange(len(words))] = "zebra"
+        rows.append((rng.randrange(200), " ".join(words)))
+    rows += [(500, None), (501, ""), (502, "\t"), (None, rows[0][1]), (rows[3][0], rows[4][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"fp": F.lit("x"), "copies": F.lit(0), "node": F.lit(1)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [naive_fingerprint(t) for _, t in rows]
+    label = brute_labels(marks, 4)
+    ids = {c: min((d for (d, _), o in zip(rows, label, strict=True) if o == c and d is not None), default=None) for c in set(label)}
+    want = sorted(((d, f"{m:016x}", ids[c]) for (d, _), m, c in zip(rows, marks, label, strict=True)), key=repr)
+    got = queries.op9_simhash_dedup(spark, str(tmp_path)).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == want
+
+
 def test_simhash_odd(spark, odd, none):
     got = simhash_dedup.simhash_components(odd).collect()
     assert len(got) == 9
@@ -103,9 +124,6 @@ def test_simhash_odd(spark, odd, none):
     assert by[1].component_id == by[2].component_id == by[7].component_id == 1 and by[1].fingerprint == "0" * 16
     assert by[5].component_id == 4
     assert by[None].component_id is None
-    kept = simhash_dedup.keep_one(odd)
-    assert kept.columns == odd.columns
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect())[:4] == [(False, 1), (False, 3), (False, 4), (False, 8)]
     assert simhash_dedup.simhash_components(none).count() == 0
 
 
@@ -449,6 +467,51 @@ def test_pipeline(spark, small_dir):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
 
 
+def jaccard_labels(texts, least=0.8):
+    grams = []
+    for t in texts:
+        w = t.lower().split()
+        grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(texts)))
+    for _ in range(len(texts)):
+        before = list(label)
+        for i in range(len(texts)):
+            for j in range(i):
+                a, b = grams[i], grams[j]
+                if (a == b) or (a and b and len(a & b) >= least * len(a | b)):
+                    label[i] = label[j] = min(label[i], label[j])
+        if before == label:
+            break
+    return label
+
+
+def test_near_copies_against_brute_force(spark, monkeypatch):
+    rng = random.Random(31)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(rng.choice([3, 40, 150, 300]))] for _ in range(8)]
+    texts = []
+    for k in range(120):
+        words = list(rng.choice(base))
+        for at in rng.sample(range(len(words)), min(len(words), rng.randrange(5))):
+            words[at] = f"v{rng.randrange(3000)}"
+        texts.append(" ".join(words))
+    label = jaccard_labels(texts)
+    docs = rows_of(spark, list(enumerate(texts)), True)
+    for size in (512, 7):  # whole families, and families in parts
+        monkeypatch.setattr(near_copies, "PART_TEXTS", size)
+        got = {r.doc_id: r.component_id for r in near_copies.near_copy_roots(docs).collect()}
+        assert [got[k] for k in range(len(texts))] == label
+
+
+def test_kept_rows_of_one_id(spark, none):
+    rng = random.Random(8)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    docs = spark.createDataFrame([(1, a, 1), (2, a, 2), (2, b, 3), (3, c, 5), (3, c, 4), (4, b, 6), (None, a, 7), (None, a, 7)], "doc_id int, text string, extra int")
+    got = near_copies.keep_one_copy(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, a, 1), (2, b, 3), (3, c, 4), (None, a, 7), (None, a, 7)], key=repr)
+    assert near_copies.keep_one_copy(none).count() == 0
+
+
 def test_stage_drops_edited_copies(spark, small_dir):
     import corpus_pipeline
 
