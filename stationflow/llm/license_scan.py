@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -44,6 +45,7 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
@@ -65,6 +67,9 @@ class Templates:
         self.base = len(self.vocab) + 1
         self.bags = [Counter(self.codes(np.array([self.vocab[w] for w in words])).tolist()) for _, words in texts]
         self.size = np.array([sum(b.values()) for b in self.bags], np.int64)
+        #: windows that can reach the threshold have no fewer and no more bigrams than this, however alike they are
+        self.least = np.ceil(self.size * dice / (2 - dice) - 1e-9).astype(np.int64)
+        self.most = np.floor(self.size * (2 - dice) / dice + 1e-9).astype(np.int64)
         pairs = sorted((code, k) for k, bag in enumerate(self.bags) for code in bag)
         self.code, self.of = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
 
@@ -100,44 +105,57 @@ class Templates:
         kind = self.of[np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
         spot = np.repeat(spots, count)
         doc = np.searchsorted(first, spot, "right") - 1
-        # sorted by document, template and place, so that a window's hits are a range
+        # the hits of one document and template, in order of place
         group = doc * len(self.names) + kind
         order = np.lexsort((spot, group))
         spot, group, kind, doc = spot[order], group[order], kind[order], doc[order]
-        wide = np.int64(len(words) + int(self.size.max()) + 1)
-        key = group * wide + spot
-        size, last = self.size[kind], first[doc + 1] - 2  # of bigrams, a document's last starts before its last word
+        # a window needs as many hits as its least size, within its greatest size
+        last = np.arange(len(spot)) + self.least[kind] - 1
+        fits = last < len(spot)
+        last = np.minimum(last, len(spot) - 1)
+        begins = np.flatnonzero(fits & (group[last] == group) & (spot[last] - spot < self.most[kind]))
         found: dict[int, list[tuple]] = {}
-        for start in (spot, spot - size + 1):  # windows that begin, and that end, at a hit
-            a = np.maximum(start, first[doc])
-            b = np.minimum(start + size, last)
-            width = b - a
-            hits = np.searchsorted(key, group * wide + b) - np.searchsorted(key, group * wide + a)
-            # the size bound, and what the hits could give at most
-            keep = (width * (2 - self.dice) >= self.dice * size) & (2 * np.minimum(hits, size) >= self.dice * (width + size))
-            for d, k, s, e in np.unique(np.stack([doc, kind, a, b], 1)[keep], axis=0).tolist():
-                bag = Counter(codes[s:e].tolist())
-                common = sum(min(n, bag[c]) for c, n in self.bags[k].items())
-                score = 2 * common / (e - s + int(self.size[k]))
-                if score >= self.dice:
-                    found.setdefault(d, []).append((-score, -int(self.size[k]), s, k, e))
+        for i, d, k in zip(begins.tolist(), doc[begins].tolist(), kind[begins].tolist(), strict=True):
+            stop = i + int(np.searchsorted(group[i : i + int(self.most[k])], group[i], "right"))
+            stop = i + int(np.searchsorted(spot[i:stop], spot[i] + self.most[k]))
+            best = self._best(codes[spot[i:stop]].tolist(), (spot[i:stop] - spot[i] + 1).tolist(), k)
+            if best:
+                found.setdefault(d, []).append((-best[0], -int(self.size[k]), int(spot[i]), k, int(spot[i]) + best[1]))
         for d in sorted(found):
             taken: list[tuple[int, int]] = []
-            for score, _, s, k, e in sorted(set(found[d])):
-                if not any(s <= y and x <= e for x, y in taken):
-                    taken.append((s, e))
+            for score, _, s, k, e in sorted(found[d]):
+                at = bisect_left(taken, (s, e))
+                if (at == 0 or taken[at - 1][1] < s) and (at == len(taken) or taken[at][0] > e):
+                    taken.insert(at, (s, e))
                     yield rows[d], k, -score, s - int(first[d]), e - s + 1
 
+    def _best(self, codes: list[int], widths: list[int], k: int) -> tuple[float, int] | None:
+        """Of the windows from the first hit to each later one, given their bigrams: the best Dice and its size; the shorter of equal ones."""
+        bag, size, least = self.bags[k], int(self.size[k]), int(self.least[k])
+        seen: dict[int, int] = {}
+        common, best = 0, None
+        for code, width in zip(codes, widths, strict=True):
+            n = seen[code] = seen.get(code, 0) + 1
+            if n <= bag[code]:
+                common += 1
+                if width >= least and (score := 2 * common / (width + size)) >= self.dice - 1e-12 and (best is None or score > best[0]):
+                    best = score, width
+        return best
+
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, dice: float = DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, license, dice, word_start, n_words``, one row for each licence notice of each whole text.
 
-    Texts and templates are lower-cased runs of letters and digits. Windows as long as
-    a template that begin or end at one of its bigrams are compared with it if their size and
-    their shared bigrams allow ``dice``; of windows that overlap, the closest stays, then the
-    longer template's, then the first. Null and empty texts have no notice; repeated rows are
-    scanned once each; other columns are left out; an empty table gives an empty result.
-    ``templates`` is a list the caller holds, so what goes to the executors is as small.
+    Texts and templates are lower-cased runs of letters and digits. A window of w bigrams reaches
+    ``dice`` against a template of t only if w lies between t d / (2 - d) and t (2 - d) / d;
+    all windows of these sizes that begin and end at a bigram of the template count, as one that
+    doesn't is less alike than what remains without its ends. A template is passed over
+    where too few of its bigrams lie near. Of each place's windows the closest is taken (the
+    shorter of equals); of windows that overlap, the closest stays, then the longer template's,
+    then the first. Null and empty texts have no notice; rows without an id are scanned too, with a null id;
+    repeated rows are scanned once each; whole texts are scanned; other columns are left out; an
+    empty table gives an empty result. ``templates`` is a list the caller holds, so what goes to
+    the executors is as small.
     """
     index = Templates(templates, dice)
 

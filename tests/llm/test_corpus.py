@@ -6,6 +6,7 @@ import json
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -408,6 +409,59 @@ def test_licenses(spark, odd, none):
     assert license_scan.scan_licenses(odd).count() == 0 and license_scan.scan_licenses(none).count() == 0
 
 
+def naive_notices(text, templates, least=0.8):
+    """Dice of all windows that begin and end at a bigram of a template; each place's best; the closest of those that overlap."""
+    pairs = lambda w: list(zip(w, w[1:], strict=False))
+    words, found = license_scan.words_of(text), []
+    for name, template in templates:
+        want = Counter(pairs(license_scan.words_of(template)))
+        t, grams = sum(want.values()), pairs(words)
+        for s in range(len(grams)):
+            best = None
+            for e in range(s + 1, len(grams) + 1):
+                if grams[s] in want and grams[e - 1] in want:
+                    common = sum((Counter(grams[s:e]) & want).values())
+                    score = 2 * common / (e - s + t)
+                    if score >= least - 1e-12 and (best is None or score > best[0]):
+                        best = score, e
+            if best:
+                found.append((-best[0], -t, s, name, best[1]))
+    out = []
+    for score, _, s, name, e in sorted(found):
+        if all(e < x or y < s for x, y, *_ in out):
+            out.append((s, e, name, -score))
+    return sorted((name, round(score, 9), s, e - s + 1) for s, e, name, score in out)
+
+
+def test_licenses_against_brute_force(spark, tmp_path, monkeypatch):
+    rng = random.Random(41)
+    templates = [(f"T{n}", prose(rng, n) + f" t{n}") for n in (3, 5, 9, 20, 45)]
+    texts = [(500, None), (501, "")]
+    for k in range(60):
+        parts = [prose(rng, rng.randrange(30))]
+        for _ in range(rng.randrange(4)):
+            words = rng.choice(templates)[1].split()
+            cut = rng.randrange(3)
+            if cut == 1:
+                del words[: rng.randrange(len(words))]
+            if cut == 2:
+                for _ in range(rng.randrange(1 + len(words) // 3)):
+                    words.insert(rng.randrange(len(words)), "dnl")
+            parts += [" ".join(words).upper(), prose(rng, rng.randrange(9))]
+        texts.append((k, "\n * ".join(parts)))
+    monkeypatch.setattr(license_scan, "WORDS_AT_ONCE", 200)
+    got = {}
+    for r in license_scan.scan_licenses(rows_of(spark, texts, True), templates).collect():
+        got.setdefault(r.doc_id, []).append((r.license, round(r.dice, 9), r.word_start, r.n_words))
+    want = {d: n for d, t in texts if (n := naive_notices(t or "", templates))}
+    assert {d: sorted(n) for d, n in got.items()} == want and len(want) > 30
+    isc = [t for n, t in license_scan.TEMPLATES if n == "ISC"][0].split()
+    docs = [(1, prose(rng, 50) + " " + " ".join(isc[: int(0.72 * len(isc))]) + " " + prose(rng, 50)), (2, " ".join(isc))]
+    rows_of(spark, docs, True).write.parquet(f"{tmp_path}/documents.parquet")
+    query = [(r.doc_id, r.license, r.dice >= 0.8) for r in queries.op5_license_scan(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert query == [(1, "ISC", True), (2, "ISC", True)]
+
+
 # 1
 
 
