@@ -23,18 +23,23 @@ BASE = {
 #: Kinds that only a decoded structure confirms.
 CONFIRMED = ("pem", "jwt", "ssh", "der")
 KINDS = (*BASE, *CONFIRMED)
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/]){16,}?)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:[A-Za-z0-9+/=\s:,.-]|\\+[nrt/]){16,}?)-----END \1-----")
+#: Header lines of a PEM body; an encrypted key in the old layout names its cipher there.
+PEM_HEADER = re.compile(r"(?:\s|\\+[nrt])*([A-Za-z][A-Za-z-]*):[ \t]*([A-Za-z0-9,. -]*)(?=\s|\\+[nrt])")
 #: What a PEM body has between base64 signs: breaks, real or escaped, and escapes of slashes.
 PEM_GAP = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
-BLOB = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-#: Where a key may begin: DER with long lengths, the same with a short one after a separator or an escape, an SSH field, the SSH container.
-START = re.compile(r"MI[GHI](?=[A-Za-z0-9+/_-])|(?:(?<![A-Za-z0-9])|(?<=\\[nrt]))M[A-H](?=[A-Za-z0-9+/_-])|AAAA(?=[B-P][A-Za-z0-9+/_-])|b3BlbnNzaC1rZXktdjEA")
+#: Where a key may begin in base64: DER with long lengths, the same with a short one after a separator or an escape, the SSH container, a PEM text.
+START = re.compile(r"MI[GHI](?=[A-Za-z0-9+/_-])|(?:(?<![A-Za-z0-9])|(?<=\\[nrt]))M[A-H](?=[A-Za-z0-9+/_-])|b3BlbnNzaC1rZXktdjEA|LS0tLS1CRUdJTi")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 BREAK = re.compile(r"[ \t]*\\?(?:\r\n?|\n)[ \t]*|(?:\\+[nr])+|\\+(?=/)")
 HEX = re.compile(r"[0-9a-fA-F]{48,}")
-#: Fields of SSH public keys by type.
-SSH_FIELDS = ((b"ssh-rsa", 3), (b"ssh-dss", 5), (b"ssh-ed25519", 2), (b"ecdsa-", 3), (b"sk-ssh-", 3), (b"sk-ecdsa-", 4))
+SSH_MAGIC = b"openssh-key-v1\0"
+# Ciphers and key derivations of the SSH container, block bytes of old PEM ciphers, object identifiers of password-based encryption.
+SSH_CIPHERS = {b"none", b"3des-cbc", b"aes128-cbc", b"aes192-cbc", b"aes256-cbc", b"aes128-ctr", b"aes192-ctr", b"aes256-ctr", b"aes128-gcm@openssh.com", b"aes256-gcm@openssh.com", b"chacha20-poly1305@openssh.com"}
+SSH_KDFS = {b"none", b"bcrypt"}
+PEM_BLOCKS = {"DES-CBC": 8, "DES-EDE3-CBC": 8, "AES-128-CBC": 16, "AES-192-CBC": 16, "AES-256-CBC": 16}
+PBE_OIDS = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 SSH_NAME = re.compile(rb"(?:ssh-[a-z0-9]+|ecdsa-sha2-[a-z0-9]+|sk-[a-z0-9-]+)(?:@[a-z.]+)?")
 SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -63,43 +68,102 @@ def tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def der_shape(data: bytes, at: int, end: int, depth: int = 0) -> list[int] | None:
-    """The tags of nested DER values that fill ``data[at:end]`` exactly; None if lengths don't nest."""
-    tags: list[int] = []
+def der_values(data: bytes, at: int, end: int, depth: int = 0) -> list[tuple] | None:
+    """The DER values that fill ``data[at:end]`` exactly, as tag and bytes, or tag and values below; None if lengths don't nest."""
+    out: list[tuple] = []
     while at < end:
         got = tlv(data, at, end)
         if got is None or depth > 12:
             return None
         tag, start, at = got
-        tags.append(tag)
-        if tag & 0x20:
-            below = der_shape(data, start, at, depth + 1)
-            if below is None:
-                return None
-            tags += below
-    return tags
-
-
-def is_der_key(data: bytes) -> bool:
-    """A sequence whose lengths nest exactly and that holds key numbers: integers, or an algorithm with key bits."""
-    if len(data) < 24 or data[0] != 0x30:
-        return False
-    tags = der_shape(data, 0, len(data))
-    return tags is not None and tags[1:].count(0x30) + tags.count(0x02) + tags.count(0x03) + tags.count(0x04) >= 2 and (tags.count(0x02) >= 2 or bool({0x03, 0x04} & {*tags}))
+        below = der_values(data, start, at, depth + 1) if tag & 0x20 else data[start:at]
+        if below is None:
+            return None
+        out.append((tag, below))
+    return out
+
 
+INT, OCTETS, OID, SEQ = 0x02, 0x04, 0x06, 0x30
 
-def is_ssh_key(data: bytes) -> bool:
-    """Length-prefixed fields that fill the data, the first a key type; or the private key container."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    fields, at = [], 0
-    while at + 4 <= len(data) and len(fields) < 64:
+
+def is_private_der(data: bytes) -> bool:
+    """A private key by its structure: PKCS#1, PKCS#8 (plain or encrypted), SEC 1 or DSA; public keys and signatures are none."""
+    if len(data) < 24 or data[0] != SEQ:
+        return False
+    whole = der_values(data, 0, len(data))
+    if not whole or len(whole) != 1 or not isinstance(whole[0][1], list):
+        return False
+    parts = whole[0][1]
+    tags = [t for t, _ in parts]
+    version = parts[0][1] if tags[:1] == [INT] else None
+    algorithm = next((v for t, v in parts[:2] if t == SEQ and v and v[0][0] == OID), None)
+    if version in (b"\0", b"\1"):
+        if set(tags) == {INT} and len(tags) in (6, 9):  # DSA, RSA
+            return True
+        if tags[:3] == [INT, SEQ, OCTETS] and algorithm:  # PKCS#8
+            return all(t in (0xA0, 0x81, 0xA1) for t in tags[3:])
+        if version == b"\1" and tags[:2] == [INT, OCTETS] and len(parts[1][1]) >= 16:  # SEC 1
+            return all(t in (0xA0, 0xA1) for t in tags[2:])
+    return tags == [SEQ, OCTETS] and bool(algorithm) and algorithm[0][1].startswith(PBE_OIDS)  # encrypted PKCS#8
+
+
+def _strings(data: bytes, at: int, count: int) -> tuple[list[bytes], int] | None:
+    """``count`` length-prefixed strings from ``at`` on and where they end."""
+    out = []
+    for _ in range(count):
         n = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + n > len(data):
+            return None
+        out.append(data[at + 4 : at + 4 + n])
         at += 4 + n
-        if n > len(data) or at > len(data):
+    return out, at
+
+
+def is_ssh_private(data: bytes) -> bool:
+    """The SSH container: known cipher and key derivation, as many public keys as it says, and one private part that fills it.
+
+    Each public key's own fields must fill it, the first naming a key type; a private part that
+    isn't encrypted must begin with two equal numbers and the key's type.
+    """
+    head = _strings(data, len(SSH_MAGIC), 3) if data.startswith(SSH_MAGIC) else None
+    if head is None or head[0][0] not in SSH_CIPHERS or head[0][1] not in SSH_KDFS or len(data) < head[1] + 4:
+        return False
+    keys = int.from_bytes(data[head[1] : head[1] + 4], "big")
+    rest = _strings(data, head[1] + 4, keys + 1) if 0 < keys < 64 else None
+    if rest is None or rest[1] != len(data):
+        return False
+    for key in rest[0][:-1]:
+        fields, at = [], 0
+        while at < len(key):
+            got = _strings(key, at, 1)
+            if got is None:
+                return False
+            fields, at = fields + got[0], got[1]
+        if len(fields) < 2 or not SSH_NAME.fullmatch(fields[0]):
             return False
-        fields.append(data[at - n : at])
-    return at == len(data) and len(fields) >= 2 and bool(SSH_NAME.fullmatch(fields[0]))
+    secret = rest[0][-1]
+    if head[0][0] != b"none":
+        return len(secret) >= 16
+    name = _strings(secret, 8, 1)
+    return secret[:4] == secret[4:8] and name is not None and bool(SSH_NAME.fullmatch(name[0][0]))
+
+
+def is_pem_body(body: str) -> bool:
+    """Whether a PEM body holds a private key: its base64 decodes to one, or its headers name a cipher that its length fits."""
+    headers, at = {}, 0
+    while m := PEM_HEADER.match(body, at):
+        headers[m[1].lower()], at = m[2].strip(), m.end()
+    data = b64(PEM_GAP.sub("", body[at:]))
+    if headers.get("proc-type", "").replace(" ", "") == "4,ENCRYPTED":
+        cipher, _, start = headers.get("dek-info", "").partition(",")
+        block = PEM_BLOCKS.get(cipher.strip(), 0)
+        return bool(block) and bool(re.fullmatch(f"[0-9A-Fa-f]{{{2 * block}}}", start.strip())) and len(data) >= 32 and len(data) % block == 0
+    return is_private_der(data) or is_ssh_private(data)
+
+
+def is_pem_text(data: bytes) -> bool:
+    """Bytes that are a text with a private key's PEM in it."""
+    return b"-----END" in data and any(is_pem_body(m[2]) for m in PEM.finditer(data.decode("latin-1")))
 
 
 class Joined:
@@ -137,7 +201,7 @@ class Joined:
 
 
 def key_at(text: str, at: int) -> tuple[str, int] | None:
-    """Kind and end of the key whose base64 begins at ``at``: its own lengths say how long it is."""
+    """Kind and end of the private key whose base64 begins at ``at``: its own lengths say how long it is."""
     here = Joined(text, at)
     if text[at] == "M":
         first = b64(here.signs(8)[0])
@@ -145,27 +209,22 @@ def key_at(text: str, at: int) -> tuple[str, int] | None:
         if head is None or head[2] < 30:
             return None
         data, end = here.bytes(head[2])
-        return ("der", end) if data and is_der_key(data) else None
-    n = 0
-    if text[at] == "A":
-        name, _ = here.bytes(here.field(0))
-        fields = next((k for start, k in SSH_FIELDS if name[4:].startswith(start)), 0)
-    else:
-        n, fields = 15, 3
-    for _ in range(fields):
-        n = here.field(n)
-        if not n:
-            break
-    if text[at] == "b":
-        count, _ = here.bytes(n + 4) if n else (b"", 0)
-        keys = int.from_bytes(count[n:], "big") if count else 0
-        n = n + 4 if 0 < keys < 64 else 0
-        for _ in range(keys + 1 if n else 0):
-            n = n and here.field(n)
-        data, end = here.bytes(n) if n else (b"", 0)
-        return ("ssh", end if data else here.signs(len(text))[1])  # a container that is cut off goes as far as it is there
+        return ("der", end) if data and is_private_der(data) else None
+    if text[at] == "L":  # a PEM text
+        signs, end = here.signs(len(text))
+        while end < len(text) and text[end] == "=":
+            end += 1
+        return ("pem", end) if is_pem_text(b64(signs)) else None
+    n = len(SSH_MAGIC)
+    for _ in range(3):
+        n = n and here.field(n)
+    count, _ = here.bytes(n + 4) if n else (b"", 0)
+    keys = int.from_bytes(count[n:], "big") if count else 0
+    n = n + 4 if 0 < keys < 64 else 0
+    for _ in range(keys + 1 if n else 0):
+        n = n and here.field(n)
     data, end = here.bytes(n) if n else (b"", 0)
-    return ("ssh", end) if data and is_ssh_key(data) else None
+    return ("ssh", end) if data and is_ssh_private(data) else None
 
 
 def is_signed_token(head: str, body: str) -> bool:
@@ -178,37 +237,33 @@ def is_signed_token(head: str, body: str) -> bool:
 
 
 def confirmed(text: str) -> list[tuple[str, int, int]]:
-    """Spans whose decoded bytes parse as a key or a signed token."""
+    """Spans whose decoded bytes parse as a private key or a signed token."""
     found = []
     if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            data = b64(PEM_GAP.sub("", m[2]))
-            if is_der_key(data) or is_ssh_key(data):
-                found.append(("pem", m.start(), m.end()))
+        found += [("pem", m.start(), m.end()) for m in PEM.finditer(text) if is_pem_body(m[2])]
     if "eyJ" in text:
         found += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     pems = [(s, e) for k, s, e in found if k == "pem"]
-    keys, over = [], 0
+    over = 0
     for m in START.finditer(text):
         if m.start() >= over and not any(s <= m.start() < e for s, e in pems) and (key := key_at(text, m.start())):
             kind, over = key
-            keys.append((kind, m.start(), over))
-    found += keys
-    for m in BLOB.finditer(text):
-        if any(s <= m.start() < e for s, e in pems) or any(s < m.end() and m.start() < e for _, s, e in keys):
-            continue
-        if m[0][0] in "AM" or m[0].startswith("b3BlbnNzaC1rZXktdjEA"):  # of a zero byte, of 0x30, of the container
-            data = b64(m[0])
-            if is_ssh_key(data):
-                found.append(("ssh", m.start(), m.end()))
-            elif is_der_key(data):
-                found.append(("der", m.start(), m.end()))
+            found.append((kind, m.start(), over))
     for m in HEX.finditer(text):
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
-            found.append(("der", m.start(), m.end()))
+        if len(m[0]) % 2 == 0 and (kind := hex_kind(m[0].lower())):
+            found.append((kind, m.start(), m.end()))
     return found
 
 
+def hex_kind(digits: str) -> str | None:
+    """Which private key hex digits encode, if any."""
+    if digits.startswith("30"):
+        return "der" if is_private_der(bytes.fromhex(digits)) else None
+    if digits.startswith(SSH_MAGIC.hex()):
+        return "ssh" if is_ssh_private(bytes.fromhex(digits)) else None
+    return "pem" if digits.startswith(b"-----BEGIN".hex()) and is_pem_text(bytes.fromhex(digits)) else None
+
+
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     """``kind, start, end`` of every secret in code points, by start, then kind as listed."""
     if not text:
@@ -224,8 +279,13 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, spans`` for every row; ``spans`` is an array of ``kind, start, end`` (end exclusive).
 
-    Null and empty texts have no span; repeated rows stay; other columns are left
-    out; an empty table gives an empty result. One pass over the table, no shuffle.
+    Base kinds are reported as they match; the others only if the decoded bytes have a private
+    key's structure or a signed token's header (public keys and signatures have neither), in
+    base64 or hex, also where lines are wrapped or escaped. Spans go by start, then by kind as
+    in KINDS, then by end; spans of several kinds may overlap. Null and empty texts have no span;
+    texts of any length are scanned whole; rows without an id stay, with a null id; repeated rows
+    stay; other columns are left out; an empty table gives an empty result. One pass over the
+    table, no shuffle.
     """
     schema = "doc_id long, spans array<struct<kind:string,start:int,end:int>>"
     return per_row(ids_and_text(docs, id_col, text_col), lambda ids, texts: (ids, [find_secrets(t) for t in texts]), schema, pa.schema([("doc_id", pa.int64()), ("spans", SPAN)]))
@@ -247,7 +307,7 @@ def blank_out(text: str, mark: str) -> str:
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """``docs`` with the secrets of the text column blanked out; null texts stay null, all columns stay."""
+    """``docs`` with the secrets of the text column blanked out; null and empty texts, all columns and repeated rows stay."""
 
     @F.pandas_udf("string")
     def redact(texts: pd.Series) -> pd.Series:
