@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationflow.llm.common import staged
+from stationflow.llm.common import join_copies, staged
 
-DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 64, 160, 1.2
-#: Distinct vectors of one shard, and queries that search it in one task.
-SHARD_ROWS, QUERY_ROWS = 12_288, 8_192
+DEGREE, BEAM, SEARCH_BEAM, ALPHA, SLACK = 32, 48, 128, 1.2, 2
+#: Distinct vectors of one shard.
+SHARD_ROWS = 12_288
 AT_ONCE = 256
 
 
@@ -81,10 +83,13 @@ def robust_prune(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
 
 
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 0) -> Graph:
-    """Insert nodes in random order, in batches that double: each searches the graph so far and prunes what it saw."""
+    """Insert nodes in random order, in batches that double: each searches the graph so far and prunes what it saw.
+
+    Edges back may pile up to SLACK times the degree before a node is pruned, and are pruned to the degree in the end.
+    """
     x = unit(vectors).astype(np.float32)
     n = len(x)
-    graph = Graph(x, np.full((n + 1, degree), -1, np.int64), int((x @ x.mean(0)).argmax()))
+    graph = Graph(x, np.full((n + 1, SLACK * degree), -1, np.int64), int((x @ x.mean(0)).argmax()))
     order = np.random.default_rng(seed).permutation(n)
     order = order[order != graph.entry]
     done = 0
@@ -95,19 +100,23 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alp
         pool = np.sort(np.concatenate([expanded, final], 1), 1)
         pool[:, 1:][pool[:, 1:] == pool[:, :-1]] = -1  # once each
         edges = robust_prune(x, batch, pool, degree, alpha)
-        graph.edges[batch] = edges
+        graph.edges[batch, :degree] = edges
         _link_back(graph, batch, edges, degree, alpha)
-    return graph
+    full = np.flatnonzero((graph.edges[:n] >= 0).sum(1) > degree)
+    for c in range(0, len(full), AT_ONCE):
+        own = full[c : c + AT_ONCE]
+        graph.edges[own, :degree] = robust_prune(x, own, graph.edges[own], degree, alpha)
+    return Graph(x, graph.edges[:, :degree].copy(), graph.entry)
 
 
 def _link_back(graph: Graph, batch: np.ndarray, edges: np.ndarray, degree: int, alpha: float) -> None:
-    """Give each edge's target an edge back, pruning targets that then have too many."""
+    """Give each edge's target an edge back, pruning targets that then have more than there is room for."""
     source, target = np.repeat(batch, degree), edges.ravel()
     source, target = source[target >= 0], target[target >= 0]
     order = np.argsort(target, kind="stable")
     source, target = source[order], target[order]
     nodes, first, count = np.unique(target, return_index=True, return_counts=True)
-    rank = np.arange(len(target)) - np.repeat(first, count)
+    rank, room = np.arange(len(target)) - np.repeat(first, count), graph.edges.shape[1]
     for start in range(0, int(count.max(initial=0)), degree):  # many edges to one node come in parts
         here = (rank >= start) & (rank < start + degree)
         some = np.flatnonzero(count > start)
@@ -116,11 +125,11 @@ def _link_back(graph: Graph, batch: np.ndarray, edges: np.ndarray, degree: int,
         for c in range(0, len(some), AT_ONCE):
             own = nodes[some[c : c + AT_ONCE]]
             pool = np.concatenate([graph.edges[own], more[c : c + AT_ONCE]], 1)
-            full = (pool >= 0).sum(1) > degree
-            packed = np.take_along_axis(pool, np.argsort(pool < 0, axis=1, kind="stable"), 1)[:, :degree]
-            graph.edges[own[~full]] = packed[~full]
+            full = (pool >= 0).sum(1) > room
+            graph.edges[own[~full]] = -np.sort(-pool[~full], 1)[:, :room]
             if full.any():
-                graph.edges[own[full]] = robust_prune(graph.x, own[full], pool[full], degree, alpha)
+                graph.edges[own[full]] = -1
+                graph.edges[own[full], :degree] = robust_prune(graph.x, own[full], pool[full], degree, alpha)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -170,44 +179,71 @@ def build_index(vectors: DataFrame, keep: int, shard_rows: int = SHARD_ROWS, deg
     return staged(dealt.groupBy("dim", "shard").applyInPandas(build, schema))
 
 
+def _vectors(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+class Shard:
+    """A shard's graph as its rows come in, and what searches of it find."""
+
+    def __init__(self) -> None:
+        self.parts: list[pa.RecordBatch] = []
+        self.graph: Graph | None = None
+
+    def ready(self) -> None:
+        if self.graph is None and self.parts:
+            rows = pa.Table.from_batches(self.parts).combine_chunks()
+            self.v, self.members, edges = _vectors(rows["v"].chunk(0)), rows["members"].to_pylist(), rows["edges"].to_pylist()
+            padded = np.full((len(edges) + 1, max(1, max(map(len, edges)))), -1, np.int64)
+            for k, e in enumerate(edges):
+                padded[k, : len(e)] = e
+            self.graph = Graph(unit(self.v).astype(np.float32), padded, rows["entry"][0].as_py())
+            self.parts = []
+
+    def search(self, reps: list[int], queries: np.ndarray, keep: int, beam: int) -> pa.RecordBatch:
+        found: tuple[list, list, list] = ([], [], [])
+        self.ready()
+        for at in range(0, len(queries) if self.graph else 0, AT_ONCE):
+            part = queries[at : at + AT_ONCE]
+            for k, ids in enumerate(self.graph.search(unit(part).astype(np.float32), beam)[0]):
+                ids = ids[ids >= 0]
+                scores = cosine(part[k][None], self.v[ids])
+                best = sorted((-s, m) for i, s in zip(ids.tolist(), scores.tolist(), strict=True) for m in self.members[i])[:keep]
+                found[0].extend([reps[at + k]] * len(best))
+                found[1].extend(m for _, m in best)
+                found[2].extend(-s for s, _ in best)
+        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], ["rep", "vec_id", "score"])
+
+
 def search_index(index: DataFrame, queries: DataFrame, keep: int, beam: int = SEARCH_BEAM) -> DataFrame:
     """``rep, vec_id, score``: for each query vector, the ``keep`` best ids of every shard of its dimension.
 
-    ``queries`` holds distinct vectors as ``rep, v``. Blocks of queries meet each shard;
-    scores are exact cosines of the original vectors.
+    ``queries`` holds distinct vectors as ``rep, v``. A shard's rows come once, before the
+    queries, which stream past its graph; only the graph is held. Scores are exact cosines
+    of the original vectors.
     """
     shards = index.groupBy(F.col("dim").alias("d")).agg(F.max("shards").alias("shards"))  # a row for each dimension
-    blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    left = index.select("dim", "shard", "place", "entry", "members", "v", "edges", every)
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")).join(F.broadcast(shards), F.size("v") == F.col("d"))
-    right = asked.select(F.col("d").alias("dim"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "block", "rep", "v")
-
-    def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found: dict[str, list] = {"rep": [], "vec_id": [], "score": []}
-        if len(rows) and len(queries):
-            rows = rows.sort_values("place", ignore_index=True)
-            v, q = np.stack(rows["v"]), np.stack(queries["v"])
-            edges = np.full((len(v) + 1, max(1, max(map(len, rows["edges"])))), -1, np.int64)
-            for k, e in enumerate(rows["edges"]):
-                edges[k, : len(e)] = e
-            graph = Graph(unit(v).astype(np.float32), edges, int(rows["entry"][0]))
-            members, reps = rows["members"].tolist(), queries["rep"].tolist()
-            for at in range(0, len(q), AT_ONCE):
-                part = q[at : at + AT_ONCE]
-                # a shard no larger than the beam is its own beam
-                near = graph.search(unit(part).astype(np.float32), beam)[0] if len(v) > beam else np.tile(np.arange(len(v)), (len(part), 1))
-                for k, ids in enumerate(near):
-                    ids = ids[ids >= 0]
-                    scores = cosine(part[k][None], v[ids])
-                    best = sorted((-s, int(m)) for i, s in zip(ids, scores, strict=True) for m in members[i])[:keep]
-                    found["rep"] += [reps[at + k]] * len(best)
-                    found["vec_id"] += [m for _, m in best]
-                    found["score"] += [-s for s, _ in best]
-        return pd.DataFrame(found).astype({"rep": "int64", "vec_id": "int64", "score": "float64"})
-
-    keys = ("dim", "shard", "block")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "rep long, vec_id long, score double")
+    asked = queries.join(F.broadcast(shards), F.size("v") == F.col("d"))
+    null = lambda kind: F.lit(None).cast(kind)
+    left = index.select("dim", "shard", F.lit(0).alias("kind"), F.col("place").cast("long").alias("place"), "entry", "members", "v", "edges")
+    right = asked.select(F.col("d").alias("dim"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("kind"), F.col("rep").alias("place"), null("int").alias("entry"), null("array<long>").alias("members"), "v", null("array<int>").alias("edges"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, shard = None, Shard()
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+            cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])) if len(keys) else []
+            for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+                part = batch.slice(a, b - a)
+                if now != (own := tuple(keys[a, :2])):
+                    now, shard = own, Shard()
+                if keys[a, 2] == 0:
+                    shard.parts.append(part)
+                else:
+                    yield shard.search(part.column("place").to_pylist(), _vectors(part.column("v")), keep, beam)
+
+    rows = left.unionByName(right).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind", "place")
+    return rows.mapInArrow(run, "rep long, vec_id long, score double")
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", beam: int = SEARCH_BEAM) -> DataFrame:
@@ -222,12 +258,14 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     vectors = staged(sound_vectors(df, id_col, vector_col))
     keep = k + 1  # one more, as a query's own row may be among them
     index = build_index(vectors, keep)
-    asking = vectors.where(is_query)
-    reps = index.select("rep", F.col("v").alias("rv"))
-    mine = staged(asking.join(reps, asking["v"] == reps["rv"]).select(F.col("vec_id").alias("query_id"), "rep", "v"))
-    found = search_index(index, mine.groupBy("rep").agg(F.first("v").alias("v")), keep, beam)
+    total = vectors.count()
+    reps = staged(vectors.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    mine = staged(join_copies(vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "v"), reps, "v", total).select("query_id", "rep", "copies"))
+    asked = reps.join(mine.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
+    found = search_index(index, asked, keep, beam)
     order = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= keep)
     lists = top.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("near"))
-    rest = mine.select("query_id", "rep").join(lists, "rep").select("query_id", F.slice(F.filter("near", lambda n: n["vec_id"] != F.col("query_id")), 1, k).alias("near"))
+    lists = staged(lists.join(reps.select("rep", "copies"), "rep"))
+    rest = join_copies(mine.select("query_id", "rep"), lists, "rep", total).select("query_id", F.slice(F.filter("near", lambda n: n["vec_id"] != F.col("query_id")), 1, k).alias("near"))
     return rest.select("query_id", F.posexplode("near").alias("pos", "n")).select("query_id", (F.col("pos") + 1).alias("rank"), "n.vec_id", "n.score")

@@ -671,6 +671,39 @@ def test_nearest(spark, sf_dir):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_over_shards_and_batches(spark, tmp_path, monkeypatch):
+    """The registered query over several shards, with copies of one vector, odd vectors and small Arrow batches."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 900)
+    gen = np.random.default_rng(61)
+    v = gen.standard_normal((4000, 24))
+    v[::3] = v[0]  # a third of all rows
+    rows = [(int(k), [float(c) for c in x]) for k, x in enumerate(v)]
+    rows += [(5000, None), (5050, [0.0] * 24), (5100, [float("nan")] * 24), (5150, [1.0] * 5), (5200, [1.0, 2.0, 3.0, 4.0, 4.0]), (None, rows[1][1]), (50, rows[50][1]), (5250, []), (5300, [None] * 24)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"rep": F.lit("x"), "v": F.lit(1), "copies": F.lit(2)}).write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    try:
+        got = queries.op4_ann(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(by) == [*range(0, 4000, 50), 5150, 5200]
+    hits = 0
+    for q in range(0, 4000, 50):
+        found = sorted(by[q])
+        assert [n for n, *_ in found] == [1, 2, 3, 4, 5] and q not in {i for _, i, _ in found}
+        assert np.allclose([c for *_, c in found], [u[q] @ u[i] for _, i, _ in found]) and [(-c, i) for _, i, c in found] == sorted((-c, i) for _, i, c in found)
+        score = np.round(u @ u[q], 12)
+        want = [k for k in np.lexsort((np.arange(4000), -score)) if k != q][:5]
+        hits += len({i for _, i, _ in found} & set(want))
+        if q % 3 == 0:
+            assert [i for _, i, _ in found] == [k for k in range(0, 30, 3) if k != q][:5]
+    assert hits >= 0.95 * 5 * 80
+    assert [(n, i) for n, i, _ in by[5150]] == [(1, 5200)]
+
+
 def test_pipeline(spark, small_dir):
     import corpus_pipeline
 
