@@ -146,7 +146,7 @@ def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     family = staged(connected_components(near_links(words, MAX_BITS)).join(firsts, F.col("node") == F.col("mark")).select("mark", "root", "n", "first_id"))
     parts = F.greatest(F.ceil(F.count("*") / PART_TEXTS), F.ceil(F.sum("n") * 8 / PART_BYTES)).cast("int")
     sizes = family.groupBy("root").agg(parts.alias("parts"))
-    wanted = family.select(F.col("first_id").alias("doc_id")).distinct()
+    wanted = staged(family.select(F.col("first_id").alias("doc_id")).distinct())  # written, so that Spark knows its size before it moves texts
     sets = _sets(texts.join(wanted, "doc_id", "left_semi")).dropDuplicates(["mark"])  # rows of one id may have several texts
     dealt = family.join(sizes, "root").join(sets, "mark").withColumn("mine", F.pmod(F.xxhash64("mark"), "parts").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -169,15 +169,18 @@ def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = docs.where(F.col(id_col).isNotNull())
     roots = staged(near_copy_roots(known, id_col, text_col))
     key = F.col(id_col).cast("long") == F.col("__id")
-    twice = roots.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id")
-    gone = roots.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"))
-    once = known.join(gone.unionByName(twice).distinct(), key, "left_anti")
+    # small tables are written, so that Spark knows their sizes before it moves texts: it broadcasts them while they are small
+    twice = staged(roots.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id"))
+    gone = staged(roots.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).unionByName(twice).distinct())
+    kept = known.join(gone, key, "left_anti").unionByName(docs.where(F.col(id_col).isNull()))
+    if twice.isEmpty():
+        return kept
     # rows of one id are told apart by their texts
     mark = F.pandas_udf(lambda texts: texts.map(lambda t: int(np.uint64(mark_of(words_of(t))).astype(np.int64))), "long")
-    firsts = roots.where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__m")).distinct()
-    rows = known.join(twice, key, "left_semi").withColumn("__mark", mark(F.col(text_col).cast("string")))
+    firsts = roots.where("doc_id = component_id").join(twice, F.col("doc_id") == F.col("__id"), "left_semi").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__m")).distinct()
+    rows = staged(known.join(twice, key, "left_semi")).withColumn("__mark", mark(F.col(text_col).cast("string")))
     rows = rows.join(firsts, key & (F.col("__mark") == F.col("__m")), "left_semi")
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     whole = F.struct(*docs.columns)
     picked = rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.struct(text_col, *plain)).alias("__row")).select("__row.*")
-    return once.unionByName(picked).unionByName(docs.where(F.col(id_col).isNull()))
+    return kept.unionByName(picked)
