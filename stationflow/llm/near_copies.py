@@ -70,9 +70,14 @@ def _marks(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, n, fps`` of every row: its words' hash, how many shingles, and its fingerprint."""
 
     def run(ids: list, texts: list) -> tuple[list, ...]:
-        words = [words_of(t) for t in texts]
-        sets = [shingles(w) for w in words]
-        return ids, np.array([mark_of(w) for w in words], np.uint64).view(np.int64), [len(s) for s in sets], [long_fingerprint(s) for s in sets]
+        marks, sizes, fps = np.empty(len(texts), np.uint64), [], []
+        for k, text in enumerate(texts):  # one text's words at a time
+            words = words_of(text)
+            found = shingles(words)
+            marks[k] = mark_of(words)
+            sizes.append(len(found))
+            fps.append(long_fingerprint(found))
+        return ids, marks.view(np.int64), sizes, fps
 
     kinds = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("fps", pa.list_(pa.int64()))])
     return per_row(docs, run, "doc_id long, mark long, n int, fps array<long>", kinds)
@@ -82,8 +87,12 @@ def _sets(docs: DataFrame) -> DataFrame:
     """``mark, shingles`` of every row, the hashes as bytes."""
 
     def run(ids: list, texts: list) -> tuple[list, ...]:
-        words = [words_of(t) for t in texts]
-        return np.array([mark_of(w) for w in words], np.uint64).view(np.int64), [shingles(w).tobytes() for w in words]
+        marks, found = np.empty(len(texts), np.uint64), []
+        for k, text in enumerate(texts):
+            words = words_of(text)
+            marks[k] = mark_of(words)
+            found.append(shingles(words).tobytes())
+        return marks.view(np.int64), found
 
     return per_row(docs, run, "mark long, shingles binary", pa.schema([("mark", pa.int64()), ("shingles", pa.binary())]))
 
