@@ -605,6 +605,68 @@ def test_chat_round_trip(spark):
     assert chat_format.format_chat(df.limit(0), queries.CHAT_RANKS, queries.CHAT_PATTERN).count() == 0
 
 
+def test_chat_windows_against_a_plain_loop(spark):
+    rng = random.Random(19)
+    budget, history = 200, 50
+    rows = []
+    for conv in (None, *range(9)):
+        if conv in (1, 2, 3, 4):
+            rows.append((conv, 0, "system", prose(rng, 150 if conv == 4 else 12)))
+        rows += [(conv, k, rng.choice(["user", "assistant"]), prose(rng, rng.choice([0, 3, 20, 60, 260]))) for k in range(1, rng.choice([3, 30, 200]))]
+    rows += [(20, None, "assistant", "equal rows")] * 900  # without turns, and over several tasks of the sort
+    rows += [(21, 0, "system", "only")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    encoding = chat_format._encoding(queries.CHAT_RANKS, queries.CHAT_PATTERN)
+    want = {}
+    for conv in {r[0] for r in rows}:
+        at, turns = 0, []
+        for _, _, role, text in sorted((r for r in rows if r[0] == conv), key=lambda r: (-1 if r[1] is None else r[1], r[2], r[3])):
+            text_of = f"<|im_start|>{role}<|im_sep|>{text}<|im_end|>"
+            turns.append((at, role, text_of, len(encoding.encode_ordinary(text_of))))
+            at += turns[-1][3]
+        lead = turns[:1] if turns[0][1] == "system" else []
+        k = 0
+        while k < len(turns):
+            head = lead if k else []
+            best = []
+            for start in range(k, len(lead) - 1, -1):  # the longest history that fits
+                tail = turns[start:k]
+                if sum(t[3] for t in tail) <= min(history, budget - sum(t[3] for t in head) - turns[k][3]):
+                    best = tail
+            end = k + 1
+            spent = lambda e: sum(t[3] for t in head + best + turns[k:e])  # noqa: B023, E731
+            while end < len(turns) and spent(end + 1) <= budget and turns[end][0] // (3 * budget) == turns[k][0] // (3 * budget):
+                end += 1
+            want[conv, turns[k][0]] = ("".join(t[2] for t in head + best + turns[k:end]), len(head + best), end - k, spent(end), spent(end) > budget)
+            k = end
+    for parts in (1, 13):
+        out = chat_format.format_chat(df.repartition(parts), queries.CHAT_RANKS, queries.CHAT_PATTERN, budget, history, chapter=3)
+        assert {(r.conv_id, r.window): (r.text, r.n_repeated, r.n_turns, r.n_tokens, r.over_budget) for r in out.collect()} == want
+    assert any(v[4] for v in want.values()) and any(v[1] > 1 for v in want.values())
+
+
+def test_chat_windows_are_full(spark):
+    rng = random.Random(20)
+    df = spark.createDataFrame([(1, k, "user", prose(rng, 60)) for k in range(1200)], "conv_id long, turn long, role string, text string")
+    used = [r.n_tokens for r in chat_format.format_chat(df, queries.CHAT_RANKS, queries.CHAT_PATTERN).collect()]
+    assert sum(used) / len(used) > 0.95 * chat_format.BUDGET
+
+
+def test_chat_query_reads_every_conversation(spark, small_dir):
+    want = {}
+    table = spark.read.parquet(f"{small_dir}/conversations.parquet").collect()
+    for r in sorted(table, key=lambda r: (-1 if r.turn is None else r.turn, r.role or "", r.text or "")):
+        want.setdefault(r.conv_id, []).append((r.role or "", r.text or ""))
+    want[-1] = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
+    got = {r.conv_id: r for r in queries.op1_chat_format(spark, small_dir).collect()}
+    assert got.keys() == want.keys()
+    for c, turns in want.items():
+        learned = "".join(t for r, t in turns if r == "assistant")
+        assert (got[c].n_turns, got[c].loss_chars) == (len(turns), len(learned))
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+
+
 # 2 and 3
 
 
