@@ -22,7 +22,7 @@ AT_ONCE = 256
 
 @dataclass
 class Graph:
-    """Unit vectors, each node's out-edges (-1: none), and the node where searches start."""
+    """Unit vectors, each node's out-edges (-1: none) and a last row without any, and the node where searches start."""
 
     x: np.ndarray
     edges: np.ndarray
@@ -35,7 +35,7 @@ class Graph:
         best ``beam`` of old and new nodes stay.
         """
         n, b = len(self.x), len(queries)
-        line = np.arange(b)
+        rows = np.arange(b)
         ids = np.full((b, beam), -1, np.int64)
         far = np.full((b, beam), np.inf, np.float32)
         fresh = np.zeros((b, beam), bool)
@@ -43,23 +43,41 @@ class Graph:
         seen[:, n] = True  # where missing edges point
         ids[:, 0], far[:, 0], fresh[:, 0] = self.entry, -(queries @ self.x[self.entry]), True
         seen[:, self.entry] = True
-        expanded = []
-        while fresh.any():
+        last_ids, last_far, expanded = ids.copy(), far.copy(), []
+        while len(rows):
+            going = fresh.any(1)
+            if 2 * going.sum() <= len(rows):  # finished queries step aside
+                last_ids[rows], last_far[rows] = ids, far
+                rows, ids, far, fresh, seen, queries = (a[going] for a in (rows, ids, far, fresh, seen, queries))
+                continue
+            line = np.arange(len(rows))
             at = np.where(fresh, far, np.inf).argmin(1)
-            live = fresh[line, at]
-            node = np.where(live, ids[line, at], -1)
+            node = np.where(going, ids[line, at], -1)
             fresh[line, at] = False
-            expanded.append(node)
-            near = np.where(live[:, None], self.edges[node], -1)
-            new = ~seen[line[:, None], near]
-            seen[line[:, None], near] = True
-            gap = np.where(new, -np.matmul(self.x[near], queries[:, :, None])[:, :, 0], np.inf)
-            ids, far, fresh = np.concatenate([ids, near], 1), np.concatenate([far, gap], 1), np.concatenate([fresh, new], 1)
+            expanded.append(np.full(b, -1, np.int64))
+            expanded[-1][rows] = node
+            near = self.edges.take(node, 0, mode="wrap")  # the last row has no edges
+            here = (near + (near < 0) * (n + 1) + line[:, None] * (n + 1)).ravel()
+            flat = seen.reshape(-1)
+            new = np.flatnonzero(~flat.take(here))
+            flat[here[new]] = True
+            row, node = new // near.shape[1], near.ravel().take(new)
+            gap = -np.einsum("ij,ij->i", self.x.take(node, 0), queries.take(row, 0))
+            # only nodes nearer than the beam's last can enter it
+            enter = gap < far.max(1)[row]
+            row, node, gap = row[enter], node[enter], gap[enter]
+            if not len(row):
+                continue
+            count = np.bincount(row, minlength=len(rows))
+            col = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            shape = (len(rows), int(count.max()))
+            more, more_far, more_fresh = np.full(shape, -1, np.int64), np.full(shape, np.inf, np.float32), np.zeros(shape, bool)
+            more[row, col], more_far[row, col], more_fresh[row, col] = node, gap, True
+            ids, far, fresh = np.concatenate([ids, more], 1), np.concatenate([far, more_far], 1), np.concatenate([fresh, more_fresh], 1)
             best = np.argpartition(far, beam - 1, axis=1)[:, :beam]
             ids, far, fresh = (np.take_along_axis(a, best, 1) for a in (ids, far, fresh))
-            ids[far == np.inf] = -1
-        order = np.argsort(far, axis=1, kind="stable")
-        return np.take_along_axis(ids, order, 1), np.stack(expanded, 1)
+        order = np.argsort(last_far, axis=1, kind="stable")
+        return np.take_along_axis(last_ids, order, 1), np.stack(expanded, 1)
 
 
 def robust_prune(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -96,9 +114,7 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alp
     while done < len(order):
         batch = order[done : done + max(1, min(done + 1, AT_ONCE))]
         done += len(batch)
-        final, expanded = graph.search(x[batch], beam)
-        pool = np.sort(np.concatenate([expanded, final], 1), 1)
-        pool[:, 1:][pool[:, 1:] == pool[:, :-1]] = -1  # once each
+        pool = graph.search(x[batch], beam)[1]  # which ends with the whole beam expanded
         edges = robust_prune(x, batch, pool, degree, alpha)
         graph.edges[batch, :degree] = edges
         _link_back(graph, batch, edges, degree, alpha)
