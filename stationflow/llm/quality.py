@@ -66,6 +66,10 @@ def term_counts(text: str | None) -> np.ndarray:
     return counts
 
 
+#: Cosines that differ by less are ties.
+TIE = 1e-6
+
+
 @dataclass
 class LatentVotes:
     """Term weights, the projection to latent factors, and the labelled rows there."""
@@ -80,14 +84,14 @@ class LatentVotes:
         return _unit(weighted(counts, self.idf) @ self.project)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        """Share of label 1 among the nearest labelled rows, weighted by cosine."""
+        """Share of label 1 among the nearest labelled rows, and those as near as the last of them, weighted by cosine."""
         z = self.vectors(counts)
         cosine = z @ self.rows.T
         k = min(NEIGHBOURS, len(self.label))
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** 4
+        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+        weight = np.where(cosine >= least - TIE, np.maximum(cosine, 0), 0).astype(np.float64) ** 4
         total = weight.sum(1)
-        vote = (weight * self.label[near]).sum(1) / np.where(total > 0, total, 1)
+        vote = weight @ self.label / np.where(total > 0, total, 1)
         return np.clip(np.where(total > 0, vote, self.prior), 0, 1)
 
 
@@ -136,7 +140,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     def run(ys: list, texts: list) -> tuple[list, ...]:
         return ys, [term_counts(t).astype("<f4").tobytes() for t in texts]
 
-    got = per_row(rows.select("y", "text"), run, "y long, counts binary", pa.schema([("y", pa.int64()), ("counts", pa.binary())])).collect()
+    got = per_row(rows.orderBy("doc_id").select("y", "text"), run, "y long, counts binary", pa.schema([("y", pa.int64()), ("counts", pa.binary())])).collect()
     counts = np.array([np.frombuffer(r["counts"], "<f4") for r in got]).reshape(-1, TERMS)
     return fit_votes(counts, np.array([r["y"] for r in got]), size.get(1, 0) / sum(size.values()))
 
@@ -146,7 +150,8 @@ def score_quality(docs: DataFrame, votes: LatentVotes | None, id_col: str = "doc
 
     Null, empty and very short texts have no term and get the learned share of label 1
     (0.5 if nothing was labelled); repeated rows stay; other columns are left out; an
-    empty table gives an empty result. Every text is compared with all labelled rows.
+    empty table gives an empty result. Every text is compared with all labelled rows;
+    rows that tie with the last of the nearest vote too.
     """
 
     def run(ids: list, texts: list) -> tuple[list, ...]:

@@ -708,6 +708,27 @@ def test_quality(spark, small_dir, odd, none):
     assert quality.score_quality(odd, None).first().score == 0.5
 
 
+def test_votes_against_a_plain_loop(spark, small_dir):
+    docs, labels = (spark.read.parquet(f"{small_dir}/{n}.parquet") for n in ("documents", "labels"))
+    votes = quality.fit_quality(docs, labels)
+    votes.rows[30:60] = votes.rows[29]  # ties at every place
+    votes.label[30:60] = np.arange(30) % 2
+    texts = [r.text for r in docs.orderBy("doc_id").limit(150).collect()] + [None, "", "a", "ünï " * 900]
+    counts = np.stack([quality.term_counts(t) for t in texts])
+    z = votes.vectors(counts)
+    want = []
+    for v in z:
+        cosine = [sum(float(a) * float(b) for a, b in zip(v, row, strict=True)) for row in votes.rows]
+        least = sorted(cosine, reverse=True)[quality.NEIGHBOURS - 1]
+        near = [(max(c, 0.0) ** 4, y) for c, y in zip(cosine, votes.label, strict=True) if c >= least - 1e-6]
+        total = sum(w for w, _ in near)
+        want.append(sum(w * y for w, y in near) / total if total > 0 else votes.prior)
+    assert np.abs(votes.scores(counts) - want).max() < 1e-3
+    got = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.score for r in quality.score_quality(got, votes).collect()}
+    assert max(abs(found[k] - w) for k, w in enumerate(want)) < 1e-3
+
+
 # 4
 
 
