@@ -36,8 +36,20 @@ def _nth(df: DataFrame, keys: list[str], time: str, row_id: str) -> DataFrame:
 
 
 def rank_events(events: DataFrame, keys: tuple[str, ...] = ("station_id",)) -> DataFrame:
-    """Events numbered by time within their keys; ties go by event id."""
-    return _nth(events, [*keys], "event_time", "event_id")
+    """Events numbered by time within their keys; ties go by event id.
+
+    Each hour of a key is numbered by itself, from the number of events in the hours before, so that no task gets a key's
+    whole history. Only the counts of hours (a calendar, whatever the number of events) are summed along a key.
+    """
+    dealt = events.withColumn("__hour", hour_start("event_time"))
+    before = Window.partitionBy(*keys).orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys, "__hour").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    sizes = sizes.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__hour").alias("__h"), "__before")
+    same = F.col("__hour").eqNullSafe(F.col("__h"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    local = _nth(dealt, [*keys, "__hour"], "event_time", "event_id").join(sizes, same)
+    return local.withColumn("nth", (F.col("nth") + F.col("__before")).cast("int")).select(*events.columns, "nth")
 
 
 def pair_by_rank(events: DataFrame, start: str, end: str) -> DataFrame:
@@ -55,34 +67,62 @@ def pair_by_rank(events: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def pair_next_end(events: DataFrame, start: str, end: str) -> DataFrame:
-    """Each start with the station's first end after it: an as-of join by one window, no self-join."""
-    ahead = Window.partitionBy("station_id").orderBy("event_time", "event_id").rowsBetween(1, Window.unboundedFollowing)
-    is_end = F.col("event_type") == end
-    marked = events.where(F.col("event_type").isin(start, end)).withColumns({"ended": F.min(F.when(is_end, F.col("event_time"))).over(ahead), "end_meta": F.first(F.when(is_end, F.col("metadata")), ignorenulls=True).over(ahead)})
-    return marked.where(F.col("event_type") == start).select("station_id", F.to_date("event_time").alias("report_date"), F.col("event_id").alias("start_id"), F.col("event_time").alias("started"), F.col("metadata").alias("start_meta"), "ended", "end_meta")
-
+    """Each start with the station's first end after it by time and id: an as-of join as a segmented scan.
 
-def hours_of(intervals: DataFrame, as_of: str) -> DataFrame:
-    """One row for each hour an interval touches, as ``hour_start``; intervals that end before they start have none."""
+    A station's events are dealt into hours. Each hour is scanned by itself, from its last event back; an hour's first end is
+    then carried back over the hours before it (one row an hour, whatever the number of events), and takes part there as one
+    more event behind all others. So a station with most of the rows is spread over its hours, and rows are never joined.
+    """
+    marked = events.where(F.col("event_type").isin(start, end)).select("station_id", "event_id", "event_time", "metadata", (F.col("event_type") == end).alias("is_end"), hour_start("event_time").alias("slice"))
+    first = F.min(F.when(F.col("is_end"), F.struct("event_time", "event_id", "metadata")))
+    slices = marked.groupBy("station_id", "slice").agg(first.alias("first_end"))
+    later = Window.partitionBy("station_id").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.withColumn("e", F.last("first_end", ignorenulls=True).over(later)).where("e is not null")
+    carried = carried.select("station_id", "e.event_id", "e.event_time", "e.metadata", F.lit(True).alias("is_end"), "slice")
+    back = Window.partitionBy("station_id", "slice").orderBy(F.desc("event_time"), F.desc("event_id")).rowsBetween(Window.unboundedPreceding, -1)
+    found = marked.unionByName(carried).withColumn("e", F.last(F.when(F.col("is_end"), F.struct("event_time", "metadata")), ignorenulls=True).over(back))
+    return found.where(~F.col("is_end")).select("station_id", F.to_date("event_time").alias("report_date"), F.col("event_id").alias("start_id"), F.col("event_time").alias("started"), F.col("metadata").alias("start_meta"), F.col("e.event_time").alias("ended"), F.col("e.metadata").alias("end_meta"))
+
+
+def cover_of(intervals: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """Each interval's hours as few buckets: its whole days (as ``day``), and the hours at both ends that these leave (as ``hour_start``).
+
+    An interval makes a row for each whole day and at most 46 for hours, however long it is.
+    Intervals that end before they start have none.
+    """
+    hour, day = F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 DAY")
     stop = F.coalesce("ended", at(as_of))
-    hours = F.sequence(hour_start("started"), hour_start(stop), F.expr("INTERVAL 1 HOUR"))
-    return intervals.where(stop >= F.col("started")).withColumn("hour_start", F.explode(hours))
+    lo, hi = hour_start("started"), hour_start(stop) + hour  # half-open
+    first, last = F.to_date(lo + F.expr("INTERVAL 23 HOUR")).cast("timestamp_ntz"), F.to_date(hi).cast("timestamp_ntz")
+    some = F.col("__first") < F.col("__last")
+    spans = intervals.where(stop >= F.col("started")).withColumns({"__lo": lo, "__hi": hi, "__first": first, "__last": last})
+    span = lambda a, b, step: F.when(a < b, F.sequence(a, b - step, step))
+    ends = F.concat(*(F.coalesce(span(a, b, hour), F.array().cast("array<timestamp_ntz>")) for a, b in ((F.col("__lo"), F.col("__first")), (F.col("__last"), F.col("__hi")))))
+    hours = F.when(some, ends).otherwise(span(F.col("__lo"), F.col("__hi"), hour))
+    drop = ("__lo", "__hi", "__first", "__last")
+    by_day = spans.where(some).withColumn("day", F.explode(span(F.col("__first"), F.col("__last"), day))).drop(*drop)
+    return by_day, spans.withColumn("hour_start", F.explode(hours)).drop(*drop)
 
 
 def interval_join(intervals: DataFrame, facts: DataFrame, as_of: str, key: str = "station_id", time: str = "event_time") -> DataFrame:
     """Facts of the interval's key within it, both ends included.
 
-    Intervals are dealt into hours, so that the join is by key and hour and no key's whole
-    history meets its intervals; the exact times are tested on what is left.
+    Intervals are covered by whole days and hours, and facts are joined by key and day with the one, by key and hour with the
+    other, so that no key's whole history meets its intervals and a long interval makes few rows; the exact times are tested on what is left.
     """
-    hourly = hours_of(intervals, as_of).withColumnRenamed("hour_start", "__hour").withColumnRenamed(key, "__key")
     inside = F.col(time).between(F.col("started"), F.coalesce("ended", at(as_of)))
-    return facts.withColumn("__at", hour_start(time)).join(hourly, (F.col(key) == F.col("__key")) & (F.col("__at") == F.col("__hour")) & inside).drop("__at", "__hour", "__key")
+    found = []
+    for cover, bucket, of in zip(cover_of(intervals, as_of), ("day", "hour_start"), (F.to_date(F.col(time)).cast("timestamp_ntz"), hour_start(time)), strict=True):
+        side = cover.withColumnsRenamed({bucket: "__bucket", key: "__key"})
+        found.append(facts.withColumn("__at", of).join(side, (F.col(key) == F.col("__key")) & (F.col("__at") == F.col("__bucket")) & inside).drop("__at", "__bucket", "__key"))
+    return found[0].unionByName(found[1])
 
 
 def hour_range_join(intervals: DataFrame, hourly: DataFrame, as_of: str, key: str = "station_id") -> DataFrame:
-    """Hourly rows of the interval's key from its first hour to its last."""
-    return hours_of(intervals, as_of).join(hourly, [key, "hour_start"])
+    """Hourly rows of the interval's key from its first hour to its last, met by whole days and by the hours left at the ends."""
+    by_day, by_hour = cover_of(intervals, as_of)
+    days = hourly.withColumn("day", F.to_date("hour_start").cast("timestamp_ntz"))
+    return by_day.join(days, [key, "day"]).drop("day").unionByName(by_hour.join(hourly, [key, "hour_start"]))
 
 
 def offset_value(df: DataFrame, hourly: DataFrame, time: Column, hours: int, value: str, name: str, key: str = "station_id") -> DataFrame:

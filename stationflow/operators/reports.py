@@ -75,30 +75,43 @@ def health_hourly(t: Tables) -> DataFrame:
     return with_health(joins.lookup(joined, t.stations, {a: a for a in STATION_ATTRS}))
 
 
+HEALTH_KEYS = ("report_date", "station_id", "operator_code", "region", "density_class")
+
+
+def scored_days(health: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Hours with a score under their day, and which are critical, and which degraded or worse.
+
+    Hours without a score (maintenance) belong to no day, so a day of them alone has no row. The category decides,
+    which is taken before rounding: an hour just under a threshold counts although its score shows the threshold.
+    """
+    hours = health.where(F.col("health_score").isNotNull()).withColumn("report_date", F.to_date("hour_start"))
+    category = F.col("health_category")
+    return hours, category == "critical", category.isin("degraded", "critical")
+
+
 def health_daily(health: DataFrame) -> DataFrame:
-    """Scores of each station and day; hours without a score count in neither."""
-    return health.groupBy(F.to_date("hour_start").alias("report_date"), "station_id", "operator_code", "region", "density_class").agg(
+    """Scores of each station and day, over its hours with a score."""
+    hours, critical, degraded = scored_days(health)
+    return hours.groupBy(*HEALTH_KEYS).agg(
         F.avg("health_score").alias("avg_health_score"),
         F.min("health_score").alias("min_health_score"),
         F.max("health_score").alias("max_health_score"),
-        F.count_if(F.col("health_score") < 30).alias("hours_critical"),
-        F.count_if(F.col("health_score") < 60).alias("hours_degraded"),
+        F.count_if(critical).alias("hours_critical"),
+        F.count_if(degraded).alias("hours_degraded"),
     )
 
 
-HEALTH_KEYS = ("report_date", "station_id", "operator_code", "region", "density_class")
-
-
 def health_state(health: DataFrame) -> DataFrame:
     """Hourly health as mergeable daily states of each station."""
     score = F.col("health_score")
-    return health.withColumn("report_date", F.to_date("hour_start")).groupBy(*HEALTH_KEYS).agg(
+    hours, critical, degraded = scored_days(health)
+    return hours.groupBy(*HEALTH_KEYS).agg(
         F.sum(score).alias("score_sum"),
         F.count(score).alias("score_n"),
         F.min(score).alias("score_min"),
         F.max(score).alias("score_max"),
-        F.count_if(score < 30).alias("critical"),
-        F.count_if(score < 60).alias("degraded"),
+        F.count_if(critical).alias("critical"),
+        F.count_if(degraded).alias("degraded"),
     )
 
 

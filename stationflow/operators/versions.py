@@ -31,7 +31,7 @@ def apply_corrections(base: DataFrame, changes: DataFrame, keys: list[str], vers
 def merge_json(base: Column, patch: Column) -> Column:
     """Two flat JSON objects as one; the patch wins. Null counts as an empty object.
 
-    Values keep their JSON type; the keys come out sorted.
+    Values keep their JSON type; the keys come out sorted, and escaped as JSON text.
     """
 
     def read(c: Column) -> Column:
@@ -39,7 +39,7 @@ def merge_json(base: Column, patch: Column) -> Column:
 
     keys = F.array_sort(F.array_union(F.map_keys(read(base)), F.map_keys(read(patch))))
     value = lambda k: F.coalesce(F.element_at(read(patch), k), F.element_at(read(base), k))
-    return F.concat(F.lit("{"), F.array_join(F.transform(keys, lambda k: F.concat(F.lit('"'), k, F.lit('":'), F.to_json(value(k)))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(keys, lambda k: F.concat(F.to_json(k.cast("variant")), F.lit(":"), F.to_json(value(k)))), ","), F.lit("}"))
 
 
 def apply_tombstones(df: DataFrame, erased: DataFrame, key: str) -> DataFrame:
@@ -80,18 +80,18 @@ def find_duplicates(df: DataFrame, business_key: list[str], row_id: str) -> Data
 
 
 def changed_rows(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
-    """Keys that were added, removed or changed in any attribute, by a hash of the row."""
+    """Keys that were added, removed or changed in any attribute; a null differs from any value and equals a null."""
     cols = [c for c in new.columns if c != key]
-    side = lambda df, name: df.select(F.col(key).alias(f"{name}_key"), F.xxhash64(*cols).alias(name))
+    side = lambda df, name: df.select(F.col(key).alias(f"{name}_key"), F.struct(*cols).alias(name))
     both = side(new, "new").join(side(old, "old"), F.col("new_key") == F.col("old_key"), "full_outer")
-    kind = F.when(F.col("old_key").isNull(), "added").when(F.col("new_key").isNull(), "removed").when(F.col("new") != F.col("old"), "changed")
+    kind = F.when(F.col("old_key").isNull(), "added").when(F.col("new_key").isNull(), "removed").when(~F.col("new").eqNullSafe(F.col("old")), "changed")
     return both.select(F.coalesce("new_key", "old_key").alias(key), kind.alias("change")).where("change is not null")
 
 
 def load_dim(new: DataFrame, old: DataFrame, key: str, as_of: Column) -> DataFrame:
-    """The new dimension; rows that changed carry ``as_of`` as ``updated_at``, others keep theirs."""
+    """The new dimension; rows that changed carry ``as_of`` as ``updated_at``, others keep theirs. A value that moves between a null and a filled column is a change."""
     cols = [c for c in new.columns if c not in {key, "updated_at"}]
-    kept = old.select(F.col(key).alias("__key"), F.xxhash64(*cols).alias("__old"), F.col("updated_at").alias("__at"))
+    kept = old.select(F.col(key).alias("__key"), F.struct(*cols).alias("__old"), F.col("updated_at").alias("__at"))
     joined = new.drop("updated_at").join(kept, F.col(key) == F.col("__key"), "left")
-    same = F.xxhash64(*cols) == F.col("__old")
-    return joined.withColumn("updated_at", F.when(F.coalesce(same, F.lit(False)), F.col("__at")).otherwise(as_of)).drop("__key", "__old", "__at")
+    same = F.col("__key").isNotNull() & F.struct(*cols).eqNullSafe(F.col("__old"))
+    return joined.withColumn("updated_at", F.when(same, F.col("__at")).otherwise(as_of)).drop("__key", "__old", "__at")

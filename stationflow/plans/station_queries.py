@@ -583,7 +583,7 @@ def health_score(f: Feeds) -> DataFrame:
     return reports.health_hourly(f.tables()).select("station_id", "hour_start", "health_score", "health_category")
 
 
-@query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_score < 30) AS hours_critical, count(*) FILTER (health_score < 60) AS hours_degraded FROM health GROUP BY ALL", "avg_health_score min_health_score max_health_score")
+@query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_category = 'critical') AS hours_critical, count(*) FILTER (health_category IN ('degraded', 'critical')) AS hours_degraded FROM health WHERE health_score IS NOT NULL GROUP BY ALL", "avg_health_score min_health_score max_health_score")
 def health_daily(f: Feeds) -> DataFrame:
     return reports.health_daily(reports.health_hourly(f.tables()))
 

@@ -221,7 +221,7 @@ def stream_pair(f: Feeds) -> DataFrame:
     return jobs.pair_result(f.spark, arrive(events, "updated_at", "pair", jobs.stream_pair))
 
 
-@query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_score < 30) AS hours_critical, count(*) FILTER (health_score < 60) AS hours_degraded FROM health GROUP BY ALL", "avg_health_score min_health_score max_health_score")
+@query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_category = 'critical') AS hours_critical, count(*) FILTER (health_category IN ('degraded', 'critical')) AS hours_degraded FROM health WHERE health_score IS NOT NULL GROUP BY ALL", "avg_health_score min_health_score max_health_score")
 def stream_health_daily(f: Feeds) -> DataFrame:
     """Hourly health arrives in three parts and cascades into days."""
     return rep.merge_health(f.spark.read.parquet(arrive(rep.health_hourly(f.tables()), "hour_start", "health", jobs.stream_health_daily)))

@@ -1,13 +1,14 @@
 """Boundaries of rules, versions, windows and pairs on rows made by hand."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stationflow.functions.times import minutes_between
-from stationflow.operators import joins, manifest, quality, versions
+from stationflow.operators import joins, manifest, quality, reports, versions
 from stationflow.plans import contract
 from stationflow.plans.feeds import Feeds
 from stationflow.sources import lake
@@ -84,10 +85,70 @@ def test_pairs_by_rank_and_next_end_differ(spark):
     assert joins.pair_next_end(e, "incident_start", "incident_end").first()["ended"] == t("2024-01-01T03:00:00")
 
 
+def covered(spark, *rows):
+    days, hours = joins.cover_of(spark.createDataFrame([(1, a and t(a), b and t(b)) for a, b in rows], "station_id long, started timestamp_ntz, ended timestamp_ntz"), AS_OF)
+    return [r.day for r in days.orderBy("day").collect()], [r.hour_start for r in hours.orderBy("hour_start").collect()]
+
+
 def test_reversed_and_open_intervals(spark):
-    rows = [(1, t("2024-01-01T05:00:00"), t("2024-01-01T04:00:00")), (1, t("2024-01-31T22:30:00"), None)]
-    hours = joins.hours_of(spark.createDataFrame(rows, "station_id long, started timestamp_ntz, ended timestamp_ntz"), AS_OF)
-    assert [r.hour_start.hour for r in hours.orderBy("hour_start").collect()] == [22, 23, 0]
+    days, hours = covered(spark, ("2024-01-01T05:00:00", "2024-01-01T04:00:00"), ("2024-01-31T22:30:00", None))
+    assert not days and [h.hour for h in hours] == [22, 23, 0]
+
+
+@pytest.mark.parametrize(("start", "end"), [("2024-01-01T00:00:00", "2024-01-01T23:10:00"), ("2024-01-01T00:59:00", "2024-01-02T00:00:00"), ("2024-01-01T01:00:00", "2024-01-03T22:00:00"), ("2024-01-01T03:30:00", "2024-03-01T07:00:00"), ("2024-01-05T12:00:00", "2024-01-05T12:00:00")])
+def test_covers_are_exact_and_small(spark, start, end):
+    days, hours = covered(spark, (start, end))
+    first, last = t(start).replace(minute=0), t(end).replace(minute=0)
+    want = [first + dt.timedelta(hours=k) for k in range(int((last - first).total_seconds()) // 3600 + 1)]
+    assert sorted(hours + [d + dt.timedelta(hours=k) for d in days for k in range(24)]) == want
+    assert len(days) + len(hours) < 110 and len(hours) <= 46
+
+
+def test_interval_joins_against_loops(spark):
+    rng = np.random.default_rng(5)
+    base = t("2024-01-01T00:00:00")
+    when = lambda: base + dt.timedelta(minutes=int(rng.integers(0, 8000)))
+    facts = [(int(rng.integers(0, 2)), k, when()) for k in range(500)]
+    spans = [(int(rng.integers(0, 2)), k, a := when(), None if k % 9 == 0 else a + dt.timedelta(minutes=int(rng.integers(-60, 5000)))) for k in range(40)]
+    i = spark.createDataFrame(spans, "station_id long, start_id long, started timestamp_ntz, ended timestamp_ntz")
+    f = spark.createDataFrame(facts, "station_id long, fact_id long, event_time timestamp_ntz")
+    stop = lambda e: e or t("2024-02-01T00:00:00")
+    want = sorted((s, k) for st, s, a, e in spans for ft, k, x in facts if st == ft and a <= x <= stop(e))
+    assert sorted((r.start_id, r.fact_id) for r in joins.interval_join(i, f, AS_OF).collect()) == want
+    hourly = f.select("station_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour_start"), "fact_id")
+    hour = lambda x: x.replace(minute=0)
+    want = sorted((s, k) for st, s, a, e in spans for ft, k, x in facts if st == ft and stop(e) >= a and hour(a) <= hour(x) <= hour(stop(e)))
+    assert sorted((r.start_id, r.fact_id) for r in joins.hour_range_join(i, hourly, AS_OF).collect()) == want
+
+
+def test_next_end_and_rank_against_loops(spark):
+    """Stations with many events in an hour, ends days later, equal times, and events without a station or a time."""
+    rng = np.random.default_rng(8)
+    base = t("2024-01-01T00:00:00")
+    rows = []
+    for k in range(600):
+        station = None if k % 50 == 0 else int(rng.integers(0, 3))
+        minute = int(rng.choice([0, 1, 30, 59, 60, 61, 3000, 9000, int(rng.integers(0, 12_000))]))
+        rows.append((station, k, None if k % 97 == 0 else base + dt.timedelta(minutes=minute), str(rng.choice(["s", "s", "s", "e", "x"])), f"m{k}"))
+    df = spark.createDataFrame(rows, "station_id long, event_id long, event_time timestamp_ntz, event_type string, metadata string").repartition(5)
+    at = lambda r: (r[2] is not None, r[2] or base, r[1])
+    want = {}
+    for r in rows:
+        if r[3] == "s":
+            ends = sorted((x for x in rows if x[3] == "e" and x[0] == r[0] and at(x) > at(r)), key=at)
+            want[r[1]] = (ends[0][2], ends[0][4]) if ends else (None, None)
+    assert {r.start_id: (r.ended, r.end_meta) for r in joins.pair_next_end(df, "s", "e").collect()} == want
+    ranks = {r[1]: 1 + sum(x[0] == r[0] and at(x) < at(r) for x in rows) for r in rows}
+    got = joins.rank_events(df)
+    assert got.columns == [*df.columns, "nth"] and {r.event_id: r.nth for r in got.collect()} == ranks
+
+
+def test_a_hot_station_is_spread(spark):
+    """All rows of one station: the scan's tasks by far outnumber the stations."""
+    rows = spark.range(20_000).select(F.lit(1).alias("station_id"), F.col("id").alias("event_id"), (F.timestamp_seconds(F.col("id") * 180).cast("timestamp_ntz")).alias("event_time"), F.when(F.col("id") % 50 == 7, "e").otherwise("s").alias("event_type"), F.lit("").alias("metadata"))
+    found = joins.pair_next_end(rows, "s", "e").withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
 
 
 def test_scd2(spark):
@@ -105,10 +166,29 @@ def test_load_dim_stamps_changes(spark):
 
 
 def test_merge_json(spark):
-    df = spark.createDataFrame([('{"a":1,"b":"x"}', '{"b":null,"c":true}'), (None, '{"q":"say \\"hi\\""}')], "a string, b string")
+    df = spark.createDataFrame([('{"a":1,"b":"x"}', '{"b":null,"c":true}'), (None, '{"q":"say \\"hi\\""}'), ('{"a\\"b":1,"c\\\\d":[1]}', '{"é\\n":{"x":"y"}}')], "a string, b string")
     got = [r[0] for r in df.select(versions.merge_json(F.col("a"), F.col("b"))).collect()]
     assert got[1] == '{"q":"say \\"hi\\""}'
     assert '"c":true' in got[0] and '"a":1' in got[0]
+    assert json.loads(got[2]) == {'a"b': 1, "c\\d": [1], "é\n": {"x": "y"}}
+
+
+def test_values_that_move_to_a_null_column_are_changes(spark):
+    schema = "k int, a string, b string"
+    old = spark.createDataFrame([(1, "x", None), (2, None, None), (3, "x", "y")], schema)
+    new = spark.createDataFrame([(1, None, "x"), (2, None, None), (3, "x", "y")], schema)
+    assert [tuple(r) for r in versions.changed_rows(new, old, "k").collect()] == [(1, "changed")]
+    stamped = versions.load_dim(new, old.withColumn("updated_at", F.expr("timestamp_ntz '2024-01-01 00:00:00'")), "k", F.lit(AS_OF).cast("timestamp_ntz"))
+    assert {r.k: r.updated_at.month for r in stamped.collect()} == {1: 2, 2: 1, 3: 1}
+
+
+def test_daily_health_by_category(spark):
+    """A score that shows the threshold but lies below it, and a day of maintenance alone."""
+    rows = [("2024-01-01T00:00:00", 30.0, "critical"), ("2024-01-01T01:00:00", 60.0, "degraded"), ("2024-01-01T02:00:00", None, "maintenance"), ("2024-01-02T00:00:00", None, "maintenance")]
+    health = spark.createDataFrame([(t(h), 1, "o", "r", "d", s, c) for h, s, c in rows], "hour_start timestamp_ntz, station_id long, operator_code string, region string, density_class string, health_score double, health_category string")
+    want = [(dt.date(2024, 1, 1), 45.0, 30.0, 60.0, 1, 2)]
+    for found in (reports.health_daily(health), reports.merge_health(reports.health_state(health))):
+        assert [(r.report_date, r.avg_health_score, r.min_health_score, r.max_health_score, r.hours_critical, r.hours_degraded) for r in found.collect()] == want
 
 
 def test_drift_and_reconcile(spark):
