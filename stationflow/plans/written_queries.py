@@ -110,21 +110,47 @@ def month_partition(f: Feeds) -> DataFrame:
     return f.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("n"), F.min("traffic_id").alias("low"))
 
 
-@query("SELECT 'bronze' AS stage, name, (SELECT count(*) FROM fx_traffic) AS n FROM (VALUES ('bad-1.parquet'), ('bad-2.parquet'), ('ab')) AS v(name)")
+BROKEN = [("bad-1.parquet", "unreadable"), ("bad-2.parquet", "unreadable"), ("ab", "missing"), ("part", "incomplete"), ("part", "incomplete")]
+
+
+@query("SELECT 'bronze' AS stage, 'b1' AS batch_id, name, error_type, (SELECT count(*) FROM fx_traffic WHERE traffic_id % 3 <> 2) AS n, (SELECT sum(bytes_down)::BIGINT FROM fx_traffic WHERE traffic_id % 3 <> 2) AS bytes FROM (VALUES " + ", ".join(map(str, BROKEN)) + ") AS v(name, error_type)")
 def read_with_failures(f: Feeds) -> DataFrame:
-    """Good, empty and corrupt files in one folder, a good folder beside a missing one whose name it continues."""
+    """Good, empty and corrupt files in one folder, a good folder beside a missing one whose name it continues, and files whose pages are damaged half-way."""
     path = fresh_path(f.spark, "landing")
-    here, good = f"{path}/mixed", f"{path}/abc"
-    f.traffic.where("traffic_id % 2 = 0").write.parquet(here)
+    here, good, torn = f"{path}/mixed", f"{path}/abc", f"{path}/torn +%20"
+    f.traffic.where("traffic_id % 3 = 0").write.parquet(here)
     f.traffic.where("false").write.mode("append").parquet(here)
-    f.traffic.where("traffic_id % 2 = 1").write.parquet(good)
+    f.traffic.where("traffic_id % 3 = 1").write.parquet(good)
+    f.traffic.where("traffic_id % 3 = 2").repartition(2).write.option("parquet.block.size", 1 << 16).parquet(torn)
+    damage_files(f, torn)
     texts = fresh_path(f.spark, "texts")
     f.events.select("metadata").coalesce(1).write.text(texts)
     put_files(f, texts, [f"{here}/bad-1.parquet", f"{good}/bad-2.parquet"])
-    rows, failed = lake.read_with_failures(f.spark, [here, good, f"{path}/ab"], "bronze", AS_OF, ", ".join(f"{c} {kind}" for c, kind in f.traffic.dtypes))
+    rows, failed = lake.read_with_failures(f.spark, [here, good, f"{path}/ab", torn], "bronze", AS_OF, ", ".join(f"{c} {kind}" for c, kind in f.traffic.dtypes), "b1")
     failed = manifest.list_failures(failed.withColumn("table", F.lit("traffic")), "bronze", "traffic")
-    count = rows.groupBy(F.lit("bronze").alias("stage")).agg(F.count("*").alias("n"))
-    return failed.select("stage", F.element_at(F.split("key", "/"), -1).alias("name")).join(count, "stage")
+    count = rows.groupBy(F.lit("bronze").alias("stage")).agg(F.count("*").alias("n"), F.sum("bytes_down").alias("bytes"))
+    name = F.regexp_replace(F.element_at(F.split("key", "/"), -1), "^part-.*", "part")
+    return failed.select("stage", "batch_id", name.alias("name"), "error_type").join(count, "stage")
+
+
+def damage_files(f: Feeds, folder: str) -> None:
+    """Blank out some bytes in the middle of every data file of ``folder``; they stream through, file by file."""
+    jvm, conf = f.spark.sparkContext._jvm, f.spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    fs, copy = place.getFileSystem(conf), jvm.org.apache.commons.io.IOUtils.copyLarge
+    for status in fs.listStatus(place):
+        if status.getPath().getName().startswith("part-"):
+            half, lost, whole = status.getLen() // 2, min(512, status.getLen() // 8), status.getLen()
+            spare = jvm.org.apache.hadoop.fs.Path(place, "_spare")
+            source, target = fs.open(status.getPath()), fs.create(spare, True)
+            copy(source, target, 0, half)
+            target.write(bytearray(lost))
+            source.seek(half + lost)
+            copy(source, target, 0, whole - half - lost)
+            source.close()
+            target.close()
+            fs.delete(status.getPath(), False)
+            fs.rename(spare, status.getPath())
 
 
 def put_files(f: Feeds, folder: str, names: list[str]) -> None:

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from stationflow.functions.times import at
-from stationflow.sources.scratch import fresh_path
+from stationflow.sources.scratch import fresh_path, staged
 
 HOUR = ("year", "month", "day", "hour")
-#: Files without rows that are opened in one job.
-FILES_AT_ONCE = 1000
+#: Files without rows that are opened in one job, and how large one can be: a sound one holds little but its footer.
+FILES_AT_ONCE, EMPTY_BYTES = 1000, 16 << 20
+#: Characters of an error that are kept.
+MESSAGE_CHARS = 500
 
 
 def cdc_extract(df: DataFrame, lo: str, hi: str, pk: str) -> DataFrame:
@@ -73,55 +75,84 @@ def hour_schema(spark: SparkSession, path: str) -> StructType:
 
 
 def _footer_state(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whether each file's bytes are a readable parquet file without rows."""
+    """Why each file's bytes are no parquet file without rows; null if they are."""
     for part in parts:
-        empty = []
+        why = []
         for content in part["content"]:
             try:
-                empty.append(pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0)
-            except (pa.ArrowException, OSError, ValueError):
-                empty.append(False)
-        yield pd.DataFrame({"file": part["path"], "is_empty": empty})
+                n = pq.ParquetFile(io.BytesIO(content)).metadata.num_rows
+                why.append(f"{n} rows told, none read" if n else None)
+            except (pa.ArrowException, OSError, ValueError) as e:
+                why.append(f"{type(e).__name__}: {e}"[:MESSAGE_CHARS])
+        yield pd.DataFrame({"path": part["path"], "why": why}, dtype=object)
 
 
-def read_with_failures(spark: SparkSession, paths: list[str], stage: str, as_of: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the readable files of the listed files and folders, and a failure row (``stage, key, error, failed_at``) for each other file.
+def _whole(schema: StructType) -> Column:
+    """A hash of every column, which can't be had without decoding them all."""
+    odd = lambda f: "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString()
+    return F.xxhash64(*(F.to_json(F.struct(f.name)) if odd(f) else F.col(f.name) for f in schema))
 
-    Files are told apart by their full paths. A file that gave no row is opened once more: one that is
-    sound but empty is no failure. A listed path that isn't there is one. Only names of files
-    without rows pass through the driver, FILES_AT_ONCE of them at a time.
-    """
-    hadoop, there = spark.sparkContext._jsc.hadoopConfiguration(), []
-    for p in paths:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-        if place.getFileSystem(hadoop).exists(place):
-            there.append(p)
-    failure = "stage string, key string, error string, failed_at timestamp_ntz"
-    gone = spark.createDataFrame([(p,) for p in paths if p not in there], "key string").select(F.lit(stage).alias("stage"), "key", F.lit("missing").alias("error"), at(as_of).alias("failed_at"))
-    if not there:
-        return spark.createDataFrame([], schema), gone
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*there)
-    plain = lambda c: F.regexp_replace(c, r"^[a-z0-9]+:/+", "/")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(there).select(F.col("path").alias("file"), plain(F.col("path")).alias("key"))
-    seen = rows.select(plain(F.url_decode("_metadata.file_path")).alias("key")).distinct()
-    silent = files.withColumn("key", F.url_decode("key")).join(seen, "key", "left_anti")
+
+def _silent(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``path, why`` of the small files that gave no row: they are opened in workers, FILES_AT_ONCE of them in a job."""
     states, names = fresh_path(spark, "footers"), []
-    spark.createDataFrame([], "file string, is_empty boolean").write.parquet(states)
+    schema = "path string, why string"
+    spark.createDataFrame([], schema).write.parquet(states)
 
     def look() -> None:
         contents = spark.read.format("binaryFile").load(names).select("path", "content")
-        contents.mapInPandas(_footer_state, "file string, is_empty boolean").write.mode("append").parquet(states)
+        contents.mapInPandas(_footer_state, schema).write.mode("append").parquet(states)
         names.clear()
 
-    for row in silent.select("file").toLocalIterator():
-        names.append(row["file"])
+    for row in files.select("path").toLocalIterator():
+        names.append(row["path"])
         if len(names) == FILES_AT_ONCE:
             look()
     if names:
         look()
-    bad = spark.read.schema("file string, is_empty boolean").parquet(states).where(~F.col("is_empty"))
-    failed = bad.select(F.lit(stage).alias("stage"), F.url_decode(plain(F.col("file"))).alias("key"), F.lit("unreadable").alias("error"), at(as_of).alias("failed_at"))
-    return rows, failed.unionByName(gone).to(StructType.fromDDL(failure))
+    return spark.read.schema(schema).parquet(states)
+
+
+def read_with_failures(spark: SparkSession, paths: list[str], stage: str, as_of: str, schema: str, batch: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of the sound files of the listed files and folders, and a failure row for each other file.
+
+    Failures are ``stage, batch_id, key, error_type, error_message, size_bytes, failed_at``. A file's rows are
+    counted twice before any is given out: by its footer, where Spark reads no page, and by decoding every column, where
+    page checksums are verified. A file that gives fewer rows than its footer tells is ``incomplete`` and gives none. One
+    without a readable footer is ``unreadable``, a listed path that isn't there ``missing``. A sound file without rows is no failure.
+
+    Files are told apart by their full paths; sizes, counts and failures are tables, and only names of small
+    files without rows pass through the driver. Rows of failed files are left out by an anti-join with
+    the written failures, which Spark broadcasts while they are few.
+    """
+    hadoop, there = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for p in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        if place.getFileSystem(hadoop).exists(place):
+            there.append(p)
+    gone = spark.createDataFrame([(p,) for p in paths if p not in there], "key string").select("key", F.lit("missing").alias("error_type"), F.lit("no such path").alias("error_message"), F.lit(None).cast("long").alias("size_bytes"))
+
+    def told(failures: DataFrame) -> DataFrame:
+        return failures.select(F.lit(stage).alias("stage"), F.lit(batch).cast("string").alias("batch_id"), "key", "error_type", "error_message", "size_bytes", at(as_of).alias("failed_at"))
+
+    if not there:
+        return spark.createDataFrame([], schema), told(gone)
+    only = {"pathGlobFilter": "*.parquet"}
+    rows = spark.read.schema(schema).options(ignoreCorruptFiles="true", ignoreMissingFiles="true", **only, **{"parquet.page.verify-checksum.enabled": "true"}).parquet(*there)
+    file = F.col("_metadata.file_path").alias("file")
+    listed = spark.read.format("binaryFile").options(**only).load(there).select(file, "path", F.col("length").alias("size_bytes"))
+    footers = rows.groupBy(file).agg(F.count("*").alias("told"))
+    decoded = rows.select(file, _whole(rows.schema).alias("whole")).groupBy("file").agg(F.count("*").alias("decoded"), F.bit_xor("whole").alias("whole"))
+    states = staged(listed.join(footers, "file", "left").join(decoded, "file", "left"))
+    short = states.where(F.coalesce("decoded", F.lit(0)) < F.col("told")).withColumns({"error_type": F.lit("incomplete"), "error_message": F.concat(F.lit("read "), F.coalesce("decoded", F.lit(0)), F.lit(" of "), F.col("told"), F.lit(" rows"))})
+    mute = states.where(F.col("told").isNull())
+    large = mute.where(F.col("size_bytes") > EMPTY_BYTES).withColumns({"error_type": F.lit("unreadable"), "error_message": F.lit("no footer could be read")})
+    small = mute.join(_silent(spark, mute.where(F.col("size_bytes") <= EMPTY_BYTES)), "path").where(F.col("why").isNotNull()).withColumns({"error_type": F.lit("unreadable"), "error_message": F.col("why")})
+    cols = ("file", "path", "error_type", "error_message", "size_bytes")
+    failed = staged(short.select(*cols).unionByName(large.select(*cols)).unionByName(small.select(*cols)))
+    sound = rows.withColumn("__file", F.col("_metadata.file_path")).join(failed.select(F.col("file").alias("__file")), "__file", "left_anti").drop("__file")
+    named = failed.select(F.regexp_replace("path", r"^[a-z0-9]+:/+", "/").alias("key"), "error_type", "error_message", "size_bytes")
+    return sound, told(named.unionByName(gone))
 
 
 def serialize_json(df: DataFrame, cols: list[str]) -> DataFrame:

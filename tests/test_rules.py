@@ -297,3 +297,26 @@ def test_too_late_rows_are_counted(spark, tmp_path):
         late += jobs.stream_dedup(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
     assert late == 1
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_half_read_files_give_nothing(spark, tmp_path):
+    """A file of many row groups whose later pages are damaged, a file that was cut off, an empty one and a sound one, in an odd folder."""
+    folder = tmp_path / "in +%20é"
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.create_map(F.lit("k"), "id").alias("m"))
+    for part, where in (("torn", "id < 40000"), ("cut", "id >= 40000 and id < 50000"), ("empty", "false"), ("sound", "id >= 50000")):
+        rows.where(where).coalesce(1).write.option("parquet.block.size", 1 << 18).parquet(f"file://{tmp_path}/{part}")
+    folder.mkdir()
+    for part in ("torn", "cut", "empty", "sound"):
+        (data,) = (tmp_path / part).glob("part-*.parquet")
+        content = bytearray(data.read_bytes())
+        if part == "torn":
+            content[len(content) * 2 // 3 : len(content) * 2 // 3 + 200] = bytes(200)
+        (folder / f"{part}.parquet").write_bytes(content[: len(content) // 2] if part == "cut" else content)
+    assert 0 < spark.read.option("ignoreCorruptFiles", "true").parquet(str(folder / "torn.parquet")).where("text is not null").count() < 40_000
+    good, failed = lake.read_with_failures(spark, [str(folder), f"{tmp_path}/nowhere"], "silver", AS_OF, "id long, text string, m map<string,bigint>", "b7")
+    got = {r.key.split("/")[-1]: r for r in failed.collect()}
+    assert {k: r.error_type for k, r in got.items()} == {"torn.parquet": "incomplete", "cut.parquet": "unreadable", "nowhere": "missing"}
+    assert got["torn.parquet"].error_message.endswith(" of 40000 rows") and got["cut.parquet"].error_message and got["cut.parquet"].size_bytes == (folder / "cut.parquet").stat().st_size
+    assert {(r.stage, r.batch_id) for r in got.values()} == {("silver", "b7")} and got["torn.parquet"].key == str(folder / "torn.parquet")
+    assert good.count() == 10_000 == good.where("text is not null").count() and good.columns == ["id", "text", "m"]
+    assert lake.read_with_failures(spark, [f"{tmp_path}/nowhere"], "silver", AS_OF, "id long")[0].count() == 0
