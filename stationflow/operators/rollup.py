@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.numbers import ratio
 from stationflow.functions.times import epoch_micros, hour_start
+from stationflow.operators import quantiles
+from stationflow.sources.scratch import staged
 
+P95 = {"p95_latency": ("latency_ms", 0.95)}
+#: What is measured, and so written once, as quantiles take a second look.
+MEASURED = ("bytes_up", "bytes_down", "imsi_hash", "latency_ms", "packet_loss_pct")
 STATION = ["station_code", "operator_code", "region", "province", "density_class", "technology"]
 
 
@@ -18,7 +23,6 @@ def traffic_measures(jitter: bool) -> list[Column]:
         F.count("*").alias("session_count"),
         F.count_distinct("imsi_hash").alias("unique_subs"),
         F.avg("latency_ms").alias("avg_latency"),
-        F.percentile("latency_ms", 0.95).alias("p95_latency"),
         F.avg("packet_loss_pct").alias("avg_packet_loss"),
     ]
     return [*cols, F.avg("jitter_ms").alias("avg_jitter")] if jitter else cols
@@ -26,12 +30,14 @@ def traffic_measures(jitter: bool) -> list[Column]:
 
 def traffic_hourly(traffic: DataFrame) -> DataFrame:
     """Traffic by hour and station attributes."""
-    return traffic.groupBy(hour_start("event_time").alias("event_hour"), *STATION).agg(*traffic_measures(True))
+    rows = traffic.select(hour_start("event_time").alias("event_hour"), *STATION, *MEASURED, "jitter_ms")
+    return quantiles.aggregate(staged(rows), ["event_hour", *STATION], traffic_measures(True), P95)
 
 
 def traffic_daily(traffic: DataFrame) -> DataFrame:
     """Traffic by day and station attributes."""
-    return traffic.groupBy(F.to_date("event_time").alias("event_date"), *STATION).agg(*traffic_measures(False))
+    rows = traffic.select(F.to_date("event_time").alias("event_date"), *STATION, *MEASURED)
+    return quantiles.aggregate(staged(rows), ["event_date", *STATION], traffic_measures(False), P95)
 
 
 def operator_daily(traffic: DataFrame) -> DataFrame:
@@ -99,15 +105,14 @@ def delay_metrics(df: DataFrame, time: str, buffer_seconds: int = 240, keys: tup
     """Propagation (created to updated) and clock offset (event to created) in seconds, late and updated rows."""
     seconds = lambda a, b: (epoch_micros(F.col(b)) - epoch_micros(F.col(a))) / 1e6
     propagation, offset = seconds("created_at", "updated_at"), seconds(time, "created_at")
-    return df.groupBy(*keys).agg(
+    measures = [
         F.max(propagation).alias("max_propagation_s"),
-        F.percentile(propagation, 0.99).alias("p99_propagation_s"),
         F.max(offset).alias("max_offset_s"),
-        F.percentile(offset, 0.99).alias("p99_offset_s"),
         F.count_if(offset > buffer_seconds).alias("late_rows"),
         F.count_if(propagation > 1).alias("updated_rows"),
         F.max("updated_at").alias("max_updated_at"),
-    )
+    ]
+    return quantiles.aggregate(df, [*keys], measures, {"p99_propagation_s": (propagation, 0.99), "p99_offset_s": (offset, 0.99)})
 
 
 def top_value(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:

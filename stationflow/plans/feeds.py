@@ -46,9 +46,14 @@ class Feeds:
         return Tables(self.live_traffic(), self.live_metrics(), self.live_events(), self.stations)
 
     def report_tables(self) -> tuple[Tables, DataFrame]:
-        """Live traffic and events and hourly health as written tables, for reports that read them more than once."""
+        """The live feeds as plans, and hourly health as a written table: for reports of health, which read raw rows once more at most."""
         lazy = self.tables()
-        tables = Tables(staged(lazy.traffic), lazy.metrics, staged(lazy.events), self.stations)
+        return lazy, staged(health_hourly(lazy))
+
+    def outage_tables(self) -> tuple[Tables, DataFrame]:
+        """Live traffic and events as written tables too, for the report that meets intervals with raw traffic."""
+        lazy = self.tables()
+        tables = Tables(staged(lazy.traffic.select("station_id", "event_time", "imsi_hash", "bytes_up", "bytes_down", "latency_ms", "packet_loss_pct")), lazy.metrics, staged(lazy.events), self.stations)
         return tables, staged(health_hourly(tables))
 
 

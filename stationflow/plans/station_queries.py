@@ -604,13 +604,13 @@ OUTAGE_DOUBLES = "severity duration_min estimated_duration_min traffic_loss_byte
 
 @query(outage("incident_pairs"), OUTAGE_DOUBLES)
 def outage_report(f: Feeds) -> DataFrame:
-    t, health = f.report_tables()
+    t, health = f.outage_tables()
     return reports.outage_report(t, health, AS_OF)
 
 
 @query(outage("incident_next"), OUTAGE_DOUBLES)
 def outage_report_next_end(f: Feeds) -> DataFrame:
-    t, health = f.report_tables()
+    t, health = f.outage_tables()
     return reports.outage_report(t, health, AS_OF, joins.pair_next_end)
 
 
