@@ -118,6 +118,12 @@ def health_state(health: DataFrame) -> DataFrame:
     )
 
 
+def merge_health_states(states: DataFrame) -> DataFrame:
+    """States of any batches as one state for each station and day."""
+    sums, least, most = ("score_sum", "score_n", "critical", "degraded"), ("score_min",), ("score_max",)
+    return states.groupBy(*HEALTH_KEYS).agg(*(fn(c).alias(c) for fn, names in ((F.sum, sums), (F.min, least), (F.max, most)) for c in names))
+
+
 def merge_health(states: DataFrame) -> DataFrame:
     """States of any batches as ``health_daily`` gives them."""
     return states.groupBy(*HEALTH_KEYS).agg(

@@ -203,18 +203,27 @@ def stream_silver(f: Feeds) -> DataFrame:
 
 @query("SELECT date_trunc('hour', event_time) AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM fx_traffic GROUP BY 1, 2")
 def stream_hourly_rollup(f: Feeds) -> DataFrame:
-    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", jobs.stream_rollup))
+    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", jobs.stream_rollup), f.traffic.schema)
 
 
 @query("SELECT date_trunc('day', event_time)::TIMESTAMP AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM fx_traffic GROUP BY 1, 2")
 def stream_daily_rollup(f: Feeds) -> DataFrame:
-    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", lambda stream, out, mark: jobs.stream_rollup(stream, out, mark, "1 day")))
+    return jobs.rollup_result(f.spark, arrive(f.traffic, "updated_at", "rollup", lambda stream, out, mark: jobs.stream_rollup(stream, out, mark, "1 day")), f.traffic.schema, "1 day")
+
+
+@query("SELECT date_trunc('hour', event_time) AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes, (SELECT count(*) FROM fx_traffic WHERE event_time < TIMESTAMP '2024-01-10') > 0 AS some_late FROM fx_traffic GROUP BY 1, 2")
+def stream_late_rows(f: Feeds) -> DataFrame:
+    """Newest rows arrive first, so that most come behind a watermark of an hour; rows in time and late ones together are all rows."""
+    backwards = f.traffic.withColumn("order", at("2024-01-31 00:00:00") - (F.col("event_time") - at("2024-01-01 00:00:00")))
+    late = []
+    out = arrive(backwards, "order", "backwards", lambda stream, out, mark: late.append(jobs.stream_rollup(stream, out, mark, delay="1 hour")))
+    return jobs.rollup_result(f.spark, out, backwards.schema).withColumn("some_late", F.lit(late[-1] > 0))
 
 
 @query("SELECT DISTINCT traffic_id, updated_at, bytes_up FROM all_traffic")
 def stream_dedup(f: Feeds) -> DataFrame:
     twice = f.all_traffic.unionByName(f.all_traffic.where("traffic_id % 3 = 0"))
-    return f.spark.read.parquet(arrive(twice, "updated_at", "dedup", jobs.stream_dedup)).select("traffic_id", "updated_at", "bytes_up")
+    return jobs.dedup_result(f.spark, arrive(twice, "updated_at", "dedup", jobs.stream_dedup), twice.schema).select("traffic_id", "updated_at", "bytes_up")
 
 
 SECONDS = "(epoch_us({1}) - epoch_us({0})) / 1e6"
@@ -250,7 +259,7 @@ def stream_pair(f: Feeds) -> DataFrame:
 @query("SELECT CAST(hour_start AS DATE) AS report_date, station_id, operator_code, region, density_class, avg(health_score) AS avg_health_score, min(health_score) AS min_health_score, max(health_score) AS max_health_score, count(*) FILTER (health_category = 'critical') AS hours_critical, count(*) FILTER (health_category IN ('degraded', 'critical')) AS hours_degraded FROM health WHERE health_score IS NOT NULL GROUP BY ALL", "avg_health_score min_health_score max_health_score")
 def stream_health_daily(f: Feeds) -> DataFrame:
     """Hourly health arrives in three parts and cascades into days."""
-    return rep.merge_health(f.spark.read.parquet(arrive(rep.health_hourly(f.tables()), "hour_start", "health", jobs.stream_health_daily)))
+    return jobs.health_result(f.spark, arrive(rep.health_hourly(f.tables()), "hour_start", "health", jobs.stream_health_daily))
 
 
 @query("SELECT CAST(event_time AS DATE) AS report_date, technology, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM traffic_dim GROUP BY 1, 2")

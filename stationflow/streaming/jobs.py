@@ -3,18 +3,22 @@
 Every job runs what is there and stops (``availableNow``); its checkpoint takes the place
 of the extraction watermark. Sinks made by ``foreachBatch`` write one folder for each
 batch number and replace it if the batch runs again, so a retried batch counts once.
+Results that supersede each other are compacted, and rows behind a watermark go to a side table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from stationflow.operators import joins, quality, reports, rollup, versions
 from stationflow.sources import lake
@@ -28,11 +32,88 @@ def source(spark: SparkSession, path: str, schema: StructType, files: int | None
     return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
 
 
-def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> int:
-    """Run what is there; how many rows came behind the watermark and were left out (of the batches whose progress Spark keeps)."""
-    running = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    running.awaitTermination()
-    return sum(state["numRowsDroppedByWatermark"] for p in running.recentProgress for state in p["stateOperators"])
+def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Run what is there."""
+    stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def batch_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``file, batch, watermark``: what each batch of a finished run read, and behind which time it left rows out (null in the first).
+
+    Read back from the checkpoint: a batch's offset says up to which entry of the file log it read, and the
+    watermark that its operators drop late rows by is the one of the batch before.
+    """
+    log = "struct<batchWatermarkMs:bigint,logOffset:bigint>"
+    name = F.element_at(F.split(F.url_decode("_metadata.file_path"), "/"), -1)
+    lines = lambda part: spark.read.text(f"{checkpoint}/{part}").select(name.alias("name"), "value").where("value like '{%'")
+    offsets = lines("offsets").select(F.col("name").cast("long").alias("batch"), F.from_json("value", log).alias("o")).groupBy("batch").agg(F.max("o.batchWatermarkMs").alias("mark"), F.max("o.logOffset").alias("last"))
+    order = Window.orderBy("batch")  # one row for each batch of the run's log, not for each row or file
+    offsets = offsets.select("batch", F.lag("mark").over(order).alias("mark"), (F.coalesce(F.lag("last").over(order), F.lit(-1)) + 1).alias("first"), "last").where("first <= last")
+    files = lines("sources/0").select(F.from_json("value", "path string, batchId bigint").alias("f")).select("f.path", F.col("f.batchId").alias("entry")).distinct()
+    spread = offsets.select("batch", "mark", F.explode(F.sequence("first", "last")).alias("entry"))
+    mark = F.when(F.col("mark") > 0, F.timestamp_millis("mark").cast("timestamp_ntz"))
+    return files.join(spread, "entry").select(F.col("path").alias("file"), "batch", mark.alias("watermark"))
+
+
+def keep_late(spark: SparkSession, schema: StructType, checkpoint: str, path: str, ready: Callable[[Column], Column]) -> int:
+    """Write the rows that came behind the watermark to ``path``/batch=N, and return how many there are in all.
+
+    ``ready`` gives the time after which the job takes a row no more. Files of batches that aren't
+    in the side table yet are read once more, only where their statistics allow for late rows; a batch without any has an empty folder.
+    """
+    done = {int(n.removeprefix("batch=")) for n in folders(spark, path) if n.startswith("batch=")}
+    found = batch_files(spark, checkpoint).where("watermark is not null")
+    for row in found.groupBy("batch", "watermark").agg(F.collect_list("file").alias("files")).toLocalIterator():  # a batch's file names, as its trigger read them
+        if row["batch"] not in done:
+            rows = spark.read.schema(schema).parquet(*row["files"])
+            rows.where(ready(F.lit(row["watermark"]).cast("timestamp_ntz"))).write.mode("overwrite").parquet(f"{path}/batch={row['batch']}")
+    kept = [n for n in folders(spark, path) if n.startswith("batch=")]
+    return spark.read.schema(schema).parquet(*(f"{path}/{n}" for n in kept)).count() if kept else 0
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it isn't there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Batch folders that may stand beside the compacted ones before they are merged.
+COMPACT_AFTER = 10
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """What a job has written to ``path``, with its ``batch``: the newest compacted folder and the batches after it."""
+    whole, later = _parts(spark, path)
+    parts = ([spark.read.parquet(f"{path}/upto={whole}")] if whole is not None else []) + [spark.read.parquet(f"{path}/batch={n}").withColumn("batch", F.lit(n).cast("long")) for n in later]
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part)
+    return first
+
+
+def _parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    found = [re.fullmatch(r"(upto|batch)=(\d+)", n) for n in folders(spark, path)]
+    whole = max((int(m[2]) for m in found if m and m[1] == "upto"), default=None)
+    return whole, sorted(int(m[2]) for m in found if m and m[1] == "batch" and (whole is None or int(m[2]) > whole))
+
+
+def compact(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], after: int = COMPACT_AFTER) -> None:
+    """Merge batch folders into one once there are more than ``after``, so that reading costs the same however many batches ran.
+
+    To be called when no batch is running. The merged folder is written before those it replaces are
+    removed, and readers leave out what it holds: a run that is cut short in between loses and repeats nothing.
+    """
+    whole, later = _parts(spark, path)
+    if len(later) > after:
+        merge(read_batches(spark, path)).write.mode("overwrite").parquet(f"{path}/upto={later[-1]}")
+        for old in [*(f"batch={n}" for n in later), *([f"upto={whole}"] if whole is not None else [])]:
+            remove(spark, f"{path}/{old}")
 
 
 def to_batch_folder(path: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -63,29 +144,56 @@ def stream_silver(stream: DataFrame, stations: DataFrame, path: str, checkpoint:
 
 
 def stream_rollup(stream: DataFrame, path: str, checkpoint: str, width: str = "1 hour", delay: str = "30 days") -> int:
-    """Tumbling windows by station; each batch writes the windows it changed, and the last one counts.
+    """Tumbling windows by station; each batch writes the windows it changed under ``path``/windows, and the last one counts.
 
-    Returns how many rows came more than ``delay`` late and are in no window.
+    State is bounded by ``delay``. Rows whose window had left the state lie in ``path``/late; returns how many.
+    ``rollup_result`` adds them, so no row is lost.
     """
     zoned = stream.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
-    windows = zoned.groupBy(F.window("event_time", width).alias("w"), "station_id").agg(F.count("*").alias("session_count"), F.sum(F.col("bytes_up") + F.col("bytes_down")).alias("total_bytes"))
+    windows = zoned.groupBy(F.window("event_time", width).alias("w"), "station_id").agg(*rollup_measures())
     flat = windows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "station_id", "session_count", "total_bytes")
-    return run_batches(flat, checkpoint, to_batch_folder(path, lambda rows: rows), "update")
+    run_batches(flat, checkpoint, to_batch_folder(f"{path}/windows", lambda rows: rows), "update")
+    compact(stream.sparkSession, f"{path}/windows", lambda rows: versions.latest_version(rows, WINDOW_KEYS, "batch"))
+    return keep_late(stream.sparkSession, stream.schema, checkpoint, f"{path}/late", lambda mark: F.window(F.col("event_time"), width)["end"].cast("timestamp_ntz") <= mark)
+
+
+WINDOW_KEYS = ["window_start", "station_id"]
+
+
+def rollup_measures() -> list[Column]:
+    return [F.count("*").alias("session_count"), F.sum(F.col("bytes_up") + F.col("bytes_down")).alias("total_bytes")]
 
 
-def rollup_result(spark: SparkSession, path: str) -> DataFrame:
-    """The newest figures of every window."""
-    return versions.latest_version(spark.read.parquet(path), ["window_start", "station_id"], "batch").drop("batch")
+def rollup_result(spark: SparkSession, path: str, schema: StructType, width: str = "1 hour") -> DataFrame:
+    """The newest figures of every window, with the rows that came too late for the state."""
+    newest = versions.latest_version(read_batches(spark, f"{path}/windows"), WINDOW_KEYS, "batch").drop("batch")
+    late = late_rows(spark, path, schema).groupBy(F.window(F.col("event_time"), width)["start"].cast("timestamp_ntz").alias("window_start"), "station_id").agg(*rollup_measures())
+    both = newest.unionByName(late)
+    return both.groupBy(*WINDOW_KEYS).agg(*(F.sum(c).alias(c) for c in ("session_count", "total_bytes")))
+
+
+def late_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The side table of a job's late rows; empty if none came."""
+    names = [f"{path}/late/{n}" for n in folders(spark, f"{path}/late")]
+    return spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
 
 
 def stream_dedup(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("traffic_id", "updated_at"), time: str = "updated_at", delay: str = "10 minutes") -> int:
-    """Each (row, version) once, although overlapping windows read some twice.
+    """Each (row, version) once, although overlapping windows read some twice; under ``path``/rows.
 
-    Windows overlap by seconds, so keys are held for minutes. Returns how many rows came
-    more than ``delay`` late and were left out.
+    Windows overlap by seconds, so keys are held for minutes. Rows that came more than ``delay`` late
+    lie in ``path``/late, repeats included; returns how many. ``dedup_result`` takes in those that aren't known.
     """
     zoned = stream.withColumn("__mark", F.col(time).cast("timestamp")).withWatermark("__mark", delay)
-    return run_batches(zoned.dropDuplicatesWithinWatermark([*keys]), checkpoint, to_batch_folder(path, lambda rows: rows.drop("__mark")))
+    run_batches(zoned.dropDuplicatesWithinWatermark([*keys]), checkpoint, to_batch_folder(f"{path}/rows", lambda rows: rows.drop("__mark")))
+    return keep_late(stream.sparkSession, stream.schema, checkpoint, f"{path}/late", lambda mark: F.col(time) <= mark)
+
+
+def dedup_result(spark: SparkSession, path: str, schema: StructType, keys: tuple[str, ...] = ("traffic_id", "updated_at")) -> DataFrame:
+    """Rows in time, and late ones whose key isn't among them; late rows with a null in the key can't be known and stay."""
+    rows = spark.read.schema(schema).parquet(f"{path}/rows").select(*schema.names)
+    late = late_rows(spark, path, schema).dropDuplicates([*keys])
+    return rows.unionByName(late.join(rows.select(*keys), [*keys], "left_anti"))
 
 
 def late_data_metrics(stream: DataFrame, path: str, checkpoint: str, buffer_seconds: int = 240) -> None:
@@ -113,8 +221,13 @@ def late_reopen(stream: DataFrame, path: str, checkpoint: str, build: Callable[[
 
 
 def stream_health_daily(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Each batch of hourly health as daily states; ``reports.merge_health`` of all batches gives the days."""
+    """Each batch of hourly health as daily states, which are merged as batches add up; ``health_result`` gives the days."""
     run_batches(stream, checkpoint, to_batch_folder(path, reports.health_state))
+    compact(stream.sparkSession, path, lambda rows: reports.merge_health_states(rows).withColumn("batch", F.lit(-1).cast("long")))
+
+
+def health_result(spark: SparkSession, path: str) -> DataFrame:
+    return reports.merge_health(read_batches(spark, path))
 
 
 def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("technology",)) -> None:
@@ -123,67 +236,104 @@ def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str
 
 
 PAIRS = "station_id long, start_id long, started timestamp_ntz, ended timestamp_ntz"
-OPEN = "start_ids array<long>, start_at array<long>, end_ids array<long>, end_at array<long>"
+NEVER = np.iinfo(np.int64).max
 
 
 def next_ends(start_ids: np.ndarray, start_at: np.ndarray, end_ids: np.ndarray, end_at: np.ndarray) -> np.ndarray:
     """The time of the first end after each start, by time and id; -1 if there is none."""
     ids, times = np.concatenate([start_ids, end_ids]), np.concatenate([start_at, end_at])
     order = np.lexsort((ids, times))
-    none = np.iinfo(np.int64).max
-    ends = np.where(order >= len(start_ids), times[order], none)
+    ends = np.where(order >= len(start_ids), times[order], NEVER)
     ahead = np.minimum.accumulate(ends[::-1])[::-1]
     found = np.empty(len(ids), np.int64)
     found[order] = ahead
-    return np.where(found[: len(start_ids)] == none, -1, found[: len(start_ids)])
+    return np.where(found[: len(start_ids)] == NEVER, -1, found[: len(start_ids)])
 
 
-def pair_step(delay: int, expire: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    """Pairs of one station after each batch; times are microseconds.
+class PairEnds(StatefulProcessor):
+    """Starts of one station with their first end, from events in any order within ``delay`` (microseconds).
 
-    The state holds starts that are open or closed within ``delay`` of the watermark, and
-    the ends within it, so that events in any order within the delay pair as if sorted.
-    Starts open for longer than ``expire`` leave the state and stay open.
+    ``starts`` (id to start and end, end -1 while open) holds open starts however old they are, and closed ones while an
+    earlier end may still come; ``ends`` holds the ends before which a start may still come. Each is an entry of a map
+    state: a batch reads and writes what its events touch, and a timer takes entries out once the watermark has passed them.
     """
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = [np.array(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64)] * 4
-        for part in parts:
-            at, ids = part["event_time"].to_numpy("datetime64[us]").astype(np.int64), part["event_id"].to_numpy(np.int64)
-            is_end = (part["event_type"] == "incident_end").to_numpy()
-            new = (ids[~is_end], at[~is_end], ids[is_end], at[is_end])
-            held = [np.concatenate([h, n]) for h, n in zip(held, new, strict=True)]
-        start_ids, start_at, end_ids, end_at = held
-        ended = next_ends(*held)
-        if len(start_ids):
-            yield pd.DataFrame({"station_id": np.full(len(start_ids), key[0]), "start_id": start_ids, "started": start_at.astype("datetime64[us]"), "ended": np.where(ended < 0, np.iinfo(np.int64).min, ended).astype("datetime64[us]")})
-        now = state.getCurrentWatermarkMs() * 1000
-        wait = np.where(ended < 0, start_at >= now - expire, ended >= now - delay)
-        late = end_at >= now - delay
-        if wait.any() or late.any():
-            state.update(tuple(x.tolist() for x in (start_ids[wait], start_at[wait], end_ids[late], end_at[late])))
-            oldest = min([*(start_at[wait & (ended < 0)] + expire), *(ended[wait & (ended >= 0)] + delay), *(end_at[late] + delay)])
-            state.setTimeoutTimestamp(max(int(oldest) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
+    def __init__(self, delay: int) -> None:
+        self.delay = delay
 
-    return step
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.starts = handle.getMapState("starts", "id long", "started long, ended long")
+        self.ends = handle.getMapState("ends", "at long, id long", "kept boolean")
 
-
-def stream_pair(stream: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", expire_days: int = 60) -> int:
-    """Incidents with their end, or null while they are open, from events in any order within ``delay``.
-
-    Every batch writes the incidents it opened, closed or changed; ``pair_result`` takes the last of
-    each. Returns how many events came too late and were left out.
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+        starts, ends = [], []
+        for part in rows:
+            at, ids = part["event_time"].to_numpy("datetime64[us]").astype(np.int64), part["event_id"].to_numpy(np.int64)
+            is_end = (part["event_type"] == "incident_end").to_numpy()
+            starts += zip(ids[~is_end].tolist(), at[~is_end].tolist(), strict=True)
+            ends += zip(at[is_end].tolist(), ids[is_end].tolist(), strict=True)
+        known = {k[0]: tuple(v) for k, v in self.starts.iterator()} if ends else {}
+        held = {tuple(k) for k in self.ends.keys()} if starts else set()  # noqa: SIM118
+        known |= {i: (at, -2) for i, at in starts}  # -2: not written yet
+        held |= set(ends)
+        if known:
+            ids, at, old = (np.array(x, np.int64) for x in zip(*((i, a, e) for i, (a, e) in known.items()), strict=True))
+            end_at, end_ids = np.array([x for x, _ in held], np.int64), np.array([x for _, x in held], np.int64)
+            new = next_ends(ids, at, end_ids, end_at)
+            new = np.where((old >= 0) & ((new < 0) | (old < new)), old, new)  # an end that left the state stays the first
+            moved = np.flatnonzero(new != old)
+            for k in moved:
+                self.starts.updateValue((int(ids[k]),), (int(at[k]), int(new[k])))
+            if len(moved):
+                yield pd.DataFrame({"station_id": np.full(len(moved), key[0]), "start_id": ids[moved], "started": at[moved].astype("datetime64[us]"), "ended": np.where(new[moved] < 0, np.iinfo(np.int64).min, new[moved]).astype("datetime64[us]")})
+        for x in ends:
+            self.ends.updateValue(x, (True,))
+        if ends:  # an end leaves the state when no start before it can come, and then the starts it closed do
+            self.handle.registerTimer(max((max(x for x, _ in ends) + self.delay) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N803
+        past = timerValues.getCurrentWatermarkInMs() * 1000 - self.delay
+        for k in [tuple(k) for k in self.ends.keys() if k[0] < past]:  # noqa: SIM118
+            self.ends.removeKey(k)
+        for k in [tuple(k) for k, v in self.starts.iterator() if 0 <= v[1] < past]:
+            self.starts.removeKey(k)
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def rocks_db(spark: SparkSession) -> Iterator[None]:
+    """Map states and timers need the RocksDB state store; the session's choice comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def stream_pair(stream: DataFrame, path: str, checkpoint: str, delay: str = "1 hour") -> int:
+    """Incidents with their end, or null while they are open, from events in any order within ``delay``; under ``path``/pairs.
+
+    An end pairs however long its incident was open; the state holds open incidents and those of the last ``delay``. Every
+    batch writes the incidents it opened, closed or changed; ``pair_result`` takes the last of each. Events that
+    came too late lie in ``path``/late; returns how many.
     """
-    events = stream.where(F.col("event_type").isin("incident_start", "incident_end") & F.col("station_id").isNotNull())
+    spark, kinds = stream.sparkSession, ("incident_start", "incident_end")
+    events = stream.where(F.col("event_type").isin(*kinds) & F.col("station_id").isNotNull())
     events = events.select(F.col("station_id").cast("long").alias("station_id"), F.col("event_id").cast("long").alias("event_id"), "event_type", F.col("event_time").cast("timestamp").alias("event_time")).withWatermark("event_time", delay)
     micros = int(pd.Timedelta(delay).total_seconds() * 1e6)
-    step = pair_step(micros, expire_days * 86_400_000_000)
-    pairs = events.groupBy("station_id").applyInPandasWithState(step, PAIRS, OPEN, "update", GroupStateTimeout.EventTimeTimeout)
-    return run_batches(pairs, checkpoint, to_batch_folder(path, lambda rows: rows), "update")
+    with rocks_db(spark):
+        pairs = events.groupBy("station_id").transformWithStateInPandas(PairEnds(micros), PAIRS, "Update", "EventTime")
+        run_batches(pairs, checkpoint, to_batch_folder(f"{path}/pairs", lambda rows: rows), "update")
+    compact(spark, f"{path}/pairs", lambda rows: versions.latest_version(rows, ["station_id", "start_id"], "batch"))
+    return keep_late(spark, stream.schema, checkpoint, f"{path}/late", lambda mark: F.col("event_type").isin(*kinds) & F.col("station_id").isNotNull() & (F.col("event_time") <= mark))
 
 
 def pair_result(spark: SparkSession, path: str) -> DataFrame:
     """The newest state of every incident."""
-    return versions.latest_version(spark.read.parquet(path), ["station_id", "start_id"], "batch").drop("batch")
+    return versions.latest_version(read_batches(spark, f"{path}/pairs"), ["station_id", "start_id"], "batch").drop("batch")

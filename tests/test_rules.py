@@ -262,21 +262,40 @@ def test_batches_of_one_hour_stay(spark, tmp_path):
     assert got == {(0, "01", "1"), (1, "01", "1"), (2, "02", "2"), (3, "02", "2")}
 
 
-def test_pairs_in_any_order_and_open_ones(spark, tmp_path):
+def test_pairs_in_any_order_and_open_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_AFTER", 2)
     schema = "station_id long, event_id long, event_type string, event_time timestamp_ntz"
     batches = [
         [(1, 1, "incident_start", t("2024-01-01T10:00:00")), (1, 9, "incident_end", t("2024-01-01T10:50:00")), (2, 2, "incident_start", t("2024-01-01T10:00:00"))],
         [(1, 4, "incident_end", t("2024-01-01T10:20:00")), (1, 3, "incident_start", t("2024-01-01T10:30:00"))],  # before what came first
         [(3, 5, "incident_start", t("2024-01-03T10:00:00"))],
-        [(1, 6, "incident_start", t("2024-01-01T10:40:00"))],  # too late
+        [(1, 6, "incident_start", t("2024-01-01T10:40:00")), (1, 7, "incident_start", t("2024-01-03T10:00:00"))],  # the first comes too late
+        [(2, 8, "incident_end", t("2024-06-01T00:00:00"))],  # after five months
     ]
-    late = 0
     for batch in batches:
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        late += jobs.stream_pair(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
+        late = jobs.stream_pair(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
     got = {(r.start_id, r.ended) for r in jobs.pair_result(spark, f"{tmp_path}/out").collect()}
-    assert got == {(1, t("2024-01-01T10:20:00")), (3, t("2024-01-01T10:50:00")), (2, None), (5, None)}
-    assert late == 1
+    assert got == {(1, t("2024-01-01T10:20:00")), (3, t("2024-01-01T10:50:00")), (2, t("2024-06-01T00:00:00")), (5, None), (7, None)}
+    assert late == 1 and [r.event_id for r in jobs.late_rows(spark, f"{tmp_path}/out", spark.createDataFrame([], schema).schema).collect()] == [6]
+
+
+def test_pairs_of_many_batches_against_loops(spark, tmp_path):
+    """Events shuffled within the delay over batches give the pairs of the sorted whole."""
+    rng = np.random.default_rng(2)
+    base = t("2024-01-01T00:00:00")
+    schema = "station_id long, event_id long, event_type string, event_time timestamp_ntz"
+    rows = [(int(rng.integers(0, 3)), k, str(rng.choice(["incident_start", "incident_end"], p=[0.7, 0.3])), base + dt.timedelta(minutes=int(m))) for k, m in enumerate(np.sort(rng.integers(0, 3000, 150)))]
+    order = np.argsort(np.arange(150) + rng.integers(0, 4, 150), kind="stable")
+    for part in np.array_split(order, 6):
+        spark.createDataFrame([rows[k] for k in part], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        late = jobs.stream_pair(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark", "5 hours")
+    want = {}
+    for s, k, kind, at in rows:
+        if kind == "incident_start":
+            want[k] = min((x[3] for x in rows if x[2] == "incident_end" and x[0] == s and (x[3], x[1]) > (at, k)), default=None)
+    assert late == 0
+    assert {r.start_id: r.ended for r in jobs.pair_result(spark, f"{tmp_path}/out").collect()} == want
 
 
 def test_next_ends_against_loops():
@@ -289,14 +308,28 @@ def test_next_ends_against_loops():
         assert jobs.next_ends(ids[:n], start_at, ids[n:], end_at).tolist() == want
 
 
-def test_too_late_rows_are_counted(spark, tmp_path):
+def test_too_late_rows_are_kept(spark, tmp_path):
     schema = "traffic_id long, updated_at timestamp_ntz"
-    late = 0
-    for k, when in enumerate(("2024-01-02T00:00:00", "2024-01-03T00:00:00", "2024-01-01T00:00:00")):
-        spark.createDataFrame([(k, t(when))], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        late += jobs.stream_dedup(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema), f"{tmp_path}/out", f"{tmp_path}/mark")
-    assert late == 1
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    kind = spark.createDataFrame([], schema).schema
+    for k, when in enumerate(("2024-01-02T00:00:00", "2024-01-03T00:00:00", "2024-01-01T00:00:00", "2024-01-01T00:00:00", "2024-01-05T00:00:00")):
+        spark.createDataFrame([(k, t(when)), (0, t("2024-01-02T00:00:00"))], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        late = jobs.stream_dedup(jobs.source(spark, f"{tmp_path}/in", kind), f"{tmp_path}/out", f"{tmp_path}/mark")
+    assert late == 5  # two of 2024-01-01, and three repeats of the first row
+    assert sorted(r.traffic_id for r in jobs.dedup_result(spark, f"{tmp_path}/out", kind).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_results_stay_few_files(spark, tmp_path):
+    """Reading costs the same after many batches, and a compaction that is cut short changes nothing."""
+    path = f"{tmp_path}/out"
+    for n in range(25):
+        spark.createDataFrame([(n % 4, n)], "k long, v long").write.parquet(f"{path}/batch={n}")
+        jobs.compact(spark, path, lambda rows: versions.latest_version(rows, ["k"], "batch"), after=5)
+        assert len(jobs.folders(spark, path)) <= 6
+    want = {0: 24, 1: 21, 2: 22, 3: 23}
+    newest = lambda: {r.k: r.v for r in versions.latest_version(jobs.read_batches(spark, path), ["k"], "batch").collect()}
+    assert newest() == want
+    spark.createDataFrame([(0, -1)], "k long, v long").write.parquet(f"{path}/batch=3")  # left behind by a cut compaction
+    assert newest() == want
 
 
 def test_half_read_files_give_nothing(spark, tmp_path):
