@@ -19,11 +19,21 @@ def ratio(part: Column, whole: Column, empty: Column | None = None) -> Column:
     return F.when(whole > 0, part / whole).otherwise(empty if empty is not None else F.lit(None).cast("double"))
 
 
-def json_number(text: Column, *keys: str) -> Column:
-    """The first of the JSON keys that holds a number, as a double; null if none does."""
-    return F.coalesce(*(F.get_json_object(text, f"$.{k}").try_cast("double") for k in keys))
+def json_object(text: Column | str) -> Column:
+    """JSON text parsed once, as a variant; null if it is none."""
+    return F.try_parse_json(text)
 
 
-def json_flag(text: Column, *keys: str) -> Column:
-    """The first of the JSON keys that holds a truth value; null if none does."""
-    return F.coalesce(*(F.get_json_object(text, f"$.{k}").try_cast("boolean") for k in keys))
+def json_text(parsed: Column, *keys: str) -> Column:
+    """The first of the keys that a parsed object holds, as text; null if it holds none."""
+    return F.coalesce(*(F.try_variant_get(parsed, f"$.{k}", "string") for k in keys))
+
+
+def json_number(parsed: Column, *keys: str) -> Column:
+    """The first of the keys that holds a number, as a double; null if none does."""
+    return F.coalesce(*(json_text(parsed, k).try_cast("double") for k in keys))
+
+
+def json_flag(parsed: Column, *keys: str) -> Column:
+    """The first of the keys that holds a truth value; null if none does."""
+    return F.coalesce(*(json_text(parsed, k).try_cast("boolean") for k in keys))

@@ -22,10 +22,11 @@ PROTOCOLS = ("TCP", "UDP", "ICMP", "OTHER")
 TECHNOLOGIES = ("2G", "3G", "4G", "5G")
 BANDS = ("GSM-900", "GSM-1800", "UMTS-2100", "UMTS-900", "Band-3", "Band-7", "Band-20", "n78", "n258", "n77", "unknown")
 STATUSES = ("planned", "provisioning", "testing", "active", "degraded", "maintenance", "down", "decommissioning", "retired")
-#: Labels of rows that may be re-admitted.
+# Labels of rows that may be re-admitted.
 SOFT = ("jitter_invalid", "duration_invalid", "pkt_loss_invalid", "latency_invalid")
 
 
+# The thresholds of the profiles.
 @dataclass(frozen=True)
 class Profile:
     """Thresholds; ranges are inclusive."""
@@ -214,19 +215,30 @@ def check_dimension(dim: DataFrame) -> DataFrame:
     return _warnings(dim, checks).unionByName(twice.select(F.lit("duplicate_code").alias("warning"), "n"))
 
 
-def check_health(df: DataFrame) -> DataFrame:
+def health_checks(columns: list[str]) -> dict[str, Column]:
+    """What must not be in a health report."""
     checks = {"cpu_out_of_range": ~F.col("avg_cpu_pct").between(0, 100), "negative_latency": F.col("avg_latency_ms") < 0, "negative_bytes": F.col("total_bytes") < 0}
-    if "station_count" in df.columns:
-        checks["no_station"] = F.col("station_count") <= 0
-    return _warnings(df, checks)
+    return checks | ({"no_station": F.col("station_count") <= 0} if "station_count" in columns else {})
+
+
+def sla_checks(columns: list[str]) -> dict[str, Column]:
+    return {f"{c}_out_of_range": ~F.col(c).between(0, 100) for c in ("availability_pct", "uptime_pct") if c in columns}
+
+
+def anomaly_checks(columns: list[str]) -> dict[str, Column]:
+    return {f"{c}_extreme": F.abs(c) > 10 for c in ("z_cpu", "z_latency", "z_throughput") if c in columns}
+
+
+def check_health(df: DataFrame) -> DataFrame:
+    return _warnings(df, health_checks(df.columns))
 
 
 def check_sla(df: DataFrame) -> DataFrame:
-    return _warnings(df, {f"{c}_out_of_range": ~F.col(c).between(0, 100) for c in ("availability_pct", "uptime_pct") if c in df.columns})
+    return _warnings(df, sla_checks(df.columns))
 
 
 def check_anomaly(df: DataFrame) -> DataFrame:
-    return _warnings(df, {f"{c}_extreme": F.abs(c) > 10 for c in ("z_cpu", "z_latency", "z_throughput")})
+    return _warnings(df, anomaly_checks(df.columns))
 
 
 def distinct_values(df: DataFrame, col: str, allowed: tuple[str, ...]) -> DataFrame:

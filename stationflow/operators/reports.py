@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stationflow.functions.health import with_health
-from stationflow.functions.numbers import LIFT, json_flag, json_number, ratio, rounded
+from stationflow.functions.numbers import LIFT, json_flag, json_number, json_object, json_text, ratio, rounded
 from stationflow.functions.times import at, day_number, hour_start, minutes_between
 from stationflow.operators import joins, quantiles
 from stationflow.operators.rollup import top_value
@@ -137,7 +137,7 @@ def merge_health(states: DataFrame) -> DataFrame:
 
 def incident_minutes(pairs: DataFrame) -> Column:
     """The end's recorded duration, else the minutes between start and end; null while open."""
-    return F.coalesce(json_number(F.col("end_meta"), "duration_min"), minutes_between(F.col("started"), F.col("ended")).cast("double"))
+    return F.coalesce(json_number(json_object("end_meta"), "duration_min"), minutes_between(F.col("started"), F.col("ended")).cast("double"))
 
 
 def incident_days(pairs: DataFrame) -> DataFrame:
@@ -224,20 +224,22 @@ def outage_report(t: Tables, health: DataFrame, as_of: str, pair: Callable = joi
     base = hour_of_day_volume(t.traffic, pairs)
     out = pairs.withColumn("hour_of_day", F.hour("started")).join(hit, "start_id", "left").join(during, "start_id", "left").join(base, ["station_id", "report_date", "hour_of_day"], "left")
     minutes = incident_minutes(pairs)
+    out = out.withColumns({"start_json": json_object("start_meta"), "duration": minutes})
+    minutes, start = F.col("duration"), F.col("start_json")
     lost = F.greatest(F.lit(0.0), F.coalesce("avg_hourly_bytes", F.lit(0.0)) * (F.coalesce(minutes, F.lit(0.0)) / 60) - F.coalesce("incident_bytes", F.lit(0)))
     out = out.select(
         "station_id",
         "report_date",
         "start_id",
-        F.get_json_object("start_meta", "$.incident_type").alias("incident_type"),
-        json_number(F.col("start_meta"), "severity").alias("severity"),
+        json_text(start, "incident_type").alias("incident_type"),
+        json_number(start, "severity").alias("severity"),
         F.col("started").alias("incident_start"),
         F.col("ended").alias("incident_end"),
         minutes.alias("duration_min"),
-        json_number(F.col("start_meta"), "estimated_duration_min").alias("estimated_duration_min"),
+        json_number(start, "estimated_duration_min").alias("estimated_duration_min"),
         F.coalesce("affected_subscribers", F.lit(0)).alias("affected_subscribers"),
         lost.alias("traffic_loss_bytes"),
-        json_number(F.col("start_meta"), "hardware_quality").alias("hardware_quality"),
+        json_number(start, "hardware_quality").alias("hardware_quality"),
         "health_score_during",
     )
     return joins.lookup(out, t.stations, {a: a for a in ("station_code", "operator_code", "province", "region", "technology")})
@@ -274,7 +276,8 @@ def maintenance_report(t: Tables, health: DataFrame, as_of: str) -> DataFrame:
     stop = F.coalesce("ended", at(as_of))
     out = joins.offset_value(pairs, health, F.col("started"), -1, "health_score", "pre_maintenance_health")
     out = joins.offset_value(out, health, stop, 1, "health_score", "post_maintenance_health")
-    planned, actual = json_number(F.col("start_meta"), "planned_duration_min", "duration_min").cast("long"), minutes_between(F.col("started"), stop)
+    out, start = out.withColumn("start_json", json_object("start_meta")), F.col("start_json")
+    planned, actual = json_number(start, "planned_duration_min", "duration_min").cast("long"), minutes_between(F.col("started"), stop)
     out = out.select(
         "station_id",
         "report_date",
@@ -284,8 +287,8 @@ def maintenance_report(t: Tables, health: DataFrame, as_of: str) -> DataFrame:
         planned.alias("planned_duration_min"),
         actual.alias("actual_duration_min"),
         (actual - planned).alias("overrun_min"),
-        json_flag(F.col("start_meta"), "tech_upgrade", "upgrade").alias("tech_upgrade"),
-        json_flag(F.col("start_meta"), "sla_excluded").alias("sla_excluded"),
+        json_flag(start, "tech_upgrade", "upgrade").alias("tech_upgrade"),
+        json_flag(start, "sla_excluded").alias("sla_excluded"),
         "pre_maintenance_health",
         "post_maintenance_health",
     )

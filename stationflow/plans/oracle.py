@@ -155,6 +155,7 @@ FROM sla_up s LEFT JOIN (SELECT station_id, report_date, count(*) AS incident_co
     "manifest_parts": "SELECT CAST(floor(epoch(updated_at) / 3600) AS BIGINT) AS batch_id, strftime(event_time, 'year=%Y/month=%m/day=%d/hour=%H') AS key, count(*) AS n, min(updated_at) AS low, max(updated_at) AS high FROM all_traffic GROUP BY 1, 2",
     "manifest": "SELECT batch_id, sum(n)::BIGINT AS record_count, list_sort(list(key)) AS data_keys, min(low) AS from_time, max(high) AS to_time, batch_id % 3 <> 0 AS is_loaded FROM manifest_parts GROUP BY 1",
     "windows": f"SELECT i + 1 AS nth, s + to_seconds(3600 * i) - to_seconds(CASE WHEN i > 0 THEN 24 ELSE 0 END) AS from_time, s + to_seconds(3600 * i) AS nominal_from, least(TIMESTAMP '{AS_OF}' - INTERVAL 240 SECOND, s + to_seconds(3600 * i) + INTERVAL 3600 SECOND) AS to_time FROM (SELECT min(updated_at) AS s FROM fx_traffic) CROSS JOIN (SELECT unnest(range(100)) AS i) WHERE s + to_seconds(3600 * i) < TIMESTAMP '{AS_OF}' - INTERVAL 240 SECOND",
+    "short_windows": f"SELECT i + 1 AS nth, s + to_seconds(30 * i) - to_seconds(CASE WHEN i > 0 THEN 24 ELSE 0 END) AS from_time, s + to_seconds(30 * i) AS nominal_from, least(TIMESTAMP '{AS_OF}' - INTERVAL 240 SECOND, s + to_seconds(30 * i) + INTERVAL 30 SECOND) AS to_time FROM (SELECT min(updated_at) AS s FROM fx_traffic) CROSS JOIN (SELECT unnest(range(2000)) AS i) WHERE s + to_seconds(30 * i) < TIMESTAMP '{AS_OF}' - INTERVAL 240 SECOND",
 }
 
 

@@ -52,17 +52,18 @@ def initial_watermark(f: Feeds) -> DataFrame:
     return lake.initial_watermark(f.traffic)
 
 
-SPARSE = "SELECT updated_at FROM fx_traffic WHERE traffic_id % 50 = 0"
+#: Windows so short that some hold no change.
+SHORT = {"max_window": 30, "max_n": 2000}
 
 
-@query(f"SELECT w.nth, w.from_time, w.to_time, (SELECT min(updated_at) FROM ({SPARSE}) WHERE updated_at > w.to_time) AS next_from FROM windows w WHERE NOT EXISTS (SELECT 1 FROM ({SPARSE}) t WHERE t.updated_at > w.from_time AND t.updated_at <= w.to_time)")
+@query("SELECT w.nth, w.from_time, w.to_time, (SELECT min(updated_at) FROM fx_traffic WHERE updated_at > w.to_time) AS next_from FROM short_windows w WHERE NOT EXISTS (SELECT 1 FROM fx_traffic t WHERE t.updated_at > w.from_time AND t.updated_at <= w.to_time)")
 def skip_gaps(f: Feeds) -> DataFrame:
-    return manifest.skip_gaps(manifest.plan_windows(f.traffic, AS_OF), f.traffic.where("traffic_id % 50 = 0"))
+    return manifest.skip_gaps(manifest.plan_windows(f.traffic, AS_OF, **SHORT), f.traffic)
 
 
-@query(f"SELECT w.nth, w.from_time, w.to_time FROM windows w WHERE EXISTS (SELECT 1 FROM ({SPARSE}) t WHERE t.updated_at > w.from_time AND t.updated_at <= w.to_time)")
+@query("SELECT w.nth, w.from_time, w.to_time FROM short_windows w WHERE EXISTS (SELECT 1 FROM fx_traffic t WHERE t.updated_at > w.from_time AND t.updated_at <= w.to_time)")
 def file_semi(f: Feeds) -> DataFrame:
-    return manifest.windows_with_data(manifest.plan_windows(f.traffic, AS_OF), f.traffic.where("traffic_id % 50 = 0")).select("nth", "from_time", "to_time")
+    return manifest.windows_with_data(manifest.plan_windows(f.traffic, AS_OF, **SHORT), f.traffic).select("nth", "from_time", "to_time")
 
 
 @query(f"SELECT traffic_id, event_time FROM all_traffic WHERE event_time >= TIMESTAMP '{AS_OF}' - INTERVAL 20 DAY")
@@ -375,19 +376,21 @@ def config_log(f: Feeds) -> DataFrame:
     return f.spark.table("source_events").groupBy("user_id", "event_type", F.col("ts").alias("effective_from")).agg(F.max("value").alias("setting"))
 
 
-@query(f"SELECT *, lead(effective_from) OVER w AS effective_to, lead(effective_from) OVER w IS NULL AS is_current FROM ({CONFIG}) WINDOW w AS (PARTITION BY user_id, event_type ORDER BY effective_from)", "setting")
+ORACLE_HISTORY = f"SELECT *, lead(effective_from) OVER w AS effective_to, lead(effective_from) OVER w IS NULL AS is_current FROM ({CONFIG}) WINDOW w AS (PARTITION BY user_id, event_type ORDER BY effective_from)"
+
+
+@query(ORACLE_HISTORY, "setting")
 def scd2_as_history(f: Feeds) -> DataFrame:
     return versions.scd2_history(config_log(f), ["user_id", "event_type"], "effective_from")
 
 
-@query(f"SELECT *, lead(effective_from) OVER w AS effective_to, lead(effective_from) OVER w IS NULL AS is_current FROM (SELECT * FROM ({CONFIG}) QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY effective_from DESC) <= 3) WINDOW w AS (PARTITION BY user_id, event_type ORDER BY effective_from)", "setting")
+@query(ORACLE_HISTORY, "setting")
 def scd2_apply(f: Feeds) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    recent = Window.partitionBy("user_id", "event_type").orderBy(F.desc("effective_from"))
-    log = config_log(f).withColumn("back", F.row_number().over(recent)).where("back <= 3")
-    old = versions.scd2_history(log.where("back > 1").drop("back"), ["user_id", "event_type"], "effective_from")
-    return versions.scd2_apply(old, log.where("back = 1").drop("back"), ["user_id", "event_type"])
+    """The whole log but each key's newest change as history, which that change then closes."""
+    keys = ["user_id", "event_type"]
+    newest = config_log(f).groupBy(*keys).agg(F.max(F.struct("effective_from", "setting")).alias("c")).select(*keys, "c.*")
+    older = config_log(f).join(newest.select(*keys, "effective_from"), [*keys, "effective_from"], "left_anti")
+    return versions.scd2_apply(versions.scd2_history(older, keys, "effective_from"), newest, keys)
 
 
 @query("SELECT traffic_id, updated_at, bytes_up, is_deleted FROM (SELECT *, row_number() OVER (PARTITION BY traffic_id ORDER BY updated_at DESC) AS nth FROM all_traffic) WHERE nth = 1")
@@ -395,10 +398,21 @@ def apply_corrections(f: Feeds) -> DataFrame:
     return versions.apply_corrections(f.traffic, f.changes, ["traffic_id"]).select("traffic_id", "updated_at", "bytes_up", "is_deleted")
 
 
-@query("""SELECT event_id, CASE event_type WHEN 'incident_start' THEN concat('{"estimated_duration_min":', json_extract_string(metadata, '$.estimated_duration_min'), ',"incident_type":"', json_extract_string(metadata, '$.incident_type'), '","root_cause":"', description, '","severity":0.9}') ELSE concat('{"root_cause":"', description, '","severity":0.9}') END AS metadata FROM fx_events WHERE event_type IN ('incident_start', 'incident_end')""")
+def _merged(*own: str) -> str:
+    """SQL of the merged text: the patch beside the event's own keys (SQL of ``"key":value``), in the order of keys."""
+    parts = sorted([*own, """'"root_cause":"' || description || '"'""", """'"severity":0.9'"""])
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+FIELD = lambda key, quote="": f"""'"{key}":{quote}' || json_extract_string(metadata, '$.{key}') || '{quote}'"""
+PATCHED = f"""CASE event_type WHEN 'incident_start' THEN {_merged(FIELD("estimated_duration_min"), FIELD("incident_type", '"'))} WHEN 'handover' THEN {_merged(FIELD("imsi_hash", '"'))}
+ WHEN 'maintenance_start' THEN {_merged(FIELD("duration_min"), FIELD("sla_excluded"), FIELD("upgrade"))} WHEN 'maintenance_end' THEN {_merged(FIELD("duration_min"), FIELD("sla_excluded"), FIELD("upgrade"))} ELSE {_merged()} END"""
+
+
+@query(f"SELECT event_id, {PATCHED} AS metadata FROM fx_events")
 def merge_json(f: Feeds) -> DataFrame:
     patch = F.concat(F.lit('{"root_cause":"'), F.col("description"), F.lit('","severity":0.9}'))
-    return f.events.where("event_type in ('incident_start', 'incident_end')").select("event_id", versions.merge_json(F.col("metadata"), patch).alias("metadata"))
+    return f.events.select("event_id", versions.merge_json(F.col("metadata"), patch).alias("metadata"))
 
 
 @query("SELECT traffic_id, is_deleted OR coalesce(imsi_hash IN (SELECT imsi_hash FROM fx_traffic WHERE traffic_id % 500 = 7), false) AS is_deleted FROM fx_traffic")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stationflow.functions.times import at, hour_start
 from stationflow.operators import manifest, quality, rollup, versions
@@ -71,43 +72,43 @@ def read_partitions(f: Feeds) -> DataFrame:
     return by_part(lake.read_partitions(f.spark, path, ["2024-01-05 10", "2024-01-05 11", "2024-01-20 23"]))
 
 
-def silver(f: Feeds) -> list[DataFrame]:
-    """Valid and quarantined rows of two batches as they were written."""
-    path = fresh_path(f.spark, "silver")
-    in_batches(f.judged_traffic(), lambda part, name: lake.write_silver(*quality.split_valid(part), path, "event_time", AS_OF, name))
-    return [all_hours(f, f"{path}/{name}") for name in ("valid", "quarantine")]
-
-
-@query("SELECT is_valid, strftime(event_time, '%Y-%m-%d %H') AS part, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM judged_traffic GROUP BY 1, 2")
+@query("SELECT is_valid, strftime(event_time, '%Y-%m-%d %H') AS part, count(*) AS n, sum(bytes_down)::BIGINT AS bytes, (SELECT count(*) FROM judged_traffic) AS total_rows, (SELECT count(*) FROM judged_traffic WHERE NOT is_valid) AS invalid_rows FROM judged_traffic GROUP BY 1, 2")
 def write_silver(f: Feeds) -> DataFrame:
-    valid, bad = silver(f)
-    return by_part(valid).withColumn("is_valid", F.lit(True)).unionByName(by_part(bad).withColumn("is_valid", F.lit(False)))
+    """Valid and quarantined rows of two batches as they were written, and the counts that the writes gave."""
+    path, seen = fresh_path(f.spark, "silver"), {}
+    in_batches(f.judged_traffic(), lambda part, name: seen.update({name: lake.write_silver(part, path, "event_time", AS_OF, name)}))
+    sides = [by_part(all_hours(f, f"{path}/side={name}")).withColumn("is_valid", F.lit(name == "valid")) for name in ("valid", "quarantine")]
+    return sides[0].unionByName(sides[1]).withColumns({c: F.lit(sum(x[c] for x in seen.values())).cast("long") for c in ("total_rows", "invalid_rows")})
 
 
-@query("SELECT data_quality, count(*) AS n, sum(bytes_down)::BIGINT AS bytes FROM staged_traffic GROUP BY 1")
+@query("SELECT traffic_id, updated_at, data_quality, quality_issues FROM staged_traffic")
 def load_staging(f: Feeds) -> DataFrame:
     path = fresh_path(f.spark, "silver")
-    lake.write_silver(*quality.split_valid(f.judged_traffic()), path, "event_time", AS_OF, "1")
-    rows = quality.staged_rows(*(all_hours(f, f"{path}/{name}") for name in ("valid", "quarantine")))
-    return rows.groupBy("data_quality").agg(F.count("*").alias("n"), F.sum("bytes_down").alias("bytes"))
+    lake.write_silver(f.judged_traffic(), path, "event_time", AS_OF, "1")
+    rows = quality.staged_rows(*(all_hours(f, f"{path}/side={name}") for name in ("valid", "quarantine")))
+    return rows.select("traffic_id", "updated_at", "data_quality", "quality_issues")
 
 
-@query("SELECT event_date, n + (event_date >= DATE '2024-01-15')::INT AS n FROM (SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n FROM fx_traffic GROUP BY 1)")
+@query("SELECT event_date, n + (event_date >= DATE '2024-01-15')::INT AS n, (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM fx_traffic WHERE event_time >= TIMESTAMP '2024-01-15') AS replaced, (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM fx_traffic WHERE CAST(event_time AS DATE) > DATE '2024-01-20') AS after_20th FROM (SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n FROM fx_traffic GROUP BY 1)")
 def overwrite_slice(f: Feeds) -> DataFrame:
-    """All days are written, then the later ones replaced, twice."""
-    path = fresh_path(f.spark, "slices")
+    """All days are written, then the later ones replaced, twice; the last job's counts beside."""
+    path, seen = fresh_path(f.spark, "slices"), {}
     days = f.traffic.groupBy(F.to_date("event_time").alias("event_date")).agg(F.count("*").alias("n"))
     lake.overwrite_slice(days, path, "event_date")
     for _ in range(2):
-        lake.overwrite_slice(days.where("event_date >= date '2024-01-15'").withColumn("n", F.col("n") + 1), path, "event_date")
-    return f.spark.read.parquet(path).select("event_date", "n")
+        seen = lake.overwrite_slice(days.where("event_date >= date '2024-01-15'").withColumn("n", F.col("n") + 1), path, "event_date", {"after_20th": F.col("event_date") > F.lit("2024-01-20").cast("date")})
+    return f.spark.read.parquet(path).select("event_date", "n", F.lit(seen["rows"]).cast("long").alias("replaced"), F.lit(seen["after_20th"]).cast("long").alias("after_20th"))
 
 
-@query("SELECT strftime(updated_at, '%Y%m') AS month, count(*) AS n, min(traffic_id) AS low FROM all_traffic GROUP BY 1")
+@query("SELECT strftime(updated_at, '%Y%m') AS month, count(*) AS n, min(traffic_id) AS low, true AS disjoint FROM all_traffic GROUP BY 1")
 def month_partition(f: Feeds) -> DataFrame:
-    path = fresh_path(f.spark, "months")
-    lake.month_partition(f.all_traffic, path, "updated_at", ("station_id", "event_time", "traffic_id"))
-    return f.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("n"), F.min("traffic_id").alias("low"))
+    """Months, and whether the files of each hold ranges of the sort key that don't overlap."""
+    path, key = fresh_path(f.spark, "months"), ("station_id", "event_time", "traffic_id")
+    lake.month_partition(f.all_traffic, path, "updated_at", key)
+    rows = f.spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    files = rows.groupBy("month", F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), F.min("traffic_id").alias("low"), F.min(F.struct(*key)).alias("first"), F.max(F.struct(*key)).alias("last"))
+    behind = F.lag("last").over(Window.partitionBy("month").orderBy("first"))
+    return files.withColumn("after", F.coalesce(F.col("first") >= behind, F.lit(True))).groupBy("month").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.bool_and("after").alias("disjoint"))
 
 
 BROKEN = [("bad-1.parquet", "unreadable"), ("bad-2.parquet", "unreadable"), ("ab", "missing"), ("part", "incomplete"), ("part", "incomplete")]
@@ -163,7 +164,7 @@ def put_files(f: Feeds, folder: str, names: list[str]) -> None:
         jvm.org.apache.hadoop.fs.FileUtil.copy(fs, text, fs, jvm.org.apache.hadoop.fs.Path(name), False, conf)
 
 
-@query("SELECT CAST(hour_start AS DATE) AS day, count(*) AS n FROM health WHERE CAST(hour_start AS DATE) > (SELECT CAST(max(event_time) AS DATE) FROM fx_traffic) - 3 AND hour_start < (SELECT date_trunc('hour', max(event_time)) FROM fx_traffic) AND hour(hour_start) % 2 = 1 AND hour_start >= (SELECT date_trunc('hour', max(event_time)) - INTERVAL 48 HOUR FROM fx_traffic) GROUP BY 1")
+@query("SELECT station_id, hour_start, session_count, total_bytes, health_score FROM health WHERE hour_start < (SELECT date_trunc('hour', max(event_time)) FROM fx_traffic) AND hour(hour_start) % 2 = 1 AND hour_start >= (SELECT date_trunc('hour', max(event_time)) - INTERVAL 48 HOUR FROM fx_traffic)")
 def recompute(f: Feeds) -> DataFrame:
     """Health of the last 48 hours, but for even hours, which count as done."""
     periods = manifest.recovery_periods(f.traffic, "event_time", 48)
@@ -171,7 +172,7 @@ def recompute(f: Feeds) -> DataFrame:
     health = rep.health_hourly(f.tables())
     build = lambda left: health.join(left, health["hour_start"] == left["period"], "left_semi")
     found = manifest.recompute({"health": ("hour", build)}, periods, done)["health"]
-    return found.groupBy(F.to_date("hour_start").alias("day")).agg(F.count("*").alias("n"))
+    return found.select("station_id", "hour_start", "session_count", "total_bytes", "health_score")
 
 
 # Streams over the feed, which arrives in three parts; a job runs after each
@@ -194,11 +195,12 @@ def stream_bronze(f: Feeds) -> DataFrame:
     return by_part(all_hours(f, arrive(f.traffic, "updated_at", "bronze", lambda stream, out, mark: jobs.stream_bronze(stream, out, mark, "event_time", AS_OF))))
 
 
-@query("SELECT is_valid, CASE WHEN s.station_id IS NOT NULL THEN 'matched' ELSE 'station_missing' END AS dim_match_status, count(*) AS n FROM judged_traffic t LEFT JOIN fx_station s ON t.station_id = s.station_id GROUP BY 1, 2")
+@query("SELECT traffic_id, updated_at, is_valid, quality_issues, region, CASE WHEN s.station_id IS NOT NULL THEN 'matched' ELSE 'station_missing' END AS dim_match_status FROM judged_traffic t LEFT JOIN fx_station s ON t.station_id = s.station_id")
 def stream_silver(f: Feeds) -> DataFrame:
     out = arrive(f.all_traffic, "updated_at", "silver", lambda stream, out, mark: jobs.stream_silver(stream, f.stations, out, mark, AS_OF))
-    parts = [f.spark.read.parquet(f"{out}/{name}").select("is_valid", "dim_match_status") for name in ("valid", "quarantine")]
-    return parts[0].unionByName(parts[1]).groupBy("is_valid", "dim_match_status").agg(F.count("*").alias("n"))
+    cols = ("traffic_id", "updated_at", "is_valid", "quality_issues", "region", "dim_match_status")
+    parts = [f.spark.read.parquet(f"{out}/{name}").select(*cols) for name in ("valid", "quarantine")]
+    return parts[0].unionByName(parts[1])
 
 
 @query("SELECT date_trunc('hour', event_time) AS window_start, station_id, count(*) AS session_count, sum(bytes_up + bytes_down)::BIGINT AS total_bytes FROM fx_traffic GROUP BY 1, 2")

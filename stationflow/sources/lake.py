@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -36,19 +36,42 @@ def hour_columns(time: Column) -> dict[str, Column]:
     return {"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM"), "day": F.date_format(time, "dd"), "hour": F.date_format(time, "HH")}
 
 
-def _write_batch(df: DataFrame, path: str, batch: str) -> None:
-    df.write.mode("overwrite").partitionBy(*HOUR).parquet(f"{path}/batch={batch}")
+def _place(spark: SparkSession, path: str):  # noqa: ANN202
+    """A path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_batch(df: DataFrame, path: str, batch: str, above: tuple[str, ...] = ()) -> None:
+    """Write under ``above``, hours and then the batch, so that an hour's files lie together.
+
+    A mark tells that the batch was begun before; only then the hours are searched for what it left. Rows are
+    appended, as nothing of the batch is there by then.
+    """
+    spark = df.sparkSession
+    mark, fs = _place(spark, f"{path}/_batches/{batch}")
+    if fs.exists(mark):
+        levels = "/".join(f"{c}=*" for c in (*above, *HOUR))
+        for old in fs.globStatus(_place(spark, f"{path}/{levels}/batch={batch}")[0]) or ():
+            fs.delete(old.getPath(), True)
+    else:
+        fs.create(mark, True).close()
+    df.withColumn("batch", F.lit(batch)).write.mode("append").partitionBy(*above, *HOUR, "batch").parquet(path)
+
+
+def _by_hour(df: DataFrame, time: str, fallback: str, above: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with their hour, rebalanced by partition: each hour has few files, and Spark splits a hot hour over several tasks."""
+    when = F.coalesce(F.try_to_timestamp(F.col(time).cast("string")).cast("timestamp_ntz"), at(fallback))
+    return df.withColumns(hour_columns(when)).hint("rebalance", *above, *HOUR)
 
 
 def write_hourly(df: DataFrame, path: str, time: str, fallback: str, batch: str, sort: tuple[str, ...] = ()) -> None:
     """Write one batch under its event hours; rows whose time is null or can't be read go under ``fallback``.
 
     An hour keeps the files of every batch that touched it; writing a batch again replaces that
-    batch alone, also where its rows moved to other hours. Rows are rebalanced by partition: each
-    hour has few files, and Spark splits a hot hour over several tasks.
+    batch alone, also where its rows moved to other hours.
     """
-    when = F.coalesce(F.try_to_timestamp(F.col(time).cast("string")).cast("timestamp_ntz"), at(fallback))
-    out = df.withColumns(hour_columns(when)).hint("rebalance", *HOUR)
+    out = _by_hour(df, time, fallback)
     _write_batch(out.sortWithinPartitions(*HOUR, *sort) if sort else out, path, batch)
 
 
@@ -57,19 +80,22 @@ def write_cutoff(df: DataFrame, path: str, cutoff: str, batch: str) -> None:
     _write_batch(df.withColumns(hour_columns(at(cutoff))), path, batch)
 
 
-def read_partitions(spark: SparkSession, path: str, hours: list[str]) -> DataFrame:
-    """Rows of the listed hours (``yyyy-MM-dd HH``); the condition prunes the other partitions."""
-    df = spark.read.schema(hour_schema(spark, path)).parquet(path)
-    wanted = F.lit(False)
-    for h in hours:
-        wanted = wanted | ((F.col("year") == h[:4]) & (F.col("month") == h[5:7]) & (F.col("day") == h[8:10]) & (F.col("hour") == h[11:13]))
-    return df.where(wanted)
+def read_partitions(spark: SparkSession, path: str, hours: list[str], schema: StructType | None = None) -> DataFrame:
+    """Rows of the listed hours (``yyyy-MM-dd HH``); only their folders are listed and opened, however large the lake is.
+
+    Without a ``schema`` it is taken from those folders, or, if none of them is there, from the lake.
+    """
+    names = {f"{path}/year={h[:4]}/month={h[5:7]}/day={h[8:10]}/hour={h[11:13]}" for h in hours}
+    there = sorted(n for n in names for place, fs in [_place(spark, n)] if fs.exists(place))
+    if not there:
+        return spark.createDataFrame([], schema or hour_schema(spark, path))
+    return spark.read.schema(schema or hour_schema(spark, path, there)).option("basePath", path).parquet(*there)
 
 
-def hour_schema(spark: SparkSession, path: str) -> StructType:
-    """The lake's schema with its partition columns as text, so that ``00`` stays ``00``."""
-    found = spark.read.parquet(path).schema
-    for name in (*HOUR, *({"batch"} & {*found.names})):
+def hour_schema(spark: SparkSession, path: str, folders: list[str] | None = None) -> StructType:
+    """The schema of the lake (or of some of its folders) with its partition columns as text, so that ``00`` stays ``00``."""
+    found = (spark.read.option("basePath", path).parquet(*folders) if folders else spark.read.parquet(path)).schema
+    for name in {*HOUR, "batch"} & {*found.names}:
         found[name].dataType = StringType()
     return found
 
@@ -160,18 +186,30 @@ def serialize_json(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in cols})
 
 
-def write_silver(valid: DataFrame, quarantine: DataFrame, path: str, time: str, fallback: str, batch: str) -> None:
-    """One batch's valid and quarantined rows, each under their event hours."""
-    write_hourly(valid, f"{path}/valid", time, fallback, batch)
-    write_hourly(quarantine, f"{path}/quarantine", time, fallback, batch)
+def write_silver(judged: DataFrame, path: str, time: str, fallback: str, batch: str) -> dict[str, float]:
+    """One batch's judged rows under ``side=valid`` and ``side=quarantine`` by event hour, in one write; how many there were, and how many invalid.
+
+    The rows are read and judged once, and counted as they are written (in the last stage, where a task counts once
+    however often others are repeated).
+    """
+    seen = Observation()
+    sides = judged.withColumn("side", F.when(F.col("is_valid"), "valid").otherwise("quarantine"))
+    out = _by_hour(sides, time, fallback, ("side",)).observe(seen, F.count("*").alias("total_rows"), F.count_if(~F.col("is_valid")).alias("invalid_rows"))
+    _write_batch(out, path, batch, ("side",))
+    return seen.get | {"invalid_pct": seen.get["invalid_rows"] * 100.0 / max(1, seen.get["total_rows"])}
 
 
-def overwrite_slice(df: DataFrame, path: str, by: str) -> None:
+def overwrite_slice(df: DataFrame, path: str, by: str, checks: dict[str, Column] | None = None) -> dict[str, int]:
     """Replace exactly the hours or days of ``df`` (column ``by``) in a report; running twice changes nothing.
 
-    Rows are rebalanced by slice, so a large slice is split over several tasks.
+    Rows are rebalanced by slice, so a large slice is split over several tasks. Returns the number of ``rows``, and of rows
+    for which each of ``checks`` holds, counted by the same job.
     """
-    df.withColumn("slice", F.date_format(by, "yyyy-MM-dd-HH")).hint("rebalance", "slice").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice").parquet(path)
+    seen = Observation()
+    counted = {"rows": F.count("*")} | {name: F.count_if(F.coalesce(c, F.lit(False))) for name, c in (checks or {}).items()}
+    out = df.withColumn("slice", F.date_format(by, "yyyy-MM-dd-HH")).hint("rebalance", "slice").observe(seen, *(c.alias(n) for n, c in counted.items()))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice").parquet(path)
+    return seen.get
 
 
 def retention(df: DataFrame, col: str, days: int, as_of: str) -> DataFrame:
@@ -179,7 +217,13 @@ def retention(df: DataFrame, col: str, days: int, as_of: str) -> DataFrame:
     return df.where(F.col(col) >= at(as_of) - F.make_dt_interval(days=F.lit(days)))
 
 
-def month_partition(df: DataFrame, path: str, col: str, sort: tuple[str, ...]) -> None:
-    """Write by month, sorted by ``sort`` inside, so that row groups hold narrow ranges."""
+def month_partition(df: DataFrame, path: str, col: str, sort: tuple[str, ...], files: int | None = None) -> None:
+    """Write by month, clustered by ``sort``: the files of a month hold disjoint ranges of it, and so do their row groups.
+
+    Ranges are cut from a sample of the rows, so files are alike in size and one hot key is split over several; a read
+    of one key opens the few files whose range has it. ``files`` is how many ranges there are in all (Spark's number of shuffle partitions by default).
+    """
     out = df.withColumn("month", F.date_format(col, "yyyyMM"))
-    out.repartition("month", F.pmod(F.xxhash64(*sort[:1]), F.lit(8))).sortWithinPartitions("month", *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    keys = ("month", *sort)
+    ranged = out.repartitionByRange(files, *keys) if files else out.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)

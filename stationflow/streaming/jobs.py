@@ -212,9 +212,9 @@ def late_reopen(stream: DataFrame, path: str, checkpoint: str, build: Callable[[
         if rows.isEmpty():
             return
         lake.write_hourly(rows, f"{path}/rows", "event_time", fallback, str(number))
-        kept = rows.sparkSession.read.schema(lake.hour_schema(rows.sparkSession, f"{path}/rows")).parquet(f"{path}/rows")
-        touched = rows.select(*(c.alias(n) for n, c in lake.hour_columns(F.coalesce("event_time", F.lit(fallback).cast("timestamp_ntz"))).items())).distinct()
-        again = kept.join(touched, [*lake.HOUR], "left_semi").select(*rows.columns)
+        hour = F.date_format(F.coalesce("event_time", F.lit(fallback).cast("timestamp_ntz")), "yyyy-MM-dd HH")
+        touched = [r[0] for r in rows.select(hour).distinct().collect()]  # a name for each hour of the batch
+        again = lake.read_partitions(rows.sparkSession, f"{path}/rows", touched).select(*rows.columns)
         lake.overwrite_slice(build(again), f"{path}/report", "hour_start")
 
     run_batches(stream, checkpoint, step)
