@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions.times import at, hour_start
-from stationflow.operators import joins, manifest, quality, reports, rollup, versions
+from stationflow.operators import distinct, joins, manifest, quality, reports, rollup, versions
 from stationflow.plans import contract
 from stationflow.plans.feeds import Feeds, tidy
 from stationflow.plans.oracle import AS_OF, MINUTES, lookup, oracle, outage, r, rounded_sql
 from stationflow.sources import lake
+from stationflow.sources.scratch import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -660,6 +661,24 @@ def alarm_daily(f: Feeds) -> DataFrame:
     return reports.alarm_daily(t, health)
 
 
+# Exact merging: subscribers of days from bitmaps of hours
+
+
+@query("SELECT CAST(event_time AS DATE) AS event_date, operator_code, region, count(DISTINCT imsi_hash) AS unique_subs FROM traffic_dim GROUP BY ALL")
+def agg_distinct_merge(f: Feeds) -> DataFrame:
+    """Hourly states of stations in two batches, the second with subscribers that the first one's dictionary lacks, merged to days of operators."""
+    rows = staged(located(f).select("traffic_id", "station_id", "imsi_hash", hour_start("event_time").alias("event_hour"), "operator_code", "region"))
+    first, second = rows.where("traffic_id % 2 = 0"), rows.where("traffic_id % 2 = 1")
+    codes = distinct.dictionary(first, "imsi_hash", "station_id")
+    states, keys = [], ["event_hour", "station_id", "operator_code", "region"]
+    for part in (first, second):
+        codes = distinct.extended(codes, part, "imsi_hash", "station_id")
+        states.append(distinct.distinct_state(part, codes, "imsi_hash", keys))
+    days = states[0].unionByName(states[1]).withColumn("event_date", F.to_date("event_hour"))
+    by = ["event_date", "operator_code", "region"]
+    return distinct.finish_distinct(distinct.merge_distinct(days, by), by, "unique_subs")
+
+
 # Estimates: whether sketches, merged from finer keys, lie within 3 % of the exact figures (quantiles: within 2 % of the ranks)
 
 WITHIN = "SELECT technology, true AS rows_equal, true AS bytes_equal, true AS subs_close, true AS p95_close, true AS mean_equal FROM traffic_dim GROUP BY 1"

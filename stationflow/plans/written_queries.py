@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from stationflow.functions.times import at, hour_start
 from stationflow.operators import manifest, quality, rollup, versions
 from stationflow.operators import reports as rep
+from stationflow.plans import catalogue
 from stationflow.plans.feeds import Feeds, tidy
 from stationflow.plans.oracle import AS_OF, oracle, rounded_sql
 from stationflow.plans.station_queries import located
@@ -111,6 +112,23 @@ def month_partition(f: Feeds) -> DataFrame:
     return files.withColumn("after", F.coalesce(F.col("first") >= behind, F.lit(True))).groupBy("month").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.bool_and("after").alias("disjoint"))
 
 
+PUBLISHED = {"health_hourly": ("hour", "health", "hour_start"), "health_daily": ("day", "(SELECT DISTINCT CAST(hour_start AS DATE) AS d, station_id, operator_code, region, density_class FROM health WHERE health_score IS NOT NULL)", "d"), "sla_compliance": ("day", "sla", "report_date"), "alarm_daily": ("day", "(SELECT DISTINCT CAST(event_time AS DATE) AS d, station_id FROM live_events WHERE event_type = 'alarm')", "d"), "operator_daily": ("day", "(SELECT DISTINCT CAST(event_time AS DATE) AS d, operator_code, region FROM traffic_dim)", "d")}
+SINCE, UNTIL = "2024-01-10", "2024-01-25"
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS report, '{grain}' AS grain, NULL::VARCHAR AS warning, 0::BIGINT AS n, count(*) AS rows, count(DISTINCT strftime({c}, '%Y-%m-%d-%H')) AS slices FROM {t} WHERE {c} >= TIMESTAMP '{SINCE}' AND {c} < TIMESTAMP '{UNTIL}'" for n, (grain, t, c) in PUBLISHED.items()))
+def publish_reports(f: Feeds) -> DataFrame:
+    """Reports of the catalogue over a range of days from one load of the feeds, published twice, and how many rows and slices lie there then."""
+    path, inputs = fresh_path(f.spark, "gold"), catalogue.Inputs(f.tables(), AS_OF)
+    catalogue.publish(f.spark, inputs, path, ["operator_daily"], SINCE, UNTIL)
+    told = catalogue.publish(f.spark, inputs, path, [*PUBLISHED], SINCE, UNTIL)
+    there = [f.spark.read.parquet(f"{path}/{n}").agg(F.lit(n).alias("report"), F.count("*").alias("there"), F.count_distinct("slice").alias("slices")) for n in PUBLISHED]
+    found = there[0]
+    for one in there[1:]:
+        found = found.unionByName(one)
+    return told.join(found, "report").where("rows = there").select("report", "grain", "warning", "n", "rows", "slices")
+
+
 BROKEN = [("bad-1.parquet", "unreadable"), ("bad-2.parquet", "unreadable"), ("ab", "missing"), ("part", "incomplete"), ("part", "incomplete")]
 
 
