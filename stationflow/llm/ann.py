@@ -155,8 +155,14 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to about one: exact, so that squares neither vanish nor overflow."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(-1, keepdims=True))[1])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each pair of rows, in double precision."""
+    """Cosine of each pair of rows, in double precision; rows of any size."""
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(-1) / (np.sqrt((a * a).sum(-1)) * np.sqrt((b * b).sum(-1)))
 
 

@@ -18,8 +18,9 @@ from stationflow.llm.simhash_dedup import _settle, near_links
 SHINGLE = 5
 JACCARD = 0.8
 #: Fingerprint words of 64 bits, and bits that may differ in one. At JACCARD a bit differs with probability 0.151, so
-#: a pair agrees in a whole block of a word and within the budget with 0.44, and in none of ten words with 0.003.
-WORDS, MAX_BITS = 10, 11
+#: a pair agrees in a whole block of a word and within the budget with 0.44, and in none of ten words with 0.003. Unrelated
+#: texts agree in some word with 0.036 in 200,000; two more words check a pair, which leaves 1e-5 of such, and all but 1e-6 of pairs at JACCARD.
+WORDS, MAX_BITS, CHECKS = 10, 11, (1, 5)
 SEED = 42
 #: Texts, and bytes of shingle hashes, of one part of a family; two parts meet in a task.
 PART_TEXTS, PART_BYTES = 512, 8 << 20
@@ -142,16 +143,17 @@ def _compared(families: DataFrame) -> DataFrame:
 def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, component_id`` for every row of ``docs``; the least id of those linked by similar texts.
 
-    Texts whose SimHash agrees in a whole block of some word, within MAX_BITS there, make up
-    families: each word's tries are joined with themselves under that budget, and only
-    forests leave their tasks. Within its family every text is then compared exactly with
+    Texts whose SimHash agrees in a whole block of some word, within MAX_BITS there and nearly so in two more words,
+    make up families: each word's tries are joined with themselves under that budget, pairs are checked before they link, and only
+    forests leave their tasks. So families hold similar texts alone, however many texts there are. Within its family every text is then compared exactly with
     every other. A family of many texts is dealt into parts, two of which meet in a task, so
     no task holds more than two parts and no pairs are written.
     """
     texts = ids_and_text(docs, id_col, text_col)
     marks = staged(_marks(texts))
     firsts = staged(marks.groupBy("mark").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("fps").alias("fps")))
-    words = firsts.where("n > 0").select(F.col("mark").alias("node"), F.posexplode("fps").alias("word", "fp"))
+    words = firsts.where("n > 0").select(F.col("mark").alias("node"), "fps", F.posexplode("fps").alias("word", "fp"))
+    words = words.select("node", "word", "fp", *(F.element_at("fps", (F.col("word") + k) % WORDS + 1).alias(f"c{i}") for i, k in enumerate(CHECKS, 1)))
     family = staged(connected_components(near_links(words, MAX_BITS)).join(firsts, F.col("node") == F.col("mark")).select("mark", "root", "n", "first_id"))
     parts = F.greatest(F.ceil(F.count("*") / PART_TEXTS), F.ceil(F.sum("n") * 8 / PART_BYTES)).cast("int")
     sizes = family.groupBy("root").agg(parts.alias("parts"))
@@ -168,28 +170,30 @@ def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its near copies, once each; all columns stay.
+    """The rows of ``docs`` whose id is the smallest of its near copies, once each; all columns stay, whatever their names.
 
     Of several rows with one id, those whose own text is not a copy of a smaller id's count, and of
     these the first in order of text, then of the other columns, stays. Rows without an id
-    cannot be told apart and stay. Null and empty texts are copies of each other; an empty table
-    gives an empty result.
+    cannot be told apart and stay. Null and empty texts are copies of each other; texts of any length are
+    compared whole, one text's words at a time; an empty table gives an empty result.
     """
+    taken = {c.lower() for c in docs.columns}
+    name_id, name_mark, name_row = (next(n for k in range(len(taken) + 1) if (n := f"{base}{k}") not in taken) for base in ("copy_id_", "copy_mark_", "copy_row_"))
     known = docs.where(F.col(id_col).isNotNull())
     roots = staged(near_copy_roots(known, id_col, text_col))
-    key = F.col(id_col).cast("long") == F.col("__id")
+    key = F.col(id_col).cast("long") == F.col(name_id)
     # small tables are written, so that Spark knows their sizes before it moves texts: it broadcasts them while they are small
-    twice = staged(roots.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id"))
-    gone = staged(roots.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).unionByName(twice).distinct())
+    twice = staged(roots.groupBy(F.col("doc_id").alias(name_id)).agg(F.count("*").alias("n")).where("n > 1").select(name_id))
+    gone = staged(roots.where("doc_id <> component_id").select(F.col("doc_id").alias(name_id)).unionByName(twice).distinct())
     kept = known.join(gone, key, "left_anti").unionByName(docs.where(F.col(id_col).isNull()))
     if twice.isEmpty():
         return kept
     # rows of one id are told apart by their texts
     mark = F.pandas_udf(lambda texts: texts.map(lambda t: int(np.uint64(mark_of(words_of(t))).astype(np.int64))), "long")
-    firsts = roots.where("doc_id = component_id").join(twice, F.col("doc_id") == F.col("__id"), "left_semi").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__m")).distinct()
-    rows = staged(known.join(twice, key, "left_semi")).withColumn("__mark", mark(F.col(text_col).cast("string")))
-    rows = rows.join(firsts, key & (F.col("__mark") == F.col("__m")), "left_semi")
+    firsts = roots.where("doc_id = component_id").withColumnsRenamed({"doc_id": name_id, "mark": name_mark}).join(twice, name_id, "left_semi").select(name_id, F.col(name_mark).alias(name_row)).distinct()
+    rows = staged(known.join(twice, key, "left_semi")).withColumn(name_mark, mark(F.col(text_col).cast("string")))
+    rows = rows.join(firsts, key & (F.col(name_mark) == F.col(name_row)), "left_semi")
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    whole = F.struct(*docs.columns)
-    picked = rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(whole, F.struct(text_col, *plain)).alias("__row")).select("__row.*")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    picked = rows.groupBy(F.col(id_col).alias(name_id)).agg(F.min_by(whole, F.struct(F.col(f"`{text_col}`"), *(F.col(f"`{c}`") for c in plain))).alias(name_row)).select(f"{name_row}.*")
     return kept.unionByName(picked)

@@ -6,6 +6,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 
 import pandas as pd
 import pyarrow as pa
@@ -23,7 +24,8 @@ BASE = {
 #: Kinds that only a decoded structure confirms.
 CONFIRMED = ("pem", "jwt", "ssh", "der")
 KINDS = (*BASE, *CONFIRMED)
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}KEY)-----((?:[A-Za-z0-9+/=\s:,.-]|\\+[nrt/]){16,}?)-----END \1-----")
+PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}KEY)-----")
+PEM_BODY = re.compile(r"(?:[A-Za-z0-9+/=\s:,.-]++|\\++[nrt/])++")
 #: Header lines of a PEM body; an encrypted key in the old layout names its cipher there.
 PEM_HEADER = re.compile(r"(?:\s|\\+[nrt])*([A-Za-z][A-Za-z-]*):[ \t]*([A-Za-z0-9,. -]*)(?=\s|\\+[nrt])")
 #: What a PEM body has between base64 signs: breaks, real or escaped, and escapes of slashes.
@@ -138,7 +140,8 @@ def is_ssh_private(data: bytes) -> bool:
             got = _strings(key, at, 1)
             if got is None:
                 return False
-            fields, at = fields + got[0], got[1]
+            fields += got[0]
+            at = got[1]
         if len(fields) < 2 or not SSH_NAME.fullmatch(fields[0]):
             return False
     secret = rest[0][-1]
@@ -161,9 +164,50 @@ def is_pem_body(body: str) -> bool:
     return is_private_der(data) or is_ssh_private(data)
 
 
-def is_pem_text(data: bytes) -> bool:
-    """Bytes that are a text with a private key's PEM in it."""
-    return b"-----END" in data and any(is_pem_body(m[2]) for m in PEM.finditer(data.decode("latin-1")))
+def pem_spans(text: str) -> list[tuple[int, int]]:
+    """Where private keys begin and end that stand between an opener and the closer that follows it as the next mark; each sign is read once."""
+    found, last = [], None
+    for m in PEM_MARK.finditer(text):
+        if m[1] == "END" and last and last[1] == "BEGIN" and last[2] == m[2] and PEM_BODY.fullmatch(text, last.end(), m.start()) and is_pem_body(text[last.end() : m.start()]):
+            found.append((last.start(), m.end()))
+        last = m
+    return found
+
+
+def last_pem(data: bytes) -> int:
+    """Where the last private key's PEM begins in bytes that are a text; -1 if there is none."""
+    spans = pem_spans(data.decode("latin-1")) if b"-----END" in data else []
+    return spans[-1][0] if spans else -1
+
+
+class Wrapped:
+    """One run of base64 lines, decoded at most once for each of the four ways to divide its signs."""
+
+    def __init__(self, text: str, at: int) -> None:
+        self.at, self.starts, self.before, parts, have = at, [], [], [], 0
+        while m := LINE.match(text, at):
+            self.starts.append(at)
+            self.before.append(have)
+            parts.append(m[0])
+            have, at = have + len(m[0]), m.end()
+            self.end = at
+            if gap := BREAK.match(text, at):
+                at = gap.end()
+            else:
+                break
+        self.signs = "".join(parts)
+        while self.end < len(text) and text[self.end] == "=":
+            self.end += 1
+        self.last: dict[int, int] = {}
+
+    def holds_pem(self, at: int) -> bool:
+        """Whether what is encoded from place ``at`` of the text on holds a private key's PEM."""
+        k = bisect_right(self.starts, at) - 1
+        sign = self.before[k] + at - self.starts[k]
+        turn = sign % 4
+        if turn not in self.last:
+            self.last[turn] = last_pem(b64(self.signs[turn:]))
+        return self.last[turn] >= (sign - turn) // 4 * 3
 
 
 class Joined:
@@ -204,17 +248,12 @@ def key_at(text: str, at: int) -> tuple[str, int] | None:
     """Kind and end of the private key whose base64 begins at ``at``: its own lengths say how long it is."""
     here = Joined(text, at)
     if text[at] == "M":
-        first = b64(here.signs(8)[0])
-        head = tlv(first, 0, 1 << 40) if len(first) == 6 else None
-        if head is None or head[2] < 30:
+        first = b64(here.signs(12)[0])
+        head = tlv(first, 0, 1 << 40) if len(first) == 9 else None
+        if head is None or head[2] < 30 or first[head[1]] not in (INT, SEQ):
             return None
         data, end = here.bytes(head[2])
         return ("der", end) if data and is_private_der(data) else None
-    if text[at] == "L":  # a PEM text
-        signs, end = here.signs(len(text))
-        while end < len(text) and text[end] == "=":
-            end += 1
-        return ("pem", end) if is_pem_text(b64(signs)) else None
     n = len(SSH_MAGIC)
     for _ in range(3):
         n = n and here.field(n)
@@ -239,16 +278,25 @@ def is_signed_token(head: str, body: str) -> bool:
 def confirmed(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded bytes parse as a private key or a signed token."""
     found = []
-    if "-----BEGIN" in text:
-        found += [("pem", m.start(), m.end()) for m in PEM.finditer(text) if is_pem_body(m[2])]
+    pems = pem_spans(text) if "-----BEGIN" in text else []
+    found += [("pem", s, e) for s, e in pems]
     if "eyJ" in text:
         found += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
-    pems = [(s, e) for k, s, e in found if k == "pem"]
-    over = 0
+    over, k, run = 0, 0, None
     for m in START.finditer(text):
-        if m.start() >= over and not any(s <= m.start() < e for s, e in pems) and (key := key_at(text, m.start())):
+        at = m.start()
+        while k < len(pems) and pems[k][1] <= at:
+            k += 1
+        if at < over or (k < len(pems) and pems[k][0] <= at):
+            continue
+        if text[at] == "L":  # a PEM text
+            run = run if run and run.at <= at < run.end else Wrapped(text, at)
+            key = ("pem", run.end) if run.holds_pem(at) else None
+        else:
+            key = key_at(text, at)
+        if key:
             kind, over = key
-            found.append((kind, m.start(), over))
+            found.append((kind, at, over))
     for m in HEX.finditer(text):
         if len(m[0]) % 2 == 0 and (kind := hex_kind(m[0].lower())):
             found.append((kind, m.start(), m.end()))
@@ -261,7 +309,7 @@ def hex_kind(digits: str) -> str | None:
         return "der" if is_private_der(bytes.fromhex(digits)) else None
     if digits.startswith(SSH_MAGIC.hex()):
         return "ssh" if is_ssh_private(bytes.fromhex(digits)) else None
-    return "pem" if digits.startswith(b"-----BEGIN".hex()) and is_pem_text(bytes.fromhex(digits)) else None
+    return "pem" if digits.startswith(b"-----BEGIN".hex()) and last_pem(bytes.fromhex(digits)) >= 0 else None
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:

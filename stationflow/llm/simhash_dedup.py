@@ -22,6 +22,8 @@ BLOCK_ENDS = (13, 26, 39, 52, 64)
 #: A trie node with more fingerprints than this is dealt out as pairs of its 8 grandchildren.
 HOT_NODE = 100_000
 LEAF = 24
+#: Of the 128 bits of two check words, how many may differ in a link, and in fingerprints that are equal and stand for each other; rounds of the latter.
+CHECK_BITS, COLLAPSE_BITS, ROUNDS = 40, 8, 16
 PAIRS_AT_ONCE = 1 << 20
 
 
@@ -72,7 +74,12 @@ def _settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
-def _leaves(v: np.ndarray, pairs: list[np.ndarray], label: np.ndarray, max_bits: int) -> None:
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bits of two rows of words differ."""
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+
+
+def _leaves(v: np.ndarray, pairs: list[np.ndarray], label: np.ndarray, max_bits: int, check: np.ndarray | None) -> None:
     """Compare what lies below small node pairs, skipping pairs that are one class already."""
     lo1, hi1, lo2, hi2 = pairs
     turns = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
@@ -85,12 +92,32 @@ def _leaves(v: np.ndarray, pairs: list[np.ndarray], label: np.ndarray, max_bits:
     which = np.repeat(np.arange(len(count)), count)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
     a, b = lo1[which] + nth // width[which], lo2[which] + nth % width[which]
-    near = (a != b) & (np.bitwise_count(v[a] ^ v[b]) <= max_bits)
+    near = np.flatnonzero((a != b) & (np.bitwise_count(v[a] ^ v[b]) <= max_bits))
+    if check is not None:
+        near = near[_apart(check[a[near]], check[b[near]]) <= CHECK_BITS]
     _settle(label, a[near], b[near])
 
 
-def trie_links(v: np.ndarray, roots: list[tuple[int, int, int, int]], depth: int, max_bits: int = MAX_BITS) -> np.ndarray:
-    """The class of each of the sorted distinct fingerprints ``v``, as its smallest position.
+def collapsed(v: np.ndarray, check: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the sorted ``v`` that stand for others, and for each position which one stands for it.
+
+    Without check words equal fingerprints are one; with them, only where these differ in COLLAPSE_BITS at most. What
+    is left after ROUNDS rounds stands for itself.
+    """
+    stands, rest = np.arange(len(v)), np.arange(len(v))
+    for _ in range(ROUNDS):
+        head = np.flatnonzero(np.concatenate([[True], v[rest[1:]] != v[rest[:-1]]]))
+        first = rest[np.repeat(head, np.diff(np.append(head, len(rest))))]
+        one = np.ones(len(rest), bool) if check is None else _apart(check[rest], check[first]) <= COLLAPSE_BITS
+        stands[rest[one]] = first[one]
+        rest = rest[~one]
+        if not len(rest):
+            break
+    return np.flatnonzero(stands == np.arange(len(v))), stands
+
+
+def trie_links(v: np.ndarray, roots: list[tuple[int, int, int, int]], depth: int, max_bits: int = MAX_BITS, check: np.ndarray | None = None) -> np.ndarray:
+    """The class of each of the sorted fingerprints ``v``, as its smallest position; with ``check`` words, only pairs near in these too are linked.
 
     ``roots`` are pairs of trie nodes at ``depth`` bits whose bits above agree. Node
     pairs go down together, carrying how many bits differ so far; a pair goes when
@@ -107,7 +134,7 @@ def trie_links(v: np.ndarray, roots: list[tuple[int, int, int, int]], depth: int
             stack += [(depth, *(x[half:] for x in parts)), (depth, *(x[:half] for x in parts))]
             continue
         small = (count <= LEAF * LEAF) | (depth >= 64)
-        _leaves(v, [x[small] for x in (lo1, hi1, lo2, hi2)], label, max_bits)
+        _leaves(v, [x[small] for x in (lo1, hi1, lo2, hi2)], label, max_bits, check)
         lo1, hi1, lo2, hi2, differ = (x[~small] for x in (lo1, hi1, lo2, hi2, differ))
         if not len(lo1):
             continue
@@ -129,13 +156,15 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
     of 4 or fewer these are all near pairs, of a larger budget those that some whole block
     leaves alone. What leaves a task is a forest of its classes, never all pairs. A block value
     with more than ``hot_node`` fingerprints is dealt out as pairs of subtrees three bits below.
-    Fingerprints of different ``word`` never meet.
+    Fingerprints of different ``word`` never meet. With columns ``c1, c2`` (two more words of the same texts)
+    a pair is linked only if at most CHECK_BITS of these 128 bits differ too, so that fingerprints that are near by chance aren't.
     """
+    checks = [c for c in ("c1", "c2") if c in fps.columns]
     starts = (0, *BLOCK_ENDS[:-1])
     word = F.col("word") if "word" in fps.columns else F.lit(0)
     turned = [F.struct((word * len(starts) + k).cast("int").alias("trie"), (F.shiftleft("fp", s).bitwiseOR(F.shiftrightunsigned("fp", 64 - s)) if s else F.col("fp")).alias("key")) for k, s in enumerate(starts)]
     width = F.when(F.col("trie") % len(starts) == len(starts) - 1, BLOCK_ENDS[-1] - BLOCK_ENDS[-2]).otherwise(BLOCK_ENDS[0])
-    rows = fps.select("node", F.explode(F.array(*turned)).alias("t")).select("node", "t.*").withColumn("block", F.expr("shiftrightunsigned(key, 51)"))
+    rows = fps.select("node", *checks, F.explode(F.array(*turned)).alias("t")).select("node", *checks, "t.*").withColumn("block", F.expr("shiftrightunsigned(key, 51)"))
     rows = rows.withColumn("block", F.when(width == 12, F.col("block").bitwiseAND(F.lit(~1))).otherwise(F.col("block")))
     sizes = rows.groupBy("trie", "block").agg(F.count("*").alias("n"))  # 5 * 8192 rows for each word at most
     below = F.when(width == 12, F.shiftrightunsigned("key", 49)).otherwise(F.shiftrightunsigned("key", 48))  # right under the block
@@ -145,7 +174,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
         rows.join(F.broadcast(sizes.where(F.col("n") > hot_node)), ["trie", "block"], "left")
         .withColumn("child", child)
         .withColumn("o", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long")))))
-        .select("trie", "block", F.when(F.col("o") < 0, F.lit(-1)).otherwise(low * 8 + high).cast("int").alias("part"), "key", "node")
+        .select("trie", "block", F.when(F.col("o") < 0, F.lit(-1)).otherwise(low * 8 + high).cast("int").alias("part"), "key", "node", *checks)
         .repartition("trie", "block", "part")
     )
 
@@ -156,15 +185,16 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
         trie, part, key, node = (whole.column(c).to_numpy() for c in ("trie", "part", "key", "node"))
         order = np.lexsort((node, key.view(np.uint64), part, trie))
         trie, part, key, node = trie[order], part[order], key[order].view(np.uint64), node[order]
+        words = np.stack([whole.column(c).to_numpy()[order].view(np.uint64) for c in checks], 1) if checks else None
         cuts = np.flatnonzero(np.concatenate([[True], (trie[1:] != trie[:-1]) | (part[1:] != part[:-1])]))
         for x, y in zip(cuts, np.append(cuts[1:], len(trie)), strict=True):
             k, q = int(trie[x]) % len(starts), int(part[x])
             v, own = key[x:y], node[x:y]
-            new = np.concatenate([[True], v[1:] != v[:-1]])
-            head = np.flatnonzero(new)
+            head, stands = collapsed(v, None if words is None else words[x:y])
+            same = stands != np.arange(len(v))
             first = own[head]
-            yield _links(own[~new], first[np.cumsum(new)[~new] - 1])  # equal fingerprints
-            v = v[head]
+            yield _links(own[same], own[stands[same]])  # fingerprints that are one
+            v, check = v[head], None if words is None else words[x:y][head]
             deep = BLOCK_ENDS[k] - starts[k]
             top = v >> np.uint64(64 - deep)
             lo = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
@@ -174,11 +204,11 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
             else:  # two subtrees of a hot node, against each other
                 second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(61 - deep)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
                 roots = [(l, m, m, h) for l, m, h in zip(lo, second, hi, strict=True) if l < m < h]
-            label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits)
+            label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits, check)
             moved = np.flatnonzero(label != np.arange(len(v)))
             yield _links(first[moved], first[label[moved]])
 
-    return rows.select("trie", "part", "key", "node").mapInArrow(run, "src long, dst long")
+    return rows.select("trie", "part", "key", "node", *checks).mapInArrow(run, "src long, dst long")
 
 
 def _links(src: np.ndarray, dst: np.ndarray) -> pa.RecordBatch:

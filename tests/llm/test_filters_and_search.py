@@ -236,3 +236,91 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     cols = sorted(df.columns)
     found = con.execute(f"select {', '.join(cols)} from ({queries.ORACLE_SQL[name]})").fetchall()
     assert sorted(map(tuple, df.select(*cols).collect()), key=repr) == sorted(found, key=repr)
+
+
+# Mended in this round: time of scans, vectors of any size, families of similar texts alone
+
+
+@pytest.mark.parametrize("line", ["-----BEGIN RSA KEY-----\n", "LS0tLS1CRUdJTi", "LS0tLS1CRUdJTiBSU0EgS0VZLS0tLS0K", "-----BEGIN A KEY-----\nAAAA\n-----END B KEY-----\n", "MII/", "LS0tLS1CRUdJTg==\n"])
+def test_repeated_openers_take_linear_time(line):
+    import time
+
+    from stationflow.llm import secret_scan
+
+    text = line * (4_000_000 // len(line))
+    began = time.process_time()
+    assert not [k for k, *_ in secret_scan.find_secrets(text) if k in secret_scan.CONFIRMED]
+    assert time.process_time() - began < 20
+
+
+def test_key_after_a_stray_opener():
+    import base64
+
+    from stationflow.llm import secret_scan
+
+    number = lambda n: bytes([2, n]) + b"\x11" * n
+    inner = bytes([2, 1, 0]) + b"".join(number(20) for _ in range(8))
+    body = base64.b64encode(bytes([0x30, 0x81, len(inner)]) + inner).decode()
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    stray = "-----BEGIN RSA PRIVATE KEY-----\n"
+    assert [x for x in secret_scan.find_secrets(stray + pem) if x[0] == "pem"] == [("pem", len(stray), len(stray) + len(pem))]
+    for pad in ("", "a", "bc"):  # each way to divide the signs, after a certificate
+        encoded = base64.b64encode(f"-----BEGIN CERTIFICATE-----\n{pad}AAAA\n-----END CERTIFICATE-----\n{pem}".encode()).decode()
+        assert ("pem", 2, 2 + len(encoded)) in secret_scan.find_secrets(f"x {encoded}\n")
+
+
+def test_cosines_of_extreme_vectors(spark):
+    from stationflow.llm import ann
+
+    gen = np.random.default_rng(4)
+    v = gen.standard_normal((40, 8))
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    size = np.array([1e-200, 1.0, 1e200, 1e-300] * 10)[:, None]
+    assert np.allclose(ann.cosine(v * size, (v * size)[::-1]), (u * u[::-1]).sum(1), atol=1e-12)
+    assert (ann.cosine(v, v[::-1]) == ann.cosine(v * 2.0**300, v[::-1] * 2.0**-300)).all()
+    df = spark.createDataFrame([(k, [float(c) for c in x]) for k, x in enumerate(v * size)], "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [k for k in np.argsort(-(u @ u[0]), kind="stable") if k != 0][:5]
+
+
+def test_random_fingerprints_make_no_families(spark):
+    """A budget under which unrelated fingerprints would all be one family: only planted pairs, which are near in the check words too, are linked."""
+    from stationflow.llm import simhash_dedup
+
+    gen = np.random.default_rng(9)
+    n = 3000
+    fp, c1, c2 = (gen.integers(0, 1 << 63, n, np.int64) for _ in range(3))
+    fp &= np.int64((1 << 50) - 1)  # all agree in one block
+    flip = lambda x, k: x ^ np.bitwise_or.reduce(np.int64(1) << gen.choice(40, k, replace=False))
+    for k in range(0, 200, 2):  # near in all words, 100 pairs
+        fp[k + 1], c1[k + 1], c2[k + 1] = flip(fp[k], 9), flip(c1[k], 12), flip(c2[k], 12)
+    fp[300:340] = fp[300]  # equal words of unrelated texts, and of like ones
+    c1[320:340], c2[320:340] = c1[320], c2[320]
+    rows = spark.createDataFrame([(int(k), int(a), int(b), int(c)) for k, (a, b, c) in enumerate(zip(fp, c1, c2, strict=True))], "node long, fp long, c1 long, c2 long")
+    def classes(df):
+        root = list(range(n))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for r in simhash_dedup.near_links(df, 20).collect():
+            a, b = sorted((find(r.src), find(r.dst)))
+            root[b] = a
+        return Counter(find(k) for k in range(n))
+
+    assert max(classes(rows.drop("c1", "c2")).values()) > 0.9 * n
+    assert {k: m for k, m in classes(rows).items() if m > 1} == {**dict.fromkeys(range(0, 200, 2), 2), 320: 20}
+
+
+def test_kept_rows_with_clashing_names(spark):
+    from stationflow.llm import near_copies
+
+    rng = random.Random(3)
+    a, b = (" ".join(rng.choices([f"w{k}" for k in range(500)], k=80)) for _ in range(2))
+    names = ["__id", "__mark", "__m", "__row", "copy_id_0", "COPY_MARK_0", "node", "root", "n", "a.b"]
+    docs = spark.createDataFrame([(k, t, *([k] * len(names))) for k, t in ((1, a), (2, a), (3, b), (3, b), (4, None), (5, ""))], "doc_id long, text string, " + ", ".join(f"`{c}` long" for c in names))
+    got = near_copies.keep_one_copy(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == sorted((k, t, *([k] * len(names))) for k, t in ((1, a), (3, b), (4, None)))
