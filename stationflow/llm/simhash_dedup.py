@@ -191,9 +191,6 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
             k, q = int(trie[x]) % len(starts), int(part[x])
             v, own = key[x:y], node[x:y]
             head, stands = collapsed(v, None if words is None else words[x:y])
-            same = stands != np.arange(len(v))
-            first = own[head]
-            yield _links(own[same], own[stands[same]])  # fingerprints that are one
             v, check = v[head], None if words is None else words[x:y][head]
             deep = BLOCK_ENDS[k] - starts[k]
             top = v >> np.uint64(64 - deep)
@@ -205,8 +202,11 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
                 second = np.array([l + np.searchsorted((v[l:h] >> np.uint64(61 - deep)) & np.uint64(7), q % 8) for l, h in zip(lo, hi, strict=True)])
                 roots = [(l, m, m, h) for l, m, h in zip(lo, second, hi, strict=True) if l < m < h]
             label = trie_links(v, [r for r in roots if r[3] - r[0] > 1], deep, max_bits, check)
-            moved = np.flatnonzero(label != np.arange(len(v)))
-            yield _links(first[moved], first[label[moved]])
+            found = label[np.searchsorted(head, stands)]
+            least = np.full(len(v), np.iinfo(np.int64).max)
+            np.minimum.at(least, found, own)  # a class's links go to its smallest node, so that tries that find the same class give the same links
+            moved = own != least[found]
+            yield _links(own[moved], least[found[moved]])
 
     return rows.select("trie", "part", "key", "node", *checks).mapInArrow(run, "src long, dst long")
 
