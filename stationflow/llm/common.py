@@ -40,6 +40,11 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def give_back() -> None:
+    """Return what Arrow holds but doesn't use, as a worker goes on to other stages and keeps its memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def per_row(df: DataFrame, fn: Callable[[list, list], tuple[list, ...]], schema: str, arrow: pa.Schema) -> DataFrame:
     """Apply ``fn(ids, texts) -> columns`` to every Arrow batch of ``doc_id, text``."""
 
@@ -47,5 +52,7 @@ def per_row(df: DataFrame, fn: Callable[[list, list], tuple[list, ...]], schema:
         for batch in batches:
             columns = fn(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+            del batch, columns
+            give_back()
 
     return df.mapInArrow(run, schema)

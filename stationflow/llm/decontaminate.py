@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, staged
+from stationflow.llm.common import give_back, ids_and_text, staged
 
 SIMILARITY = 0.8
 #: Words that stay in a row whatever an item's edits are, at most; text without such a run near it is not embedded.
@@ -333,6 +333,7 @@ def holds_item(index: ItemIndex) -> Callable[[Column], Column]:
 
     @F.pandas_udf("boolean")
     def holds(texts: pd.Series) -> pd.Series:
+        give_back()
         hit = {r for r, *_ in index.find([t if isinstance(t, str) else None for t in texts])}
         return pd.Series([k in hit for k in range(len(texts))], dtype=bool)
 

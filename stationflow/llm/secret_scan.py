@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, per_row
+from stationflow.llm.common import give_back, ids_and_text, per_row
 
 #: Base kinds in the order of ties: pattern, group whose length counts, least length.
 BASE = {
@@ -359,6 +359,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[REDACT
 
     @F.pandas_udf("string")
     def redact(texts: pd.Series) -> pd.Series:
+        give_back()
         return texts.map(lambda t: blank_out(t, mark) if t else t)
 
     return docs.withColumn(text_col, redact(F.col(text_col).cast("string")))

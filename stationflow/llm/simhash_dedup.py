@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, join_copies, per_row, staged
+from stationflow.llm.common import give_back, ids_and_text, join_copies, per_row, staged
 from stationflow.llm.graph import connected_components
 
 SHINGLE = 4
@@ -207,6 +207,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_node: int = HOT_NOD
             np.minimum.at(least, found, own)  # a class's links go to its smallest node, so that tries that find the same class give the same links
             moved = own != least[found]
             yield _links(own[moved], least[found[moved]])
+        del whole, trie, part, key, node, words
+        give_back()
 
     return rows.select("trie", "part", "key", "node", *checks).mapInArrow(run, "src long, dst long")
 
