@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,14 +47,39 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
 
 
+#: Bytes of text that become Python objects at once.
+TEXT_BYTES = 4 << 20
+
+
+def stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of stretches that begin within TEXT_BYTES of text; none of no rows."""
+    sizes = pc.fill_null(pc.cast(pc.binary_length(texts), pa.int64()), 0).to_numpy(zero_copy_only=False)
+    block = (np.cumsum(sizes) - sizes) // TEXT_BYTES
+    cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else block
+    yield from zip(cuts.tolist(), np.diff(np.append(cuts, len(block))).tolist(), strict=True)
+
+
+def of_texts(fn: Callable[[list], list], returns: str, arrow: pa.DataType) -> Callable[[Column], Column]:
+    """A column function that gives ``fn(texts) -> values`` for a string column, a stretch of texts at a time."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [pa.array(fn(texts.slice(at, n).to_pylist()), arrow) for at, n in stretches(texts)]
+        give_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    return F.arrow_udf(run, returns)
+
+
 def per_row(df: DataFrame, fn: Callable[[list, list], tuple[list, ...]], schema: str, arrow: pa.Schema) -> DataFrame:
-    """Apply ``fn(ids, texts) -> columns`` to every Arrow batch of ``doc_id, text``."""
+    """Apply ``fn(ids, texts) -> columns`` to ``doc_id, text``, a stretch of rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = fn(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-            del batch, columns
+            for at, n in stretches(batch.column(1)):
+                columns = fn(*(c.slice(at, n).to_pylist() for c in batch.columns))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+                del columns
+            del batch
             give_back()
 
     return df.mapInArrow(run, schema)

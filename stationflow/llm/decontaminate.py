@@ -7,12 +7,11 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import give_back, ids_and_text, staged
+from stationflow.llm.common import ids_and_text, of_texts, staged, stretches
 
 SIMILARITY = 0.8
 #: Words that stay in a row whatever an item's edits are, at most; text without such a run near it is not embedded.
@@ -317,10 +316,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
         def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                hits = [(ids[r], index.ids[i], s, e, 1 - e / int(index.size[i])) for r, i, s, e in index.find(batch.column(1).to_pylist())]
-                columns = list(zip(*hits, strict=True)) or [[]] * len(ARROW)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW, strict=True)], schema=ARROW)
+                for at, n in stretches(batch.column(1)):
+                    ids, texts = (c.slice(at, n).to_pylist() for c in batch.columns)
+                    hits = [(ids[r], index.ids[i], s, e, 1 - e / int(index.size[i])) for r, i, s, e in index.find(texts)]
+                    columns = list(zip(*hits, strict=True)) or [[]] * len(ARROW)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW, strict=True)], schema=ARROW)
 
         part = ids_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
         part = staged(part) if several else part  # so that the driver holds one index at a time
@@ -331,13 +331,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def holds_item(index: ItemIndex) -> Callable[[Column], Column]:
     """Whether a text holds an item of ``index``, as a column function."""
 
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
-        give_back()
-        hit = {r for r, *_ in index.find([t if isinstance(t, str) else None for t in texts])}
-        return pd.Series([k in hit for k in range(len(texts))], dtype=bool)
+    def holds(texts: list) -> list:
+        hit = {r for r, *_ in index.find(texts)}
+        return [k in hit for k in range(len(texts))]
 
-    return holds
+    return of_texts(holds, "boolean", pa.bool_())
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import held_out, ids_and_text, per_row
+from stationflow.llm.common import held_out, ids_and_text, of_texts, per_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -185,11 +185,7 @@ def identify_language(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_i
 def keep_identified(docs: DataFrame, net: ByteNet | None, least_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, whose language the network names with ``least_score`` or more."""
 
-    @F.pandas_udf("double")
-    def sure(texts):  # noqa: ANN001, ANN202
-        import pandas as pd
+    def sure(texts: list) -> list:
+        return [s if lang != UNKNOWN else -1.0 for lang, s in zip(*predict(net, texts), strict=True)]
 
-        langs, scores = predict(net, [t if isinstance(t, str) else None for t in texts])
-        return pd.Series([s if lang != UNKNOWN else -1.0 for lang, s in zip(langs, scores, strict=True)], dtype="float64")
-
-    return docs.where(sure(F.col(text_col).cast("string")) >= least_score)
+    return docs.where(of_texts(sure, "double", pa.float64())(F.col(text_col).cast("string")) >= least_score)

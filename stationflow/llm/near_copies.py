@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import ids_and_text, join_copies, per_row, staged
+from stationflow.llm.common import ids_and_text, join_copies, of_texts, per_row, staged, stretches
 from stationflow.llm.graph import connected_components
 from stationflow.llm.simhash_dedup import _settle, near_links
 
@@ -128,7 +128,7 @@ def _compared(families: DataFrame) -> DataFrame:
     """Links ``src, dst`` that join what is similar within each ``root, a, b`` of the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        rows = (row for batch in batches for at, n in stretches(batch.column(4)) for row in zip(*(c.slice(at, n).to_pylist() for c in batch.columns), strict=True))
         for _, group in groupby(rows, key=lambda r: r[:3]):
             marks, sets = zip(*((r[3], np.frombuffer(r[4], np.uint64)) for r in group), strict=True)
             if len(marks) > 1:
@@ -189,7 +189,7 @@ def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if twice.isEmpty():
         return kept
     # rows of one id are told apart by their texts
-    mark = F.pandas_udf(lambda texts: texts.map(lambda t: int(np.uint64(mark_of(words_of(t))).astype(np.int64))), "long")
+    mark = of_texts(lambda texts: [int(np.uint64(mark_of(words_of(t))).astype(np.int64)) for t in texts], "long", pa.int64())
     firsts = roots.where("doc_id = component_id").withColumnsRenamed({"doc_id": name_id, "mark": name_mark}).join(twice, name_id, "left_semi").select(name_id, F.col(name_mark).alias(name_row)).distinct()
     rows = staged(known.join(twice, key, "left_semi")).withColumn(name_mark, mark(F.col(text_col).cast("string")))
     rows = rows.join(firsts, key & (F.col(name_mark) == F.col(name_row)), "left_semi")

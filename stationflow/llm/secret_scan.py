@@ -8,12 +8,11 @@ import json
 import re
 from bisect import bisect_right
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import give_back, ids_and_text, per_row
+from stationflow.llm.common import ids_and_text, of_texts, per_row
 
 #: Base kinds in the order of ties: pattern, group whose length counts, least length.
 BASE = {
@@ -357,9 +356,7 @@ def blank_out(text: str, mark: str) -> str:
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with the secrets of the text column blanked out; null and empty texts, all columns and repeated rows stay."""
 
-    @F.pandas_udf("string")
-    def redact(texts: pd.Series) -> pd.Series:
-        give_back()
-        return texts.map(lambda t: blank_out(t, mark) if t else t)
+    def redact(texts: list) -> list:
+        return [blank_out(t, mark) if t else t for t in texts]
 
-    return docs.withColumn(text_col, redact(F.col(text_col).cast("string")))
+    return docs.withColumn(text_col, of_texts(redact, "string", pa.string())(F.col(text_col).cast("string")))

@@ -10,11 +10,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from stationflow.llm import ann, chat_format, decontaminate, language_id, license_scan, near_copies, packing, quality, queries, secret_scan, simhash_dedup, suffix_arrays, suffix_dedup
+from stationflow.llm.common import TEXT_BYTES, stretches
 
 WORDS = "the of and to in that is was for on with as it by from at this are be have or an they which one you were all her she there would their we him been has when who will no more if out so what up said about than into them can only other time new some could these two may first then do".split()
 
@@ -863,3 +865,14 @@ def test_stage_drops_edited_copies(spark, small_dir):
     assert max((marks[0] ^ m).bit_count() for m in marks) > simhash_dedup.MAX_BITS
     kept = dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, docs, small_dir)
     assert sorted(((r.doc_id is None, r.doc_id) for r in kept.collect()), key=str) == [(False, 10), (False, 50), (False, 51), (False, 53), (True, None)]
+
+
+def test_stretches_hold_every_row_once():
+    """Rows are cut into stretches that begin within one block of bytes; nulls, empty and very long texts stay where they are."""
+    texts = [None, "", "a" * (3 << 20), "b" * (9 << 20), "c", None, *["d" * 1000] * 9000]
+    cut = list(stretches(pa.array(texts, pa.string())))
+    assert [k for at, n in cut for k in range(at, at + n)] == list(range(len(texts)))
+    for at, n in cut:
+        assert sum(len(t or "") for t in texts[at : at + n - 1]) <= TEXT_BYTES
+    assert list(stretches(pa.array([], pa.string()))) == []
+    assert list(stretches(pa.array([None, None], pa.string()))) == [(0, 2)]
