@@ -19,6 +19,10 @@ TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 4 << 20
 #: A route whose distinct blocks have more bytes than this is dealt out string by string.
 HOT_BYTES = 1 << 20
 CHUNK = 1 << 20
+#: Tiles, buckets and shards have a task each up to this number of tasks; then a task takes several, one at a time.
+PARTS = 1 << 15
+#: Equal rows that fill a tile, and more than one in so many of all bytes, are counted and dealt by number.
+HEAVY_SHARE = 1_000_000
 #: Stands for no document; whether one is there is told apart by a flag, so it may be an id too.
 NEVER = np.iinfo(np.int64).max
 
@@ -81,6 +85,7 @@ class Tile:
         order = np.lexsort((ids, none))
         texts = rows["data"].tolist()
         self.ids, self.none, self.texts = ids[order], none[order], [bytes(texts[k]) for k in order]
+        self.copies = rows["copies"].to_numpy(np.int64)[order]
         self.owner = np.cumsum(np.concatenate([[False], (self.ids[1:] != self.ids[:-1]) | (self.none[1:] != self.none[:-1])]))
 
 
@@ -300,6 +305,37 @@ def _removed(tile: Tile, shared: tuple[np.ndarray, np.ndarray], found: pd.DataFr
     return spans
 
 
+def _spread(rows: DataFrame, key: str, count: int) -> DataFrame:
+    """The rows dealt so that each number of ``key``, which are less than ``count``, has a task for itself."""
+    return rows.repartitionById(count, key) if count <= PARTS else rows.repartition(PARTS, key)
+
+
+def _dealt(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with ``copies`` and ``tile``, and the bytes of all texts.
+
+    Equal rows would crowd one tile where they are more than it holds. They are counted
+    and come as several rows with a part of the copies each, which rows of one id allow.
+    """
+    size = F.octet_length("data").cast("long")
+    same = rows.groupBy("doc_id", "none", F.xxhash64("data").alias("h")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    weight = F.greatest("bytes", "n")
+    total = same.agg(F.sum("bytes").alias("bytes"), F.max(F.when(F.col("n") > 1, weight)).alias("most")).first()
+    all_bytes = total["bytes"] or 0
+    least = max(TILE_BYTES, all_bytes // HEAVY_SHARE)
+    dealt = rows.withColumns({"copies": F.lit(1).cast("long"), "part": F.lit(0).cast("long")})
+    if (total["most"] or 0) > least:
+        heavy = F.broadcast(same.where((F.col("n") > 1) & (weight > least)).select("doc_id", "none", "h"))  # at most HEAVY_SHARE rows
+        keyed, on = rows.withColumn("h", F.xxhash64("data")), ["doc_id", "none", "h"]
+        parts = F.ceil(F.col("n") * F.greatest(size, F.lit(1)) / TILE_BYTES)
+        many = keyed.join(heavy, on, "left_semi").groupBy("doc_id", "none", "data").agg(F.count("*").alias("n")).withColumn("parts", F.least(parts, "n"))
+        many = many.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        share = F.floor(F.col("n") / F.col("parts")) + (F.col("part") < F.col("n") % F.col("parts")).cast("long")
+        single = keyed.join(heavy, on, "left_anti").select("doc_id", "none", "data", F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("part"))
+        dealt = single.unionByName(many.select("doc_id", "none", "data", share.alias("copies"), "part"))
+    tiles = int(-(-all_bytes // TILE_BYTES)) or 1
+    return dealt.withColumn("tile", F.pmod(F.xxhash64("doc_id", "data", "part"), F.lit(tiles)).cast("int")).drop("part"), all_bytes
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the bytes of each text not covered by an earlier document's strings.
 
@@ -316,16 +352,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     tiles and shards, and a block of many documents is sent once by each tile.
 
     Null texts are empty; rows with one id never remove from each other; rows without
-    an id count as later than all others, and never remove from each other; texts under
+    an id count as later than all others, and never remove from each other, so equal rows
+    in any number are spread over tiles; texts under
     ``length`` bytes stay whole, and texts of any length are taken whole; other columns are
     left out; an empty table gives an empty result.
     """
     key = F.col(id_col).cast("long")
     rows = docs.select(F.coalesce(key, F.lit(0).cast("long")).alias("doc_id"), key.isNull().alias("none"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
-    size = rows.agg(F.sum(F.octet_length("data")).alias("n")).first()["n"] or 0
+    rows, size = _dealt(rows)
     tiles, buckets, shards = (int(-(-size // each)) or 1 for each in (TILE_BYTES, BUCKET_BYTES, SHARD_BYTES))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("doc_id", "data"), F.lit(tiles)).cast("int")).select("tile", "doc_id", "none", "data")
-    by_tile = rows.groupBy("tile")
+    by_tile = _spread(rows.select("tile", "doc_id", "none", "copies", "data"), "tile", tiles).groupBy("tile")
 
     def routes(part: pd.DataFrame) -> pd.DataFrame:
         return _tile_routes(int(part["tile"].iloc[0]), Tile(part), buckets, length)
@@ -340,14 +376,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         for text, cut in zip(tile.texts, spans, strict=True):
             ends = [0, *(x for s in cut for x in s), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)))
-        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(tile.ids, tile.none), "n_bytes": [len(t) for t in tile.texts], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans], "kept": kept})
+        return pd.DataFrame({"copies": tile.copies, "doc_id": pd.arrays.IntegerArray(tile.ids, tile.none), "n_bytes": [len(t) for t in tile.texts], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans], "kept": kept})
 
     all_routes = by_tile.applyInPandas(routes, "bucket int, tile int, routes binary, marks binary")
-    shared = all_routes.groupBy("bucket").applyInPandas(lambda part: _shared_routes(part, hot_bytes), "tile int, shared binary, hot binary")
-    sent = by_tile.cogroup(shared.groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, real binary, more binary, text binary")
-    found = sent.groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary, known binary")
-    back = found.unionByName(shared, allowMissingColumns=True)
-    return by_tile.cogroup(back.groupBy("tile")).applyInPandas(finish, "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    shared = _spread(all_routes, "bucket", buckets).groupBy("bucket").applyInPandas(lambda part: _shared_routes(part, hot_bytes), "tile int, shared binary, hot binary")
+    sent = by_tile.cogroup(_spread(shared, "tile", tiles).groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, real binary, more binary, text binary")
+    found = _spread(sent, "shard", shards).groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary, known binary")
+    back = _spread(found.unionByName(shared, allowMissingColumns=True), "tile", tiles)
+    cleaned = by_tile.cogroup(back.groupBy("tile")).applyInPandas(finish, "copies long, doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    return cleaned.select(F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))), "doc_id", "n_bytes", "spans", "kept").drop("col")
 
 
 def _joined(shared: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:

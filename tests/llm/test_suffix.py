@@ -85,6 +85,24 @@ def test_hot_routes_change_nothing(spark, documents, monkeypatch):
         assert sorted(map(tuple, got.collect()), key=repr) == brute(documents)
 
 
+@pytest.mark.parametrize("parts", [1 << 15, 2])
+def test_equal_rows_are_spread(spark, monkeypatch, parts):
+    """Rows that are equal, with and without an id, come out as often as they came in, and from several tiles."""
+    for name, size in {"TILE_BYTES": 4000, "BUCKET_BYTES": 3000, "SHARD_BYTES": 2000, "PARTS": parts}.items():
+        monkeypatch.setattr(suffix_dedup, name, size)
+    texts = made(11, 12)
+    rows = list(enumerate(texts)) + [(None, texts[3] + "tail")] * 300 + [(20, texts[4])] * 157 + [(21, "")] * 50 + [(None, None)] * 5000 + [(None, texts[3])] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt, size = suffix_dedup._dealt(table.select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("none"), F.coalesce("text", F.lit("")).cast("binary").alias("data")))
+    assert size == sum(len((t or "").encode()) for _, t in rows)
+    assert dealt.agg(F.sum("copies")).first()[0] == len(rows)
+    held = dealt.where(F.col("none") & (F.octet_length("data") > 0)).groupBy("tile").agg(F.sum("copies").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(held) > 8 and sum(r["n"] for r in held) == 302 and sum(r["rows"] for r in held) < 150
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    got = suffix_dedup.remove_repeats(table).select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
 def test_long_texts_and_empty_table(spark, tmp_path):
     rng = np.random.default_rng(5)
     long = rng.bytes(700_000).hex()  # over 1 MiB, so over the seam of a chunk
