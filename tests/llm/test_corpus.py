@@ -697,6 +697,30 @@ def test_language(spark, small_dir, odd, none):
     assert language_id.keep_identified(odd, net).columns == odd.columns
 
 
+def test_network_against_plain_loops():
+    """Probabilities equal those of a plain loop over positions and filters."""
+    rng = np.random.default_rng(4)
+    windows = rng.integers(0, 256, (20, language_id.WINDOW), dtype=np.uint8)
+    windows[3, 10:] = 0
+    net = language_id.train(windows, ["a", "b", "c", "d"] * 5, epochs=2)
+    want = []
+    for row in windows:
+        data, pool = [*row.tolist(), *[0] * (max(language_id.WIDTHS) - 1)], []
+        for f in range(net.filters.shape[1]):
+            width = language_id.WIDTHS[f // language_id.FILTERS]
+            replies = [sum(float(net.embed[data[p + j]] @ net.filters[j * language_id.EMBED : (j + 1) * language_id.EMBED, f]) for j in range(width)) for p in range(language_id.WINDOW)]
+            pool.append(max(0.0, max(replies) + float(net.bias[f])))
+        z = np.array(pool) @ net.out.astype(float) + net.out_bias
+        want.append(np.exp(z - z.max()) / np.exp(z - z.max()).sum())
+    assert np.allclose(net.proba(windows), want, atol=1e-4)
+    text = "abc déf " * 100
+    got = language_id.windows_of(text)
+    weight = (got != 0).sum(1)
+    mean = (net.proba(got) * weight[:, None]).sum(0) / weight.sum()
+    langs, scores = language_id.predict(net, [None, text, "1 2"])
+    assert langs == ["und", net.langs[int(mean.argmax())], "und"] and abs(scores[1] - mean.max()) < 1e-5
+
+
 def test_quality(spark, small_dir, odd, none):
     docs, labels = (spark.read.parquet(f"{small_dir}/{n}.parquet") for n in ("documents", "labels"))
     rows = {r.doc_id: r for r in queries.op2_quality(spark, small_dir).collect()}
@@ -804,6 +828,32 @@ def test_pipeline(spark, small_dir):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
 
 
+def test_pipeline_run_on_odd_tables(spark, small_dir, tmp_path):
+    """``run`` on nulls, repeated rows and ids, clashing names and a text over 1 MiB, and on an empty table."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").where("doc_id < 300")
+    long = prose(random.Random(2), 300_000)
+    assert len(long) > 1 << 20
+    first = docs.where("lang IS NOT NULL").orderBy("doc_id").first().asDict()
+    odd = [{**first, "doc_id": i, "text": t} for i, t in [(9001, None), (9002, ""), (9003, long), (9004, "123 456"), (None, first["text"]), (None, None)]]
+    table = docs.unionByName(docs.where("doc_id < 20")).unionByName(spark.createDataFrame(odd, docs.schema))
+    for name in ("__id", "__mark", "tile", "fp", "score", "length", "start", "lang_pred"):
+        table = table.withColumn(name, F.lit("x"))
+    for name, rows in (("odd", table), ("empty", table.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{small_dir}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, f"{tmp_path}/odd").where("doc_id IS NOT NULL").orderBy("doc_id", "start").collect()
+    assert len({r.doc_id for r in pieces}) > 200 and not {9001, 9002, 9004} & {r.doc_id for r in pieces}
+    at = {}
+    for r in pieces:  # each document once, gapless and whole
+        assert r.start == at.get(r.doc_id, 0)
+        at[r.doc_id] = r.start + r.length
+    assert all(at[r.doc_id] == r.doc_tokens for r in pieces)
+    assert at[9003] > 300_000
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
 def jaccard_labels(texts, least=0.8):
     grams = []
     for t in texts:
