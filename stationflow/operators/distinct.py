@@ -1,4 +1,4 @@
-"""Exact distinct counts that merge: bitmaps over a dictionary of ids."""
+"""Exact distinct counts that merge: words of bits over a dictionary of ids."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ def dictionary(df: DataFrame, value: str, near: str) -> DataFrame:
     """``value`` and a ``code`` of its own for every distinct value but null.
 
     Values are dealt out in order of the least ``near`` that they occur with (a station, say), so that those that occur
-    together have neighbouring codes and share bitmaps. Codes are given partition by partition, without a global count.
+    together have neighbouring codes and share words. Codes are given partition by partition, without a global count.
     """
     first = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(near).alias("__near"))
     dealt = first.repartitionByRange("__near", value).sortWithinPartitions("__near", value)
@@ -27,16 +27,20 @@ def extended(codes: DataFrame, df: DataFrame, value: str, near: str) -> DataFram
 
 
 def distinct_state(df: DataFrame, codes: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """``keys, part, bits``: which codes occur with each key, as bitmaps of 32768 codes each. Rows are combined before they are shuffled."""
-    coded = df.select(*keys, value).join(codes, value).withColumn("at", F.col("code") + 1)
-    return coded.groupBy(*keys, F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    """``keys, part, bits``: which codes occur with each key, as words of 64 codes each. Rows are combined before they are shuffled.
+
+    A word is a number, so words are combined in place by hash; a key takes room for the words that it has codes in, however few.
+    """
+    coded = df.select(*keys, value).join(codes, value)
+    bit = F.expr("shiftleft(1L, CAST(code & 63 AS INT))")
+    return coded.groupBy(*keys, F.expr("shiftright(code, 6)").alias("part")).agg(F.bit_or(bit).alias("bits"))
 
 
 def merge_distinct(states: DataFrame, keys: list[str]) -> DataFrame:
     """States of finer keys, or of other batches, as states of ``keys``."""
-    return states.groupBy(*keys, "part").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return states.groupBy(*keys, "part").agg(F.bit_or("bits").alias("bits"))
 
 
 def finish_distinct(states: DataFrame, keys: list[str], name: str) -> DataFrame:
     """The number of distinct values of each key."""
-    return states.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    return states.groupBy(*keys).agg(F.sum(F.bit_count("bits").cast("long")).alias(name))

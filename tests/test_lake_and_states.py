@@ -89,3 +89,14 @@ def test_published_warnings(spark, tmp_path, monkeypatch, rows):
     monkeypatch.setitem(catalogue.REPORTS, "odd", catalogue.Report("odd", "day", "d", lambda i: df, quality.sla_checks))
     told = catalogue.publish(spark, catalogue.Inputs(None, AS_OF), f"file://{tmp_path}/gold", ["odd"]).collect()
     assert [tuple(r) for r in told] == [("odd", "day", rows, "uptime_pct_out_of_range" if rows else "empty", 1)]
+
+
+def test_states_of_few_values_are_small(spark):
+    """A state takes some bytes for each word it has codes in, not a bitmap's four kilobytes, and is combined in place by hash."""
+    df = spark.range(2000).select((F.col("id") % 500).alias("station"), F.concat(F.lit("s"), F.col("id") % 100).alias("imsi"))
+    states = distinct.distinct_state(df, distinct.dictionary(df, "imsi", "station"), "imsi", ["station"])
+    assert dict(states.dtypes)["bits"] == "bigint"
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    got = distinct.finish_distinct(distinct.merge_distinct(states, ["station"]), ["station"], "n")
+    assert {r.n for r in got.collect()} == {1} and dict(got.dtypes)["n"] == "bigint"
