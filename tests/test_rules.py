@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationflow.functions.times import minutes_between
-from stationflow.operators import joins, manifest, quality, reports, versions
+from stationflow.operators import joins, manifest, quality, reports, rollup, versions
 from stationflow.plans import contract
 from stationflow.plans.feeds import Feeds
 from stationflow.sources import lake
@@ -353,3 +353,12 @@ def test_half_read_files_give_nothing(spark, tmp_path):
     assert {(r.stage, r.batch_id) for r in got.values()} == {("silver", "b7")} and got["torn.parquet"].key == str(folder / "torn.parquet")
     assert good.count() == 10_000 == good.where("text is not null").count() and good.columns == ["id", "text", "m"]
     assert lake.read_with_failures(spark, [f"{tmp_path}/nowhere"], "silver", AS_OF, "id long")[0].count() == 0
+
+
+def test_sketches_of_small_groups_are_close(spark):
+    """20,000 groups of 15 values: in some of them two values share a register of a plain sketch, which then tells 14."""
+    df = spark.range(300_000).select((F.col("id") / 15).cast("long").alias("g"), "id")
+    told = df.groupBy("g").agg(rollup.approx_distinct("id").alias("n"), F.approx_count_distinct("id", 0.01).alias("plain"))
+    row = told.agg(F.count_if(F.abs(F.col("n") - 15) > 0.03 * 15).alias("off"), F.count_if(F.abs(F.col("plain") - 15) > 0.05 * 15).alias("plain_off")).first()
+    assert row.off == 0 and row.plain_off > 0
+    assert abs(df.agg(rollup.approx_distinct("id")).first()[0] - 300_000) <= 0.03 * 300_000
