@@ -96,11 +96,14 @@ def hour_signal(df: DataFrame, time: str) -> DataFrame:
 
 
 def ready_hours(*feeds: DataFrame) -> DataFrame:
-    """Hours that every feed has staged."""
-    first, *rest = feeds
+    """Hours that every feed has staged, null among them if all have it: each feed comes down to its hours, which are counted over the feeds.
+
+    So only hours are shuffled. An ``intersect`` matches before it makes distinct, and would sort all rows.
+    """
+    first, *rest = (feed.distinct() for feed in feeds)
     for feed in rest:
-        first = first.intersect(feed)
-    return first
+        first = first.union(feed)
+    return first.groupBy(*first.columns).agg(F.count("*").alias("__feeds")).where(F.col("__feeds") == len(feeds)).drop("__feeds")
 
 
 def affected_days(signals: DataFrame) -> DataFrame:

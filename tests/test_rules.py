@@ -362,3 +362,15 @@ def test_sketches_of_small_groups_are_close(spark):
     row = told.agg(F.count_if(F.abs(F.col("n") - 15) > 0.03 * 15).alias("off"), F.count_if(F.abs(F.col("plain") - 15) > 0.05 * 15).alias("plain_off")).first()
     assert row.off == 0 and row.plain_off > 0
     assert abs(df.agg(rollup.approx_distinct("id")).first()[0] - 300_000) <= 0.03 * 300_000
+
+
+def test_feeds_come_down_to_hours_before_they_meet(spark):
+    """Rows are combined by hash before any shuffle, and none is matched or sorted; an hour repeated in one feed counts once, null as an hour."""
+    hour = F.timestamp_seconds(F.col("id") % 30 * 3600).cast("timestamp_ntz").alias("hour")
+    nothing = spark.range(2).select(F.lit(None).cast("timestamp_ntz").alias("hour"))
+    feeds = [spark.range(3000).where(f"id % 30 < {k}").select(hour).union(nothing) for k in (30, 20, 25)]
+    ready = manifest.ready_hours(*feeds)
+    assert sorted((r.hour.hour if r.hour else -1) for r in ready.collect()) == list(range(-1, 20))
+    assert manifest.ready_hours(feeds[0], feeds[1], feeds[1].limit(0)).count() == 0
+    plan = ready._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
