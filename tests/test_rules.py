@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.times import minutes_between
 from stationflow.operators import joins, manifest, quality, reports, rollup, versions
-from stationflow.plans import contract
+from stationflow.plans import contract, written_queries
 from stationflow.plans.feeds import Feeds
 from stationflow.sources import lake
 from stationflow.streaming import jobs
@@ -374,3 +374,36 @@ def test_feeds_come_down_to_hours_before_they_meet(spark):
     assert manifest.ready_hours(feeds[0], feeds[1], feeds[1].limit(0)).count() == 0
     plan = ready._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Sort" not in plan
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_traffic_is_staged_in_one_look(spark, sf_dir):
+    """Valid and recoverable rows come from one scan of the rows and one of the changes, and are those of both sides."""
+    f = Feeds(spark, sf_dir)
+    once, sides = f.staged_traffic(), quality.staged_rows(*quality.split_valid(f.judged_traffic()))
+    assert once.columns == sides.columns and once.count() == sides.count() and once.exceptAll(sides).isEmpty()
+    assert scans(once) == 2 and scans(f.live_traffic()) == 2
+
+
+def test_reports_of_health_read_raw_events_once(spark, sf_dir):
+    """Pairs are made of written events, not of raw ones that are judged again for either side."""
+    tables, _ = Feeds(spark, sf_dir).report_tables()
+    assert all("events.parquet" not in name for name in tables.events.inputFiles())
+
+
+def test_rows_land_from_one_computation(spark):
+    """Three parts land, but the rows behind them are computed once."""
+    reads, landed = spark.sparkContext.accumulator(0), []
+
+    def count(parts):
+        for part in parts:
+            reads.add(len(part))
+            yield part
+
+    rows = spark.range(30).select("id", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(CAST(id AS INT))").alias("at"))
+    rows = rows.repartition(2).mapInPandas(count, "id long, at timestamp_ntz")
+    written_queries.arrive(rows, "at", "once", lambda stream, out, mark: jobs.run_batches(stream, mark, lambda part, number: landed.append(part.count())))
+    assert reads.value == 30 and sum(landed) == 30 and len([n for n in landed if n]) == 3
