@@ -236,26 +236,62 @@ def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str
 
 
 PAIRS = "station_id long, start_id long, started timestamp_ntz, ended timestamp_ntz"
-NEVER = np.iinfo(np.int64).max
+#: Stations are dealt into so many groups of the state, so that a call serves many of them; part of a checkpoint's meaning.
+PAIR_GROUPS = 1024
+#: Rows of one entry of the state.
+PAIR_CHUNK = 4096
+NEW = -2  # the end of a start that wasn't written yet
 
 
-def next_ends(start_ids: np.ndarray, start_at: np.ndarray, end_ids: np.ndarray, end_at: np.ndarray) -> np.ndarray:
-    """The time of the first end after each start, by time and id; -1 if there is none."""
+def next_ends(start_ids: np.ndarray, start_at: np.ndarray, end_ids: np.ndarray, end_at: np.ndarray, start_of: np.ndarray | None = None, end_of: np.ndarray | None = None) -> np.ndarray:
+    """The time of the first end after each start, by time and id, among those of the same station (``start_of``, ``end_of``; one by default); -1 if there is none."""
     ids, times = np.concatenate([start_ids, end_ids]), np.concatenate([start_at, end_at])
-    order = np.lexsort((ids, times))
-    ends = np.where(order >= len(start_ids), times[order], NEVER)
-    ahead = np.minimum.accumulate(ends[::-1])[::-1]
+    of = np.zeros(len(ids), np.int64) if start_of is None else np.concatenate([start_of, end_of])
+    order = np.lexsort((ids, times, of))
+    places = np.where(order >= len(start_ids), np.arange(len(ids)), len(ids))
+    ahead = np.minimum.accumulate(places[::-1])[::-1]
+    near = np.minimum(ahead, len(ids) - 1)
+    hit = (ahead < len(ids)) & (of[order][near] == of[order])
     found = np.empty(len(ids), np.int64)
-    found[order] = ahead
-    return np.where(found[: len(start_ids)] == NEVER, -1, found[: len(start_ids)])
+    found[order] = np.where(hit, times[order][near], -1)
+    return found[: len(start_ids)]
+
+
+def newest_of(rows: np.ndarray, keys: int) -> np.ndarray:
+    """The last of the rows that share their first ``keys`` columns, ordered by these."""
+    order = np.lexsort(rows[:, :keys].T[::-1])  # stable, so later rows stay behind
+    rows = rows[order]
+    last = np.ones(len(rows), bool)
+    last[:-1] = (rows[1:, :keys] != rows[:-1, :keys]).any(axis=1)
+    return rows[last]
+
+
+class Packed:
+    """Rows of numbers in a map state, some thousand to an entry; entries that stay the same aren't written."""
+
+    def __init__(self, state, width: int) -> None:  # noqa: ANN001
+        self.state, self.width = state, width
+
+    def read(self) -> np.ndarray:
+        self.old = {k[0]: bytes(v[0]) for k, v in self.state.iterator()}
+        return np.frombuffer(b"".join(self.old[k] for k in sorted(self.old)), np.int64).reshape(-1, self.width)
+
+    def write(self, rows: np.ndarray) -> None:
+        new = {k: rows[at : at + PAIR_CHUNK].tobytes() for k, at in enumerate(range(0, len(rows), PAIR_CHUNK))}
+        for k, data in new.items():
+            if self.old.get(k) != data:
+                self.state.updateValue((k,), (data,))
+        for k in self.old.keys() - new.keys():
+            self.state.removeKey((k,))
 
 
 class PairEnds(StatefulProcessor):
-    """Starts of one station with their first end, from events in any order within ``delay`` (microseconds).
+    """Starts with their station's first end, from events of a group of stations in any order within ``delay`` (microseconds).
 
-    ``starts`` (id to start and end, end -1 while open) holds open starts however old they are, and closed ones while an
-    earlier end may still come; ``ends`` holds the ends before which a start may still come. Each is an entry of a map
-    state: a batch reads and writes what its events touch, and a timer takes entries out once the watermark has passed them.
+    ``starts`` (station, id, start, end; the end -1 while open) holds open starts however old they are, and closed ones while an
+    earlier end may still come; ``ends`` (station, time, id) holds the ends before which a start may still come. They are packed,
+    so that a batch makes a few calls to the state for each group, however many events it has, and a timer takes rows out once the watermark
+    has passed them. A batch reads what its group holds: its open starts, and what came within the delay.
     """
 
     def __init__(self, delay: int) -> None:
@@ -263,41 +299,34 @@ class PairEnds(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.starts = handle.getMapState("starts", "id long", "started long, ended long")
-        self.ends = handle.getMapState("ends", "at long, id long", "kept boolean")
+        self.starts = Packed(handle.getMapState("starts", "chunk long", "data binary"), 4)
+        self.ends = Packed(handle.getMapState("ends", "chunk long", "data binary"), 3)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-        starts, ends = [], []
+        starts, ends = [self.starts.read()], [self.ends.read()]
         for part in rows:
-            at, ids = part["event_time"].to_numpy("datetime64[us]").astype(np.int64), part["event_id"].to_numpy(np.int64)
-            is_end = (part["event_type"] == "incident_end").to_numpy()
-            starts += zip(ids[~is_end].tolist(), at[~is_end].tolist(), strict=True)
-            ends += zip(at[is_end].tolist(), ids[is_end].tolist(), strict=True)
-        known = {k[0]: tuple(v) for k, v in self.starts.iterator()} if ends else {}
-        held = {tuple(k) for k in self.ends.keys()} if starts else set()  # noqa: SIM118
-        known |= {i: (at, -2) for i, at in starts}  # -2: not written yet
-        held |= set(ends)
-        if known:
-            ids, at, old = (np.array(x, np.int64) for x in zip(*((i, a, e) for i, (a, e) in known.items()), strict=True))
-            end_at, end_ids = np.array([x for x, _ in held], np.int64), np.array([x for _, x in held], np.int64)
-            new = next_ends(ids, at, end_ids, end_at)
-            new = np.where((old >= 0) & ((new < 0) | (old < new)), old, new)  # an end that left the state stays the first
-            moved = np.flatnonzero(new != old)
-            for k in moved:
-                self.starts.updateValue((int(ids[k]),), (int(at[k]), int(new[k])))
-            if len(moved):
-                yield pd.DataFrame({"station_id": np.full(len(moved), key[0]), "start_id": ids[moved], "started": at[moved].astype("datetime64[us]"), "ended": np.where(new[moved] < 0, np.iinfo(np.int64).min, new[moved]).astype("datetime64[us]")})
-        for x in ends:
-            self.ends.updateValue(x, (True,))
-        if ends:  # an end leaves the state when no start before it can come, and then the starts it closed do
-            self.handle.registerTimer(max((max(x for x, _ in ends) + self.delay) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+            of, ids = part["station_id"].to_numpy(np.int64), part["event_id"].to_numpy(np.int64)
+            at, is_end = part["event_time"].to_numpy("datetime64[us]").astype(np.int64), (part["event_type"] == "incident_end").to_numpy()
+            starts.append(np.column_stack([of, ids, at, np.full(len(at), NEW)])[~is_end])
+            ends.append(np.column_stack([of, at, ids])[is_end])
+        came = np.concatenate(ends[1:]) if len(ends) > 1 else ends[0][:0]
+        known, held = newest_of(np.concatenate(starts), 2), newest_of(np.concatenate(ends), 3)
+        of, ids, at, old = known.T
+        new = next_ends(ids, at, held[:, 2], held[:, 1], of, held[:, 0])
+        new = np.where((old >= 0) & ((new < 0) | (old < new)), old, new)  # an end that left the state stays the first
+        moved = np.flatnonzero(new != old)
+        self.starts.write(np.column_stack([of, ids, at, new]))
+        self.ends.write(held)
+        if len(moved):
+            yield pd.DataFrame({"station_id": of[moved], "start_id": ids[moved], "started": at[moved].astype("datetime64[us]"), "ended": np.where(new[moved] < 0, np.iinfo(np.int64).min, new[moved]).astype("datetime64[us]")})
+        if len(came):  # an end leaves the state when no start before it can come, and then the starts it closed do
+            self.handle.registerTimer(max((int(came[:, 1].max()) + self.delay) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N803
         past = timerValues.getCurrentWatermarkInMs() * 1000 - self.delay
-        for k in [tuple(k) for k in self.ends.keys() if k[0] < past]:  # noqa: SIM118
-            self.ends.removeKey(k)
-        for k in [tuple(k) for k, v in self.starts.iterator() if 0 <= v[1] < past]:
-            self.starts.removeKey(k)
+        ends, starts = self.ends.read(), self.starts.read()
+        self.ends.write(ends[ends[:, 1] >= past])
+        self.starts.write(starts[(starts[:, 3] < 0) | (starts[:, 3] >= past)])
         return iter([])
 
     def close(self) -> None:
@@ -319,7 +348,8 @@ def rocks_db(spark: SparkSession) -> Iterator[None]:
 def stream_pair(stream: DataFrame, path: str, checkpoint: str, delay: str = "1 hour") -> int:
     """Incidents with their end, or null while they are open, from events in any order within ``delay``; under ``path``/pairs.
 
-    An end pairs however long its incident was open; the state holds open incidents and those of the last ``delay``. Every
+    An end pairs however long its incident was open; stations are dealt into ``PAIR_GROUPS`` groups, whose state holds open
+    incidents and those of the last ``delay``. Every
     batch writes the incidents it opened, closed or changed; ``pair_result`` takes the last of each. Events that
     came too late lie in ``path``/late; returns how many.
     """
@@ -328,7 +358,7 @@ def stream_pair(stream: DataFrame, path: str, checkpoint: str, delay: str = "1 h
     events = events.select(F.col("station_id").cast("long").alias("station_id"), F.col("event_id").cast("long").alias("event_id"), "event_type", F.col("event_time").cast("timestamp").alias("event_time")).withWatermark("event_time", delay)
     micros = int(pd.Timedelta(delay).total_seconds() * 1e6)
     with rocks_db(spark):
-        pairs = events.groupBy("station_id").transformWithStateInPandas(PairEnds(micros), PAIRS, "Update", "EventTime")
+        pairs = events.withColumn("group", F.pmod(F.xxhash64("station_id"), F.lit(PAIR_GROUPS))).groupBy("group").transformWithStateInPandas(PairEnds(micros), PAIRS, "Update", "EventTime")
         run_batches(pairs, checkpoint, to_batch_folder(f"{path}/pairs", lambda rows: rows), "update")
     compact(spark, f"{path}/pairs", lambda rows: versions.latest_version(rows, ["station_id", "start_id"], "batch"))
     return keep_late(spark, stream.schema, checkpoint, f"{path}/late", lambda mark: F.col("event_type").isin(*kinds) & F.col("station_id").isNotNull() & (F.col("event_time") <= mark))

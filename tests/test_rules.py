@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -407,3 +408,60 @@ def test_rows_land_from_one_computation(spark):
     rows = rows.repartition(2).mapInPandas(count, "id long, at timestamp_ntz")
     written_queries.arrive(rows, "at", "once", lambda stream, out, mark: jobs.run_batches(stream, mark, lambda part, number: landed.append(part.count())))
     assert reads.value == 30 and sum(landed) == 30 and len([n for n in landed if n]) == 3
+
+
+class CountedState:
+    """A map state that counts the calls made to it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def iterator(self):
+        self.calls += 1
+        return iter([(k, v) for k, v in self.held.items()])
+
+    def keys(self):
+        self.calls += 1
+        return iter([*self.held])
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.held[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.calls += 1
+        self.held.pop(key)
+
+
+def test_pairing_calls_the_state_for_groups_not_for_events():
+    """20,000 events of 50 stations in two batches take some calls, and what has passed leaves the state."""
+    states, rng, hour = {}, np.random.default_rng(5), 3_600_000_000
+
+    class Handle:
+        getMapState = staticmethod(lambda name, *_: states.setdefault(name, CountedState()))  # noqa: N815
+        registerTimer = staticmethod(lambda at: None)  # noqa: N815
+
+    class Clock:
+        now = 0
+        getCurrentWatermarkInMs = classmethod(lambda cls: cls.now)  # noqa: N815
+
+    pairs, got = jobs.PairEnds(hour), {}
+    pairs.init(Handle)
+    at = np.sort(rng.integers(0, 200 * hour, 20_000))
+    rows = pd.DataFrame({"station_id": rng.integers(0, 50, 20_000), "event_id": np.arange(20_000), "event_type": rng.choice(["incident_start", "incident_end"], 20_000), "event_time": at.astype("datetime64[us]")})
+    for half in (rows[:10_000], rows[10_000:]):
+        for out in pairs.handleInputRows((0,), iter([half[:4000], half[4000:]]), Clock):
+            got |= dict(zip(out["start_id"], out["ended"], strict=True))
+        Clock.now = int(half["event_time"].max().value // 1_000_000) - hour // 1000
+        pairs.handleExpiredTimer((0,), Clock, None)
+    want = {}
+    for _, one in rows.groupby("station_id"):
+        ahead = pd.NaT
+        for row in one[::-1].itertuples():
+            if row.event_type == "incident_end":
+                ahead = row.event_time
+            else:
+                want[row.event_id] = ahead
+    assert got.keys() == want.keys() and all(got[k] == v or (pd.isna(got[k]) and pd.isna(v)) for k, v in want.items())
+    assert sum(s.calls for s in states.values()) < 50
+    assert sum(len(v[0]) for v in states["ends"].held.values()) // 24 < 400
