@@ -221,7 +221,11 @@ def late_reopen(stream: DataFrame, path: str, checkpoint: str, build: Callable[[
 
 
 def stream_health_daily(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Each batch of hourly health as daily states, which are merged as batches add up; ``health_result`` gives the days."""
+    """Each batch of hourly health as daily states, which are merged as batches add up; ``health_result`` gives the days.
+
+    Columns are chosen in the stream, as a batch is read with all that the stream has.
+    """
+    stream = stream.select("hour_start", *(k for k in reports.HEALTH_KEYS if k != "report_date"), "health_score", "health_category")
     run_batches(stream, checkpoint, to_batch_folder(path, reports.health_state))
     compact(stream.sparkSession, path, lambda rows: reports.merge_health_states(rows).withColumn("batch", F.lit(-1).cast("long")))
 
@@ -231,7 +235,8 @@ def health_result(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_states(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("technology",)) -> None:
-    """Each batch's partial states by day; merging all batches gives the daily figures."""
+    """Each batch's partial states by day; merging all batches gives the daily figures. Only the columns that states take are read."""
+    stream = stream.select("event_time", *keys, *rollup.STATE_COLUMNS)
     run_batches(stream, checkpoint, to_batch_folder(path, lambda rows: rollup.traffic_state(rows, F.to_date("event_time").alias("report_date"), *keys)))
 
 

@@ -25,6 +25,21 @@ def test_equal_to_percentile(spark, share):
     assert all(got[k][0] == want[k][0] and close(got[k][1], want[k][1]) and close(got[k][2], want[k][2]) for k in want)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.5, 0.95, 1.0])
+def test_small_groups_equal_to_percentile_from_one_shuffle(spark, share):
+    rng = np.random.default_rng(4)
+    rows = [("many", float(x)) for x in rng.lognormal(3, 2, 500)] + [("ties", float(x)) for x in rng.integers(-3, 4, 200)] + [(None, 1.5), (None, 2.5)]
+    rows += [("one", 5.0), ("null", None), ("some", None), ("some", 2.0), ("odd", math.inf), ("odd", -math.inf), ("odd", 1.0), ("odd", math.nan)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(3)
+    found = quantiles.aggregate_small(df, ["k"], [F.count("*").alias("n"), F.count_distinct("x").alias("d")], {"a": ("x", share), "b": (F.col("x") * 2, 0.3)})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: (r.n, r.d, r.a, r.b) for r in found.collect()}
+    want = {r.k: (r.n, r.d, r.a, r.b) for r in df.groupBy("k").agg(F.count("*").alias("n"), F.count_distinct("x").alias("d"), F.percentile("x", share).alias("a"), F.percentile(F.col("x") * 2, 0.3).alias("b")).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][:2] == want[k][:2] and close(got[k][2], want[k][2]) and close(got[k][3], want[k][3]) for k in want)
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_without_keys_and_without_rows(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     assert tuple(quantiles.aggregate(df, [], [F.count("*").alias("n")], {"q": ("x", 0.99)}).first()) == (1001, 990.0)

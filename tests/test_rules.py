@@ -389,6 +389,31 @@ def test_traffic_is_staged_in_one_look(spark, sf_dir):
     assert scans(once) == 2 and scans(f.live_traffic()) == 2
 
 
+def test_feeds_of_hourly_health_are_dealt_once(spark, sf_dir):
+    """Each feed is shuffled once, by station and hour, and sorted by its versions once; what follows works where the rows lie."""
+    tables = Feeds(spark, sf_dir).tables()
+    for name, hourly in (("traffic", reports.health_hourly(tables)), ("metrics", reports.metrics_hourly(tables.metrics)), ("events", reports.events_hourly(tables.events))):
+        plan = hourly._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "hour_start" in line]
+        assert len(dealt) == (3 if name == "traffic" else 1), plan
+        assert all("REPARTITION_BY_COL" in line for line in dealt)
+        assert sum("Sort [" in line and "updated_at" in line for line in plan.split("\n")) == len(dealt)
+
+
+def test_daily_health_stream_reads_the_columns_it_takes(spark, tmp_path):
+    """Parts of one write land whole although their files are named alike, and a batch reads no column beside those of the states."""
+    rows = spark.range(90).select((F.col("id") % 3).alias("station_id"), F.expr("timestamp_ntz '2024-01-05 00:00:00' + make_dt_interval(0, CAST(id AS INT) * 7)").alias("hour_start"), *(F.lit("x").alias(c) for c in ("operator_code", "region", "density_class", "beside")), F.col("id").cast("double").alias("health_score"), F.lit("healthy").alias("health_category")).coalesce(1)
+    seen, state = [], reports.health_state
+    reports.health_state = lambda batch: seen.append(batch.columns) or state(batch)
+    try:
+        out = written_queries.arrive(rows, "hour_start", "daily", jobs.stream_health_daily)
+    finally:
+        reports.health_state = state
+    found = jobs.health_result(spark, out)
+    assert found.exceptAll(reports.health_daily(rows)).isEmpty() and found.count() == reports.health_daily(rows).count()
+    assert seen and all("beside" not in columns for columns in seen)
+
+
 def test_reports_of_health_read_raw_events_once(spark, sf_dir):
     """Pairs are made of written events, not of raw ones that are judged again for either side."""
     tables, _ = Feeds(spark, sf_dir).report_tables()
