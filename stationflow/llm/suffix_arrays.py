@@ -14,6 +14,8 @@ import numpy as np
 
 #: Buckets are stepped through if they hold so many suffixes on average.
 BUCKET_MEAN = 256
+#: Suffixes are dealt share by share if a bucket gets so many on average, else one by one.
+SHARE_MEAN = 32
 #: Leftmost-smaller substrings are compared sign by sign up to here, and whole beyond.
 SIGN_BY_SIGN = 64
 #: Runs of one sign are followed place by place up to here, and whole beyond.
@@ -78,12 +80,19 @@ def _ranks(t: np.ndarray, small: np.ndarray, left: np.ndarray, starts: np.ndarra
 def _deal(sa: np.ndarray, at: np.ndarray, p: np.ndarray, signs: np.ndarray, step: int) -> None:
     """Put the suffixes ``p`` into the buckets of their signs, in order, from ``at`` on in direction ``step``."""
     order = np.argsort(signs, kind="stable")
-    signs = signs[order]
+    signs, dealt = signs[order], p[order]
     first = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]])) if len(signs) else np.zeros(0, np.int64)
-    count = np.diff(first, append=len(signs))
-    rank = np.arange(len(signs)) - np.repeat(first, count)
-    sa[np.repeat(at[signs[first]], count) + step * rank] = p[order]
-    at[signs[first]] += step * count
+    count, used = np.diff(first, append=len(signs)), signs[first]
+    if len(first) * SHARE_MEAN <= len(signs):  # a bucket's share lies together and goes there in one piece
+        for x, a, n in zip(at[used].tolist(), first.tolist(), count.tolist(), strict=True):
+            if step > 0:
+                sa[x : x + n] = dealt[a : a + n]
+            else:
+                sa[x - n + 1 : x + 1] = dealt[a : a + n][::-1]
+    else:
+        rank = np.arange(len(signs)) - np.repeat(first, count)
+        sa[np.repeat(at[used], count) + step * rank] = dealt
+    at[used] += step * count
 
 
 def _runs_back(ends: np.ndarray, run: np.ndarray) -> np.ndarray:

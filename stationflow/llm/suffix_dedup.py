@@ -225,6 +225,22 @@ def earliest(blocks: list[bytes], low: np.ndarray, real: np.ndarray, length: int
     return least[: len(block)][full[: len(block)]], known[: len(block)][full[: len(block)]]
 
 
+def earliest_by_route(blocks: list[bytes], low: np.ndarray, real: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """``earliest`` of distinct blocks whose strings have one route each: only blocks that share their route are sorted.
+
+    Equal strings have one route. So a block alone on its route has no string of another block, and its own ``low`` is the smallest.
+    """
+    count = np.array([len(b) - length + 1 for b in blocks], np.int64)
+    route = strings_routes(np.frombuffer(b"".join(b[:length] for b in blocks), np.uint8), length)[::length]
+    _, of, size = np.unique(route, return_inverse=True, return_counts=True)
+    met = size[of] > 1
+    found, known = np.repeat(low, count), np.repeat(real, count)
+    if met.any():
+        strings = np.repeat(met, count)
+        found[strings], known[strings] = earliest([b for b, m in zip(blocks, met.tolist(), strict=True) if m], low[met], real[met], length)
+    return found, known
+
+
 def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """For each tile, its blocks' runs of strings by the smallest id that has them, where a larger id has them too."""
     lens = [np.frombuffer(bytes(x), "<i4").astype(np.int64) for x in rows["lens"]]
@@ -243,7 +259,7 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     owned = np.zeros(len(at), bool)
     np.logical_or.at(owned, of, real)
     blocks = list(at)
-    found, known = earliest(blocks, own, owned, length)
+    found, known = earliest_by_route(blocks, own, owned, length)
     count = np.array([len(b) - length + 1 for b in blocks], np.int64)
     ends = np.cumsum(count)
     new = np.concatenate([[True], (found[1:] != found[:-1]) | (known[1:] != known[:-1])])

@@ -122,3 +122,20 @@ def test_both_forms_of_inducing(monkeypatch, mean):
         t = np.append(np.repeat(rng.integers(1, 5, 12), rng.integers(1, 6, 12)), 0).astype(np.uint8)
         b = t.tobytes()
         assert suffix_arrays.suffix_array(t, 5, len(b)).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+
+
+def test_only_blocks_that_share_their_route_are_sorted(monkeypatch):
+    """Strings' smallest ids are those of one suffix array over all blocks, though blocks alone on their route stay out of it."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(97, 101, 3000).astype(np.uint8).tobytes() for _ in range(6)]
+    texts += [texts[0][:1500] + texts[1][700:], texts[2][5:900] + b"x" + texts[2][900:], b"a" * 400, b"ab" * 200]
+    cut = [(d, texts[d][a : b + 50]) for d, a, b in zip(*(x.tolist() for x in suffix_dedup.route_runs(texts, 50)[:3]), strict=True)]
+    blocks = sorted({b for _, b in cut})
+    low = np.array([min(d for d, x in cut if x == b) for b in blocks])
+    real = low % 3 > 0
+    want = suffix_dedup.earliest(blocks, low, real, 50)
+    sorted_bytes, whole = [], suffix_dedup.earliest
+    monkeypatch.setattr(suffix_dedup, "earliest", lambda some, *rest: sorted_bytes.append(sum(map(len, some))) or whole(some, *rest))
+    got = suffix_dedup.earliest_by_route(blocks, low, real, 50)
+    assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+    assert 0 < sum(sorted_bytes) < sum(map(len, blocks)) / 2
