@@ -12,13 +12,23 @@ from pyspark.sql import functions as F
 from stationflow.llm.suffix_arrays import permuted_prefixes, suffix_array
 
 LENGTH = 50
-#: Bytes that are hashed together; the least hash of a string's grams is the string's route.
-GRAM = 16
+#: Bytes that are hashed together; the least hash of a string's grams is the string's route. Shorter grams stand in
+#: more texts by chance, the more text there is; longer ones make more routes.
+GRAM = 20
+#: Bytes of a route; routes that are equal by chance only cost time.
+ROUTE_BYTES = 6
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0x165667B19E3779F9], np.uint64)
 #: Text bytes of a tile of documents, and text bytes for each bucket of routes and each shard.
-TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 4 << 20
+TILE_BYTES, BUCKET_BYTES, SHARD_BYTES = 8 << 20, 32 << 20, 16 << 20
+#: Bytes of blocks in one suffix array; a shard makes several, each of whole routes.
+SORT_BYTES = 2 << 20
 #: A route whose distinct blocks have more bytes than this is dealt out string by string.
 HOT_BYTES = 1 << 20
+#: Rows of one text come to one tile up to this part of it.
+TEXT_SHARE = 8
 CHUNK = 1 << 20
+#: Blocks are hashed and compared eight bytes at a time up to this size, and whole beyond.
+WORD_BY_WORD = 256
 #: Tiles, buckets and shards have a task each up to this number of tasks; then a task takes several, one at a time.
 PARTS = 1 << 15
 #: Equal rows that fill a tile, and more than one in so many of all bytes, are counted and dealt by number.
@@ -27,20 +37,38 @@ HEAVY_SHARE = 1_000_000
 NEVER = np.iinfo(np.int64).max
 
 
-def strings_routes(data: np.ndarray, length: int) -> np.ndarray:
-    """The least hash among the grams of each string of ``length`` bytes of ``data``."""
-    n = len(data) - GRAM + 1
-    words = np.ndarray((n + 8,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
-    h = words[:n] * np.uint64(0x9E3779B97F4A7C15) + words[8 : n + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
+def _words(data: bytes) -> np.ndarray:
+    """The eight bytes from every place on, as far as there are eight."""
+    return np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+
+
+def strings_routes(data: bytes, length: int) -> np.ndarray:
+    """The least hash among the grams of each string of ``length`` bytes of ``data``, cut to ``ROUTE_BYTES`` bytes."""
+    gram = min(GRAM, length)
+    words, n = _words(data), len(data) - gram + 1
+    h = words[:n] * MIX[0]
+    for k in range(8, gram, 8):
+        k = min(k, gram - 8)
+        h += words[k : k + n] * MIX[-(-k // 8)]
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0x165667B19E3779F9)
-    h ^= h >> np.uint64(32)
-    want, width = length - GRAM + 1, 1
+    h *= MIX[3]
+    h = (h ^ (h >> np.uint64(32))) >> np.uint64(64 - 8 * ROUTE_BYTES)
+    want, width = length - gram + 1, 1
     while 2 * width <= want:
         h, width = np.minimum(h[:-width], h[width:]), 2 * width
     return np.minimum(h[: len(h) - (want - width)], h[want - width :])
 
 
+def _packed(routes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(routes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ROUTE_BYTES])
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // ROUTE_BYTES, 8), np.uint8)
+    out[:, :ROUTE_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, ROUTE_BYTES)
+    return out.view("<u8")[:, 0]
+
+
 def route_runs(texts: list[bytes], length: int) -> list[np.ndarray]:
     """Runs of strings with one route: document number, first and last string start, route, and a mark of the run's block.
 
@@ -57,17 +85,20 @@ def route_runs(texts: list[bytes], length: int) -> list[np.ndarray]:
         if size >= length:
             starts = np.cumsum(lens) - lens
             data = b"".join(texts[at:end])
-            route = strings_routes(np.frombuffer(data, np.uint8), length)
-            doc = np.repeat(np.arange(len(lens)), lens)[: len(route)]
-            place = np.arange(len(route)) - starts[doc]
-            ok = np.flatnonzero(place <= lens[doc] - length)  # strings within one document
-            route, doc, place = route[ok], doc[ok], place[ok]
-            new = np.concatenate([[True], (route[1:] != route[:-1]) | (doc[1:] != doc[:-1])]) if len(ok) else np.zeros(0, bool)
+            route = strings_routes(data, length)
+            new = np.empty(len(route), bool)
+            new[0] = True
+            np.not_equal(route[1:], route[:-1], out=new[1:])
+            for edge in (starts, np.maximum(starts + lens - length + 1, starts)):  # a text's first string, and the first that its end cuts off
+                new[edge[edge < len(new)]] = True
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(ok))[: len(first)] - 1
-            words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
-            mark = words[ok[first]] * np.uint64(0x9E3779B97F4A7C15) + words[ok[last] + length - 8] * np.uint64(0xC2B2AE3D27D4EB4F) + (last - first).astype(np.uint64)
-            parts.append([doc[first] + at, place[first], place[last], route[first], mark])
+            last = np.append(first[1:], len(route)) - 1
+            doc = np.searchsorted(starts, first, "right") - 1
+            ok = first - starts[doc] <= lens[doc] - length  # strings within one document
+            first, last, doc = first[ok], last[ok], doc[ok]
+            words = _words(data)
+            mark = words[first] * MIX[0] + words[last + length - 8] * MIX[1] + (last - first).astype(np.uint64)
+            parts.append([doc + at, first - starts[doc], last - starts[doc], route[first], mark])
         at = end
     return [np.concatenate(column) for column in zip(*parts, strict=True)]
 
@@ -78,15 +109,23 @@ def _mixed(routes: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Tile:
-    """Texts of a tile in order of id, those without an id last; ``owner`` numbers the ids, none being one."""
+    """A tile's different texts, each under the first id that has it, in order of id, those without an id last; ``owner`` numbers the ids, none being one.
+
+    ``of`` is each row's text. A row whose text a smaller id has too (``again``) has no string left; other rows of a text
+    are as its first one.
+    """
 
     def __init__(self, rows: pd.DataFrame) -> None:
         ids, none = rows["doc_id"].to_numpy(np.int64), rows["none"].to_numpy(bool)
         order = np.lexsort((ids, none))
-        texts = rows["data"].tolist()
-        self.ids, self.none, self.texts = ids[order], none[order], [bytes(texts[k]) for k in order]
-        self.copies = rows["copies"].to_numpy(np.int64)[order]
-        self.owner = np.cumsum(np.concatenate([[False], (self.ids[1:] != self.ids[:-1]) | (self.none[1:] != self.none[:-1])]))
+        self.row_ids, self.row_none, self.copies = ids[order], none[order], rows["copies"].to_numpy(np.int64)[order]
+        owner = np.cumsum(np.concatenate([[False], (self.row_ids[1:] != self.row_ids[:-1]) | (self.row_none[1:] != self.row_none[:-1])]))
+        texts, at = rows["data"].tolist(), {}
+        self.of = np.array([at.setdefault(bytes(texts[k]), len(at)) for k in order.tolist()], np.int64)
+        self.texts = list(at)
+        first = np.unique(self.of, return_index=True)[1]
+        self.ids, self.none, self.owner = self.row_ids[first], self.row_none[first], owner[first]
+        self.again = owner != self.owner[self.of]
 
 
 def _tile_routes(number: int, tile: Tile, buckets: int, length: int) -> pd.DataFrame:
@@ -106,14 +145,14 @@ def _tile_routes(number: int, tile: Tile, buckets: int, length: int) -> pd.DataF
     bucket = _mixed(route, buckets)
     order = np.argsort(bucket, kind="stable")
     bucket, route, marks = bucket[order], route[order], marks[order]
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    cuts, route = np.searchsorted(bucket, np.arange(buckets + 1)), _packed(route)
     used = np.flatnonzero(np.diff(cuts))
     return pd.DataFrame({"bucket": used.astype("int32"), "tile": np.full(len(used), number, "int32"), "routes": [route[cuts[k] : cuts[k + 1]].tobytes() for k in used], "marks": [marks[cuts[k] : cuts[k + 1]].tobytes() for k in used]})
 
 
 def _shared_routes(rows: pd.DataFrame, hot_bytes: int) -> pd.DataFrame:
     """Of a bucket's routes, those of two documents or more, for each tile that has them, and which of them are hot."""
-    parts = [np.frombuffer(bytes(r), np.uint64) for r in rows["routes"]]
+    parts = [_unpacked(bytes(r)) for r in rows["routes"]]
     route = np.concatenate(parts)
     marks = np.concatenate([np.frombuffer(bytes(b), np.uint8) for b in rows["marks"]])
     order = np.argsort(route, kind="stable")
@@ -126,7 +165,7 @@ def _shared_routes(rows: pd.DataFrame, hot_bytes: int) -> pd.DataFrame:
     keep[order], hot[order] = np.repeat(shared, count), np.repeat(heavy, count)
     cuts = np.cumsum([0, *(len(p) for p in parts)])
     mine = [keep[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pd.DataFrame({"tile": rows["tile"].astype("int32"), "shared": [p[k].tobytes() for p, k in zip(parts, mine, strict=True)], "hot": [np.packbits(hot[a:b][k]).tobytes() for a, b, k in zip(cuts[:-1], cuts[1:], mine, strict=True)]})
+    return pd.DataFrame({"tile": rows["tile"].astype("int32"), "shared": [_packed(p[k]).tobytes() for p, k in zip(parts, mine, strict=True)], "hot": [np.packbits(hot[a:b][k]).tobytes() for a, b, k in zip(cuts[:-1], cuts[1:], mine, strict=True)]})
 
 
 def _shared_runs(texts: list[bytes], shared: np.ndarray, hot: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -136,9 +175,13 @@ def _shared_runs(texts: list[bytes], shared: np.ndarray, hot: np.ndarray, length
         return doc[:0], first[:0], last[:0], route[:0]
     order = np.argsort(shared)
     shared, hot = shared[order], hot[order]
-    at = np.minimum(np.searchsorted(shared, route), len(shared) - 1)
-    keep = shared[at] == route
-    doc, first, last, route, hot = doc[keep], first[keep], last[keep], route[keep], hot[at[keep]]
+    maybe = np.zeros(1 << 20, bool)
+    maybe[_mixed(shared, len(maybe))] = True
+    keep = np.flatnonzero(maybe[_mixed(route, len(maybe))])
+    at = np.minimum(np.searchsorted(shared, route[keep]), len(shared) - 1)
+    found = shared[at] == route[keep]
+    keep, at = keep[found], at[found]
+    doc, first, last, route, hot = doc[keep], first[keep], last[keep], route[keep], hot[at]
     if not hot.any():
         return doc, first, last, route
     count = np.where(hot, last - first + 1, 1)
@@ -149,53 +192,85 @@ def _shared_runs(texts: list[bytes], shared: np.ndarray, hot: np.ndarray, length
     return doc, place, np.where(hot, place, last), route
 
 
+def _same_as_before(words: np.ndarray, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether each block (``size`` bytes of ``data`` from ``at`` on) is the block before it; ``words`` has the eight bytes at every place."""
+    same = np.concatenate([[False], size[1:] == size[:-1]]) if len(size) else np.zeros(0, bool)
+    left = np.flatnonzero(same)
+    long = size[left] > WORD_BY_WORD
+    for i in left[long].tolist():
+        x, y, n = int(at[i]), int(at[i - 1]), int(size[i])
+        same[i] = data[x : x + n] == data[y : y + n]
+    left, k = left[~long], 0
+    while len(left):  # the last eight bytes overlap those before
+        step = np.minimum(k, size[left] - 8)
+        equal = words[at[left] + step] == words[at[left - 1] + step]
+        same[left[~equal]] = False
+        k += 8
+        left = left[equal & (size[left] > k)]
+    return same
+
+
+def _digests(words: np.ndarray, data: bytes, at: np.ndarray, size: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """A hash of each block, of which equal ones have the same ``mark``."""
+    left, k, mark = np.flatnonzero(size <= WORD_BY_WORD), 0, mark.copy()
+    for i in np.flatnonzero(size > WORD_BY_WORD).tolist():
+        mark[i] ^= np.uint64(xxhash.xxh3_64_intdigest(data[int(at[i]) : int(at[i] + size[i])]))
+    while len(left):
+        h = (mark[left] ^ words[at[left] + np.minimum(k, size[left] - 8)]) * MIX[k // 8 % 4]
+        mark[left] = h ^ (h >> np.uint64(31))
+        k += 8
+        left = left[size[left] > k]
+    return mark
+
+
 class TileBlocks:
     """A tile's shared runs, its distinct blocks (the bytes of a run's strings), and each block's place in its shard's list.
 
     The same documents and shared routes give the same lists, so results come back by
-    place and no keys are sent.
+    place and no keys are sent. Blocks are found equal by a hash and then byte by byte; equal ones that
+    stood apart would only be sent twice.
     """
 
     def __init__(self, tile: Tile, shared: tuple[np.ndarray, np.ndarray], shards: int, length: int) -> None:
         self.doc, self.first, last, route = _shared_runs(tile.texts, *shared, length)
-        seen: dict[bytes, int] = {}
-        self.text: list[bytes] = []
-        of, where, low, high = [], [], [], []
-        digest = xxhash.xxh3_128_digest
-        for d, a, b, r in zip(self.doc.tolist(), self.first.tolist(), last.tolist(), _mixed(route, shards).tolist(), strict=True):
-            block = tile.texts[d][a : b + length]
-            k = seen.setdefault(digest(block), len(self.text))
-            of.append(k)
-            if k == len(self.text):
-                self.text.append(block)
-                where.append(r)
-                low.append(d)
-                high.append(d)
-            else:  # documents come in order of id
-                high[k] = d
-        self.of, self.shard = np.array(of, np.int64), np.array(where, np.int64)
-        least, most = np.array(low, np.int64), np.array(high, np.int64)
+        lens = np.array([len(t) for t in tile.texts], np.int64)
+        self.data = b"".join(tile.texts)
+        at, size = (np.cumsum(lens) - lens)[self.doc] + self.first, last - self.first + length
+        words = _words(self.data)
+        mark = _digests(words, self.data, at, size, route)
+        by = np.argsort(mark, kind="stable")  # documents come in order of id, and stay so
+        new = ~_same_as_before(words, self.data, at[by], size[by])
+        head = np.flatnonzero(new)
+        count = np.diff(head, append=len(by))
+        least, most = by[head], by[head + count - 1]
+        turn = np.argsort(least)  # blocks as they first appear
+        number = np.empty(len(turn), np.int64)
+        number[turn] = np.arange(len(turn))
+        self.of = np.empty(len(by), np.int64)
+        self.of[by] = np.repeat(number, count)
+        least, most = least[turn], most[turn]
+        self.at, self.size, shard = at[least], size[least], _mixed(route[least], shards)
+        least, most = self.doc[least], self.doc[most]
         self.real, self.more = ~tile.none[least], tile.owner[least] != tile.owner[most]
         self.low = np.where(self.real, tile.ids[least], NEVER)
-        self.order = np.argsort(self.shard, kind="stable")  # in a shard's list, ids only grow too
-        self.used, self.cuts = np.unique(self.shard[self.order], return_index=True)
+        self.order = np.argsort(shard, kind="stable")  # in a shard's list, ids only grow too
+        self.used, self.cuts = np.unique(shard[self.order], return_index=True)
         self.cuts = np.append(self.cuts, len(self.order))
 
 
 def _blocks(number: int, tile: Tile, shared: tuple[np.ndarray, np.ndarray], shards: int, length: int) -> pd.DataFrame:
-    """A tile's blocks by shard: sizes, smallest ids as steps and whether there is one, whether more documents of the tile have them, and bytes."""
+    """A tile's blocks by shard: sizes, smallest ids as steps, whether there is one (1) and whether more documents of the tile have them (2), and bytes."""
     b, press = TileBlocks(tile, shared, shards, length), zstandard.ZstdCompressor(level=3)
-    out: dict[str, list] = {"shard": [], "tile": [], "lens": [], "low": [], "real": [], "more": [], "text": []}
-    for s, x, y in zip(b.used.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
-        mine = b.order[x:y]
-        out["shard"].append(s)
-        out["tile"].append(number)
-        out["lens"].append(np.array([len(b.text[k]) for k in mine], "<i4").tobytes())
-        out["low"].append(np.diff(b.low[mine], prepend=0).astype("<i8").tobytes())
-        out["real"].append(np.packbits(b.real[mine]).tobytes())
-        out["more"].append(np.packbits(b.more[mine]).tobytes())
-        out["text"].append(press.compress(b"".join(b.text[k] for k in mine)))
-    return pd.DataFrame(out).astype({"shard": "int32", "tile": "int32"})
+    order, heads = b.order, b.cuts[:-1]
+    low, size = b.low[order], b.size[order].astype("<i4")
+    steps = np.diff(low, prepend=0).astype("<i8")
+    steps[heads] = low[heads]
+    flags = b.real[order].astype(np.uint8) | (b.more[order].astype(np.uint8) << 1)
+    texts = [b.data[x : x + n] for x, n in zip(b.at[order].tolist(), size.tolist(), strict=True)]
+    cuts = list(zip(heads.tolist(), b.cuts[1:].tolist(), strict=True))
+    out = {"shard": b.used.astype("int32"), "tile": np.full(len(cuts), number, "int32")}
+    out |= {name: [column[x:y].tobytes() for x, y in cuts] for name, column in (("lens", size), ("low", steps), ("flags", flags))}
+    return pd.DataFrame(out | {"text": [press.compress(b"".join(texts[x:y])) for x, y in cuts]})
 
 
 def _bits(packed: pd.Series, counts: list[int]) -> np.ndarray:
@@ -226,18 +301,27 @@ def earliest(blocks: list[bytes], low: np.ndarray, real: np.ndarray, length: int
 
 
 def earliest_by_route(blocks: list[bytes], low: np.ndarray, real: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """``earliest`` of distinct blocks whose strings have one route each: only blocks that share their route are sorted.
+    """``earliest`` of distinct blocks whose strings have one route each: only blocks that share their route are sorted, all of a route together.
 
     Equal strings have one route. So a block alone on its route has no string of another block, and its own ``low`` is the smallest.
     """
     count = np.array([len(b) - length + 1 for b in blocks], np.int64)
-    route = strings_routes(np.frombuffer(b"".join(b[:length] for b in blocks), np.uint8), length)[::length]
-    _, of, size = np.unique(route, return_inverse=True, return_counts=True)
-    met = size[of] > 1
     found, known = np.repeat(low, count), np.repeat(real, count)
-    if met.any():
-        strings = np.repeat(met, count)
-        found[strings], known[strings] = earliest([b for b, m in zip(blocks, met.tolist(), strict=True) if m], low[met], real[met], length)
+    route = strings_routes(b"".join(b[:length] for b in blocks), length)[::length]
+    by = np.argsort(route, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(route[by]) > 0]))
+    size = np.diff(first, append=len(by))
+    met = size > 1
+    by, size = by[np.repeat(met, size)], size[met]
+    if not len(by):
+        return found, known
+    n_bytes = np.add.reduceat(count[by] + length - 1, np.cumsum(size) - size)
+    share = (np.cumsum(n_bytes) - n_bytes) // SORT_BYTES
+    begin = np.cumsum(count) - count
+    for part in np.split(by, np.cumsum(size)[:-1][np.diff(share) > 0]):
+        n = count[part]
+        strings = np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        found[strings], known[strings] = earliest([blocks[k] for k in part.tolist()], low[part], real[part], length)
     return found, known
 
 
@@ -245,8 +329,8 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """For each tile, its blocks' runs of strings by the smallest id that has them, where a larger id has them too."""
     lens = [np.frombuffer(bytes(x), "<i4").astype(np.int64) for x in rows["lens"]]
     low = np.concatenate([np.frombuffer(bytes(x), "<i8").cumsum() for x in rows["low"]])
-    counts = [len(n) for n in lens]
-    real, more = _bits(rows["real"], counts), _bits(rows["more"], counts)
+    flags = np.frombuffer(b"".join(rows["flags"]), np.uint8)
+    real, more = (flags & 1).astype(bool), (flags & 2).astype(bool)
     at: dict[bytes, int] = {}
     numbers: list[int] = []
     unpress = zstandard.ZstdDecompressor()
@@ -293,11 +377,9 @@ def _removed(tile: Tile, shared: tuple[np.ndarray, np.ndarray], found: pd.DataFr
     if not len(found):
         return spans
     b = TileBlocks(tile, shared, shards, length)
-    n_runs = np.zeros(len(b.text), np.int64)
-    start = np.zeros(len(b.text), np.int64)
+    n_runs, start = np.zeros(len(b.size), np.int64), np.zeros(len(b.size), np.int64)
     stops, least, known, total = [], [], [], 0
-    for shard, ns, ss, ls, ks in zip(found["shard"], found["n_runs"], found["stops"], found["least"], found["known"], strict=True):
-        k = int(np.searchsorted(b.used, int(shard)))
+    for k, ns, ss, ls, ks in zip(np.searchsorted(b.used, found["shard"].to_numpy(np.int64)).tolist(), found["n_runs"], found["stops"], found["least"], found["known"], strict=True):
         mine, n = b.order[b.cuts[k] : b.cuts[k + 1]], np.frombuffer(bytes(ns), "<i4").astype(np.int64)
         n_runs[mine], start[mine] = n, total + np.cumsum(n) - n
         stops.append(np.frombuffer(bytes(ss), "<i4"))
@@ -329,27 +411,35 @@ def _spread(rows: DataFrame, key: str, count: int) -> DataFrame:
 def _dealt(rows: DataFrame) -> tuple[DataFrame, int]:
     """The rows with ``copies`` and ``tile``, and the bytes of all texts.
 
-    Equal rows would crowd one tile where they are more than it holds. They are counted
+    Rows of one text come to one tile, which takes it once. A text whose rows would crowd a tile is dealt over several, by id.
+    Equal rows would still crowd one where they are more than it holds. They are counted
     and come as several rows with a part of the copies each, which rows of one id allow.
     """
-    size = F.octet_length("data").cast("long")
-    same = rows.groupBy("doc_id", "none", F.xxhash64("data").alias("h")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    size, h = F.octet_length("data").cast("long"), F.xxhash64("data").alias("h")
+    same = rows.groupBy("doc_id", "none", h).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
     weight = F.greatest("bytes", "n")
-    total = same.agg(F.sum("bytes").alias("bytes"), F.max(F.when(F.col("n") > 1, weight)).alias("most")).first()
+    most = F.max(F.when(F.col("n") > 1, weight)).alias("most")
+    texts = same.groupBy("h").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), most)
+    total = texts.agg(F.sum("bytes").alias("bytes"), F.max("most").alias("most"), F.max(F.when(F.col("n") > 1, weight)).alias("widest")).first()
     all_bytes = total["bytes"] or 0
-    least = max(TILE_BYTES, all_bytes // HEAVY_SHARE)
+    share, few = TILE_BYTES // TEXT_SHARE, all_bytes // HEAVY_SHARE  # tables of more than a few are at most HEAVY_SHARE rows
+    least = max(TILE_BYTES, few)
     dealt = rows.withColumns({"copies": F.lit(1).cast("long"), "part": F.lit(0).cast("long")})
     if (total["most"] or 0) > least:
-        heavy = F.broadcast(same.where((F.col("n") > 1) & (weight > least)).select("doc_id", "none", "h"))  # at most HEAVY_SHARE rows
-        keyed, on = rows.withColumn("h", F.xxhash64("data")), ["doc_id", "none", "h"]
+        heavy = F.broadcast(same.where((F.col("n") > 1) & (weight > least)).select("doc_id", "none", "h"))
+        keyed, on = rows.withColumn("h", h), ["doc_id", "none", "h"]
         parts = F.ceil(F.col("n") * F.greatest(size, F.lit(1)) / TILE_BYTES)
         many = keyed.join(heavy, on, "left_semi").groupBy("doc_id", "none", "data").agg(F.count("*").alias("n")).withColumn("parts", F.least(parts, "n"))
         many = many.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        share = F.floor(F.col("n") / F.col("parts")) + (F.col("part") < F.col("n") % F.col("parts")).cast("long")
+        copies = F.floor(F.col("n") / F.col("parts")) + (F.col("part") < F.col("n") % F.col("parts")).cast("long")
         single = keyed.join(heavy, on, "left_anti").select("doc_id", "none", "data", F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("part"))
-        dealt = single.unionByName(many.select("doc_id", "none", "data", share.alias("copies"), "part"))
+        dealt = single.unionByName(many.select("doc_id", "none", "data", copies.alias("copies"), "part"))
+    if (total["widest"] or 0) > max(share, few):
+        wide = F.broadcast(texts.where((F.col("n") > 1) & (weight > max(share, few))).select("h", F.ceil(weight / share).alias("over")))
+        turn = F.pmod(F.xxhash64("doc_id", "none", "part"), F.coalesce("over", F.lit(1)))
+        dealt = dealt.withColumn("h", h).join(wide, "h", "left").withColumn("part", turn).drop("h", "over")
     tiles = int(-(-all_bytes // TILE_BYTES)) or 1
-    return dealt.withColumn("tile", F.pmod(F.xxhash64("doc_id", "data", "part"), F.lit(tiles)).cast("int")).drop("part"), all_bytes
+    return dealt.withColumn("tile", F.pmod(F.xxhash64("data", "part"), F.lit(tiles)).cast("int")).drop("part"), all_bytes
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
@@ -360,7 +450,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     end exclusive), ``kept`` the remaining bytes, which need not be whole characters.
 
     Each string is routed by the least hash of its grams, so equal strings meet.
-    Documents stand in tiles. Routes of one document only go first; of the others, runs of
+    Documents stand in tiles, those of one text together; a text is taken once there, under its first id. Routes of one document only go first; of the others, runs of
     strings with one route make blocks, and each shard of routes sorts its distinct
     blocks in one suffix array, which gives every string's earliest document. A route
     whose distinct blocks exceed ``hot_bytes`` would crowd one shard; its strings are dealt
@@ -388,15 +478,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     def finish(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         tile = Tile(part)
         spans = _removed(tile, _joined(found[found["shared"].notna()]), found[found["n_runs"].notna()], shards, length)
-        kept = []
-        for text, cut in zip(tile.texts, spans, strict=True):
+        n_bytes, cuts, kept = [], [], []
+        for k, again in zip(tile.of.tolist(), tile.again.tolist(), strict=True):
+            text = tile.texts[k]
+            cut = [(0, len(text))] if again and len(text) >= length else spans[k]
             ends = [0, *(x for s in cut for x in s), len(text)]
+            n_bytes.append(len(text))
+            cuts.append([{"start": a, "end": b} for a, b in cut])
             kept.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)))
-        return pd.DataFrame({"copies": tile.copies, "doc_id": pd.arrays.IntegerArray(tile.ids, tile.none), "n_bytes": [len(t) for t in tile.texts], "spans": [[{"start": a, "end": b} for a, b in s] for s in spans], "kept": kept})
+        return pd.DataFrame({"copies": tile.copies, "doc_id": pd.arrays.IntegerArray(tile.row_ids, tile.row_none), "n_bytes": n_bytes, "spans": cuts, "kept": kept})
 
     all_routes = by_tile.applyInPandas(routes, "bucket int, tile int, routes binary, marks binary")
     shared = _spread(all_routes, "bucket", buckets).groupBy("bucket").applyInPandas(lambda part: _shared_routes(part, hot_bytes), "tile int, shared binary, hot binary")
-    sent = by_tile.cogroup(_spread(shared, "tile", tiles).groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, real binary, more binary, text binary")
+    sent = by_tile.cogroup(_spread(shared, "tile", tiles).groupBy("tile")).applyInPandas(blocks, "shard int, tile int, lens binary, low binary, flags binary, text binary")
     found = _spread(sent, "shard", shards).groupBy("shard").applyInPandas(lambda part: _shard(part, length), "tile int, shard int, n_runs binary, stops binary, least binary, known binary")
     back = _spread(found.unionByName(shared, allowMissingColumns=True), "tile", tiles)
     cleaned = by_tile.cogroup(back.groupBy("tile")).applyInPandas(finish, "copies long, doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
@@ -407,5 +501,5 @@ def _joined(shared: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """A tile's shared routes and which of them are hot."""
     if not len(shared):
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    parts = [np.frombuffer(bytes(s), np.uint64) for s in shared["shared"]]
+    parts = [_unpacked(bytes(s)) for s in shared["shared"]]
     return np.concatenate(parts), _bits(shared["hot"], [len(p) for p in parts])

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,73 @@ def test_only_blocks_that_share_their_route_are_sorted(monkeypatch):
     got = suffix_dedup.earliest_by_route(blocks, low, real, 50)
     assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
     assert 0 < sum(sorted_bytes) < sum(map(len, blocks)) / 2
+
+
+def some_blocks():
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(97, 101, 3000).astype(np.uint8).tobytes() for _ in range(5)]
+    texts += [texts[0][:1500] + texts[1][700:], texts[2][5:900] + b"x" + texts[2][900:], texts[1][30:60] + texts[3][100:2000], b"a" * 400]
+    cut = [(d, texts[d][a : b + 50]) for d, a, b in zip(*(x.tolist() for x in suffix_dedup.route_runs(texts, 50)[:3]), strict=True)]
+    blocks = sorted({b for _, b in cut})
+    return blocks, np.array([min(d for d, x in cut if x == b) for b in blocks])
+
+
+def test_several_suffix_arrays_give_what_one_gives(monkeypatch):
+    blocks, low = some_blocks()
+    want = suffix_dedup.earliest(blocks, low, low % 3 > 0, 50)
+    calls, whole = [], suffix_dedup.earliest
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 200)
+    monkeypatch.setattr(suffix_dedup, "earliest", lambda some, *rest: calls.append(len(some)) or whole(some, *rest))
+    got = suffix_dedup.earliest_by_route(blocks, low, low % 3 > 0, 50)
+    assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1]) and len(calls) > 3
+
+
+def a_tile(rows):
+    return suffix_dedup.Tile(pd.DataFrame(rows, columns=["doc_id", "data"]).assign(none=False, copies=1))
+
+
+def test_a_short_phrase_shares_no_route():
+    """Texts that have 16 bytes in common over and over, but no string, stay in their tile."""
+    rng = np.random.default_rng(10)
+    rows = [(k, b" as of this day ".join(rng.bytes(40) for _ in range(30))) for k in range(6)]
+    assert not len(suffix_dedup._shared_routes(suffix_dedup._tile_routes(0, a_tile(rows), 1, 50), 1 << 20)["shared"][0])
+
+
+def test_a_text_is_taken_once(spark, monkeypatch):
+    """Rows of one text come to one tile, or to several if they would crowd it, and are as if each had been searched."""
+    texts = made(12, 9)
+    tile = a_tile([(k, t.encode()) for k in range(4) for t in texts[:1]])
+    doc, *_ = suffix_dedup._shared_runs(tile.texts, np.zeros(0, np.uint64), np.zeros(0, bool), 50)
+    routes = suffix_dedup._tile_routes(0, tile, 1, 50)
+    assert not len(suffix_dedup._shared_routes(routes, 1 << 20)["shared"][0]) and not len(doc)
+    rows = [(k * 20 + j, t) for j, t in enumerate(texts) for k in range(4)] + [(None, t) for t in texts[:4]] * 2 + [(500 + k, texts[1]) for k in range(120)] + [(500, texts[1]), (-3, texts[8]), (600, "a" * 49), (601, "a" * 49)]
+    for name, size in {"TILE_BYTES": 6000, "BUCKET_BYTES": 3000, "SHARD_BYTES": 2000}.items():
+        monkeypatch.setattr(suffix_dedup, name, size)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt, _ = suffix_dedup._dealt(table.select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("none"), F.col("text").cast("binary").alias("data")))
+    tiles = {bytes(r["data"]).decode(): r["tiles"] for r in dealt.groupBy("data").agg(F.count_distinct("tile").alias("tiles")).collect()}
+    assert tiles["a" * 49] == 1 and tiles[texts[1]] > 3
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    got = suffix_dedup.remove_repeats(table).select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_blocks_of_one_hash_stay_apart(monkeypatch):
+    """Blocks are the same only if their bytes are, also if they are long."""
+    monkeypatch.setattr(suffix_dedup, "_digests", lambda words, data, at, size, mark: np.zeros(len(at), np.uint64))
+    rng = np.random.default_rng(13)
+    rows = [(k, t.encode()) for k, t in enumerate(made(14, 12))] + [(20, b"a" * 500), (21, b"b" + b"a" * 500), (22, b"a" * 499 + b"b"), (23, rng.bytes(300)), (24, b"a" * 600)]
+    tile = a_tile(rows)
+    shared = np.unique(suffix_dedup.route_runs(tile.texts, 50)[3])
+    b = suffix_dedup.TileBlocks(tile, (shared, np.zeros(len(shared), bool)), 3, 50)
+    doc, first, last, _, _ = suffix_dedup.route_runs(tile.texts, 50)
+    for of, d, x, y in zip(b.of.tolist(), doc.tolist(), first.tolist(), last.tolist(), strict=True):
+        assert b.data[b.at[of] : b.at[of] + b.size[of]] == tile.texts[d][x : y + 50]
+
+
+@pytest.mark.parametrize("length", [16, 19, 20, 33])
+def test_other_lengths(spark, documents, length):
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(documents, "doc_id long, text string"), length=length)
+    got = got.select("doc_id", "n_bytes", removed, F.size("spans"), F.sha2("kept", 256))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(documents, length)
