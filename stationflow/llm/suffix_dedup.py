@@ -422,7 +422,7 @@ def _dealt(rows: DataFrame) -> tuple[DataFrame, int]:
     texts = same.groupBy("h").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), most)
     total = texts.agg(F.sum("bytes").alias("bytes"), F.max("most").alias("most"), F.max(F.when(F.col("n") > 1, weight)).alias("widest")).first()
     all_bytes = total["bytes"] or 0
-    share, few = TILE_BYTES // TEXT_SHARE, all_bytes // HEAVY_SHARE  # tables of more than a few are at most HEAVY_SHARE rows
+    share, few = TILE_BYTES // TEXT_SHARE, all_bytes // HEAVY_SHARE  # at most HEAVY_SHARE rows weigh more than ``few``, so they can be broadcast
     least = max(TILE_BYTES, few)
     dealt = rows.withColumns({"copies": F.lit(1).cast("long"), "part": F.lit(0).cast("long")})
     if (total["most"] or 0) > least:
